@@ -14,12 +14,14 @@ engine's own topic patterns, themes and rules have something to match.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsboard.functions.text import map_labels
 from newsboard.operators.articles import entry_details
+from newsboard.plans.storage import shared_dir
 from newsboard.sources import schemas as S
 from newsboard.sources.feed import parse_analyses, parse_entries
 from newsboard.sources.seeds import conform, default_seeds
@@ -55,6 +57,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, make: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """An input table made by ``make``, written once per application.
+
+    The engine reads its documents as JSON text from a table, so the documents
+    are landed like an ingest would, and every query parses them from there.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
+    if key not in _STORED:
+        path = shared_dir(spark, make.__name__)
+        rows = make(spark, sf_dir)
+        tasks = spark.sparkContext.defaultParallelism
+        # A test table is one file, which one task would write and later read.
+        if len(rows.inputFiles()) < tasks:
+            rows = rows.repartition(tasks)
+        rows.write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def json_of(**fields: Column) -> Column:
     return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
 
@@ -292,8 +316,8 @@ def seeds(spark: SparkSession) -> dict[str, DataFrame]:
 def order_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Input of ``plans.views.build_views`` with orders as entries."""
     return {
-        "feedly_entries": order_entries(spark, sf_dir),
-        "feedly_entry_text_analyses": order_analyses(spark, sf_dir),
+        "feedly_entries": stored(spark, sf_dir, order_entries),
+        "feedly_entry_text_analyses": stored(spark, sf_dir, order_analyses),
         "organizations": organizations(spark, sf_dir),
         "category_groups": category_groups(spark, sf_dir),
         **seeds(spark),
@@ -302,11 +326,11 @@ def order_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def order_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as articles; orders are no copies of each other, so all stay."""
-    return entry_details(parse_entries(order_entries(spark, sf_dir)))
+    return entry_details(parse_entries(stored(spark, sf_dir, order_entries)))
 
 
 def order_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_analyses(order_analyses(spark, sf_dir))
+    return parse_analyses(stored(spark, sf_dir, order_analyses))
 
 
 def line_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ once; :func:`build_views` then starts from the stored versions.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -47,6 +47,28 @@ _HELPERS = {
 }
 
 
+class Views(Mapping[str, DataFrame]):
+    """Views by name; one is planned when it is first asked for."""
+
+    def __init__(self, stored: Mapping[str, DataFrame]):
+        self._plans: dict[str, Callable[[], DataFrame]] = {}
+        self._frames: dict[str, DataFrame] = dict(stored)
+
+    def add(self, name: str, plan: Callable[[], DataFrame]) -> None:
+        self._plans[name] = plan
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self._plans[name]()
+        return self._frames[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._plans)
+
+    def __len__(self) -> int:
+        return len(self._plans)
+
+
 def build_views(
     tables: Mapping[str, DataFrame],
     as_of: datetime,
@@ -54,103 +76,139 @@ def build_views(
     zone: str = BOARD_ZONE,
     alternates: str = "first",
     stored: Mapping[str, DataFrame] | None = None,
-) -> dict[str, DataFrame]:
+) -> Views:
     """All views over ``tables`` (see :data:`TABLES`).
 
     ``as_of`` is the moment the digests look back from, ``week`` the local
     Monday of the popularity ranking.  Views found in ``stored`` are taken as
     they are instead of being planned again.
     """
-    stored = stored or {}
-    v: dict[str, DataFrame] = {}
-
-    def add(name: str, make) -> DataFrame:
-        v[name] = stored[name] if name in stored else make()
-        return v[name]
-
-    # Feed documents.
-    details = add("vw_feedly_entry_details", lambda: A.entry_details(parse_entries(tables["feedly_entries"]), alternates))
-    arts = add("articles", lambda: A.articles(details))
-    topics = add("vw_article_common_topics", lambda: A.common_topics(arts))
-    entities = add("vw_article_entities", lambda: A.feed_entities(arts))
-    words = add("vw_article_keywords", lambda: A.keywords(arts))
-    add("vw_article_common_common_topic_list", lambda: A.topic_list(topics))
-    add("vw_article_entity_list", lambda: A.entity_list(entities))
-    add("vw_article_keyword_list", lambda: A.keyword_list(words))
-    add("vw_article_summary_sentences", lambda: A.summary_sentences(arts))
-    add("vw_article_priorities", lambda: A.priorities(arts))
-    add("vw_article_entities_by_topics", lambda: A.entities_by_topics(arts))
-    add("vw_article_entities_by_keywords", lambda: A.entities_by_keywords(arts))
+    v = Views(stored or {})
+    _feed_views(v, tables, alternates)
+    if week is not None:
+        v.add("vw_xr_article_rankings", lambda: A.article_rankings(v["articles"], week, zone=zone))
+    _analysis_views(v, tables)
+    _register_views(v, tables)
+    _board_views(v, zone)
+    _digest_views(v, as_of, zone)
+    _channel_views(v, tables, zone)
+    return v
+
+
+def _feed_views(v: Views, tables: Mapping[str, DataFrame], alternates: str) -> None:
+    v.add(
+        "vw_feedly_entry_details",
+        lambda: A.entry_details(parse_entries(tables["feedly_entries"]), alternates),
+    )
+    v.add("articles", lambda: A.articles(v["vw_feedly_entry_details"]))
+    for name, make in (
+        ("vw_article_common_topics", A.common_topics),
+        ("vw_article_entities", A.feed_entities),
+        ("vw_article_keywords", A.keywords),
+        ("vw_article_summary_sentences", A.summary_sentences),
+        ("vw_article_priorities", A.priorities),
+        ("vw_article_entities_by_topics", A.entities_by_topics),
+        ("vw_article_entities_by_keywords", A.entities_by_keywords),
+    ):
+        v.add(name, lambda make=make: make(v["articles"]))
+    v.add("vw_article_common_common_topic_list", lambda: A.topic_list(v["vw_article_common_topics"]))
+    v.add("vw_article_entity_list", lambda: A.entity_list(v["vw_article_entities"]))
+    v.add("vw_article_keyword_list", lambda: A.keyword_list(v["vw_article_keywords"]))
     for grain in GRAINS:
-        for subject, rows, label in (
-            ("topics", topics, "topic_label"),
-            ("keywords", words, "keyword"),
-            ("entities", entities, "entity_label"),
+        for subject, source, label in (
+            ("topics", "vw_article_common_topics", "topic_label"),
+            ("keywords", "vw_article_keywords", "keyword"),
+            ("entities", "vw_article_entities", "entity_label"),
         ):
-            add(f"vw_article_{subject}_by_{grain}", lambda r=rows, lb=label, g=grain: period_counts(r, lb, g))
-    if week is not None:
-        add("vw_xr_article_rankings", lambda: A.article_rankings(arts, week, zone=zone))
-
-    # Analysis documents.
-    parsed = parse_analyses(tables["feedly_entry_text_analyses"])
-    nlp_topics = add("vw_article_nlp_topics", lambda: N.analysis_topics(arts, parsed))
-    nlp_entities = add("vw_article_nlp_entities", lambda: N.analysis_entities(arts, parsed))
-    add("vw_article_nlp_text", lambda: N.analysis_text(arts, parsed))
-    add("vw_article_nlp_categories", lambda: N.analysis_categories(arts, parsed))
-    companies = add("vw_article_nlp_companies", lambda: N.resolve_companies(nlp_entities, tables["organizations"]))
-    matching = add("vw_xr_nlp_topics", lambda: N.matching_labels(nlp_topics))
-    labels = add("vw_xr_topics", lambda: N.canonical_labels(matching))
-    rules = tables["concept_entity_rules"]
-    add("vw_nlp_entities_without_concepts", lambda: N.uncovered_types(nlp_entities, rules))
-
-    # Company register.
-    add("vw_organization_categories", lambda: R.org_categories(tables["organizations"]))
-    add("vw_organization_category_groups", lambda: R.org_category_groups(tables["organizations"]))
-    add("vw_categories_with_category_groups", lambda: R.category_map(tables["category_groups"]))
-    add("vw_category_list", lambda: R.category_list(tables["category_groups"]))
-    add("vw_category_groups_list", lambda: R.group_list(tables["category_groups"]))
-
-    # Boards.
-    on_topic = N.topics_with_labels(nlp_topics, labels)
+            v.add(
+                f"vw_article_{subject}_by_{grain}",
+                lambda source=source, label=label, grain=grain: period_counts(v[source], label, grain),
+            )
+
+
+def _analysis_views(v: Views, tables: Mapping[str, DataFrame]) -> None:
+    parsed = lambda: parse_analyses(tables["feedly_entry_text_analyses"])
+    for name, make in (
+        ("vw_article_nlp_topics", N.analysis_topics),
+        ("vw_article_nlp_entities", N.analysis_entities),
+        ("vw_article_nlp_text", N.analysis_text),
+        ("vw_article_nlp_categories", N.analysis_categories),
+    ):
+        v.add(name, lambda make=make: make(v["articles"], parsed()))
+    v.add(
+        "vw_article_nlp_companies",
+        lambda: N.resolve_companies(v["vw_article_nlp_entities"], tables["organizations"]),
+    )
+    v.add("vw_xr_nlp_topics", lambda: N.matching_labels(v["vw_article_nlp_topics"]))
+    v.add("vw_xr_topics", lambda: N.canonical_labels(v["vw_xr_nlp_topics"]))
+    v.add(
+        "vw_nlp_entities_without_concepts",
+        lambda: N.uncovered_types(v["vw_article_nlp_entities"], tables["concept_entity_rules"]),
+    )
+
+
+def _register_views(v: Views, tables: Mapping[str, DataFrame]) -> None:
+    for name, make, table in (
+        ("vw_organization_categories", R.org_categories, "organizations"),
+        ("vw_organization_category_groups", R.org_category_groups, "organizations"),
+        ("vw_categories_with_category_groups", R.category_map, "category_groups"),
+        ("vw_category_list", R.category_list, "category_groups"),
+        ("vw_category_groups_list", R.group_list, "category_groups"),
+    ):
+        v.add(name, lambda make=make, table=table: make(tables[table]))
+
+
+def _board_views(v: Views, zone: str) -> None:
+    def of_companies(make):
+        return lambda: make(v["articles"], v["vw_article_nlp_companies"])
+
+    def ranked_topics() -> DataFrame:
+        topics = N.topics_with_labels(v["vw_article_nlp_topics"], v["vw_xr_topics"])
+        return S.topic_mentions(v["articles"], topics.withColumnRenamed("topic_label", "ranked_name"))
+
     for grain in GRAINS:
         for subject, rows, by, options in (
-            ("companies", S.company_mentions(arts, companies), "name", {}),
-            ("categories", S.category_mentions(arts, companies), "category", {}),
-            ("category_groups", S.group_mentions(arts, companies), "category_group", {}),
-            ("companies_by_categories", S.category_mentions(arts, companies), "name", {"within": "category"}),
-            (
-                "topics",
-                S.topic_mentions(arts, on_topic.withColumnRenamed("topic_label", "ranked_name")),
-                "ranked_name",
-                {"score": "topic_score"},
-            ),
+            ("companies", of_companies(S.company_mentions), "name", {}),
+            ("categories", of_companies(S.category_mentions), "category", {}),
+            ("category_groups", of_companies(S.group_mentions), "category_group", {}),
+            ("companies_by_categories", of_companies(S.category_mentions), "name", {"within": "category"}),
+            ("topics", ranked_topics, "ranked_name", {"score": "topic_score"}),
         ):
-            add(
+            v.add(
                 f"vw_xr_ranked_{subject}_by_{grain}",
-                lambda r=rows, b=by, g=grain, o=options: leaderboard(r, b, g, zone, **o),
+                lambda rows=rows, by=by, grain=grain, options=options: leaderboard(
+                    rows(), by, grain, zone, **options
+                ),
             )
 
-    # Sectors, digests and channels.
-    add("xr_company_articles_with_sectors", lambda: S.company_articles(arts, nlp_topics, companies))
-    add("vw_latest_articles", lambda: D.latest_digest(arts, nlp_topics, companies, as_of, None, zone))
-    add("vw_top_articles_last_24_hours", lambda: D.top_digest(arts, nlp_topics, companies, as_of, None, zone))
-    channels = tables["channels"]
-    routed = add(
+
+def _digest_views(v: Views, as_of: datetime, zone: str) -> None:
+    inputs = lambda: (v["articles"], v["vw_article_nlp_topics"], v["vw_article_nlp_companies"])
+    v.add("xr_company_articles_with_sectors", lambda: S.company_articles(*inputs()))
+    v.add("vw_latest_articles", lambda: D.latest_digest(*inputs(), as_of, None, zone))
+    v.add("vw_top_articles_last_24_hours", lambda: D.top_digest(*inputs(), as_of, None, zone))
+
+
+def _channel_views(v: Views, tables: Mapping[str, DataFrame], zone: str) -> None:
+    v.add(
         "vw_xr_channel_articles",
         lambda: C.route(
-            arts, nlp_entities, nlp_topics, labels, rules, tables["concepts"],
-            tables["channel_concepts"], channels, zone,
+            v["articles"], v["vw_article_nlp_entities"], v["vw_article_nlp_topics"], v["vw_xr_topics"],
+            tables["concept_entity_rules"], tables["concepts"], tables["channel_concepts"],
+            tables["channels"], zone,
         ),
     )
-    channel_details = add(
+    v.add(
         "vw_xr_channel_article_details",
-        lambda: C.channel_details(routed, S.article_sectors(nlp_topics, companies)),
+        lambda: C.channel_details(
+            v["vw_xr_channel_articles"],
+            S.article_sectors(v["vw_article_nlp_topics"], v["vw_article_nlp_companies"]),
+        ),
     )
-    add(
+    v.add(
         "vw_xr_channel_articles_unsent_by_channel_and_target",
-        lambda: C.unsent(arts, channel_details, channels, zone=zone),
+        lambda: C.unsent(v["articles"], v["vw_xr_channel_article_details"], tables["channels"], zone=zone),
     )
-    return v
 
 
 def register_views(views: Mapping[str, DataFrame]) -> None:
@@ -171,7 +229,7 @@ def refresh(
     as_of: datetime,
     names: Iterable[str] = STORED,
     **options,
-) -> dict[str, DataFrame]:
+) -> Views:
     """Write new versions of ``names`` and return all views on top of them.
 
     Names are written in dependency order, each from the versions written just
