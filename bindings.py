@@ -24,7 +24,7 @@ from newsboard.operators.articles import entry_details
 from newsboard.plans.storage import shared_dir
 from newsboard.sources import schemas as S
 from newsboard.sources.feed import parse_analyses, parse_entries
-from newsboard.sources.seeds import conform, default_seeds
+from newsboard.sources.seeds import conform, default_seeds, small_table
 
 TYPE_NAMES = {
     "ECONOMY": "SportsTeam",
@@ -309,7 +309,7 @@ def seeds(spark: SparkSession) -> dict[str, DataFrame]:
             "last_sent_at": marks[F.col("id").cast("int")].cast("timestamp_ntz"),
         }
     )
-    links = spark.createDataFrame(list(CHANNEL_CONCEPTS), "channel_id long, concept_id long")
+    links = small_table(spark, "channel_id concept_id", list(CHANNEL_CONCEPTS))
     return {**base, "channels": channels, "channel_concepts": links}
 
 

@@ -99,11 +99,9 @@ def analysis_text(articles: DataFrame, parsed: DataFrame) -> DataFrame:
 
 def entity_mentions(articles: DataFrame, parsed: DataFrame) -> DataFrame:
     """One row per entity mention and type of that entity."""
-    items = _of_articles(articles, parsed, ["entities"], ["feedly_id"]).select(
-        "feedly_id", F.explode("entities").alias("e")
-    )
+    docs = _of_articles(articles, parsed, ["entities"], ["feedly_id"])
     return unnest(
-        items.where(F.col("e").isNotNull()),
+        unnest(docs, F.col("entities"), "e", ["feedly_id"]),
         F.col("e.type"),
         "entity_type",
         [
@@ -232,12 +230,54 @@ def topics_with_labels(
 ) -> DataFrame:
     """Topic rows whose raw label is in ``labels``, once per copy of the label.
 
-    ``distinct_topics`` counts a repeated label once.
+    ``distinct_topics`` counts a repeated label once.  For any list of labels;
+    :func:`subject_topics` selects by pattern without a join of this size.
     """
     how = "left_semi" if distinct_topics else "inner"
     return spread_join(topics, labels, ["topic_label"], ["feedly_id"], how)
 
 
+def subject_topics(
+    topics: DataFrame,
+    include: Sequence[str] = TOPIC_INCLUDE,
+    exclude: Sequence[str] = TOPIC_EXCLUDE,
+    mapping: Mapping[str, str] = CANONICAL_LABELS,
+    drop: Sequence[str] = STOP_LABELS,
+    distinct_topics: bool = False,
+) -> DataFrame:
+    """Topic rows joined with their own canonical labels.
+
+    Equal to ``topics_with_labels(topics, canonical_labels(matching_labels(topics)))``.
+    A label that passes the patterns is in that list by itself, so a filter
+    finds it.  What the list adds is one copy of a label per variant of it that
+    occurs, and variants are at most the keys of ``mapping``: a lookup with that
+    many rows is broadcast, and the topic rows are not shuffled.
+    """
+    label = F.col("topic_label")
+    listed = label_matches(label, include, exclude) & ~label.isin(*drop)
+    plain = F.coalesce(listed & ~label.isin(*mapping), F.lit(False))
+    variants = (
+        topics.where(listed & label.isin(*mapping))
+        .select("topic_label")
+        .distinct()
+        .groupBy(map_labels(label, mapping).alias("topic_label"))
+        .agg(F.count("*").alias("_variants"))
+    )
+    copies = plain.cast("int") + F.coalesce("_variants", F.lit(0))
+    rows = (
+        topics.where(plain | label.isin(*set(mapping.values())))
+        .join(F.broadcast(variants), "topic_label", "left")
+        .withColumn("_copies", copies)
+        .where("_copies > 0")
+        .select(*topics.columns, "_copies")
+    )
+    if distinct_topics:
+        return rows.drop("_copies")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop(
+        "_copy", "_copies"
+    )
+
+
 def uncovered_types(entities: DataFrame, rules: DataFrame) -> DataFrame:
     """Entity types that no rule names."""
     # Distinct first: the difference then compares a few thousand type names.
@@ -247,8 +287,7 @@ def uncovered_types(entities: DataFrame, rules: DataFrame) -> DataFrame:
 def themed_mentions(
     entities: DataFrame,
     articles: DataFrame,
-    topics: DataFrame,
-    labels: DataFrame,
+    on_topic: DataFrame,
     types: Sequence[str],
     since: datetime,
     min_confidence: float = 1.0,
@@ -257,22 +296,20 @@ def themed_mentions(
 ) -> DataFrame:
     """Mentions of some entity types in recent articles on the given topics.
 
-    Confidence must exceed its threshold, the other scores may equal theirs.
-    An article gives an entity once per matching topic.
+    ``on_topic`` holds the topic rows of :func:`subject_topics`.  Confidence
+    must exceed its threshold, the other scores may equal theirs.  An article
+    gives an entity once per matching topic.
     """
     picked = entities.where(
         any_like(F.col("entity_type"), types)
         & (F.col("confidence_sore") > min_confidence)
         & (F.col("relevance_score") >= min_relevance)
     ).select("feedly_id", "entity_type", "confidence_sore", "relevance_score", "entity_id")
-    on_topic = topics_with_labels(
-        topics.where(F.col("topic_score") >= min_topic_score).select("feedly_id", "topic_label"),
-        labels,
-    )
+    scored = on_topic.where(F.col("topic_score") >= min_topic_score).select("feedly_id")
     recent = articles.where(F.col("created_at") > F.lit(since).cast("timestamp_ntz"))
     return (
         picked.join(recent.select("feedly_id", "published_on", "title", "url"), "feedly_id")
-        .join(on_topic.select("feedly_id"), "feedly_id")
+        .join(scored, "feedly_id")
         .select(
             "entity_type", "confidence_sore", "relevance_score", "entity_id",
             "published_on", "title", "url",

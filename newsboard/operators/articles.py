@@ -182,7 +182,7 @@ def cooccurrence(left: DataFrame, right: DataFrame, on: str = "feedly_id") -> Da
 def _with_entity(articles: DataFrame, other: str) -> DataFrame:
     # Both arrays sit in the article row: no join is needed to pair them.
     return articles.select(
-        *_titled(other), F.explode("entities").alias("_e")
+        *_titled(other), F.explode(null_if_empty(F.col("entities"))).alias("_e")
     ).select(
         *_titled(),
         F.col("_e.id").alias("entity_id"),

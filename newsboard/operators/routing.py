@@ -11,7 +11,6 @@ from newsboard.functions.arrays import set_of
 from newsboard.functions.text import identifier
 from newsboard.functions.time import BOARD_ZONE, send_at, shift_zone
 from newsboard.operators.articles import sentence_texts
-from newsboard.operators.analysis import topics_with_labels
 from newsboard.operators.joins import spread_join
 from newsboard.operators.maintenance import as_json
 
@@ -47,20 +46,21 @@ def match_rules(entities: DataFrame, rules: DataFrame) -> DataFrame:
 def route(
     articles: DataFrame,
     entities: DataFrame,
-    topics: DataFrame,
-    labels: DataFrame,
+    on_topic: DataFrame,
     rules: DataFrame,
     concepts: DataFrame,
     channel_concepts: DataFrame,
     channels: DataFrame,
     zone: str = BOARD_ZONE,
 ) -> DataFrame:
-    """Articles per channel, concept, entity and topic label."""
+    """Articles per channel, concept, entity and topic label.
+
+    ``on_topic`` holds the topic rows of
+    :func:`~newsboard.operators.analysis.subject_topics`.
+    """
     # Best score per article and label: a label then meets a threshold at most once.
-    on_topic = (
-        topics_with_labels(topics, labels.distinct(), distinct_topics=True)
-        .groupBy("feedly_id", "topic_label")
-        .agg(F.max("topic_score").alias("topic_score"))
+    on_topic = on_topic.groupBy("feedly_id", "topic_label").agg(
+        F.max("topic_score").alias("topic_score")
     )
     targets = (
         channel_concepts.select("channel_id", "concept_id").distinct()

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from newsboard.functions.arrays import null_if_empty
+
 
 def unnest(
     df: DataFrame,
@@ -19,8 +21,12 @@ def unnest(
     field and type to cast to with ``try_cast``; a plain string names the item
     itself.  All fields come from one ``explode``, so they stay in step.  Rows
     with an empty or missing array give nothing.
+
+    Exploding a plain column would make Spark test its size below the
+    projection that computes it, and so parse a JSON array twice; exploding an
+    expression keeps the array computed once.
     """
-    items = df.select(*keep, F.explode(array).alias("_item"))
+    items = df.select(*keep, F.explode(null_if_empty(array)).alias("_item"))
     item = F.col("_item")
     if isinstance(fields, str):
         out = [item.alias(fields)]

@@ -163,7 +163,7 @@ def _board_views(v: Views, zone: str) -> None:
         return lambda: make(v["articles"], v["vw_article_nlp_companies"])
 
     def ranked_topics() -> DataFrame:
-        topics = N.topics_with_labels(v["vw_article_nlp_topics"], v["vw_xr_topics"])
+        topics = N.subject_topics(v["vw_article_nlp_topics"])
         return S.topic_mentions(v["articles"], topics.withColumnRenamed("topic_label", "ranked_name"))
 
     for grain in GRAINS:
@@ -193,7 +193,8 @@ def _channel_views(v: Views, tables: Mapping[str, DataFrame], zone: str) -> None
     v.add(
         "vw_xr_channel_articles",
         lambda: C.route(
-            v["articles"], v["vw_article_nlp_entities"], v["vw_article_nlp_topics"], v["vw_xr_topics"],
+            v["articles"], v["vw_article_nlp_entities"],
+            N.subject_topics(v["vw_article_nlp_topics"], distinct_topics=True),
             tables["concept_entity_rules"], tables["concepts"], tables["channel_concepts"],
             tables["channels"], zone,
         ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsboard.sources import schemas as S
@@ -122,6 +123,12 @@ def _with_ids(df: DataFrame) -> DataFrame:
     return df.coalesce(1).withColumn("id", F.monotonically_increasing_id() + 1)
 
 
+def small_table(spark: SparkSession, names: str, rows: list[tuple]) -> DataFrame:
+    """A few literal rows, made from Arrow so that Spark knows their size and
+    may broadcast them; rows from a Python list have no size estimate."""
+    return spark.createDataFrame(pa.table(dict(zip(names.split(), zip(*rows)))))
+
+
 def read_seeds(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Seed CSVs of a folder, with ids by file order."""
     read = lambda name: spark.read.option("header", True).csv(f"{path}/{name}.csv")
@@ -134,23 +141,20 @@ def read_seeds(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 def default_seeds(spark: SparkSession) -> dict[str, DataFrame]:
     """The built-in seed rows, as :func:`read_seeds` would return them."""
-    channels = [(i, *row) for i, row in enumerate(CHANNEL_ROWS, 1)]
-    concepts = list(enumerate(CONCEPT_NAMES, 1))
     pairs = [(c, t) for c, types in RULE_TYPES for t in types.split()]
-    rules = [(i, c, t, *RULE_THRESHOLDS) for i, (c, t) in enumerate(pairs, 1)]
-    frame = spark.createDataFrame
+    confidence, relevance, topic = RULE_THRESHOLDS
     return {
         "channels": conform(
-            frame(channels, "id long, name string, description string, target string, target_id string"),
+            small_table(spark, "id name description target target_id", [(i, *row) for i, row in enumerate(CHANNEL_ROWS, 1)]),
             S.CHANNELS,
         ),
-        "concepts": conform(frame(concepts, "id long, name string"), S.CONCEPTS),
+        "concepts": conform(small_table(spark, "id name", list(enumerate(CONCEPT_NAMES, 1))), S.CONCEPTS),
         "concept_entity_rules": conform(
-            frame(
-                rules,
-                "id long, concept_id long, entity_type string,"
-                " entity_confidence_score_threshold string,"
-                " entity_relevance_score_threshold string, topic_score_threshold string",
+            small_table(
+                spark,
+                "id concept_id entity_type entity_confidence_score_threshold"
+                " entity_relevance_score_threshold topic_score_threshold",
+                [(i, c, t, confidence, relevance, topic) for i, (c, t) in enumerate(pairs, 1)],
             ),
             S.RULES,
         ),

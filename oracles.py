@@ -475,6 +475,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT t.feedly_id, t.topic_label, round(t.topic_score, 9) AS topic_score
         FROM ({TOPICS}) t JOIN ({CANONICAL}) l ON l.topic_label = t.topic_label
     """
+    sql["subject_topics"] = sql["topics_with_labels"]
     for theme, types in THEMES.items():
         likes = " OR ".join(f"e.entity_type LIKE {quote(t)}" for t in types)
         sql[f"themed_mentions_{theme}"] = f"""

@@ -229,7 +229,7 @@ def cooccurrence(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def article_rankings(spark: SparkSession, sf: str) -> DataFrame:
-    return A.article_rankings(B.order_articles(spark, sf), datetime(1998, 6, 29)).select(
+    return A.article_rankings(stored_articles(spark, sf), datetime(1998, 6, 29)).select(
         "feedly_id", day("published_day"), rounded("engagement_rate"),
         F.col("popularity_by_day").cast("bigint").alias("popularity_by_day"),
         F.col("popularity_by_week").cast("bigint").alias("popularity_by_week"),
@@ -249,11 +249,35 @@ def entities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def resolved(spark: SparkSession, sf: str) -> DataFrame:
-    return N.resolve_companies(entities(spark, sf), B.organizations(spark, sf))
+    return N.resolve_companies(stored_entities(spark, sf), B.organizations(spark, sf))
+
+
+# The views that many others read are stored, as plans.views.refresh does:
+# queries on top of them do not parse and group the documents again.
+
+
+def stored_articles(spark: SparkSession, sf: str) -> DataFrame:
+    return B.stored(spark, sf, B.order_articles)
+
+
+def stored_topics(spark: SparkSession, sf: str) -> DataFrame:
+    return B.stored(spark, sf, topics)
+
+
+def stored_entities(spark: SparkSession, sf: str) -> DataFrame:
+    return B.stored(spark, sf, entities)
+
+
+def stored_companies(spark: SparkSession, sf: str) -> DataFrame:
+    return B.stored(spark, sf, resolved)
+
+
+def on_topic(spark: SparkSession, sf: str, distinct: bool = False) -> DataFrame:
+    return N.subject_topics(stored_topics(spark, sf), distinct_topics=distinct)
 
 
 def labels(spark: SparkSession, sf: str) -> DataFrame:
-    return N.canonical_labels(N.matching_labels(topics(spark, sf)))
+    return N.canonical_labels(N.matching_labels(stored_topics(spark, sf)))
 
 
 def analysis_topics(spark: SparkSession, sf: str) -> DataFrame:
@@ -287,7 +311,7 @@ def companies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def uncovered_types(spark: SparkSession, sf: str) -> DataFrame:
-    return N.uncovered_types(entities(spark, sf), B.seeds(spark)["concept_entity_rules"])
+    return N.uncovered_types(stored_entities(spark, sf), B.seeds(spark)["concept_entity_rules"])
 
 
 def matching_words(spark: SparkSession, sf: str) -> DataFrame:
@@ -297,15 +321,19 @@ def matching_words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topics_with_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return N.topics_with_labels(topics(spark, sf), labels(spark, sf)).select(
+    return N.topics_with_labels(stored_topics(spark, sf), labels(spark, sf)).select(
         "feedly_id", "topic_label", rounded("topic_score")
     )
 
 
+def subject_topics(spark: SparkSession, sf: str) -> DataFrame:
+    return on_topic(spark, sf).select("feedly_id", "topic_label", rounded("topic_score"))
+
+
 def themed(theme: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         rows = N.themed_mentions(
-            entities(spark, sf), B.order_articles(spark, sf), topics(spark, sf), labels(spark, sf),
+            stored_entities(spark, sf), stored_articles(spark, sf), on_topic(spark, sf),
             N.THEMES[theme], datetime(1998, 3, 1),
         )
         return rows.select(
@@ -317,7 +345,7 @@ def themed(theme: str) -> Query:
 
 
 def company_articles(spark: SparkSession, sf: str) -> DataFrame:
-    rows = S.company_articles(B.order_articles(spark, sf), topics(spark, sf), resolved(spark, sf))
+    rows = S.company_articles(stored_articles(spark, sf), stored_topics(spark, sf), stored_companies(spark, sf))
     return rows.select(
         "feedly_id", "topic_label", rounded("topic_score"), "uuid", "name", rounded("relevance_score"),
         "city", "region", "category", "category_group",
@@ -327,7 +355,7 @@ def company_articles(spark: SparkSession, sf: str) -> DataFrame:
 
 def sector_sets(min_score: float | None) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        sets = S.article_sectors(topics(spark, sf), resolved(spark, sf), min_score=min_score)
+        sets = S.article_sectors(stored_topics(spark, sf), stored_companies(spark, sf), min_score=min_score)
         return sets.select(
             "feedly_id", *[joined(c) for c in ("topic_labels", "categories", "category_group", "company_names")]
         )
@@ -337,7 +365,7 @@ def sector_sets(min_score: float | None) -> Query:
 
 def digest(make) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        rows = make(B.order_articles(spark, sf), topics(spark, sf), resolved(spark, sf), AS_OF)
+        rows = make(stored_articles(spark, sf), stored_topics(spark, sf), stored_companies(spark, sf), AS_OF)
         return rows.select(
             "feedly_id", second("published_at_with_tz"),
             *[joined(c) for c in ("topic_labels", "categories", "category_group", "company_names")],
@@ -348,7 +376,7 @@ def digest(make) -> Query:
 
 
 def digest_headline(spark: SparkSession, sf: str) -> DataFrame:
-    rows = D.latest_digest(B.order_articles(spark, sf), topics(spark, sf), resolved(spark, sf), AS_OF)
+    rows = D.latest_digest(stored_articles(spark, sf), stored_topics(spark, sf), stored_companies(spark, sf), AS_OF)
     return D.digest_headline(rows, C.LATEST_TITLE)
 
 
@@ -366,21 +394,21 @@ def register_file(spark: SparkSession, sf: str) -> DataFrame:
 def routed(spark: SparkSession, sf: str) -> DataFrame:
     seeds = B.seeds(spark)
     return T.route(
-        B.order_articles(spark, sf), entities(spark, sf), topics(spark, sf), labels(spark, sf),
+        stored_articles(spark, sf), stored_entities(spark, sf), on_topic(spark, sf, distinct=True),
         seeds["concept_entity_rules"], seeds["concepts"], seeds["channel_concepts"], seeds["channels"],
     )
 
 
 def details(spark: SparkSession, sf: str) -> DataFrame:
-    return T.channel_details(routed(spark, sf), S.article_sectors(topics(spark, sf), resolved(spark, sf)))
+    return T.channel_details(routed(spark, sf), S.article_sectors(stored_topics(spark, sf), stored_companies(spark, sf)))
 
 
 def unsent_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return T.unsent(B.order_articles(spark, sf), details(spark, sf), B.seeds(spark)["channels"])
+    return T.unsent(stored_articles(spark, sf), details(spark, sf), B.seeds(spark)["channels"])
 
 
 def match_rules(spark: SparkSession, sf: str) -> DataFrame:
-    return T.match_rules(entities(spark, sf), B.seeds(spark)["concept_entity_rules"]).select(
+    return T.match_rules(stored_entities(spark, sf), B.seeds(spark)["concept_entity_rules"]).select(
         "feedly_id", "entity_type", "entity_id", "concept_id"
     )
 
@@ -641,10 +669,11 @@ def queries() -> dict[str, Query]:
         analysis_entities=analysis_entities,
         companies=companies,
         uncovered_types=uncovered_types,
-        matching_labels=lambda spark, sf: N.matching_labels(topics(spark, sf)),
+        matching_labels=lambda spark, sf: N.matching_labels(stored_topics(spark, sf)),
         canonical_labels=labels,
         matching_words=matching_words,
         topics_with_labels=topics_with_labels,
+        subject_topics=subject_topics,
         company_articles=company_articles,
         article_sectors=sector_sets(None),
         strong_article_sectors=sector_sets(D.TOP_MIN_SCORE),
