@@ -15,8 +15,9 @@ def set_of(col: Column) -> Column:
 
 
 def union_of(array: Column) -> Column:
-    """Distinct items of an array column over a group, sorted; NULL when none."""
-    return null_if_empty(F.array_sort(F.array_distinct(F.flatten(F.collect_set(array)))))
+    """Distinct non-NULL items of an array column over a group, sorted; NULL when none."""
+    items = F.array_compact(F.array_distinct(F.flatten(F.collect_set(array))))
+    return null_if_empty(F.array_sort(items))
 
 
 def set_keep_nulls(col: Column) -> Column:

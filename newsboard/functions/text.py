@@ -12,12 +12,26 @@ SOUNDEX_DIGITS = "01230120022455012623010202"
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = _UPPER.lower()
-_DIGITS = "0123456789"
-# Literal digits in a title stay apart from letter codes while they still end
-# or join a run of the same code, so they get letters of their own.
-_DIGIT_MARKS = "abcdefghij"
-_RUNS = "|".join(f"([{d}{m}])[{d}{m}]*" for d, m in zip(_DIGITS[:7], _DIGIT_MARKS))
-_RUN_HEADS = "".join(f"${i}" for i in range(1, 8))
+
+
+def _code_pattern() -> str:
+    """A letter that starts a run of its code: not after the same code.
+
+    A literal digit in the text counts as that code for the letter after it.
+    """
+    starts = []
+    for digit in "123456":
+        letters = "".join(c for c, d in zip(_UPPER, SOUNDEX_DIGITS) if d == digit)
+        letters += letters.lower()
+        starts.append(f"(?<![{letters}{digit}])[{letters}]")
+    return "|".join(starts)
+
+
+# First letter, then up to three letters that start a run.  The lazy gaps stop
+# at the third one, so a long text is matched only as far as its code needs.
+_SOUNDEX = (
+    "(?s)^[^A-Za-z]*(?:([A-Za-z])" + f"(?:.*?({_code_pattern()}))?" * 3 + r".*)?\z"
+)
 
 
 def host_of(url: Column) -> Column:
@@ -32,15 +46,10 @@ def soundex_pg(text: Column) -> Column:
     Leading non-letters are skipped, H and W separate equal codes, a text
     without letters gives an empty string and NULL gives NULL.
     """
-    start = F.regexp_replace(text, "^[^A-Za-z]+", "")
-    codes = F.translate(
-        start, _UPPER + _LOWER + _DIGITS, SOUNDEX_DIGITS * 2 + _DIGIT_MARKS
-    )
-    heads = F.regexp_replace(codes, _RUNS, _RUN_HEADS)
-    rest = F.regexp_replace(F.substr(heads, F.lit(2)), "[^1-6]", "")
-    first = F.translate(F.substring(start, 1, 1), _LOWER, _UPPER)
-    code = F.rpad(F.concat(first, F.substring(rest, 1, 3)), 4, "0")
-    return F.when(start == "", F.lit("")).otherwise(code)
+    letters = F.regexp_replace(text, _SOUNDEX, "$1$2$3$4")
+    first = F.translate(F.substring(letters, 1, 1), _LOWER, _UPPER)
+    rest = F.translate(F.substring(letters, 2, 3), _UPPER + _LOWER, SOUNDEX_DIGITS * 2)
+    return F.when(letters == "", F.lit("")).otherwise(F.rpad(F.concat(first, rest), 4, "0"))
 
 
 def first_non_null(*cols: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsboard.functions.arrays import null_if_empty, set_keep_nulls, set_of
+from newsboard.functions.arrays import set_keep_nulls, set_of, union_of
 from newsboard.functions.time import bucket
 from newsboard.operators.analysis import TOPIC_EXCLUDE, TOPIC_INCLUDE, label_matches
 
@@ -46,10 +46,6 @@ def company_articles(
     )
 
 
-def _flat_set(lists: Column) -> Column:
-    return null_if_empty(F.array_sort(F.array_compact(F.array_distinct(F.flatten(lists)))))
-
-
 def article_sectors(
     topics: DataFrame,
     companies: DataFrame,
@@ -66,41 +62,35 @@ def article_sectors(
     and the other way round, which the two maxima decide.
     """
     matched = topics.where(label_matches(F.col("topic_label"), include, exclude))
-    name = company_name()
-    t_strong = F.lit(True) if min_score is None else F.col("topic_score") >= min_score
-    c_strong = F.lit(True) if min_score is None else F.col("relevance_score") >= min_score
-    t_strong, c_strong = F.coalesce(t_strong, F.lit(False)), F.coalesce(c_strong, F.lit(False))
-
-    def both(agg, col: Column, strong: Column, prefix: str) -> list[Column]:
-        return [agg(col).alias(prefix), agg(F.when(strong, col)).alias(f"{prefix}_strong")]
-
-    by_topic = matched.groupBy("feedly_id").agg(
-        F.bool_or(t_strong).alias("t_any"),
-        *both(set_of, F.col("topic_label"), t_strong, "topic_labels"),
-    )
-    by_company = companies.groupBy("feedly_id").agg(
-        F.bool_or(c_strong).alias("c_any"),
-        *both(F.collect_set, F.col("categories"), c_strong, "categories"),
-        *both(F.collect_set, F.col("category_groups"), c_strong, "groups"),
-        set_keep_nulls(name).alias("names"),
-        # A struct keeps a strong mention without a name apart from a weak one.
-        F.collect_set(F.when(c_strong, F.struct(name.alias("n")))).alias("names_strong"),
-    )
-    strong_names = F.transform(F.array_sort(F.col("names_strong")), lambda s: s["n"])
-    null_last = F.concat(
-        F.array_compact(strong_names), F.filter(strong_names, lambda n: n.isNull())
-    )
-    pick = lambda flag, all_, some: F.when(F.col(flag), all_).otherwise(some)
-    return (
-        by_topic.join(by_company, "feedly_id")
-        .where("t_any OR c_any")
-        .select(
+    if min_score is None:
+        by_topic = _topic_sets(matched)
+        return by_topic.join(_company_sets(companies), "feedly_id")
+
+    strong_topic = F.col("topic_score") >= min_score
+    strong_company = F.col("relevance_score") >= min_score
+    flags = (
+        matched.groupBy("feedly_id").agg(F.bool_or(strong_topic).alias("_topic"))
+        .join(
+            companies.groupBy("feedly_id").agg(F.bool_or(strong_company).alias("_company")),
             "feedly_id",
-            pick("c_any", F.col("topic_labels"), F.col("topic_labels_strong")).alias("topic_labels"),
-            _flat_set(pick("t_any", F.col("categories"), F.col("categories_strong"))).alias("categories"),
-            _flat_set(pick("t_any", F.col("groups"), F.col("groups_strong"))).alias("category_group"),
-            pick("t_any", F.col("names"), null_last).alias("company_names"),
         )
+        .where("_topic OR _company")
+    )
+    # Scores that are missing are not strong; a flag over none of them is NULL.
+    kept_topics = matched.join(flags, "feedly_id").where(F.col("_company") | strong_topic)
+    kept_companies = companies.join(flags, "feedly_id").where(F.col("_topic") | strong_company)
+    return _topic_sets(kept_topics).join(_company_sets(kept_companies), "feedly_id")
+
+
+def _topic_sets(topics: DataFrame) -> DataFrame:
+    return topics.groupBy("feedly_id").agg(set_of(F.col("topic_label")).alias("topic_labels"))
+
+
+def _company_sets(companies: DataFrame) -> DataFrame:
+    return companies.groupBy("feedly_id").agg(
+        union_of(F.col("categories")).alias("categories"),
+        union_of(F.col("category_groups")).alias("category_group"),
+        set_keep_nulls(company_name()).alias("company_names"),
     )
 
 
