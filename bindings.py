@@ -333,23 +333,25 @@ def order_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_analyses(stored(spark, sf_dir, order_analyses))
 
 
-def line_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_mentions(spark: SparkSession, sf_dir: str, sectors: bool = True) -> DataFrame:
     """Supplier mentions of an order, with part type and brand as its sectors."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    return (
+    lines = (
         table(spark, sf_dir, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            F.col("o_orderkey").alias("feedly_id"),
-            F.col("o_orderdate").alias("published_at"),
-            F.col("s_name").alias("name"),
-            F.col("p_type").alias("category"),
-            F.col("p_brand").alias("category_group"),
-        )
+    )
+    mention = [
+        F.col("o_orderkey").alias("feedly_id"),
+        F.col("o_orderdate").alias("published_at"),
+        F.col("s_name").alias("name"),
+    ]
+    if not sectors:
+        return lines.select(*mention)
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+    return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        *mention, F.col("p_type").alias("category"), F.col("p_brand").alias("category_group")
     )
 
 

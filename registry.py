@@ -73,7 +73,10 @@ LINE_BOARDS = {
 
 
 def line_board(by: str, within: str | None, grain: str) -> Query:
-    return lambda spark, sf: show_period(leaderboard(B.line_mentions(spark, sf), by, grain, within=within))
+    sectors = by != "name" or within is not None
+    return lambda spark, sf: show_period(
+        leaderboard(B.line_mentions(spark, sf, sectors), by, grain, within=within)
+    )
 
 
 def topic_board(grain: str) -> Query:
@@ -83,7 +86,9 @@ def topic_board(grain: str) -> Query:
 
 
 def line_top(by: str, period: str) -> Query:
-    return lambda spark, sf: show_period(top_mentions(B.line_mentions(spark, sf), by, period, AS_OF))
+    return lambda spark, sf: show_period(
+        top_mentions(B.line_mentions(spark, sf, sectors=False), by, period, AS_OF)
+    )
 
 
 def topic_top(period: str) -> Query:
@@ -541,7 +546,7 @@ def as_json(spark: SparkSession, sf: str) -> DataFrame:
 
 def materialized(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "board")
-    materialize(leaderboard(B.line_mentions(spark, sf), "name", "month"), path)
+    materialize(leaderboard(B.line_mentions(spark, sf, sectors=False), "name", "month"), path)
     return show_period(current(spark, path))
 
 

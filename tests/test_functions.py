@@ -1,0 +1,197 @@
+from datetime import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from helpers import rows, ts
+from newsboard.functions import captions as C
+from newsboard.functions import time as T
+from newsboard.functions.arrays import list_keep_nulls, set_keep_nulls, set_of, union_of
+from newsboard.functions.json import json_at, json_num, json_text
+from newsboard.functions.text import (
+    SOUNDEX_DIGITS, histogram, host_of, identifier, map_labels, soundex_pg, split_list,
+)
+
+
+def one(spark, value, kind, make):
+    df = spark.createDataFrame([(value,)], f"x {kind}")
+    return df.select(make(F.col("x")).alias("y")).first()["y"]
+
+
+@pytest.mark.parametrize(
+    "url, site",
+    [
+        ("https://www.a.com/x", "a.com"),
+        ("http://a.www.b.com/", "a.b.com"),
+        ("https://r.com/?u=http://t.org/p", "t.org"),
+        ("no scheme", None),
+        ("file:///etc/x", ""),
+        (None, None),
+    ],
+)
+def test_host_of(spark, url, site):
+    assert one(spark, url, "string", host_of) == site
+
+
+@pytest.mark.parametrize(
+    "title, code",
+    [
+        ("Ashcraft", "A226"), ("Tymczak", "T522"), ("Pfister", "P236"), ("5 ways to", "W230"),
+        ('"Quoted title', "Q333"), ("5", ""), ("", ""), (None, None), ("b", "B000"), ("a\nbcd\n", "A123"),
+        ("12\n", ""),
+    ],
+)
+def test_soundex(spark, title, code):
+    assert one(spark, title, "string", soundex_pg) == code
+
+
+def soundex_by_hand(text):
+    """The code worked out letter by letter."""
+    digit = dict(zip("ABCDEFGHIJKLMNOPQRSTUVWXYZ", SOUNDEX_DIGITS))
+    upper = lambda c: c.upper() if c.isascii() else c
+    code = lambda c: digit.get(upper(c), c)
+    start = next((i for i, c in enumerate(text) if upper(c) in digit), None)
+    if start is None:
+        return ""
+    out, last = upper(text[start]), code(text[start])
+    for c in text[start + 1 :]:
+        if code(c) != last and upper(c) in digit and code(c) != "0":
+            out += code(c)
+        last = code(c)
+        if len(out) == 4:
+            break
+    return out.ljust(4, "0")
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="abfpvcgjkqsxzdtlmnrhwyAEBT 1256-é\n", max_size=30), min_size=50, max_size=100))
+def test_soundex_matches_a_letter_by_letter_walk(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", soundex_pg(F.col("t")).alias("code")).collect():
+        assert r["code"] == soundex_by_hand(r["t"]), repr(r["t"])
+
+
+def test_json_reads_nested_and_string_encoded_documents(spark):
+    nested = '{"visual":{"url":"u"},"enclosure":[{"href":"a"},{"href":"b"}]}'
+    encoded = '{"visual":"{\\"url\\":\\"u\\"}"}'
+    for doc in (nested, encoded):
+        assert one(spark, doc, "string", lambda x: json_text(x, "visual", "url")) == "u"
+    links = lambda x: json_at(json_text(x, "enclosure"), 1, "href")
+    assert one(spark, nested, "string", links) == "b"
+    assert one(spark, '{"enclosure":[{"href":"a"}]}', "string", links) is None
+    assert one(spark, "x", "string", json_num) is None
+    assert one(spark, "12.5", "string", json_num) == 12.5
+
+
+def test_split_list_keeps_blanks_and_skips_empty_text(spark):
+    assert one(spark, "a, b", "string", split_list) == ["a", " b"]
+    assert one(spark, "", "string", split_list) == []
+    assert one(spark, None, "string", split_list) is None
+    assert one(spark, "a,", "string", split_list) == ["a", ""]
+
+
+@pytest.mark.parametrize("freq, top, chars", [(2, 16, 3), (4, 4, 20), (2, 4, 10), (1, 100, 0), (3, 40, 2), (1, 40, 1)])
+def test_histogram_rounds_halves_up(spark, freq, top, chars):
+    assert one(spark, freq, "long", lambda x: histogram(x, F.lit(top))) == "#" * chars
+
+
+def test_identifier_is_null_with_a_null_part(spark):
+    assert one(spark, "B", "string", lambda x: identifier(F.lit(1), x, F.lit("c"))) == "1-b-c"
+    assert one(spark, None, "string", lambda x: identifier(F.lit(1), x)) is None
+
+
+def test_map_labels(spark):
+    assert one(spark, "a", "string", lambda x: map_labels(x, {"a": "b"})) == "b"
+    assert one(spark, "z", "string", lambda x: map_labels(x, {"a": "b"})) == "z"
+    assert one(spark, None, "string", lambda x: map_labels(x, {"a": "b"})) is None
+
+
+def test_sets_and_lists(spark):
+    data = [("null", None, 1), ("mix", "b", 3), ("mix", None, 2), ("mix", "a", 1), ("mix", "a", 4)]
+    df = spark.createDataFrame(data, "k string, x string, o int")
+    got = df.groupBy("k").agg(
+        set_of(F.col("x")).alias("s"), set_keep_nulls(F.col("x")).alias("n"),
+        list_keep_nulls(F.col("x"), F.col("o")).alias("l"),
+    )
+    assert rows(got) == [
+        ("mix", ["a", "b"], ["a", "b", None], ["a", None, "b", "a"]),
+        ("null", None, [None], [None]),
+    ]
+    arrays = spark.createDataFrame([(["b", "a"],), (None,), (["c", None, "a"],)], "x array<string>")
+    assert arrays.agg(union_of(F.col("x"))).first()[0] == ["a", "b", "c"]
+    assert arrays.where("x is null").agg(union_of(F.col("x"))).first()[0] is None
+
+
+def test_zone_and_buckets(spark):
+    at = lambda x, **k: one(spark, ts(x), "timestamp_ntz", lambda c: T.bucket(c, **k))
+    assert at("2020-07-01T03:00:00", grain="day", zone="-05:00") == ts("2020-06-30")
+    assert at("2020-07-01T04:30:00", grain="day", zone="America/New_York") == ts("2020-07-01")
+    assert at("2020-07-01T04:30:00", grain="day", zone="-05:00") == ts("2020-06-30")
+    assert at("2020-03-18T10:00:00", grain="week") == ts("2020-03-16")
+    assert at("2020-05-18T10:00:00", grain="quarter") == ts("2020-04-01")
+
+
+def test_epochs(spark):
+    assert one(spark, 1584525600123, "long", T.epoch_ms) == ts("2020-03-18T10:00:00.123")
+    assert one(spark, -1, "long", T.epoch_s) == ts("1969-12-31T23:59:59")
+
+
+def test_within_is_closed(spark):
+    as_of = ts("2020-03-18T12:00:00")
+    data = [("2020-03-17T12:00:00",), ("2020-03-17T11:59:59",), ("2020-03-18T12:00:00",), ("2020-03-18T12:00:01",)]
+    df = spark.createDataFrame([(ts(t),) for (t,) in data], "t timestamp_ntz")
+    kept = [r["t"].isoformat() for r in df.where(T.within(F.col("t"), as_of)).collect()]
+    assert kept == ["2020-03-17T12:00:00", "2020-03-18T12:00:00"]
+
+
+@pytest.mark.parametrize(
+    "period, grain, start",
+    [
+        ("day", "day", "2020-03-18"), ("yesterday", "day", "2020-03-17"), ("week", "week", "2020-03-16"),
+        ("last-week", "week", "2020-03-09"), ("month", "month", "2020-03-01"), ("last-month", "month", "2020-02-01"),
+    ],
+)
+def test_resolve_period(period, grain, start):
+    assert T.resolve_period(period, datetime(2020, 3, 18, 12)) == (grain, ts(start))
+
+
+def test_resolve_period_uses_local_time_and_rejects_unknown_names():
+    assert T.resolve_period("day", datetime(2020, 3, 18, 3)) == ("day", ts("2020-03-17"))
+    assert T.resolve_period("last-month", datetime(2020, 1, 5, 12)) == ("month", ts("2019-12-01"))
+    with pytest.raises(ValueError):
+        T.resolve_period("decade", datetime(2020, 1, 1))
+
+
+def test_captions(spark):
+    df = spark.createDataFrame(
+        [("Ann", "a.com", ["b", None, "a"], [None], None, ["s1", None], ts("2020-03-08T15:05:00")),
+         (None, None, None, [], ["m"], [None], ts("2020-12-18T00:30:00"))],
+        "author string, site string, names array<string>, topics array<string>, cats array<string>,"
+        " lines array<string>, at timestamp_ntz",
+    )
+    got = df.select(
+        C.byline(F.col("author"), F.col("site")).alias("byline"),
+        C.captions(F.col("names"), F.col("topics"), F.col("cats")).alias("captions"),
+        C.bullets(F.col("lines")).alias("bullets"),
+        T.stamp(F.col("at")).alias("stamp"),
+    ).collect()
+    assert tuple(got[0]) == (
+        "Ann - a.com", ["*Companies and Organizations:* a - b"], "* s1\n\n* ", "Mar  8,  3:05 PM"
+    )
+    assert tuple(got[1]) == ("", ["*Market:* m"], None, "Dec 18, 12:30 AM")
+    line = df.select(C.rank_line(F.lit(3), F.lit("Acme"), F.lit(12).cast("long"))).first()[0]
+    assert line == " 3 | *Acme* (12)"
+
+
+def test_send_at_is_stable_and_bounded(spark):
+    now = ts("2020-03-18T12:00:00")
+    df = spark.range(50).select(
+        T.send_at(now, F.lit(ts("2020-03-18T10:20:30")).cast("timestamp_ntz"), F.col("id")).alias("t")
+    )
+    first, again = df.collect(), df.collect()
+    assert first == again
+    for r in first:
+        mins, secs = divmod((r["t"] - now).total_seconds(), 60)
+        assert 20 * 60 + 30 <= mins * 60 + secs <= 29 * 60 + 39
+    assert len({r["t"] for r in first}) > 10
