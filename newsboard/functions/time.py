@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 from zoneinfo import ZoneInfo
 
@@ -44,8 +45,17 @@ def bucket(ts: Column, grain: str, zone: str | None = None) -> Column:
 
 
 def shift_zone(ts: Column, zone: str = BOARD_ZONE) -> Column:
-    """UTC wall time to the wall time of ``zone``."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), _ntz(ts))
+    """UTC wall time to the wall time of ``zone``.
+
+    A fixed offset is plain addition; only named zones need the zone rules,
+    which Spark looks up by name for every row.
+    """
+    fixed = re.fullmatch(r"([+-])(\d\d):(\d\d)", zone)
+    if fixed is None:
+        return F.convert_timezone(F.lit("UTC"), F.lit(zone), _ntz(ts))
+    sign, hours, minutes = fixed.groups()
+    offset = timedelta(hours=int(hours), minutes=int(minutes))
+    return _ntz(ts) + F.lit(offset if sign == "+" else -offset)
 
 
 def within(ts: Column, as_of: datetime, hours: int = 24) -> Column:
