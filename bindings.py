@@ -20,6 +20,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsboard.functions.text import map_labels
+from newsboard.functions.time import moment
 from newsboard.operators.articles import entry_details
 from newsboard.plans.storage import shared_dir
 from newsboard.sources import schemas as S
@@ -94,7 +95,7 @@ def _entry(df: DataFrame, feedly_id: Column, created: Column, published: Column,
 
 
 def _hour(n: Column) -> Column:
-    base = F.lit(datetime(2020, 1, 1)).cast("timestamp_ntz")
+    base = moment(datetime(2020, 1, 1))
     return base + F.make_dt_interval(hours=n.cast("int"))
 
 
@@ -302,11 +303,11 @@ def seeds(spark: SparkSession) -> dict[str, DataFrame]:
     """Default seeds, with icons, marks and concepts for the channels."""
     base = default_seeds(spark)
     icons = F.create_map(*[F.lit(x) for kv in CHANNEL_ICONS.items() for x in kv])
-    marks = F.create_map(*[F.lit(x) for kv in CHANNEL_MARKS.items() for x in kv])
+    marks = F.create_map(*[x for ch, at in CHANNEL_MARKS.items() for x in (F.lit(ch), moment(at))])
     channels = base["channels"].withColumns(
         {
             "emoji_icon": icons[F.col("id").cast("int")],
-            "last_sent_at": marks[F.col("id").cast("int")].cast("timestamp_ntz"),
+            "last_sent_at": marks[F.col("id").cast("int")],
         }
     )
     links = small_table(spark, "channel_id concept_id", list(CHANNEL_CONCEPTS))

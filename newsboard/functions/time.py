@@ -28,8 +28,14 @@ def _ntz(col: Column) -> Column:
     return col.cast("timestamp_ntz")
 
 
+def moment(at: datetime) -> Column:
+    """A zone-less literal.  It goes through text: a ``datetime`` literal would
+    pass the zones of the Python process and of the session on its way."""
+    return _ntz(F.lit(at.isoformat(sep=" ")))
+
+
 def epoch_s(seconds: Column) -> Column:
-    return F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(
+    return moment(datetime(1970, 1, 1)) + F.make_dt_interval(
         secs=seconds.cast("decimal(18,6)")
     )
 
@@ -41,7 +47,9 @@ def epoch_ms(millis: Column) -> Column:
 
 def bucket(ts: Column, grain: str, zone: str | None = None) -> Column:
     """Start of the day, week (Monday), month, quarter or year of ``ts``."""
-    return _ntz(F.date_trunc(grain, shift_zone(ts, zone) if zone else ts))
+    # Dates have no zone, so the session's zone cannot move a bucket.
+    date = (shift_zone(ts, zone) if zone else _ntz(ts)).cast("date")
+    return _ntz(date if grain == "day" else F.trunc(date, grain))
 
 
 def shift_zone(ts: Column, zone: str = BOARD_ZONE) -> Column:
@@ -60,9 +68,7 @@ def shift_zone(ts: Column, zone: str = BOARD_ZONE) -> Column:
 
 def within(ts: Column, as_of: datetime, hours: int = 24) -> Column:
     """Closed interval of the last ``hours`` before ``as_of``."""
-    return ts.between(
-        _ntz(F.lit(as_of - timedelta(hours=hours))), _ntz(F.lit(as_of))
-    )
+    return ts.between(moment(as_of - timedelta(hours=hours)), moment(as_of))
 
 
 def period_start(grain: str, local: datetime, back: int = 0) -> datetime:
@@ -101,7 +107,7 @@ def in_period(ts: Column, grain: str, start: datetime, zone: str = BOARD_ZONE) -
 def in_local_range(ts: Column, start: datetime, end: datetime, zone: str = BOARD_ZONE) -> Column:
     """``start <= ts < end`` for local bounds and a stored UTC column."""
     to_utc = lambda local: F.convert_timezone(
-        F.lit(zone), F.lit("UTC"), _ntz(F.lit(local))
+        F.lit(zone), F.lit("UTC"), moment(local)
     )
     return (ts >= to_utc(start)) & (ts < to_utc(end))
 
@@ -121,6 +127,6 @@ def send_at(now: datetime, published: Column, key: Column, seed: int = 0) -> Col
     jitter = lambda salt: F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(10))
     mins = F.minute(published) + jitter(2 * seed)
     secs = F.second(published) + jitter(2 * seed + 1)
-    return _ntz(F.lit(now)) + F.make_dt_interval(
+    return moment(now) + F.make_dt_interval(
         mins=mins.cast("int"), secs=secs.cast("decimal(18,6)")
     )

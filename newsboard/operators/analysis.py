@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsboard.functions.text import any_ilike, any_like, map_labels, split_list
+from newsboard.functions.time import moment
 from newsboard.operators.joins import spread_join
 from newsboard.operators.ranking import dedupe_by_rank
 from newsboard.operators.unnest import distinct_values, unnest
@@ -306,7 +307,7 @@ def themed_mentions(
         & (F.col("relevance_score") >= min_relevance)
     ).select("feedly_id", "entity_type", "confidence_sore", "relevance_score", "entity_id")
     scored = on_topic.where(F.col("topic_score") >= min_topic_score).select("feedly_id")
-    recent = articles.where(F.col("created_at") > F.lit(since).cast("timestamp_ntz"))
+    recent = articles.where(F.col("created_at") > moment(since))
     return (
         picked.join(recent.select("feedly_id", "published_on", "title", "url"), "feedly_id")
         .join(scored, "feedly_id")

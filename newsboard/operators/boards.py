@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from newsboard.functions.captions import BOARD_TITLES, rank_line
 from newsboard.functions.text import histogram, ratio
 from newsboard.functions.time import (
-    BOARD_ZONE, CALENDAR_ZONE, bucket, in_period, resolve_period,
+    BOARD_ZONE, CALENDAR_ZONE, bucket, in_period, moment, resolve_period,
 )
 from newsboard.operators.counting import count_by
 from newsboard.operators.ranking import rank_within, top_k
@@ -68,8 +68,9 @@ def top_of_period(
 ) -> DataFrame:
     """First ``k`` lines of a stored board for a named period, ties by name."""
     grain, start = resolve_period(period, as_of, zone)
-    start_col = F.lit(start).cast("timestamp_ntz")
-    rows = board.where((F.col("time_period_label") == grain) & (F.col("time_period") == start_col))
+    rows = board.where(
+        (F.col("time_period_label") == grain) & (F.col("time_period") == moment(start))
+    )
     top = top_k(rows, [F.col("rank").asc(), F.col(by).asc_nulls_last()], k)
     return top.withColumn("line", rank_line(F.col("rank"), F.col(by), F.col("freq")))
 

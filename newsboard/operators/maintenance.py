@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from newsboard.functions.time import moment
 from newsboard.operators.articles import entry_details
 from newsboard.operators.ranking import number_rows, top_k
 from newsboard.sources.feed import parse_entries
@@ -110,7 +111,7 @@ def merge_analyses(base: DataFrame, results: DataFrame, now: datetime) -> DataFr
         "feedly_id", F.col("created_at").alias("_created"), F.col("payload").alias("_old"),
         F.lit(True).alias("_hit"),
     ).join(runs.select("feedly_id"), "feedly_id", "left_semi")
-    stamp = F.lit(now).cast("timestamp_ntz")
+    stamp = moment(now)
     failed = F.when(F.col("_hit") | (F.col("_n") > 1), 400).otherwise(404)
     changed = runs.join(old, "feedly_id", "left").select(
         F.when(F.col("_hit"), F.col("_created")).otherwise(stamp).alias("created_at"),
@@ -141,7 +142,7 @@ def refresh_batches(details: DataFrame, since: datetime, size: int = 250) -> Dat
     """Ids crawled since the start of the day of ``since``, in lists of ``size``."""
     midnight = datetime(since.year, since.month, since.day)
     ids = (
-        details.where(F.col("crawled_at") >= F.lit(midnight).cast("timestamp_ntz"))
+        details.where(F.col("crawled_at") >= moment(midnight))
         .select("created_at", "feedly_id")
         .distinct()
     )

@@ -79,7 +79,8 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "rn") -> DataFr
         .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
     return (
-        ranged.join(starts, "_part")
+        # As many rows as partitions, so the numbered rows need not move again.
+        ranged.join(F.broadcast(starts), "_part")
         .withColumn(name, F.col("_start") + F.col("_pos") + 1)
         .drop("_part", "_pos", "_id", "_start")
     )

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from newsboard.functions.json import json_num, json_text, json_unwrap
-from newsboard.functions.time import epoch_s
+from newsboard.functions.time import epoch_s, moment
 from newsboard.sources import schemas as S
 
 
@@ -27,7 +27,7 @@ def explode_items(df: DataFrame, col: str = "value") -> DataFrame:
 def entries_from_json(df: DataFrame, col: str, now: datetime) -> DataFrame:
     """Raw item JSON to entry rows; publishing time is cut to whole seconds."""
     doc = F.col(col)
-    stamp = F.lit(now).cast("timestamp_ntz")
+    stamp = moment(now)
     millis = json_num(json_text(doc, "published"), "bigint")
     return df.select(
         stamp.alias("created_at"),

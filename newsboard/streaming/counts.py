@@ -51,9 +51,14 @@ def windowed_counts(
     key: str = "feedly_id",
 ) -> DataFrame:
     """Streaming frame of day counts, final once the watermark passed the day."""
-    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    # A watermark needs an instant: the stored UTC wall time becomes one, and the
+    # window start turns back, whatever the session's zone.
+    zone = F.current_timezone()
+    instant = F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone)
+    timed = stream.withColumn(ts, instant).withWatermark(ts, delay)
+    start = F.to_utc_timestamp(F.col("w.start"), zone).cast("timestamp_ntz")
     return (
         timed.groupBy(F.window(ts, "1 day").alias("w"), label)
         .agg(F.count(key).alias("count"))
-        .select(F.col("w.start").cast("timestamp_ntz").alias("time_period"), label, "count")
+        .select(start.alias("time_period"), label, "count")
     )

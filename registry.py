@@ -15,6 +15,7 @@ import bindings as B
 from newsboard.functions import captions as C
 from newsboard.functions.json import json_num, json_text
 from newsboard.functions.text import host_of, soundex_pg
+from newsboard.functions.time import moment
 from newsboard.operators import analysis as N
 from newsboard.operators import articles as A
 from newsboard.operators import checks as K
@@ -466,7 +467,7 @@ def customer_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def old_and_new(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     rows = customer_rows(spark, sf)
-    cut = F.lit(datetime(1998, 1, 1)).cast("timestamp_ntz")
+    cut = moment(datetime(1998, 1, 1))
     old = rows.where(F.col("updated_at") < cut)
     base = M.latest_by_key(old, ["feedly_id"], ["updated_at", "seq"], ["created_at"])
     return base, rows.where(F.col("updated_at") >= cut)
@@ -595,7 +596,7 @@ def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
 def sent_events(spark: SparkSession, sf: str) -> tuple[str, str, DataFrame]:
     """Deliver the events as channel articles; gives the sent and state logs."""
     marks = {1: datetime(2024, 1, 10), 2: datetime(2024, 1, 20)}
-    mark = F.when(F.col("id") == 1, F.lit(marks[1])).otherwise(F.lit(marks[2])).cast("timestamp_ntz")
+    mark = F.when(F.col("id") == 1, moment(marks[1])).otherwise(moment(marks[2]))
     channels = B.seeds(spark)["channels"].withColumn("last_sent_at", mark)
     first = F.col("event_type").isin("view", "click")
     pick = lambda a, b: F.when(first, F.lit(a)).otherwise(F.lit(b))
