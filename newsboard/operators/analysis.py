@@ -146,9 +146,14 @@ def analysis_entities(articles: DataFrame, parsed: DataFrame) -> DataFrame:
 
 
 def pick_companies(entities: DataFrame, types: Sequence[str] = COMPANY_TYPES) -> DataFrame:
-    """One company mention per article and external id: the smallest entity id."""
+    """One company mention per article and external id: the smallest entity id.
+
+    Partitioned by the keys of the last step, which the step before contains:
+    both work on one shuffle.
+    """
     per_entity = (
         entities.where(F.col("entity_type").isin(*types))
+        .repartition("feedly_id", "entity_external_id")
         .groupBy("feedly_id", "entity_id", "entity_external_id", "crunchbase_id")
         .agg(
             F.max("relevance_score").alias("relevance_score"),

@@ -38,7 +38,8 @@ def match_rules(entities: DataFrame, rules: DataFrame) -> DataFrame:
         (F.col("confidence_sore") >= F.col("_confidence"))
         & (F.col("relevance_score") >= F.col("_relevance"))
     )
-    return matched.groupBy(
+    # Everything after this joins on the article: one shuffle serves all of it.
+    return matched.repartition("feedly_id").groupBy(
         "feedly_id", "entity_type", "entity_id", "concept_id", "concept_rule_emoji_icon"
     ).agg(F.min("_topic").alias("topic_threshold"))
 
@@ -59,29 +60,23 @@ def route(
     :func:`~newsboard.operators.analysis.subject_topics`.
     """
     # Best score per article and label: a label then meets a threshold at most once.
-    on_topic = on_topic.groupBy("feedly_id", "topic_label").agg(
-        F.max("topic_score").alias("topic_score")
-    )
-    targets = (
-        channel_concepts.select("channel_id", "concept_id").distinct()
-        .join(
-            concepts.select(
-                F.col("id").alias("concept_id"),
-                F.col("name").alias("concept_name"),
-                F.col("emoji_icon").alias("concept_emoji_icon"),
-            ),
-            "concept_id",
-        )
-        .join(
-            channels.select(
-                F.col("id").alias("channel_id"),
-                F.col("name").alias("channel_name"),
-                F.col("emoji_icon").alias("channel_emoji_icon"),
-                "target",
-                "target_id",
-            ),
-            "channel_id",
-        )
+    on_topic = (
+        on_topic.repartition("feedly_id")
+        .groupBy("feedly_id", "topic_label")
+        .agg(F.max("topic_score").alias("topic_score"))
+    )
+    links = channel_concepts.select("channel_id", "concept_id").distinct()
+    named_concepts = concepts.select(
+        F.col("id").alias("concept_id"),
+        F.col("name").alias("concept_name"),
+        F.col("emoji_icon").alias("concept_emoji_icon"),
+    )
+    named_channels = channels.select(
+        F.col("id").alias("channel_id"),
+        F.col("name").alias("channel_name"),
+        F.col("emoji_icon").alias("channel_emoji_icon"),
+        "target",
+        "target_id",
     )
     about = articles.select(
         "feedly_id", "title", "url", "author", "site", "image_url",
@@ -95,7 +90,10 @@ def route(
         .where(F.col("topic_score") >= F.col("topic_threshold"))
         .join(about, "feedly_id")
     )
-    routed = spread_join(matched, targets, ["concept_id"], ["feedly_id"])
+    # One by one: the size of each table is known, that of their join a guess.
+    routed = spread_join(matched, links, ["concept_id"], ["feedly_id"])
+    routed = spread_join(routed, named_concepts, ["concept_id"], ["feedly_id"])
+    routed = spread_join(routed, named_channels, ["channel_id"], ["feedly_id"])
     key = identifier(
         F.col("channel_id"), F.col("concept_name"), F.col("target"), F.col("target_id"),
         F.col("channel_name"), F.col("feedly_id"), F.col("entity_type"), F.col("entity_id"),
