@@ -80,7 +80,8 @@ def article_order() -> list[Column]:
 
 def articles(details: DataFrame, keys: tuple[str, ...] = ("site", "soundex_title")) -> DataFrame:
     """One article per near-duplicate key."""
-    return dedupe_by_rank(details, keys, article_order())
+    kept = dedupe_by_rank(details, keys, article_order())
+    return kept.withColumn("duplicate_index", F.lit(1))
 
 
 def _titled(*more: str) -> list[str]:

@@ -43,6 +43,7 @@ STORED = (
 _HELPERS = {
     "articles": A.ITEM_COLUMNS,
     "vw_feedly_entry_details": A.ITEM_COLUMNS,
+    "vw_xr_article_rankings": A.ITEM_COLUMNS,
     "vw_article_nlp_companies": ["categories", "category_groups"],
 }
 

@@ -20,7 +20,7 @@ from newsboard.operators.routing import advance_watermarks, outbox
 def channel_state(spark: SparkSession, channels: DataFrame, log: str, before: int | None = None) -> DataFrame:
     """Channels with the marks left by the newest batch (``before`` a batch)."""
     try:
-        states = spark.read.parquet(log)
+        states = spark.read.schema("id bigint, last_sent_at timestamp_ntz, batch_id int").parquet(log)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return channels

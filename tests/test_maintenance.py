@@ -92,6 +92,7 @@ def test_as_json_keeps_nulls(spark):
 def test_checks(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), ("c", 3)], "k string, r int")
     assert rows(K.check_unique(df, ["k"])) == [("a", 2)]
+    assert rows(K.check_unique(df.unionByName(df), ["r"])) == [(1, 4), (3, 2)]
     assert rows(K.check_not_null(df, ["k", "r"])) == [("r", 1)]
     ref = spark.createDataFrame([(3,)], "id int")
     assert rows(K.check_fk(df, ref, {"r": "id"})) == [(1, 2)]
@@ -140,3 +141,17 @@ def test_read_seeds_numbers_rows_by_file_order(spark, shared):
     assert rows(seeds["concepts"], "id", "name") == [(1, "Z"), (2, "Y")]
     assert rows(seeds["concept_entity_rules"], "id", "concept_id", "entity_type") == [(1, 2, "T"), (2, 1, "U")]
     assert seeds["concept_entity_rules"].dtypes == default_seeds(spark)["concept_entity_rules"].dtypes
+
+
+def test_check_tables(spark):
+    seeds = default_seeds(spark)
+    assert rows(K.check_tables(seeds)) == [
+        ("channels", "emoji_icon not null", 2), ("concept_entity_rules", "emoji_icon not null", 115),
+        ("concepts", "emoji_icon not null", 13),
+    ]
+    links = spark.createDataFrame([(1, 1), (9, 1), (None, 99)], "channel_id long, concept_id long")
+    twice = seeds["concepts"].where("id = 1").unionByName(seeds["concepts"].where("id = 1")).withColumn("emoji_icon", F.lit("x"))
+    assert rows(K.check_tables({"channels": seeds["channels"].fillna("x"), "concepts": twice, "channel_concepts": links})) == [
+        ("channel_concepts", "channel_id in channels", 1), ("channel_concepts", "channel_id not null", 1),
+        ("channel_concepts", "concept_id in concepts", 1), ("concepts", "unique (name)", 1),
+    ]
