@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsboard.llm import line_dedup, mixing
+from newsboard.llm import line_dedup, mixing, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id")
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op8_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
     every = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows")))
@@ -49,6 +56,7 @@ SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM docs JOIN pe
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op7_simhash": op7_simhash,
         "op8_pivotal_mix": op8_pivotal_mix,
         "op9_line_dedup": op9_line_dedup,
     }
