@@ -86,3 +86,20 @@ def hot_join(facts: DataFrame, dim: DataFrame, key: str, rows: str, how: str = "
     cold = dim.filter(F.col(rows) <= limit)
     others = facts.join(hot.select(key), key, "left_anti")
     return facts.join(hot, key, "inner").unionByName(others.join(cold, key, how))
+
+
+def open_for_write(uri: str):
+    """A binary stream to a new file of the shared folder, from any task."""
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(uri)
+    system.create_dir(path.rpartition("/")[0], recursive=True)
+    return system.open_output_stream(path, compression=None, buffer_size=1 << 20)
+
+
+def open_for_read(uri: str):
+    """A binary file of the shared folder with random access, from any task."""
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(uri)
+    return system.open_input_file(path)

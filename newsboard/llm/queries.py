@@ -6,13 +6,64 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsboard.llm import line_dedup, mixing, simhash
+from newsboard.llm import decontaminate, line_dedup, mixing, simhash, tokens, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = warc.read_warc(warc.write_warc(table(spark, sf_dir, "pages")))
+    return chunks.filter("last").select(
+        "page_id", "payload_bytes", F.col("payload_sha1").alias("payload_digest"), "record_type", "refers_to"
+    )
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest FROM p),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keeper FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN keeper END AS refers_to
+FROM k
+"""
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_windows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+_WORDS = r"list_filter(regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS.format('text')}, []) AS ws FROM documents),
+i AS (SELECT item_id, {_WORDS.format('text')} AS ws FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+iw AS (
+  SELECT DISTINCT item_id, least(10, len(ws)) AS n, array_to_string(ws[s:s + 9], ' ') AS w
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(2, len(ws) - 8))) AS s FROM i WHERE len(ws) > 0)
+),
+sizes AS (SELECT DISTINCT n FROM iw),
+dw AS (
+  SELECT doc_id, n, s, array_to_string(ws[s:s + n - 1], ' ') AS w
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM d, sizes WHERE len(ws) >= n)
+),
+hits AS (SELECT doc_id, n, s, item_id FROM dw JOIN iw USING (n, w)),
+words AS (SELECT doc_id, count(DISTINCT spot) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS spot FROM (SELECT DISTINCT doc_id, s, n FROM hits)) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id")
     return found.select(
@@ -35,6 +86,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tokens.read_ids(tokens.write_ids(table(spark, sf_dir, "documents")))
+    return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 OP9_SQL = r"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 lines AS (
@@ -56,11 +112,14 @@ SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM docs JOIN pe
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc": op1_warc,
+        "op3_decontaminate": op3_decontaminate,
         "op7_simhash": op7_simhash,
         "op8_pivotal_mix": op8_pivotal_mix,
         "op9_line_dedup": op9_line_dedup,
+        "op10_token_ids": op10_token_ids,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": OP9_SQL}
+    return {"op1_warc": OP1_SQL, "op3_decontaminate": OP3_SQL, "op9_line_dedup": OP9_SQL}
