@@ -77,15 +77,18 @@ def hot_join(facts: DataFrame, dim: DataFrame, key: str, rows: str, how: str = "
     ``dim`` has one row per key and, in ``rows``, how many rows of ``facts``
     have it.  Keys with more than ``HOT_SHARE`` of that total are at most
     ``1 / HOT_SHARE`` by arithmetic, so they are broadcast; all other keys are
-    shuffled.  NULL keys match nothing.  ``how`` is inner or left.  Both frames
-    are read more than once and should be stored tables.
+    shuffled.  NULL keys match nothing and are not moved.  ``how`` is inner or
+    left.  Both frames are read more than once and should be stored tables.
     """
     total = dim.agg(F.sum(rows)).first()[0] or 0
     limit = max(1.0, total * HOT_SHARE)
     hot = F.broadcast(dim.filter(F.col(rows) > limit))
     cold = dim.filter(F.col(rows) <= limit)
-    others = facts.join(hot.select(key), key, "left_anti")
-    return facts.join(hot, key, "inner").unionByName(others.join(cold, key, how))
+    others = facts.filter(F.col(key).isNotNull()).join(hot.select(key), key, "left_anti")
+    out = facts.join(hot, key, "inner").unionByName(others.join(cold, key, how))
+    if how == "left":
+        out = out.unionByName(facts.filter(F.col(key).isNull()), allowMissingColumns=True)
+    return out
 
 
 def open_for_write(uri: str):

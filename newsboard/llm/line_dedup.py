@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsboard.llm.common import SPACES, ascii_lower, fresh
+from newsboard.llm.common import SPACES, ascii_lower, fresh, hot_join, landed
 
 
 def line_key(line: Column) -> Column:
@@ -32,9 +32,11 @@ def drop_common_lines(
     the explode, so the counts need one shuffle with map-side sums.  What is
     dropped from a text depends on the text alone, so flags are made once per
     distinct text, whatever the number of its copies, and reassembly joins the
-    positions' flags back.  Keys are 128-bit digests, so texts cross the
-    network once, in that last join; a hot text or line is split there by
-    adaptive execution, as nothing above needs its rows together.
+    positions' flags back.  Lines that hold more than a thousandth of the
+    counts meet their flag by a broadcast of at most a thousand keys.  Keys are
+    128-bit digests, so texts cross the network once, in that last join; a text
+    with many copies is split there by adaptive execution, as nothing above
+    needs its rows together.
 
     NULL and empty texts are one empty line, which is never common unless
     ``min_chars`` is 0.  Rows with equal or NULL ids are rows of their own; no
@@ -55,17 +57,18 @@ def drop_common_lines(
         .groupBy(F.unhex("k").alias("k"))
         .agg(F.count("*").alias("n"))
     )
-    common = counts.filter(F.col("n") >= min_docs).select("k", F.lit(True).alias("hot"))
-    placed = (
+    common = landed(counts.filter(F.col("n") >= min_docs), "common")
+    placed = landed(
         lines.select("t", F.posexplode("lines").alias("pos", "line"))
         .select("t", "pos", line_key(F.col("line")).alias("key"))
         .select("t", "pos", F.when(long_enough(F.col("key")), digest(F.col("key"))).alias("k"))
-        .distinct()
+        .distinct(),
+        "placed",
     )
     flags = (
-        placed.join(common, "k", "left")
+        hot_join(placed, common, "k", "n", "left")
         .groupBy("t")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("hot", F.lit(False)).alias("hot")))).alias("f"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", F.col("n").isNotNull().alias("hot")))).alias("f"))
         .select("t", F.col("f.hot").alias("f"))
         .filter(F.exists("f", lambda x: x))
     )
