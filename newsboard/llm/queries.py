@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsboard.llm import decontaminate, line_dedup, mixing, simhash, tokens, warc
+from newsboard.llm import decontaminate, line_dedup, mixing, pii, simhash, tokens, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,16 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    base, terms = pii.span_list(F.col("base")), pii.span_list(F.col("terms"))
+    return found.select(
+        F.col("id").alias("doc_id"), *[count(k) for k in pii.PATTERNS], F.sha2(base, 256).alias("base_sha256"),
+        F.concat_ws(",", F.nullif(base, F.lit("")), F.nullif(terms, F.lit(""))).alias("spans"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id")
     return found.select(
@@ -114,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
         "op3_decontaminate": op3_decontaminate,
+        "op5_pii": op5_pii,
         "op7_simhash": op7_simhash,
         "op8_pivotal_mix": op8_pivotal_mix,
         "op9_line_dedup": op9_line_dedup,
