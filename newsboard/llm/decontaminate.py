@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsboard.llm.common import landed
+from newsboard.llm.common import fresh, landed, row_key
 
 WINDOW = 10
 #: Windows that a pass over the documents joins; bounds the broadcast index.
@@ -223,3 +223,12 @@ def _pass(docs: DataFrame, row: Column, windows: DataFrame, id_col: str, text: s
     shape = f"row string, id {id_type}, n_words long, items array<string>, spans array<struct<first:int,end:int>>"
     found = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text).cast("binary").alias("text"))
     return found.mapInArrow(search, shape)
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that hold no window of any item."""
+    (row,) = fresh(docs, "row")
+    rows = docs.withColumn(row, row_key(F.col(id_col), F.col(text)))
+    found = find_windows(rows, items, row, text, **options)
+    leaks = landed(found.filter(F.col("n_hit") > 0).select(F.col("id").alias(row)).distinct(), "leaks")
+    return rows.join(leaks, row, "left_anti").select(*docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from newsboard.llm.common import SPACE_CLASS, landed, row_key, uniform
+from newsboard.llm.common import SPACE_CLASS, fresh, landed, row_key, uniform
 
 #: Residuals and documents that meet in one node of the reduction tree, on average.
 FAN_IN = 64
@@ -208,10 +208,11 @@ def apply_mix(
     docs: DataFrame, mix: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source"
 ) -> DataFrame:
     """``docs`` with every row as often as ``mix`` (of ``mix_sources``) takes it."""
-    taken = mix.filter(F.col("copies") > 0).select(F.col("key").alias("_key"), F.col("copies").alias("_copies"))
+    key, copies, copy = fresh(docs, "key", "copies", "copy")
+    taken = mix.filter(F.col("copies") > 0).select(F.col("key").alias(key), F.col("copies").alias(copies))
     return (
-        docs.withColumn("_key", row_key(F.col(id_col), F.col(source), F.col(text)))
-        .join(taken, "_key")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+        docs.withColumn(key, row_key(F.col(id_col), F.col(source), F.col(text)))
+        .join(taken, key)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies))))
         .select(*docs.columns)
     )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsboard.llm import decontaminate, line_dedup, mixing, pii, simhash, tokens, warc
+from newsboard.llm import decontaminate, language, line_dedup, mixing, pii, search, simhash, tokens, units, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,39 @@ FROM k
 """
 
 
+def op2_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = units.repeated_units(table(spark, sf_dir, "documents"))
+    return removed.select(
+        F.col("id").alias("doc_id"), F.col("unit").alias("line"), F.col("start").alias("start_at"), F.col("end").alias("end_at"),
+        "n_words", F.col("kept_id").alias("kept_doc_id"), F.col("kept_unit").alias("kept_line"), F.col("kept_start").alias("kept_start_at"),
+    )
+
+
+OP2_SQL = r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line, unnest(ls) AS t
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)
+),
+p AS (
+  SELECT doc_id, line, t,
+    coalesce(sum(length(t) + 1) OVER (PARTITION BY doc_id ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_at,
+    list_filter(regexp_split_to_array(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+      lambda x: x <> '') AS ws
+  FROM l
+),
+r AS (
+  SELECT *, row_number() OVER w AS nth, first_value(doc_id) OVER w AS kept_doc_id, first_value(line) OVER w AS kept_line,
+    first_value(start_at) OVER w AS kept_start_at
+  FROM p WHERE len(ws) >= 50
+  WINDOW w AS (PARTITION BY array_to_string(ws, ' ') ORDER BY doc_id, line)
+)
+SELECT doc_id, CAST(line AS INTEGER) AS line, CAST(start_at AS INTEGER) AS start_at,
+  CAST(start_at + length(t) AS INTEGER) AS end_at, CAST(len(ws) AS INTEGER) AS n_words, kept_doc_id,
+  CAST(kept_line AS INTEGER) AS kept_line, CAST(kept_start_at AS INTEGER) AS kept_start_at
+FROM r WHERE nth > 1
+"""
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_windows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -64,6 +97,27 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.r, a.vec_id AS query_id, b.vec_id,
+    CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 100 = 0
+),
+o AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM o WHERE rank <= 10
+"""
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
@@ -74,6 +128,14 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify_languages(docs).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), F.col("lang_id.lang").alias("lang_pred"),
+        F.col("lang_id.score").alias("score"), F.col("lang_id.ambiguous").alias("ambiguous"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id")
     return found.select(
@@ -123,8 +185,11 @@ SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM docs JOIN pe
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
+        "op2_unit_dedup": op2_unit_dedup,
         "op3_decontaminate": op3_decontaminate,
+        "op4_top_k": op4_top_k,
         "op5_pii": op5_pii,
+        "op6_language": op6_language,
         "op7_simhash": op7_simhash,
         "op8_pivotal_mix": op8_pivotal_mix,
         "op9_line_dedup": op9_line_dedup,
@@ -133,4 +198,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op3_decontaminate": OP3_SQL, "op9_line_dedup": OP9_SQL}
+    return {
+        "op1_warc": OP1_SQL,
+        "op2_unit_dedup": OP2_SQL,
+        "op3_decontaminate": OP3_SQL,
+        "op4_top_k": OP4_SQL,
+        "op9_line_dedup": OP9_SQL,
+    }

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
-from newsboard.llm.common import HOT_SHARE, LOWER, UPPER, hot_join, landed
+from newsboard.llm.common import HOT_SHARE, LOWER, UPPER, fresh, hot_join, landed, row_key
 from newsboard.llm.components import components
 
 SHINGLE = 4
@@ -245,3 +245,14 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         hot_join(own, named.select("fp", "component", "component_id", "rows"), "fp", "rows")
         .select(F.col("key").alias(key), "fp", "component", "component_id")
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` per component: that with the least id, NULL last,
+    and of rows with that id the one with the least digest of id and text."""
+    row, rank = fresh(docs, "row", "rank")
+    rows = docs.withColumn(row, row_key(F.col(id_col), F.col(text)))
+    ranked = rows.select(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row).alias(row)).alias(rank), text)
+    found = near_duplicates(ranked, rank, text)
+    kept = found.filter(F.col(rank) == F.col("component_id")).select(F.col(f"{rank}.{row}").alias(row)).distinct()
+    return rows.join(kept, row, "left_semi").dropDuplicates([row]).select(*docs.columns)
