@@ -30,6 +30,7 @@ END_ID = 2
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 26
 CHUNK_IDS = 1 << 20
+CHUNKS_PER_TASK = 8
 CACHED_PIECES = 250_000
 MAGIC = b"IDSBITS1"
 HEAD = struct.Struct("<8sII")
@@ -280,8 +281,9 @@ def read_ids(index: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of all documents of an index that
     ``write_ids`` made; ids are little-endian unsigned 32-bit integers.
 
-    Every chunk of the index is a piece of work of its own.
+    Tasks get ``CHUNKS_PER_TASK`` chunks of the index each, dealt evenly.
     """
+    tasks = max(1, -(-index.count() // CHUNKS_PER_TASK))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "n_tokens", "ids"]
@@ -298,7 +300,7 @@ def read_ids(index: DataFrame) -> DataFrame:
                 if out:
                     yield _batch(out, names)
 
-    return index.repartition("path", "first").mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    return index.repartition(tasks).mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
