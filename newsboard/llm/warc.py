@@ -25,6 +25,7 @@ CHUNK_BYTES = 1 << 16
 FILE_BYTES = 1 << 28
 SEGMENT_BYTES = 1 << 23
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+SEGMENTS_PER_TASK = 4
 _GZIP = 31
 
 
@@ -212,8 +213,10 @@ def read_warc(segments: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     chunk), last, and from the record's header page_id, record_type, url,
     payload_bytes, payload_sha1 and refers_to.  A record without payload has
     one empty chunk.  A response whose bytes do not have the digest stated, or
-    a record that is cut off, is an error.  Each segment is read by itself.
+    a record that is cut off, is an error.  Tasks get ``SEGMENTS_PER_TASK``
+    segments each, dealt evenly.
     """
+    tasks = max(1, -(-segments.count() // SEGMENTS_PER_TASK))
     names = [c.split()[0] for c in CHUNKS.split(", ")]
     kinds = [pa.string(), pa.int32(), pa.binary(), pa.int64(), pa.string(), pa.bool_(), pa.int64(),
              pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
@@ -247,4 +250,4 @@ def read_warc(segments: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
                 if rows:
                     yield batch_of(rows)
 
-    return segments.repartition("path", "first").mapInArrow(read, CHUNKS)
+    return segments.repartition(tasks).mapInArrow(read, CHUNKS)
