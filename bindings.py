@@ -66,16 +66,13 @@ def stored(spark: SparkSession, sf_dir: str, make: Callable[[SparkSession, str],
 
     The engine reads its documents as JSON text from a table, so the documents
     are landed like an ingest would, and every query parses them from there.
+    Landing is a step of its own (``registry.land``); a query that is run
+    without it lands what it needs first.
     """
     key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
     if key not in _STORED:
         path = shared_dir(spark, make.__name__)
-        rows = make(spark, sf_dir)
-        tasks = spark.sparkContext.defaultParallelism
-        # A test table is one file, which one task would write and later read.
-        if len(rows.inputFiles()) < tasks:
-            rows = rows.repartition(tasks)
-        rows.write.parquet(path)
+        make(spark, sf_dir).write.parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 
@@ -105,11 +102,11 @@ def hrefs(urls: Column) -> Column:
 
 def document_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One entry per document: title = first line, keywords = words,
-    summary = lines, entities = long words, topics = language and source."""
+    summary = lines, entities = distinct words, topics = language and source."""
     docs = table(spark, sf_dir, "documents")
     lines = F.split("text", "\n")
     words = F.split("text", " ")
-    long_words = F.array_distinct(F.filter(words, lambda w: F.length(w) >= 12))
+    names = F.array_distinct(F.filter(words, lambda w: w != ""))
     topic = lambda kind, salience: F.struct(
         F.concat(F.lit(f"{kind}/"), F.col(kind)).alias("id"),
         F.col(kind).alias("label"),
@@ -130,7 +127,7 @@ def document_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         engagementRate=F.col("n_chars") / 1000,
         commonTopics=F.array(topic("lang", "about"), topic("source", "mention")),
         entities=F.transform(
-            long_words,
+            names,
             lambda w: F.struct(F.lower(w).alias("id"), w.alias("label"), F.col("lang").alias("salienceLevel")),
         ),
         keywords=words,

@@ -3,7 +3,7 @@
 ``from_json`` with a *string* field returns the raw text of a nested object
 and the content of a JSON string alike, so decoding in two steps reads either
 encoding.  Numbers are read as text and cast with ``try_cast``: one malformed
-number in a feed gives one NULL, never a failed job.
+number in a feed gives one NULL, never a failed job and never a NaN.
 """
 
 from __future__ import annotations
@@ -29,4 +29,7 @@ def json_at(doc: Column, index: int, *path: str) -> Column:
 
 
 def json_num(text: Column, kind: str = "double") -> Column:
-    return text.try_cast(kind)
+    """A number, NULL if the text is none, out of range, NaN or infinite."""
+    value = text.try_cast(kind)
+    # NaN compares as larger than every number.
+    return F.when(F.abs(value) < float("inf"), value) if kind == "double" else value

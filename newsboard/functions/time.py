@@ -34,10 +34,14 @@ def moment(at: datetime) -> Column:
     return _ntz(F.lit(at.isoformat(sep=" ")))
 
 
+# The seconds of the years 1 to 9999, which a timestamp can hold.
+_FIRST_S, _LAST_S = -62135596800, 253402300799
+
+
 def epoch_s(seconds: Column) -> Column:
-    return moment(datetime(1970, 1, 1)) + F.make_dt_interval(
-        secs=seconds.cast("decimal(18,6)")
-    )
+    """Epoch seconds to timestamp, NULL outside of the years 1 to 9999."""
+    fits = F.when(seconds.between(_FIRST_S, _LAST_S), seconds)
+    return moment(datetime(1970, 1, 1)) + F.make_dt_interval(secs=fits.try_cast("decimal(18,6)"))
 
 
 def epoch_ms(millis: Column) -> Column:

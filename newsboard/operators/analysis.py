@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from newsboard.functions.json import json_num
 from newsboard.functions.text import any_ilike, any_like, map_labels, split_list
 from newsboard.functions.time import moment
 from newsboard.operators.joins import spread_join
@@ -119,8 +120,8 @@ def entity_mentions(articles: DataFrame, parsed: DataFrame) -> DataFrame:
             F.col("e.matchedText").alias("matched_text"),
             F.col("e.startingPos").try_cast("int").alias("starting_pos"),
             F.col("e.matchingTokens").alias("matching_tokens"),
-            F.col("e.relevanceScore").try_cast("double").alias("relevance_score"),
-            F.col("e.confidenceScore").try_cast("double").alias("confidence_sore"),
+            json_num(F.col("e.relevanceScore").cast("string")).alias("relevance_score"),
+            json_num(F.col("e.confidenceScore").cast("string")).alias("confidence_sore"),
         ],
     )
 
@@ -196,8 +197,7 @@ def resolve_companies(
         list_column(organizations, "category_groups_list").alias("category_groups"),
     ).where(F.col("permalink").isNotNull())
     joined = spread_join(
-        pick_companies(entities, types), register, ["crunchbase_id"],
-        ["feedly_id", "entity_external_id"], "left",
+        pick_companies(entities, types), register, ["crunchbase_id"], "left"
     )
     return joined.select(*COMPANY_COLUMNS, "categories", "category_groups")
 
@@ -240,7 +240,7 @@ def topics_with_labels(
     :func:`subject_topics` selects by pattern without a join of this size.
     """
     how = "left_semi" if distinct_topics else "inner"
-    return spread_join(topics, labels, ["topic_label"], ["feedly_id"], how)
+    return spread_join(topics, labels, ["topic_label"], how)
 
 
 def subject_topics(

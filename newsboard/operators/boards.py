@@ -32,7 +32,8 @@ def leaderboard(
     """Names ranked by mentions in each period (and in each ``within`` value).
 
     Adds the dense rank, the largest and smallest count of the period, the
-    share of the largest and a text bar.
+    share of the largest and a text bar.  Rows without a time or a ``within``
+    value belong to no board and are left out.
     """
     if score is not None:
         mentions = mentions.where(F.col(score) >= min_score)
@@ -43,7 +44,7 @@ def leaderboard(
         bucket(F.col(ts), grain, zone).alias("time_period"), *extra, by, key
     )
     counts = count_by(rows, ["time_period", *extra, by], key, min_freq)
-    ranked = rank_within(counts, ["time_period", *extra], "freq", [by])
+    ranked = rank_within(counts, ["time_period", *extra], "freq")
     return ranked.select(
         F.lit(grain).alias("time_period_label"),
         "time_period",

@@ -7,52 +7,19 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-_FEWEST, _MOST = 8, 256
-_NULL_SALTS = 1 << 20
 
+def spread_join(facts: DataFrame, dimension: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join of facts with a dimension, for keys that may be hot or NULL.
 
-def default_salts(df: DataFrame) -> int:
-    """A power of two near an eighth of the shuffle partitions.
-
-    A key with a third of all rows then fills each of its tasks with under
-    three average partitions.  The upper limit bounds the copies of the
-    dimension; past it, and for hotter keys, adaptive execution splits the
-    large partitions further.
-    """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = _FEWEST
-    while salts < _MOST and salts * 8 < partitions:
-        salts *= 2
-    return salts
-
-
-def spread_join(
-    facts: DataFrame,
-    dimension: DataFrame,
-    on: Sequence[str],
-    spread_by: Sequence[str],
-    how: str = "inner",
-    salts: int | None = None,
-) -> DataFrame:
-    """Equi-join that splits a hot (or NULL) key of ``facts`` over many tasks.
-
-    No broadcast hint is given: Spark broadcasts the dimension only when its
-    size statistics fall under the session's threshold.  Past that, both sides
-    shuffle on key and salt; the fact rows of one key go to ``salts`` places
-    (a power of two) by a hash of ``spread_by``, and each dimension row is
-    copied to all.  Rows with a NULL key match nothing and spread freely.
-    ``how`` is inner, left, left_semi or left_anti: every fact row meets
-    exactly one copy of each matching dimension row, so results are unchanged.
+    Nothing is copied ahead: adaptive execution measures the partitions and
+    splits those that a hot key has filled, copying only the dimension's rows
+    of that partition.  Facts with a NULL key match nothing; they are kept out
+    of the shuffle and, for an outer join, added back.  No broadcast hint is
+    given: Spark broadcasts the dimension by its own size check.  ``how`` is
+    inner, left, left_semi or left_anti.
     """
-    salts = salts or default_salts(facts)
+    if how in ("inner", "left_semi"):
+        return facts.join(dimension, list(on), how)
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    bits = lambda n: F.xxhash64(*spread_by).bitwiseAND(F.lit(n - 1).cast("bigint"))
-    # Low bits of a hash are never NULL, so the join adds no NULL test to the
-    # fact side; a frame that feeds both sides can then share its shuffle.
-    salt = F.when(no_key, bits(_NULL_SALTS)).otherwise(bits(salts))
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    return (
-        facts.withColumn("_salt", salt)
-        .join(dimension.withColumn("_salt", copies), [*on, "_salt"], how)
-        .drop("_salt")
-    )
+    found = facts.where(~no_key).join(dimension, list(on), how)
+    return found.unionByName(facts.where(no_key), allowMissingColumns=True)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newsboard.functions.time import moment
 from newsboard.operators.articles import entry_details
-from newsboard.operators.ranking import number_rows, top_k
+from newsboard.operators.ranking import dedupe_by_rank, number_rows, top_k
 from newsboard.sources.feed import parse_entries
 
 
@@ -23,23 +23,17 @@ def latest_by_key(
 ) -> DataFrame:
     """One row per key: the newest by ``order``, with the smallest ``keep`` values.
 
-    An aggregate rather than a window: a key that repeats without end is
-    reduced in every task before the shuffle.  Rows that tie on ``order`` are
-    settled by their remaining columns.
+    A rank filter with its group limit: a key that repeats without end sends
+    one row per task.  The smallest ``keep`` values come from an aggregate of
+    those columns alone.  Rows that tie on ``order`` are settled by their
+    remaining columns.
     """
     rest = [c for c in incoming.columns if c not in keys and c not in keep and c not in order]
-    newest = F.max(F.struct(*order, *rest)).alias("_new")
-    kept = [F.min(c).alias(c) for c in keep]
-    return (
-        incoming.groupBy(*keys)
-        .agg(newest, *kept)
-        .select(
-            *[
-                F.col(c) if c in keys or c in keep else F.col(f"_new.{c}").alias(c)
-                for c in incoming.columns
-            ]
-        )
-    )
+    newest = dedupe_by_rank(incoming, keys, [F.col(c).desc_nulls_last() for c in [*order, *rest]])
+    if not keep:
+        return newest
+    kept = incoming.groupBy(*keys).agg(*[F.min(c).alias(c) for c in keep])
+    return newest.drop(*keep).join(kept, list(keys)).select(*incoming.columns)
 
 
 def upsert(
@@ -102,10 +96,14 @@ def merge_analyses(base: DataFrame, results: DataFrame, now: datetime) -> DataFr
     """
     seq = F.col("seq") if "seq" in results.columns else F.lit(0)
     ok = F.col("payload").isNotNull()
-    runs = results.groupBy("feedly_id").agg(
-        F.max(F.struct(seq.alias("s"), ok.alias("ok")))["ok"].alias("_ok"),
-        F.max(F.when(ok, F.struct(seq.alias("s"), "payload")))["payload"].alias("_payload"),
-        F.count("*").alias("_n"),
+    ranked = results.select("feedly_id", "payload", seq.alias("_seq"), ok.alias("_ok"))
+    last = dedupe_by_rank(ranked, ["feedly_id"], [F.desc("_seq"), F.desc("_ok")]).select("feedly_id", "_ok")
+    good = dedupe_by_rank(ranked.where("_ok"), ["feedly_id"], [F.desc("_seq"), F.desc("payload")])
+    runs = (
+        ranked.groupBy("feedly_id")
+        .agg(F.count("*").alias("_n"))
+        .join(last, "feedly_id")
+        .join(good.select("feedly_id", F.col("payload").alias("_payload")), "feedly_id", "left")
     )
     old = base.select(
         "feedly_id", F.col("created_at").alias("_created"), F.col("payload").alias("_old"),

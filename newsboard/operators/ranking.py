@@ -37,15 +37,14 @@ def rank_levels(df: DataFrame, scope: Sequence[str], value: str) -> DataFrame:
     )
 
 
-def rank_within(
-    df: DataFrame, scope: Sequence[str], value: str, spread_by: Sequence[str]
-) -> DataFrame:
+def rank_within(df: DataFrame, scope: Sequence[str], value: str) -> DataFrame:
     """Dense rank, top and bottom of ``value`` for every row of its scope.
 
     Ranks are worked out on distinct values and joined back, so rows of one
-    scope (or of one value) never meet in a single task.
+    scope never meet in a single task; a value that most rows have is split by
+    adaptive execution.
     """
-    return spread_join(df, rank_levels(df, scope, value), [*scope, value], spread_by)
+    return spread_join(df, rank_levels(df, scope, value), [*scope, value])
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

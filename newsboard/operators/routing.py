@@ -34,7 +34,7 @@ def match_rules(entities: DataFrame, rules: DataFrame) -> DataFrame:
         F.col("entity_relevance_score_threshold").cast("double").alias("_relevance"),
         F.col("topic_score_threshold").cast("double").alias("_topic"),
     )
-    matched = spread_join(narrow, limits, ["entity_type"], ["feedly_id"]).where(
+    matched = spread_join(narrow, limits, ["entity_type"]).where(
         (F.col("confidence_sore") >= F.col("_confidence"))
         & (F.col("relevance_score") >= F.col("_relevance"))
     )
@@ -91,9 +91,9 @@ def route(
         .join(about, "feedly_id")
     )
     # One by one: the size of each table is known, that of their join a guess.
-    routed = spread_join(matched, links, ["concept_id"], ["feedly_id"])
-    routed = spread_join(routed, named_concepts, ["concept_id"], ["feedly_id"])
-    routed = spread_join(routed, named_channels, ["channel_id"], ["feedly_id"])
+    routed = spread_join(matched, links, ["concept_id"])
+    routed = spread_join(routed, named_concepts, ["concept_id"])
+    routed = spread_join(routed, named_channels, ["channel_id"])
     key = identifier(
         F.col("channel_id"), F.col("concept_name"), F.col("target"), F.col("target_id"),
         F.col("channel_name"), F.col("feedly_id"), F.col("entity_type"), F.col("entity_id"),
@@ -162,7 +162,7 @@ def unsent(
         F.col("emoji_icon").alias("_icon"),
         "last_sent_at",
     )
-    rows = spread_join(details, current, ["channel_id"], ["feedly_id"]).join(about, "feedly_id")
+    rows = spread_join(details, current, ["channel_id"]).join(about, "feedly_id")
     return rows.where(newer).select(
         "channel_id", "channel_name", F.col("_icon").alias("channel_emoji_icon"), "target",
         "target_id", "feedly_id", "title", "site", "author", "url", "image_url",

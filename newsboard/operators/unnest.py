@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsboard.functions.arrays import null_if_empty
+from newsboard.functions.json import json_num
 
 
 def unnest(
@@ -18,7 +19,7 @@ def unnest(
     """One row per item of ``array``, next to the ``keep`` columns.
 
     ``fields`` maps an output column to a field of the item, or to a pair of
-    field and type to cast to with ``try_cast``; a plain string names the item
+    field and number type to read it as (see ``json_num``); a plain string names the item
     itself.  All fields come from one ``explode``, so they stay in step.  Rows
     with an empty or missing array give nothing.
 
@@ -36,7 +37,7 @@ def unnest(
             if isinstance(field, str):
                 out.append(item[field].alias(name))
             else:
-                out.append(item[field[0]].try_cast(field[1]).alias(name))
+                out.append(json_num(item[field[0]].cast("string"), field[1]).alias(name))
     return items.select(*[c for c in items.columns if c != "_item"], *out)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import time
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -13,24 +11,29 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder path under the shared folder of the session.
+    """A new path under the application's part of the shared folder."""
+    return f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _application_dir(spark: SparkSession) -> str:
+    """Below the folder that the cluster names in ``spark.checkpoint.dir`` or,
+    where that is unset, below the warehouse, which all executors share too."""
+    base = spark.conf.get(_CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/newsboard-{spark.sparkContext.applicationId}"
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``.  Only
-    a local session without that setting gets a temporary folder.
-    """
-    base = spark.conf.get(_CHECKPOINT_DIR, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="newsboard-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+def clear_shared(spark: SparkSession) -> None:
+    """Delete what this application has put below the shared folder; tables
+    and logs read from there are gone after it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Have a reliable checkpoint folder; one that is set already stays."""
     if spark.sparkContext.getCheckpointDir() is None:
         base = spark.conf.get(_CHECKPOINT_DIR, None)
-        spark.sparkContext.setCheckpointDir(base or shared_dir(spark, "checkpoints"))
+        spark.sparkContext.setCheckpointDir(base or f"{_application_dir(spark)}/checkpoints")
 
 
 def _versions(spark: SparkSession, path: str) -> DataFrame | None:
@@ -42,18 +45,26 @@ def _versions(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
+def materialize(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
     """Write ``df`` as the new version of the table at ``path`` and read it back.
 
-    Data goes to a folder of its own; a line in ``versions`` makes it current
-    once the write is complete.  Readers of the old version are not disturbed,
-    and a failed write is never seen.
+    Data goes to a folder of its own; a line in ``versions`` with the next
+    number makes it current once the write is complete.  Readers of the old
+    version are not disturbed, and a failed write is never seen.  The newest
+    ``keep`` versions stay on disk.  One writer at a time.
     """
     spark = df.sparkSession
     data = f"{path}/data-{uuid.uuid4().hex}"
     df.write.parquet(data)
-    line = spark.createDataFrame([(time.time_ns(), data)], "at bigint, data string")
+    versions = _versions(spark, path)
+    last = versions.agg(F.max("at")).first()[0] if versions is not None else None
+    number = 0 if last is None else last + 1
+    line = spark.createDataFrame([(number, data)], "at bigint, data string")
     line.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    if versions is not None:
+        for old in versions.where(F.col("at") == number - keep).collect():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(old["data"])
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return spark.read.parquet(data)
 
 

@@ -1,66 +1,85 @@
-"""Routing a stream of channel articles: send what is new, then move the marks.
+"""Routing streams: send what was not sent before, then move the marks.
 
-Every batch writes its messages and the channel state after it to folders named
-after the batch.  A replayed batch starts from the state before it and writes
-the same rows again, so nothing is sent twice or skipped.
+Every batch writes its messages and the marks after it to folders named after
+the batch.  A replayed batch starts from the folders before it and writes the
+same rows again.  Whether an article was sent is looked up in the log of what
+was sent, by channel and article: late articles and articles of the same time
+are neither skipped nor sent twice.  The marks that the channels had when the
+stream began tell what was sent before it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from newsboard.operators import analysis as N
+from newsboard.operators import sectors as S
+from newsboard.operators.articles import entry_details
 from newsboard.operators.joins import spread_join
-from newsboard.operators.routing import advance_watermarks, outbox
+from newsboard.operators.ranking import dedupe_by_rank
+from newsboard.operators.routing import advance_watermarks, channel_details, outbox, route, unsent
+from newsboard.sources.feed import parse_analyses, parse_entries
 
+_MARKS = "id bigint, last_sent_at timestamp_ntz"
+_SENT = ["channel_id", "feedly_id"]
 
-def channel_state(spark: SparkSession, channels: DataFrame, log: str, before: int | None = None) -> DataFrame:
-    """Channels with the marks left by the newest batch (``before`` a batch)."""
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     try:
-        states = spark.read.schema("id bigint, last_sent_at timestamp_ntz, batch_id int").parquet(log)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
-            return channels
+            return None
         raise
-    if before is not None:
-        states = states.where(F.col("batch_id") < before)
-    newest = states.groupBy("id").agg(
-        F.max(F.struct("batch_id", "last_sent_at"))["last_sent_at"].alias("_mark")
-    )
-    marked = channels.join(newest, "id", "left")
+
+
+def channel_state(spark: SparkSession, channels: DataFrame, log: str, before: int | None = None) -> DataFrame:
+    """Channels with the marks left by the newest batch (``before`` a batch).
+
+    Every batch holds the marks of all channels, so one folder is read.
+    """
+    if before is None:
+        batches = _read(spark, log, f"{_MARKS}, batch_id int")
+        newest = batches.agg(F.max("batch_id")).first()[0] if batches is not None else None
+    else:
+        newest = before - 1 if before > 0 else None
+    marks = None if newest is None else _read(spark, f"{log}/batch_id={newest}", _MARKS)
+    if marks is None:
+        return channels
+    marked = channels.join(marks.withColumnRenamed("last_sent_at", "_mark"), "id", "left")
     return marked.withColumn("last_sent_at", F.coalesce("_mark", "last_sent_at")).select(*channels.columns)
 
 
-def deliver(
+def _deliver(
     stream: DataFrame,
+    rows_of: Callable[[DataFrame], DataFrame],
     channels: DataFrame,
     target: str,
     sent_log: str,
     state_log: str,
     checkpoint: str,
     now: datetime,
-    seed: int = 0,
+    seed: int,
 ) -> StreamingQuery:
-    """Send the unsent rows of a stream of channel articles.
-
-    The stream has the columns of ``operators.routing.unsent``; its
-    ``last_sent_at`` is replaced by the state of the channel.
-    """
     spark = stream.sparkSession
 
     def send(batch: DataFrame, batch_id: int) -> None:
-        state = channel_state(spark, channels, state_log, before=batch_id)
-        marks = state.select(F.col("id").alias("channel_id"), "last_sent_at")
-        marked = spread_join(batch.drop("last_sent_at"), marks, ["channel_id"], ["feedly_id"])
-        rows = marked.where(F.col("created_at") > F.col("last_sent_at"))
+        rows = dedupe_by_rank(rows_of(batch), _SENT, [F.col("created_at").asc_nulls_last()])
+        sent = _read(spark, sent_log, "channel_id bigint, feedly_id string, batch_id int")
+        if sent is not None:
+            earlier = sent.where(F.col("batch_id") < batch_id).select(*_SENT)
+            rows = rows.join(earlier, _SENT, "left_anti")
         messages = outbox(rows, target, now, seed)
         path = f"{sent_log}/batch_id={batch_id}"
         messages.write.mode("overwrite").parquet(path)
         # Read back what was written, so that marks and messages agree.
         written = spark.read.schema(messages.schema).parquet(path)
+        state = channel_state(spark, channels, state_log, before=batch_id)
         moved = advance_watermarks(state, written).select("id", "last_sent_at")
         moved.write.mode("overwrite").parquet(f"{state_log}/batch_id={batch_id}")
 
@@ -70,3 +89,63 @@ def deliver(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def deliver(
+    stream: DataFrame,
+    channels: DataFrame,
+    target: str,
+    sent_log: str,
+    state_log: str,
+    checkpoint: str,
+    now: datetime,
+    seed: int = 0,
+) -> StreamingQuery:
+    """Send the unsent rows of a stream of channel articles.
+
+    The stream has the columns of ``operators.routing.unsent``; its
+    ``last_sent_at`` is replaced by the mark of the channel in ``channels``.
+    """
+    marks = channels.select(F.col("id").alias("channel_id"), "last_sent_at")
+
+    def newer(batch: DataFrame) -> DataFrame:
+        marked = spread_join(batch.drop("last_sent_at"), marks, ["channel_id"])
+        return marked.where(F.col("created_at") > F.col("last_sent_at"))
+
+    return _deliver(stream, newer, channels, target, sent_log, state_log, checkpoint, now, seed)
+
+
+def deliver_analyses(
+    stream: DataFrame,
+    entries: DataFrame,
+    tables: Mapping[str, DataFrame],
+    target: str,
+    sent_log: str,
+    state_log: str,
+    checkpoint: str,
+    now: datetime,
+    seed: int = 0,
+) -> StreamingQuery:
+    """Route a stream of text analyses by the rules and send what matches.
+
+    ``entries`` is the stored entry table; an article can be routed when its
+    analysis arrives, which names topics and entities.  ``tables`` holds
+    organizations, concept_entity_rules, concepts, channel_concepts and
+    channels.  A batch reads the entries of its analyses only.
+    """
+    channels = tables["channels"]
+
+    def routed(batch: DataFrame) -> DataFrame:
+        ids = batch.select("feedly_id").distinct()
+        articles = entry_details(parse_entries(entries.join(ids, "feedly_id", "left_semi").select(*entries.columns)))
+        parsed = parse_analyses(batch)
+        topics = N.analysis_topics(articles, parsed)
+        entities = N.analysis_entities(articles, parsed)
+        companies = N.resolve_companies(entities, tables["organizations"])
+        matched = route(
+            articles, entities, N.subject_topics(topics, distinct_topics=True), tables["concept_entity_rules"],
+            tables["concepts"], tables["channel_concepts"], channels,
+        )
+        return unsent(articles, channel_details(matched, S.article_sectors(topics, companies)), channels)
+
+    return _deliver(stream, routed, channels, target, sent_log, state_log, checkpoint, now, seed)

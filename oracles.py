@@ -135,7 +135,7 @@ def doc_words() -> str:
 
 
 def doc_entities() -> str:
-    words = "list_distinct(list_filter(string_split(text, ' '), lambda w: length(w) >= 12))"
+    words = "list_distinct(list_filter(string_split(text, ' '), lambda w: w <> ''))"
     return f"""
         SELECT feedly_id, published_at, lang AS entity_salince_level, lower(w) AS entity_id, w AS entity_label
         FROM (SELECT *, unnest({words}) AS w FROM ({DOC_ARTICLES}))
@@ -580,10 +580,10 @@ def oracle_sql() -> dict[str, str]:
                {day("CASE WHEN r.n IS NULL THEN b.ts WHEN r.ok THEN TIMESTAMP '2002-01-01' END")} AS parsed_at
         FROM ({newest(OLD)}) b FULL JOIN runs r USING (feedly_id)
     """
-    sql["analysis_backlog"] = f"""
-        SELECT feedly_id, url FROM ({ORDER_ARTICLES})
-        WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
-        ORDER BY created_at DESC, feedly_id LIMIT 300
+    sql["analysis_backlog"] = """
+        SELECT 'doc/' || doc_id AS feedly_id, 'https://www.' || source || '.example.com/' || doc_id AS url
+        FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+        ORDER BY doc_id DESC LIMIT 300
     """
     sql["refresh_batches"] = """
         SELECT batch, count(*) AS n_ids, string_agg(feedly_id, ',' ORDER BY rn) AS ids
@@ -604,8 +604,8 @@ def oracle_sql() -> dict[str, str]:
         ) WHERE n_nulls > 0
     """
     sql["check_fk"] = """
-        SELECT l_partkey, count(*) AS n_rows FROM lineitem
-        WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 25) GROUP BY l_partkey
+        SELECT doc_id, count(*) AS n_rows FROM documents
+        WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY doc_id
     """
     sql["as_json"] = "SELECT o_orderkey, o_orderpriority, o_orderstatus, true AS keeps_nulls FROM orders"
 

@@ -503,11 +503,11 @@ def merge_analyses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def analysis_backlog(spark: SparkSession, sf: str) -> DataFrame:
-    returned = B.table(spark, sf, "lineitem").where("l_returnflag = 'R'")
-    analyses = returned.select(
-        F.concat(F.lit("order/"), F.col("l_orderkey")).alias("feedly_id"), F.lit(200).alias("status_code")
+    """Documents without a label are those that wait for their analysis."""
+    analyses = B.table(spark, sf, "labels").select(
+        F.concat(F.lit("doc/"), F.col("doc_id")).alias("feedly_id"), F.lit(200).alias("status_code")
     )
-    return M.analysis_backlog(B.stored(spark, sf, B.order_entries), analyses)
+    return M.analysis_backlog(B.stored(spark, sf, B.document_entries), analyses)
 
 
 def refresh_batches(spark: SparkSession, sf: str) -> DataFrame:
@@ -529,8 +529,7 @@ def check_not_null(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def check_fk(spark: SparkSession, sf: str) -> DataFrame:
-    ref = B.table(spark, sf, "part").where("p_size > 25")
-    return K.check_fk(B.table(spark, sf, "lineitem"), ref, {"l_partkey": "p_partkey"})
+    return K.check_fk(B.table(spark, sf, "documents"), B.table(spark, sf, "labels"), {"doc_id": "doc_id"})
 
 
 def as_json(spark: SparkSession, sf: str) -> DataFrame:

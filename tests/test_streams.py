@@ -109,7 +109,7 @@ def test_deliver_is_exactly_once(spark, shared):
     run = lambda cp: deliver(
         stream(spark, f"{shared}/in", ROW), channels, "slack", f"{shared}/sent", f"{shared}/state", f"{shared}/{cp}", NOW
     ).awaitTermination()
-    want = [(1, "a"), (1, "c"), (2, "d")]
+    want = [(1, "a"), (1, "c"), (1, "late"), (2, "d")]
     marks = [(1, BASE + timedelta(days=2)), (2, BASE + timedelta(days=3)), (3, None)]
     for cp in ("cp", "cp", "cp2"):  # first run, nothing new, replay of both batches
         run(cp)
