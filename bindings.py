@@ -77,6 +77,11 @@ def stored(spark: SparkSession, sf_dir: str, make: Callable[[SparkSession, str],
     return spark.read.parquet(_STORED[key])
 
 
+def forget_stored() -> None:
+    """Land anew from here on; the files stay until ``storage.clear_shared``."""
+    _STORED.clear()
+
+
 def json_of(**fields: Column) -> Column:
     return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
 

@@ -59,6 +59,12 @@ def leaderboard(
     )
 
 
+def ordered_board(board: DataFrame, by: str, within: str | None = None) -> DataFrame:
+    """A board in its final order: newest period first, then by rank and name."""
+    extra = [F.col(within).asc_nulls_last()] if within else []
+    return board.orderBy(F.col("time_period").desc(), *extra, F.col("rank").asc(), F.col(by).asc_nulls_last())
+
+
 def top_of_period(
     board: DataFrame,
     by: str,

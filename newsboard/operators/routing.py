@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
@@ -10,9 +11,11 @@ from newsboard.functions import captions as C
 from newsboard.functions.arrays import set_of
 from newsboard.functions.text import identifier
 from newsboard.functions.time import BOARD_ZONE, send_at, shift_zone
+from newsboard.operators.analysis import subject_topics
 from newsboard.operators.articles import sentence_texts
 from newsboard.operators.joins import spread_join
 from newsboard.operators.maintenance import as_json
+from newsboard.operators.sectors import article_sectors
 
 
 def match_rules(entities: DataFrame, rules: DataFrame) -> DataFrame:
@@ -44,86 +47,127 @@ def match_rules(entities: DataFrame, rules: DataFrame) -> DataFrame:
     ).agg(F.min("_topic").alias("topic_threshold"))
 
 
-def route(
-    articles: DataFrame,
+def _channel_rules(
+    rules: DataFrame, concepts: DataFrame, channel_concepts: DataFrame, channels: DataFrame
+) -> DataFrame:
+    """Rules with the channels they feed; small tables meet before any fact."""
+    links = channel_concepts.select("channel_id", "concept_id").distinct()
+    named_concepts = concepts.select(
+        F.col("id").alias("concept_id"),
+        F.col("name").alias("concept_name"),
+        F.col("emoji_icon").alias("concept_emoji_icon"),
+    )
+    named_channels = channels.select(
+        F.col("id").alias("channel_id"),
+        F.col("name").alias("channel_name"),
+        F.col("emoji_icon").alias("channel_emoji_icon"),
+        "target",
+        "target_id",
+    )
+    return rules.join(links, "concept_id").join(named_concepts, "concept_id").join(named_channels, "channel_id")
+
+
+_ROUTE = [
+    "channel_id", "channel_name", "channel_emoji_icon", "target", "target_id", "concept_name",
+    "concept_emoji_icon", "concept_rule_emoji_icon", "entity_type", "entity_id", "topic_label", "feedly_id",
+]
+
+
+def route_ids(
     entities: DataFrame,
     on_topic: DataFrame,
     rules: DataFrame,
     concepts: DataFrame,
     channel_concepts: DataFrame,
     channels: DataFrame,
-    zone: str = BOARD_ZONE,
 ) -> DataFrame:
-    """Articles per channel, concept, entity and topic label.
+    """Article ids per channel, concept, entity and topic label.
 
-    ``on_topic`` holds the topic rows of
-    :func:`~newsboard.operators.analysis.subject_topics`.
+    Entities meet only rules that some channel listens to.
     """
+    wanted = _channel_rules(rules, concepts, channel_concepts, channels)
+    limits = wanted.select(
+        *_ROUTE[:7], "concept_id", "entity_type",
+        F.col("emoji_icon").alias("concept_rule_emoji_icon"),
+        F.col("entity_confidence_score_threshold").cast("double").alias("_confidence"),
+        F.col("entity_relevance_score_threshold").cast("double").alias("_relevance"),
+        F.col("topic_score_threshold").cast("double").alias("_topic"),
+    )
+    narrow = entities.select("feedly_id", "entity_type", "entity_id", "relevance_score", "confidence_sore")
+    matched = spread_join(narrow, limits, ["entity_type"]).where(
+        (F.col("confidence_sore") >= F.col("_confidence")) & (F.col("relevance_score") >= F.col("_relevance"))
+    )
+    # Everything after this joins on the article: one shuffle serves all of it.
+    matched = (
+        matched.repartition("feedly_id")
+        .groupBy(*[c for c in _ROUTE if c != "topic_label"], "concept_id")
+        .agg(F.min("_topic").alias("topic_threshold"))
+    )
     # Best score per article and label: a label then meets a threshold at most once.
     on_topic = (
         on_topic.repartition("feedly_id")
         .groupBy("feedly_id", "topic_label")
         .agg(F.max("topic_score").alias("topic_score"))
     )
-    links = channel_concepts.select("channel_id", "concept_id").distinct()
-    named_concepts = concepts.select(
-        F.col("id").alias("concept_id"),
-        F.col("name").alias("concept_name"),
-        F.col("emoji_icon").alias("concept_emoji_icon"),
-    )
-    named_channels = channels.select(
-        F.col("id").alias("channel_id"),
-        F.col("name").alias("channel_name"),
-        F.col("emoji_icon").alias("channel_emoji_icon"),
-        "target",
-        "target_id",
+    return (
+        matched.join(on_topic, "feedly_id")
+        .where(F.col("topic_score") >= F.col("topic_threshold"))
+        .select(*_ROUTE)
     )
+
+
+def route(
+    articles: DataFrame,
+    entities: DataFrame,
+    on_topic: DataFrame,
+    rules: DataFrame,
+    concepts: DataFrame,
+    channel_concepts: DataFrame,
+    channels: DataFrame,
+    zone: str = BOARD_ZONE,
+) -> DataFrame:
+    """Articles per channel, concept, entity and topic label.
+
+    ``on_topic`` holds the topic rows of
+    :func:`~newsboard.operators.analysis.subject_topics`.
+    """
     about = articles.select(
         "feedly_id", "title", "url", "author", "site", "image_url",
         sentence_texts(F.col("sentences")).alias("summary_sentences"),
         "engagement_rate", "engagement", "created_at", "updated_at", "published_at",
         shift_zone(F.col("published_at"), zone).alias("published_at_with_tz"),
     )
-    matched = (
-        match_rules(entities, rules)
-        .join(on_topic, "feedly_id")
-        .where(F.col("topic_score") >= F.col("topic_threshold"))
-        .join(about, "feedly_id")
-    )
-    # One by one: the size of each table is known, that of their join a guess.
-    routed = spread_join(matched, links, ["concept_id"])
-    routed = spread_join(routed, named_concepts, ["concept_id"])
-    routed = spread_join(routed, named_channels, ["channel_id"])
     key = identifier(
         F.col("channel_id"), F.col("concept_name"), F.col("target"), F.col("target_id"),
         F.col("channel_name"), F.col("feedly_id"), F.col("entity_type"), F.col("entity_id"),
         F.col("topic_label"),
     )
-    return routed.select(
-        "channel_id", "channel_name", "channel_emoji_icon", "target", "target_id",
-        "concept_name", "concept_emoji_icon", "concept_rule_emoji_icon", "entity_type",
-        "entity_id", "topic_label", "feedly_id", key.alias("identifier"),
-        *about.columns[1:],
-    )
+    routed = route_ids(entities, on_topic, rules, concepts, channel_concepts, channels)
+    return routed.join(about, "feedly_id").select(*_ROUTE, key.alias("identifier"), *about.columns[1:])
 
 
-def channel_details(routed: DataFrame, sectors: DataFrame) -> DataFrame:
+def channel_details(routed: DataFrame, sectors: DataFrame, articles: DataFrame | None = None) -> DataFrame:
     """One row per channel and article with the sets of what it is about.
 
     ``sectors`` is :func:`~newsboard.operators.sectors.article_sectors`: one
-    row per article, so joining it multiplies nothing.
+    row per article, so joining it multiplies nothing.  ``routed`` is of
+    :func:`route`, or of :func:`route_ids` with ``articles``, whose sentences
+    are then joined once per row of the result instead of carried along.
     """
-    # The sentences belong to the article: carried along, not part of the key.
+    carried = [F.first("summary_sentences").alias("summary_sentences")] if articles is None else []
     per_article = routed.groupBy(
         "channel_id", "channel_emoji_icon", "target", "target_id", "feedly_id"
     ).agg(
-        F.first("summary_sentences").alias("summary_sentences"),
         set_of(F.col("concept_name")).alias("concept_names"),
         set_of(F.col("concept_emoji_icon")).alias("concept_emoji_icons"),
         set_of(F.col("concept_rule_emoji_icon")).alias("concept_rule_emoji_icons"),
         set_of(F.col("entity_type")).alias("entity_types"),
         set_of(F.col("topic_label")).alias("topic_labels"),
+        *carried,
     )
+    if articles is not None:
+        sentences = sentence_texts(F.col("sentences")).alias("summary_sentences")
+        per_article = per_article.join(articles.select("feedly_id", sentences), "feedly_id")
     sets = sectors.select("feedly_id", "categories", "category_group", "company_names")
     none = F.array(F.lit(None).cast("string"))
     return per_article.join(sets, "feedly_id", "left").select(
@@ -134,6 +178,53 @@ def channel_details(routed: DataFrame, sectors: DataFrame) -> DataFrame:
     )
 
 
+def details_of(
+    articles: DataFrame,
+    entities: DataFrame,
+    topics: DataFrame,
+    companies: DataFrame,
+    tables: Mapping[str, DataFrame],
+) -> DataFrame:
+    """:func:`channel_details` straight from the analysis of ``articles``.
+
+    Sectors are worked out for routed articles only.  ``tables`` holds
+    concept_entity_rules, concepts, channel_concepts and channels.
+    """
+    routed = route_ids(
+        entities, subject_topics(topics, distinct_topics=True), tables["concept_entity_rules"],
+        tables["concepts"], tables["channel_concepts"], tables["channels"],
+    )
+    ids = routed.select("feedly_id").distinct()
+    only = lambda df: df.join(ids, "feedly_id", "left_semi")
+    return channel_details(routed, article_sectors(only(topics), only(companies)), articles)
+
+
+def recent_articles(articles: DataFrame, channels: DataFrame, null_watermark: str = "never") -> DataFrame:
+    """Articles that some channel may not have got yet: created after the
+    oldest mark.  The mark is a scalar subquery, so the filter reaches the scan."""
+    if null_watermark == "always":
+        return articles
+    return articles.where(F.col("created_at") > channels.select(F.min("last_sent_at")).scalar())
+
+
+def unsent_of(
+    articles: DataFrame,
+    entities: DataFrame,
+    topics: DataFrame,
+    companies: DataFrame,
+    tables: Mapping[str, DataFrame],
+    null_watermark: str = "never",
+    zone: str = BOARD_ZONE,
+) -> DataFrame:
+    """:func:`unsent` straight from the analysis, for recent articles only."""
+    recent = recent_articles(articles, tables["channels"], null_watermark)
+    if null_watermark != "always":
+        ids = recent.select("feedly_id")
+        entities, topics, companies = (x.join(ids, "feedly_id", "left_semi") for x in (entities, topics, companies))
+    details = details_of(recent, entities, topics, companies, tables)
+    return unsent(recent, details, tables["channels"], null_watermark, zone)
+
+
 def unsent(
     articles: DataFrame,
     details: DataFrame,
@@ -173,6 +264,11 @@ def unsent(
     )
 
 
+def ordered_unsent(rows: DataFrame) -> DataFrame:
+    """Unsent rows in the order to post them: oldest first within a channel."""
+    return rows.orderBy("channel_id", F.col("created_at").asc(), F.col("feedly_id").asc())
+
+
 def outbox(unsent_rows: DataFrame, target: str, now: datetime, seed: int = 0) -> DataFrame:
     """Messages to send to one kind of target, with a staggered send time."""
     rows = unsent_rows.where(F.col("target") == target)

@@ -202,14 +202,13 @@ def _channel_views(v: Views, tables: Mapping[str, DataFrame], zone: str) -> None
     )
     v.add(
         "vw_xr_channel_article_details",
-        lambda: C.channel_details(
-            v["vw_xr_channel_articles"],
-            S.article_sectors(v["vw_article_nlp_topics"], v["vw_article_nlp_companies"]),
-        ),
+        lambda: C.details_of(v["articles"], v["vw_article_nlp_entities"], v["vw_article_nlp_topics"],
+                             v["vw_article_nlp_companies"], tables),
     )
     v.add(
         "vw_xr_channel_articles_unsent_by_channel_and_target",
-        lambda: C.unsent(v["articles"], v["vw_xr_channel_article_details"], tables["channels"], zone=zone),
+        lambda: C.unsent_of(v["articles"], v["vw_article_nlp_entities"], v["vw_article_nlp_topics"],
+                            v["vw_article_nlp_companies"], tables, zone=zone),
     )
 
 

@@ -1,7 +1,8 @@
 """Feed documents and analysis documents to typed rows.
 
-Each JSON text is parsed once here; every later operator works on the typed
-columns and lets column pruning drop the rest.
+The document is parsed once here, and fields that may be string-encoded a
+second time; every later operator works on the typed columns and lets column
+pruning drop the rest.
 """
 
 from __future__ import annotations

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from newsboard.functions.time import moment
 from newsboard.sources import schemas as S
 
 # Concept names; the position, from 1, is the concept id.
@@ -129,6 +132,16 @@ def small_table(spark: SparkSession, names: str, rows: list[tuple]) -> DataFrame
     return spark.createDataFrame(pa.table(dict(zip(names.split(), zip(*rows)))))
 
 
+def stamped(tables: dict[str, DataFrame], now: datetime) -> dict[str, DataFrame]:
+    """Tables with the defaults of their columns: rows without a creation or
+    update time get ``now``."""
+    at = moment(now)
+    return {
+        name: df.withColumns({c: F.coalesce(c, at) for c in ("created_at", "updated_at") if c in df.columns})
+        for name, df in tables.items()
+    }
+
+
 def read_seeds(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Seed CSVs of a folder, with ids by file order."""
     read = lambda name: spark.read.option("header", True).csv(f"{path}/{name}.csv")

@@ -7,12 +7,27 @@ and windows over whole groups where the engine reduces first.
 from __future__ import annotations
 
 from bindings import CHANNEL_CONCEPTS, CHANNEL_ICONS, CHANNEL_MARKS, TOPIC_NAMES, TYPE_NAMES
-from newsboard.functions.text import SOUNDEX_DIGITS
-from newsboard.operators.analysis import CANONICAL_LABELS, STOP_LABELS, THEMES
 from newsboard.plans.views import GRAINS
 from newsboard.sources.seeds import CHANNEL_ROWS, CONCEPT_NAMES, RULE_TYPES
 
 ABC = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Fixed values, written here once more so that a wrong one in the engine shows.
+SOUNDEX_DIGITS = "01230120022455012623010202"
+CANONICAL_LABELS = {
+    "Virtual reality headset": "Virtual reality headsets",
+    "Virtual reality organizations": "Virtual reality companies",
+    "Virtual machine": "Virtual machines",
+    "Virtual economy": "Virtual economies",
+    "Virtual assistant": "Virtual assistants",
+    "Mixed reality game": "Mixed reality games",
+}
+STOP_LABELS = ("Alternate reality", "Virtual reality", "Mixed reality", "Reality")
+THEMES = {
+    "sports": ("%League", "%Team", "Tournament", "Racecourse", "Stadium", "Sports%", "Soccer%"),
+    "culture": ("TopicalConcept", "%Show", "VideoGame", "Fashion", "MusicalArtist", "MusicalWork"),
+    "academia": ("University", "EducationalInstitution", "AcademicJournal", "AcademicConference", "School"),
+    "events": ("Venue", "Theatre", "Event"),
+}
 
 
 def quote(text: str) -> str:
@@ -507,6 +522,19 @@ def oracle_sql() -> dict[str, str]:
     """
     sql["latest_digest"] = LATEST
     sql["top_digest"] = TOP
+    _at = "CAST(published_at_with_tz AS TIMESTAMP)"
+    sql["digest_messages"] = f"""
+        SELECT feedly_id, ':postbox: <' || url || '|' || title || '>' AS headline,
+               '* ' || replace(summary_sentences, '|', chr(10) || chr(10) || '* ') AS bullets,
+               concat_ws(chr(10),
+                 '*Companies and Organizations:* ' || replace(company_names, '|', ' - '),
+                 '*XR Topics:* ' || replace(topic_labels, '|', ' - '),
+                 '*Market:* ' || replace(categories, '|', ' - ')) AS captions,
+               '*Author:* ' || author || ' - ' || site || ' on ' || strftime({_at}, '%b ')
+                 || lpad(strftime({_at}, '%-d'), 2, ' ') || ', ' || lpad(strftime({_at}, '%-I'), 2, ' ')
+                 || strftime({_at}, ':%M %p') AS author_line
+        FROM ({LATEST})
+    """
     sql["digest_headline"] = f"""
         SELECT ':new: *Latest 10 XR articles* mention ' ||
                array_to_string(list_sort(list(DISTINCT n)), ', ') AS headline
@@ -547,7 +575,10 @@ def oracle_sql() -> dict[str, str]:
                concept_names, topic_labels, categories, company_names, engagement,
                {day('created_at')} AS created_at, {second('last_sent_at')} AS last_sent_at FROM ({UNSENT})
     """
-    sql["outbox"] = f"SELECT * REPLACE (CAST(channel_id AS BIGINT) AS channel_id) FROM ({OUTBOX})"
+    sql["outbox"] = f"""
+        SELECT * REPLACE (CAST(channel_id AS BIGINT) AS channel_id), CAST(NULL AS VARCHAR) AS image_url,
+               true AS seconds_fit, true AS minutes_fit FROM ({OUTBOX})
+    """
     sql["advance_watermarks"] = f"""
         SELECT CAST(c.channel_id AS BIGINT) AS id, c.channel_name AS name,
                {second('greatest(c.last_sent_at, u.newest)')} AS last_sent_at
@@ -631,11 +662,67 @@ def oracle_sql() -> dict[str, str]:
     """
     sql["materialize"] = sql["board_company_month"]
 
+    odd = "CASE doc_id % 6 WHEN 0 THEN {} WHEN 1 THEN {} WHEN 3 THEN {} END"
+    at = "strftime(TIMESTAMP '2020-01-01' + to_hours(doc_id), '%Y-%m-%d %H:%M:%S')"
+    sql["feed_numbers"] = f"""
+        SELECT 'doc/' || doc_id AS feedly_id, {odd.format(at, 'NULL', 'NULL')} AS published_at,
+               {odd.format(at, 'NULL', 'NULL')} AS crawled_at,
+               coalesce({odd.format('CAST(n_chars AS DOUBLE)', '9e18', '1e300')}, 0) AS engagement,
+               {odd.format('CAST(n_chars AS DOUBLE)', '9e18', '1e300')} AS topic_score
+        FROM documents
+    """
+    sql["all_alternates"] = """
+        SELECT 'page/' || page_id AS feedly_id, unnest(
+            CASE WHEN len(l) = 0 THEN [NULL] ELSE l END) AS url
+        FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages)
+    """
+    sql["seed_files"] = """
+        SELECT CAST(n_nationkey + 1 AS BIGINT) AS id, n_name AS concept_name, n_name AS entity_type,
+               CAST(0.2 AS DOUBLE) AS relevance, '#' || n_name AS target_id, '1998-06-15 00:00:00' AS created_at FROM nation
+    """
+    flag = "CASE WHEN l_returnflag <> 'N' THEN l_returnflag END"
+    sql["null_sets"] = f"""
+        SELECT l_orderkey,
+               concat_ws('|', string_agg(DISTINCT f, '|' ORDER BY f), CASE WHEN bool_or(f IS NULL) THEN '<null>' END) AS with_nulls,
+               coalesce(string_agg(DISTINCT f, '|' ORDER BY f), '<null>') AS without,
+               string_agg(coalesce(f, '<null>'), '|' ORDER BY l_linenumber, l_partkey, l_extendedprice) AS in_order
+        FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, {flag} AS f FROM lineitem) GROUP BY l_orderkey
+    """
+    sql["ordered_board"] = f"""
+        SELECT time_period, name, rank, CAST(row_number() OVER (PARTITION BY time_period ORDER BY rank, name) AS INTEGER) AS place
+        FROM ({sql["board_company_month"]})
+    """
+    sql["refresh"] = f"""
+        SELECT feedly_id, title, count(*) AS n_topics FROM ({ORDER_DEDUPED}) JOIN ({TOPICS}) USING (feedly_id) GROUP BY ALL
+    """
+    sql["check_tables"] = """
+        SELECT * FROM (
+            SELECT 'feedly_entries' AS table_name, 'unique (feedly_id)' AS rule,
+                   (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1)) AS n_violations
+            UNION ALL SELECT 'feedly_entries', 'published_at not null', (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R')
+            UNION ALL SELECT 'channel_concepts', 'channel_id in channels',
+                   (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))
+        ) WHERE n_violations > 0
+    """
+    sql["unsent_always"] = f"""
+        SELECT CAST(channel_id AS BIGINT) AS channel_id, d.feedly_id, a.title, topic_labels,
+               CASE WHEN channel_id = 2 THEN {second('last_sent_at')} END AS last_sent_at
+        FROM ({DETAILS}) d JOIN ({ORDER_ARTICLES}) a ON a.feedly_id = d.feedly_id
+        WHERE channel_id = 1 OR a.created_at > d.last_sent_at
+    """
+    sql["stream_routing"] = f"""
+        SELECT CAST(channel_id AS BIGINT) AS channel_id, feedly_id, text, headline, captions FROM ({OUTBOX})
+    """
+    sql["stream_windowed"] = """
+        SELECT strftime(ts, '%Y-%m-%d') AS time_period, event_type AS topic_label, count(*) AS count FROM events GROUP BY ALL
+    """
+
     # Streams: equal to the batch result.
     sql["stream_upsert"] = f"""
         SELECT 'user/' || user_id AS feedly_id, {second('min(ts)')} AS created_at, {second('max(ts)')} AS updated_at,
                arg_max(event_type, (ts, event_id)) AS title FROM events GROUP BY user_id
     """
+    sql["stream_compact"] = sql["stream_upsert"]
     sql["stream_counts"] = counts(EVENT_MENTIONS, "topic_label", "week")
     sql["stream_unsent"] = f"""
         SELECT CAST(channel_id AS BIGINT) AS channel_id, 'event/' || event_id AS feedly_id,

@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 import bindings as B
 from newsboard.functions import captions as C
+from newsboard.functions.arrays import list_keep_nulls, set_keep_nulls, set_of
 from newsboard.functions.json import json_num, json_text
 from newsboard.functions.text import host_of, soundex_pg
 from newsboard.functions.time import moment
@@ -24,16 +25,17 @@ from newsboard.operators import maintenance as M
 from newsboard.operators import register as R
 from newsboard.operators import routing as T
 from newsboard.operators import sectors as S
-from newsboard.operators.boards import leaderboard, top_mentions
+from newsboard.operators.boards import leaderboard, ordered_board, top_mentions
 from newsboard.operators.counting import period_counts, roll_up
 from newsboard.operators.ranking import dedupe_by_rank
 from newsboard.plans.storage import current, ensure_checkpoint_dir, materialize, shared_dir
-from newsboard.plans.views import GRAINS, build_views
+from newsboard.plans.views import GRAINS, build_views, load_stored, refresh
 from newsboard.sources.feed import entries_from_json, explode_items, parse_entries
 from newsboard.sources.register import read_register
-from newsboard.streaming.counts import count_increments, daily_counts
-from newsboard.streaming.ingest import current_entries, ingest_entries
-from newsboard.streaming.routing import channel_state, deliver
+from newsboard.sources.seeds import read_seeds, stamped
+from newsboard.streaming.counts import count_increments, daily_counts, windowed_counts
+from newsboard.streaming.ingest import compact, current_entries, ingest_entries
+from newsboard.streaming.routing import channel_state, deliver, deliver_analyses
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -184,6 +186,80 @@ def feed_items(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def feed_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as feed items whose numbers are out of range, infinite or none by rule."""
+    kind = F.col("doc_id") % 6
+    millis = F.lit(B.FIRST_HOUR_MS) + F.col("doc_id") * B.HOUR_MS
+    odd = lambda good: (
+        F.when(kind == 0, good.cast("string")).when(kind == 1, "9000000000000000000").when(kind == 2, "NaN")
+        .when(kind == 3, "1e300").when(kind == 4, "-Infinity").otherwise("twelve")
+    )
+    items = B.table(spark, sf, "documents").select(
+        B.json_of(
+            id=F.concat(F.lit("doc/"), F.col("doc_id")), published=odd(millis), crawled=odd(millis),
+            engagement=odd(F.col("n_chars")),
+            commonTopics=F.array(F.struct(F.col("lang").alias("label"), odd(F.col("n_chars")).alias("score"))),
+        ).alias("payload")
+    )
+    entries = entries_from_json(items, "payload", AS_OF)
+    rows = A.entry_details(parse_entries(entries))
+    topics = A.common_topics(rows).select("feedly_id", "topic_score")
+    return rows.join(topics, "feedly_id").select(
+        "feedly_id", second("published_at"), second("crawled_at"), "engagement", "topic_score"
+    )
+
+
+def all_alternates(spark: SparkSession, sf: str) -> DataFrame:
+    """A row per alternate link of a page's links."""
+    pages = B.table(spark, sf, "pages")
+    links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
+    entries = B._entry(
+        pages, F.concat(F.lit("page/"), F.col("page_id")), moment(AS_OF), moment(AS_OF), B.json_of(alternate=B.hrefs(links))
+    )
+    return A.entry_details(parse_entries(entries), alternates="all").select("feedly_id", "url")
+
+
+def seed_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Seeds written as CSV from the nations and read back, with ids and stamps."""
+    path = shared_dir(spark, "seeds")
+    nation = B.table(spark, sf, "nation").orderBy("n_nationkey").coalesce(1)
+    name = F.col("n_name").alias("name")
+    frames = {
+        "channels": nation.select(name, F.col("n_comment").alias("description") if "n_comment" in nation.columns else name.alias("description"),
+                                  F.lit("slack").alias("target"), F.concat(F.lit("#"), F.col("n_name")).alias("target_id")),
+        "concepts": nation.select(name),
+        "concept_entity_rules": nation.select(
+            (F.col("n_nationkey") + 1).alias("concept_id"), F.col("n_name").alias("entity_type"),
+            F.lit("1").alias("entity_confidence_score_threshold"), F.lit("0.2").alias("entity_relevance_score_threshold"),
+            F.lit("0.2").alias("topic_score_threshold"),
+        ),
+    }
+    for file, df in frames.items():
+        df.write.option("header", True).csv(f"{path}/{file}.csv")
+    seeds = stamped(read_seeds(spark, path), AS_OF)
+    rules = seeds["concept_entity_rules"].join(
+        seeds["concepts"].select(F.col("id").alias("concept_id"), F.col("name").alias("concept_name")), "concept_id"
+    )
+    channels = seeds["channels"].select(F.col("name").alias("concept_name"), "target_id", second("created_at"))
+    return rules.drop("created_at").join(channels, "concept_name").select(
+        "id", "concept_name", "entity_type", rounded("entity_relevance_score_threshold").cast("double").alias("relevance"),
+        "target_id", "created_at",
+    )
+
+
+def null_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """Sets and lists with NULLs, shown by a marker."""
+    lines = B.table(spark, sf, "lineitem").select(
+        "l_orderkey", F.struct("l_linenumber", "l_partkey", "l_extendedprice").alias("place"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag")
+    )
+    shown = lambda c, name: F.array_join(c, "|", "<null>").alias(name)
+    return lines.groupBy("l_orderkey").agg(
+        shown(set_keep_nulls(F.col("flag")), "with_nulls"),
+        shown(F.coalesce(set_of(F.col("flag")), F.array(F.lit(None).cast("string"))), "without"),
+        shown(list_keep_nulls(F.col("flag"), F.col("place")), "in_order"),
+    )
+
+
 def common_topics(spark: SparkSession, sf: str) -> DataFrame:
     return A.common_topics(doc_articles(spark, sf)).select(
         "feedly_id", "topic_id", "topic_label", rounded("topic_score"), "topic_salince_level"
@@ -381,6 +457,11 @@ def digest(make) -> Query:
     return query
 
 
+def digest_messages(spark: SparkSession, sf: str) -> DataFrame:
+    rows = D.latest_digest(stored_articles(spark, sf), stored_topics(spark, sf), stored_companies(spark, sf), AS_OF)
+    return D.digest_messages(rows).select("feedly_id", "headline", "bullets", joined("captions", "\n"), "author_line")
+
+
 def digest_headline(spark: SparkSession, sf: str) -> DataFrame:
     rows = D.latest_digest(stored_articles(spark, sf), stored_topics(spark, sf), stored_companies(spark, sf), AS_OF)
     return D.digest_headline(rows, C.LATEST_TITLE)
@@ -405,12 +486,18 @@ def routed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def analysed(spark: SparkSession, sf: str) -> tuple[DataFrame, ...]:
+    return (
+        stored_articles(spark, sf), stored_entities(spark, sf), stored_topics(spark, sf), stored_companies(spark, sf),
+    )
+
+
 def details(spark: SparkSession, sf: str) -> DataFrame:
-    return T.channel_details(routed(spark, sf), S.article_sectors(stored_topics(spark, sf), stored_companies(spark, sf)))
+    return T.details_of(*analysed(spark, sf), B.seeds(spark))
 
 
 def unsent_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return T.unsent(stored_articles(spark, sf), details(spark, sf), B.seeds(spark)["channels"])
+    return T.unsent_of(*analysed(spark, sf), B.seeds(spark))
 
 
 def match_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -439,9 +526,25 @@ def unsent(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def unsent_always(spark: SparkSession, sf: str) -> DataFrame:
+    """A channel without a mark gets everything."""
+    mark = F.when(F.col("id") == 2, F.col("last_sent_at"))
+    seeds = B.seeds(spark)
+    seeds["channels"] = seeds["channels"].withColumn("last_sent_at", mark)
+    rows = T.unsent_of(*analysed(spark, sf), seeds, null_watermark="always")
+    return rows.select("channel_id", "feedly_id", "title", joined("topic_labels"), second("last_sent_at"))
+
+
 def outbox(spark: SparkSession, sf: str) -> DataFrame:
-    return T.outbox(unsent_rows(spark, sf), "slack", AS_OF).select(
-        "channel_id", "feedly_id", "channel", "text", "headline", "bullets", joined("captions", "\n"), "author_line"
+    """Messages, and how far their send times lie after now, the published minute and second."""
+    rows = T.outbox(unsent_rows(spark, sf), "slack", AS_OF)
+    published = json_text(F.col("item"), "published_at").cast("timestamp_ntz")
+    seconds = lambda ts: F.unix_seconds(ts.cast("timestamp"))
+    after = seconds(F.col("post_at")) - seconds(moment(AS_OF))
+    late = after - 60 * F.minute(published) - F.second(published)
+    return rows.select(
+        "channel_id", "feedly_id", "channel", "text", "headline", "bullets", joined("captions", "\n"), "author_line",
+        "image_url", (late % 60).between(0, 9).alias("seconds_fit"), F.floor(late / 60).between(0, 9).alias("minutes_fit"),
     )
 
 
@@ -550,6 +653,50 @@ def materialized(spark: SparkSession, sf: str) -> DataFrame:
     return show_period(current(spark, path))
 
 
+def ordered_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The place of every line in the final order of a board."""
+    board = ordered_board(leaderboard(B.line_mentions(spark, sf, sectors=False), "name", "month"), "name")
+    return show_period(number_rows_as_posted(board))
+
+
+def number_rows_as_posted(board: DataFrame) -> DataFrame:
+    """``place`` follows the order that a sorted frame is written in."""
+    path = shared_dir(board.sparkSession, "ordered")
+    board.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = board.sparkSession.read.parquet(path)
+    place = F.row_number().over(Window.partitionBy("time_period").orderBy("_id"))
+    return rows.select("time_period", "name", "rank", place.alias("place"))
+
+
+def refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    """Views stored by two refreshes and read back from their current version."""
+    root, tables = shared_dir(spark, "views"), B.order_tables(spark, sf)
+    names = ["articles", "vw_article_nlp_topics"]
+    refresh(tables, root, AS_OF, names)
+    refresh(tables, root, AS_OF, names[:1])
+    stored = load_stored(spark, root, names)
+    topics = stored["vw_article_nlp_topics"].groupBy("feedly_id").agg(F.count("*").alias("n_topics"))
+    return stored["articles"].select("feedly_id", "title").join(topics, "feedly_id")
+
+
+def check_model(spark: SparkSession, sf: str) -> DataFrame:
+    """The rules of the data model, broken by design: entries are lines of one order."""
+    tables = {
+        "feedly_entries": B.table(spark, sf, "lineitem").select(
+            F.col("l_orderkey").alias("feedly_id"), F.col("l_shipdate").alias("created_at"),
+            F.col("l_shipdate").alias("updated_at"),
+            F.when(F.col("l_returnflag") != "R", F.col("l_shipdate")).alias("published_at"),
+        ),
+        "channel_concepts": B.table(spark, sf, "documents").select(
+            F.col("doc_id").alias("channel_id"), F.col("doc_id").alias("concept_id")
+        ),
+        "channels": B.table(spark, sf, "labels").select(
+            F.col("doc_id").alias("id"), *[F.col("doc_id").cast("string").alias(c) for c in ("name", "target", "target_id", "emoji_icon")]
+        ),
+    }
+    return K.check_tables(tables)
+
+
 def view(name: str) -> Query:
     return lambda spark, sf: show_period(build_views(B.order_tables(spark, sf), AS_OF)[name])
 
@@ -562,12 +709,19 @@ def view_articles(spark: SparkSession, sf: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------
 
 
+def file_stream(df: DataFrame, key: str) -> DataFrame:
+    """A table as a stream of four files, one per batch; a hash deals the rows
+    out, so every batch holds times from all over."""
+    path = shared_dir(df.sparkSession, "stream")
+    df.repartition(4, F.xxhash64(key)).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = B.table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return file_stream(B.table(spark, sf, "events"), "event_id")
 
 
-def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
+def stream_upsert(spark: SparkSession, sf: str, compacted: bool = False) -> DataFrame:
     entries = event_stream(spark, sf).select(
         F.concat(F.lit("user/"), F.col("user_id")).alias("feedly_id"),
         F.col("ts").alias("created_at"),
@@ -577,8 +731,17 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
         B.json_of(title=F.col("event_type")).alias("payload"),
     )
     log, checkpoint = shared_dir(spark, "entries"), shared_dir(spark, "checkpoint")
-    ingest_entries(entries, log, checkpoint, ("updated_at", "id")).awaitTermination()
-    return current_entries(spark, log).select(
+    order = ("updated_at", "id")
+    ingest_entries(entries, log, checkpoint, order).awaitTermination()
+    # The first two batches are compacted, the others folded into them.
+    early = current_entries(spark, log, order=order) if compacted else None
+    rows = current_entries(spark, log, order=order)
+    if compacted:
+        first = spark.read.parquet(log).where("batch_id < 2").drop("batch_id")
+        base = materialize(M.latest_by_key(first, ["feedly_id"], order, ["created_at"]), shared_dir(spark, "base"))
+        rows = compact(spark, log, shared_dir(spark, "table"), base, after=1, order=order)
+        rows = rows.join(early.select("feedly_id"), "feedly_id", "left_semi")
+    return rows.select(
         "feedly_id", second("created_at"), second("updated_at"), json_text(F.col("payload"), "title").alias("title")
     )
 
@@ -625,11 +788,55 @@ def stream_unsent(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(sent).select("channel_id", "feedly_id", second("created_at"), "text")
 
 
+def stream_routing(spark: SparkSession, sf: str) -> DataFrame:
+    """Analyses of orders arrive as files; rules, topics and sectors run per batch."""
+    tables = B.order_tables(spark, sf)
+    analyses = file_stream(tables["feedly_entry_text_analyses"], "feedly_id")
+    sent, state = shared_dir(spark, "sent"), shared_dir(spark, "channels")
+    deliver_analyses(
+        analyses, tables["feedly_entries"], tables, "slack", sent, state, shared_dir(spark, "checkpoint"), AS_OF
+    ).awaitTermination()
+    return spark.read.parquet(sent).select(
+        "channel_id", "feedly_id", "text", "headline", joined("captions", "\n")
+    )
+
+
+def stream_windowed(spark: SparkSession, sf: str) -> DataFrame:
+    """Closed days of the events, with a watermark that no event is later than."""
+    rows = event_stream(spark, sf).select(
+        F.col("event_id").alias("feedly_id"), F.col("ts").alias("published_at"), F.col("event_type").alias("topic_label")
+    )
+    out = shared_dir(spark, "windowed")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    counts = windowed_counts(rows, "topic_label", "400 days")
+    counts.writeStream.outputMode("update").foreachBatch(keep).option(
+        "checkpointLocation", shared_dir(spark, "checkpoint")
+    ).trigger(availableNow=True).start().awaitTermination()
+    days = spark.read.parquet(out)
+    last = days.groupBy("time_period", "topic_label").agg(F.max("count").alias("count"))  # counts only grow
+    return show_period(last)
+
+
 def stream_watermarks(spark: SparkSession, sf: str) -> DataFrame:
     _, state, channels = sent_events(spark, sf)
     return channel_state(spark, channels, state).select("id", second("last_sent_at"))
 
 
+LANDED = (
+    B.document_entries, B.page_entries, B.part_entries, B.order_entries, B.order_analyses, B.order_articles,
+    topics, entities, resolved,
+)
+
+
+def land(spark: SparkSession, sf: str) -> None:
+    """Write the tables and stored views that queries read, once per application."""
+    for make in LANDED:
+        B.stored(spark, sf, make)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for g in GRAINS:
@@ -695,6 +902,7 @@ def queries() -> dict[str, Query]:
         route=route,
         channel_details=channel_details,
         unsent=unsent,
+        unsent_always=unsent_always,
         outbox=outbox,
         advance_watermarks=advance_watermarks,
         upsert=upsert,
@@ -708,6 +916,17 @@ def queries() -> dict[str, Query]:
         as_json=as_json,
         materialize=materialized,
         view_articles=view_articles,
+        feed_numbers=feed_numbers,
+        all_alternates=all_alternates,
+        seed_files=seed_files,
+        null_sets=null_sets,
+        digest_messages=digest_messages,
+        ordered_board=ordered_rows,
+        refresh=refreshed,
+        check_tables=check_model,
+        stream_routing=stream_routing,
+        stream_windowed=stream_windowed,
+        stream_compact=lambda spark, sf: stream_upsert(spark, sf, compacted=True),
         stream_upsert=stream_upsert,
         stream_counts=stream_counts,
         stream_unsent=stream_unsent,

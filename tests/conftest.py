@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from newsboard.plans.storage import clear_shared  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -24,6 +26,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_shared(session)
     session.stop()
 
 
