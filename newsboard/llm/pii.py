@@ -161,14 +161,17 @@ def disclosing_terms(
     )
 
 
-def term_spans(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
+def term_spans(docs: DataFrame, text: str, terms: DataFrame, copies: DataFrame) -> DataFrame:
     """(key, rows, found) for each distinct text with a disclosing term:
-    ``found`` are the terms' spans, ``rows`` the documents with the text."""
+    ``found`` are the terms' spans, ``rows`` the documents with the text, as
+    ``copies`` (key, rows) has them."""
     keyed = docs.select(F.md5(F.col(text)).alias("key"), F.col(text).alias("text"))
     # a document without any of the terms ends here
     marked = keyed.select("key", F.explode(F.array_distinct(words_of(F.col("text")))).alias("term"))
     hit = marked.join(terms.select("term"), "term", "left_semi").select("key").distinct()
-    whole = keyed.join(hit, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("rows"))
+    hit = landed(copies.join(hit, "key", "left_semi"), "hits")
+    # a text with many copies is met where it lies and reduced before it moves
+    whole = hot_join(keyed, hit, "key", "rows").groupBy("key", "rows").agg(F.first("text").alias("text"))
     whole = landed(whole, "hit-texts")
     gaps = F.concat(F.regexp_extract_all("text", F.lit(BREAK), F.lit(0)), F.array(F.lit("")))
     pieces = F.zip_with(
@@ -221,7 +224,8 @@ def find_personal_data(
         based.filter(F.size("base") > 0).groupBy("key").agg(F.count("*").alias("rows"), F.first("contexts").alias("contexts"))
     )
     terms = landed(disclosing_terms(landed(seen, "seen"), given, "text", least_texts, threshold), "terms")
-    found = landed(term_spans(given, "text", terms), "term-spans")
+    copies = based.groupBy("key").agg(F.count("*").alias("rows"))
+    found = landed(term_spans(given, "text", terms, copies), "term-spans")
     apart = F.filter(
         F.coalesce("found", F.array().cast(found.schema["found"].dataType)),
         lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
