@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from newsboard.plans.storage import shared_dir
 
 #: The white space of the corpus contracts: space and \t \n \v \f \r.
 SPACES = " \t\n\x0b\f\r"
@@ -13,27 +13,13 @@ SPACE_CLASS = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_base(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` where the
-    session names one, else a folder of the session's warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
-    return base.rstrip("/")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_base(spark)}/llm-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
 def landed(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table written once in the shared folder.
 
     Whatever reads the result reads files that outlive any executor, and the
     work above it runs a single time.
     """
-    path = shared_path(df.sparkSession, name)
+    path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

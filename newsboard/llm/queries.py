@@ -34,34 +34,9 @@ FROM k
 def op2_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = units.repeated_units(table(spark, sf_dir, "documents"))
     return removed.select(
-        F.col("id").alias("doc_id"), F.col("unit").alias("line"), F.col("start").alias("start_at"), F.col("end").alias("end_at"),
-        "n_words", F.col("kept_id").alias("kept_doc_id"), F.col("kept_unit").alias("kept_line"), F.col("kept_start").alias("kept_start_at"),
-    )
-
-
-OP2_SQL = r"""
-WITH l AS (
-  SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line, unnest(ls) AS t
-  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)
-),
-p AS (
-  SELECT doc_id, line, t,
-    coalesce(sum(length(t) + 1) OVER (PARTITION BY doc_id ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_at,
-    list_filter(regexp_split_to_array(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
-      lambda x: x <> '') AS ws
-  FROM l
-),
-r AS (
-  SELECT *, row_number() OVER w AS nth, first_value(doc_id) OVER w AS kept_doc_id, first_value(line) OVER w AS kept_line,
-    first_value(start_at) OVER w AS kept_start_at
-  FROM p WHERE len(ws) >= 50
-  WINDOW w AS (PARTITION BY array_to_string(ws, ' ') ORDER BY doc_id, line)
-)
-SELECT doc_id, CAST(line AS INTEGER) AS line, CAST(start_at AS INTEGER) AS start_at,
-  CAST(start_at + length(t) AS INTEGER) AS end_at, CAST(len(ws) AS INTEGER) AS n_words, kept_doc_id,
-  CAST(kept_line AS INTEGER) AS kept_line, CAST(kept_start_at AS INTEGER) AS kept_start_at
-FROM r WHERE nth > 1
-"""
+        F.col("id").alias("doc_id"), F.col("start").alias("start_at"), F.col("cut").alias("end_at"),
+        "n_words", F.col("kept_id").alias("kept_doc_id"), F.col("kept_start").alias("kept_start_at"),
+    ).distinct()
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +175,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": OP1_SQL,
-        "op2_unit_dedup": OP2_SQL,
         "op3_decontaminate": OP3_SQL,
         "op4_top_k": OP4_SQL,
         "op9_line_dedup": OP9_SQL,

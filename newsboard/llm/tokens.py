@@ -23,7 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from newsboard.llm.common import landed, open_for_read, open_for_write, shared_path
+from newsboard.llm.common import landed, open_for_read, open_for_write
+from newsboard.plans.storage import shared_dir
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -222,7 +223,7 @@ def write_ids(
 
     path = vocabulary or vocabulary_path(VOCABULARY)
     bits = bits or bits_for(Tokenizer.from_file(path).get_vocab_size())
-    folder = shared_path(docs.sparkSession, "ids")
+    folder = shared_dir(docs.sparkSession, "ids")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -1,18 +1,31 @@
-"""Substring dedup by hashing of lines or paragraphs."""
+"""Substring dedup by hashing of lines, paragraphs or clauses."""
 
 from __future__ import annotations
 
-import hashlib
+import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsboard.llm.common import LOWER, UPPER, fresh, hot_join, landed, row_key
 
-#: A unit with fewer words is never removed.
-LEAST_WORDS = 50
+#: Repeated text is removed from this many words on.
+LEAST_WORDS = 40
+#: Units in a row are hashed together until they have so many words, so that
+#: a short unit is no evidence by itself.
+HASHED_WORDS = 8
 _ASCII_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
+_SPACE = r"[ \t-\r]"
+#: What separates units: a line break; blank lines; or, for clauses, also the
+#: space after a full stop and before a capital letter.
+BREAKS = {
+    "line": re.compile(r"\n"),
+    "paragraph": re.compile(rf"(?:{_SPACE}*\n){{2,}}"),
+    "clause": re.compile(rf"\n|(?<=[.!?]){_SPACE}+|{_SPACE}+(?=[A-ZÀ-ÖØ-Þ])"),
+}
 
 
 def normalised(unit: str) -> list[bytes]:
@@ -20,100 +33,128 @@ def normalised(unit: str) -> list[bytes]:
     return unit.encode().translate(_ASCII_LOWER).split()
 
 
-def lines(text: str) -> Iterator[tuple[int, int, int]]:
-    """(start, end, cut) of every line; ``cut`` is past its line break."""
-    at = 0
-    for line in text.split("\n"):
-        end = at + len(line)
-        yield at, end, min(end + 1, len(text))
-        at = end + 1
-
-
-def paragraphs(text: str) -> Iterator[tuple[int, int, int]]:
-    """(start, end, cut) of every run of lines that are not blank."""
-    first = last = cut = None
-    for start, end, after in lines(text):
-        if text[start:end].strip(" \t\n\x0b\f\r"):
-            first = start if first is None else first
-            last, cut = end, after
-        elif first is not None:
-            yield first, last, cut
-            first = None
-    if first is not None:
-        yield first, last, cut
-
-
-def units(docs: DataFrame, id_col: str, text: str, unit: str = "line", least_words: int = LEAST_WORDS) -> DataFrame:
-    """(row, id, unit, start, end, cut, n_words, digest) of the units with at
-    least ``least_words`` words; ``row`` is a digest of id and text."""
-    split = {"line": lines, "paragraph": paragraphs}[unit]
-    names = ["row", "id", "unit", "start", "end", "cut", "n_words", "digest"]
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pieces(text: str, unit: str) -> list[tuple[int, int, bytes]]:
+    """(start, number of words, digest) of all units that have words."""
+    out, at = [], 0
+    for gap in BREAKS[unit].finditer(text):
+        out.append((at, gap.start()))
+        at = gap.end()
+    out.append((at, len(text)))
+    found = []
+    for start, end in out:
+        words = normalised(text[start:end])
+        if words:
+            found.append((start, len(words), xxhash.xxh3_128_digest(b" ".join(words))))
+    return found
+
+
+def sequences(text: str, unit: str, hashed_words: int) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """(first word, end word, start, cut, digest) of the shortest sequences of
+    units with ``hashed_words`` words that begin or end at each unit; ``cut``
+    is where the unit after the sequence begins."""
+    units = pieces(text, unit)
+    words = [0, *accumulate(n for _, n, _ in units)]
+    starts = [*(s for s, _, _ in units), len(text)]
+
+    def sequence(i: int, j: int) -> tuple[int, int, int, int, bytes]:
+        digest = units[i][2] if j == i + 1 else xxhash.xxh3_128_digest(b"".join(u[2] for u in units[i:j]))
+        return words[i], words[j], starts[i], starts[j], digest
+
+    n, j, last = len(units), 0, None
+    for i in range(n):
+        j = max(j, i + 1)
+        while j < n and words[j] - words[i] < hashed_words:
+            j += 1
+        enough = words[j] - words[i] >= hashed_words
+        # ends that no sequence from here on is the shortest for
+        for end in range(last + 1, j if enough else n + 1) if last else ():
+            yield sequence(i - 1, end)
+        if not enough:
+            return
+        yield sequence(i, j)
+        last = j
+    for end in range(last + 1, n + 1) if last else ():
+        yield sequence(n - 1, end)
+
+
+def hashed_sequences(docs: DataFrame, id_col: str, text: str, unit: str, hashed_words: int) -> DataFrame:
+    """(row, id, first_word, end_word, start, cut, digest) of all sequences of
+    all texts; ``row`` is a digest of id and text."""
+    names = ["row", "id", "first_word", "end_word", "start", "cut", "digest"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, ids, out = batch.column(0), batch.column(1), [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(6)]
             for k, cell in enumerate(batch.column(2)):
-                text = cell.as_py()
-                for n, (start, end, cut) in enumerate(split(text)):
-                    if end - start < 2 * least_words - 1:  # too short for so many words
-                        continue
-                    words = normalised(text[start:end])
-                    if len(words) >= max(least_words, 1):
-                        digest = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
-                        for column, value in zip(out, (k, n, start, end, cut, len(words), digest), strict=True):
-                            column.append(value)
+                for found in sequences(cell.as_py(), unit, hashed_words):
+                    for column, value in zip(out, (k, *found), strict=True):
+                        column.append(value)
             at = pa.array(out[0], pa.int64())
-            kinds = [pa.int32()] * 5 + [pa.binary()]
-            rest = [pa.array(c, t) for c, t in zip(out[1:], kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([rows.take(at), ids.take(at), *rest], names)
+            rest = [pa.array(c, t) for c, t in zip(out[1:], [pa.int32()] * 4 + [pa.binary()], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *rest], names)
 
     id_type = docs.schema[id_col].dataType.simpleString()
     given = docs.filter(F.col(text).isNotNull()).select(
         row_key(F.col(id_col), F.col(text)).alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text")
     )
-    shape = f"row binary, id {id_type}, unit int, start int, end int, cut int, n_words int, digest binary"
-    return given.mapInArrow(hashed, shape)
+    shape = f"row binary, id {id_type}, first_word int, end_word int, start int, cut int, digest binary"
+    return given.mapInArrow(cut, shape)
 
 
 def repeated_units(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", unit: str = "line", least_words: int = LEAST_WORDS
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", unit: str = "clause",
+    least_words: int = LEAST_WORDS, hashed_words: int = HASHED_WORDS,
 ) -> DataFrame:
-    """The units to remove: (row, id, unit, start, end, cut, n_words, kept_id,
-    kept_unit, kept_start), a row per occurrence but the first.
-
-    Units are lines, or paragraphs (runs of lines that are not blank), with
-    A-Z lower-cased and white space run together.  All occurrences of a
-    digest are ranked by id, then place in the document; the first stays, the
-    others go, also within one document.  Offsets are code points of the
-    original text; ``cut`` is past the line break.
+    """The passages to remove: (row, id, start, cut, n_words, kept_id,
+    kept_start), runs of units that all occur earlier.
+
+    Units are lines, paragraphs (between blank lines) or clauses, with A-Z
+    lower-cased and white space run together.  The shortest sequences with
+    ``hashed_words`` words that begin or end at a unit are hashed.  Occurrences of a digest
+    are ranked by id, then place in the document: the first stays, the others
+    are repeats, also within one document.  Overlapping and touching repeats
+    are one run; runs of ``least_words`` words or more are reported with code
+    point offsets of the original text, and where the first of their sequences
+    was kept.  ``cut`` is where the text after the run begins.
 
     NULL ids rank last.  Rows with equal id and text are one document: they
-    lose the same units.  NULL and empty texts have no units, no rows give no
-    rows.  A unit with a third of all occurrences is a hot key, met by a
-    broadcast of at most a thousand such keys.
+    lose the same passages.  NULL and empty texts have no units, no rows give
+    no rows.  Only digests that occur twice go on from the first count, a sum
+    per task; a passage that a third of the documents share is a hot key there
+    and met by a broadcast of at most a thousand such keys.
     """
-    found = landed(units(docs, id_col, text, unit, least_words), "units")
-    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "unit", "start", "row")
-    first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    kept = F.struct(F.col("row").alias("row"), F.col("unit").alias("unit"))
-    return (
-        hot_join(found, landed(first, "first"), "digest", "n")
-        .filter(kept != F.struct(F.col("first.row").alias("row"), F.col("first.unit").alias("unit")))
-        .select(
-            "row", "id", "unit", "start", "end", "cut", "n_words",
-            F.col("first.id").alias("kept_id"), F.col("first.unit").alias("kept_unit"), F.col("first.start").alias("kept_start"),
+    found = landed(hashed_sequences(docs, id_col, text, unit, hashed_words), "sequences")
+    counts = landed(found.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1"), "repeated")
+    shared = landed(hot_join(found, counts, "digest", "n"), "shared")
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "first_word", "start")
+    first = landed(shared.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("m")), "first")
+    is_first = (F.col("row") == F.col("first.row")) & (F.col("first_word") == F.col("first.first_word"))
+    repeats = hot_join(shared.drop("n"), first, "digest", "m").filter(~is_first)
+    in_text = Window.partitionBy("row").orderBy("first_word", "end_word")
+    reach = F.max("end_word").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+    runs = (
+        repeats.dropDuplicates(["row", "first_word", "end_word"])
+        .withColumn("opens", F.coalesce(F.col("first_word") > reach, F.lit(True)).cast("int"))
+        .withColumn("run", F.sum("opens").over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("row", "run")
+        .agg(
+            F.first("id").alias("id"), F.min("start").alias("start"), F.max("cut").alias("cut"),
+            (F.max("end_word") - F.min("first_word")).alias("n_words"),
+            F.min(F.struct("first_word", F.col("first.id").alias("id"), F.col("first.start").alias("start"))).alias("kept"),
         )
-        .distinct()
+    )
+    return runs.filter(F.col("n_words") >= least_words).select(
+        "row", "id", "start", "cut", "n_words", F.col("kept.id").alias("kept_id"), F.col("kept.start").alias("kept_start")
     )
 
 
 def remove_units(
     docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text: str = "text", kept: str = "kept_spans"
 ) -> DataFrame:
-    """``docs`` without the units of ``repeated_units``, and a column ``kept``
-    with the spans (start, end) of the original text that the new text is made
-    of, so that every place can be traced back.  A document that loses all of
-    its units keeps an empty text; a NULL text stays NULL with no spans."""
+    """``docs`` without the passages of ``repeated_units``, and a column
+    ``kept`` with the spans (start, end) of the original text that the new text
+    is made of, so that every place can be traced back.  A document that loses
+    all of its text keeps an empty one; a NULL text stays NULL with no spans."""
     row, cuts = fresh(docs, "row", "cuts")
     by_row = removed.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "cut"))).alias(cuts))
     by_row = by_row.withColumnRenamed("row", row)
@@ -131,11 +172,11 @@ def remove_units(
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("out"))
     none = F.array().cast("array<struct<start:int,cut:int>>")
-    pieces = F.transform(F.col(kept), lambda s: F.substring(F.col(text), s["start"] + 1, s["end"] - s["start"]))
+    parts = F.transform(F.col(kept), lambda s: F.substring(F.col(text), s["start"] + 1, s["end"] - s["start"]))
     joined = (
         docs.withColumn(row, row_key(F.col(id_col), F.col(text)))
         .join(by_row, row, "left")
         .withColumn(kept, F.coalesce(F.aggregate(F.coalesce(cuts, none), start, step, finish), F.array().cast(spans)))
     )
-    cut = F.when(F.col(cuts).isNull(), F.col(text)).otherwise(F.array_join(pieces, ""))
+    cut = F.when(F.col(cuts).isNull(), F.col(text)).otherwise(F.array_join(parts, ""))
     return joined.withColumn(text, cut).select(*docs.columns, kept)

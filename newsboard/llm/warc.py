@@ -18,7 +18,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from newsboard.llm.common import hot_join, landed, open_for_read, open_for_write, shared_path
+from newsboard.llm.common import hot_join, landed, open_for_read, open_for_write
+from newsboard.plans.storage import shared_dir
 
 LEAST_BYTES = 1000
 CHUNK_BYTES = 1 << 16
@@ -85,7 +86,7 @@ def write_warc(
     A task that runs again writes files with new names; only those of the
     attempt that counts are in the result.
     """
-    folder = shared_path(pages.sparkSession, "warc")
+    folder = shared_dir(pages.sparkSession, "warc")
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = record_types(
         pages.select(F.col(id_col).cast("bigint").alias("id"), F.col(url).cast("string").alias("url"), body.alias("body")),

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-import verify
+import __spark_entry__ as entry_point
 from newsboard.llm import units as U
 
 SF = "/root/testdata/sf0.001"
@@ -14,61 +14,105 @@ def frame(spark, rows):
     return spark.createDataFrame([(*r, "r", "k", "c", "d") for r in rows], SCHEMA)
 
 
-def brute(rows, unit, least):
-    """{(id, text): spans removed} and the cleaned texts."""
-    split = {"line": U.lines, "paragraph": U.paragraphs}[unit]
+def brute(rows, unit, least, hashed):
+    """{(id, start, cut, n_words, kept_id, kept_start)} by comparing words, not digests."""
     places = {}
     for i, t in set(rows):
-        for n, (a, b, c) in enumerate(split(t or "")):
-            ws = U.normalised((t or "")[a:b])
-            if len(ws) >= least:
-                places.setdefault(tuple(ws), []).append((i is None, i, n, a, t, b, c))
-    removed = set()
+        spans, at = [], 0
+        for gap in U.BREAKS[unit].finditer(t or ""):
+            spans.append((at, gap.start()))
+            at = gap.end()
+        spans.append((at, len(t or "")))
+        units = [(a, ws) for a, b in spans if (ws := U.normalised((t or "")[a:b]))]
+        n, total = len(units), lambda i, j: sum(len(ws) for _, ws in units[i:j])
+        enough = [(i, j) for i in range(n) for j in range(i + 1, n + 1) if total(i, j) >= hashed]
+        shortest = {min((x for x in enough if x[0] == i), default=None) for i in range(n)}
+        shortest |= {max((x for x in enough if x[1] == j), default=None) for j in range(1, n + 1)}
+        for k, j in shortest - {None}:
+            seq = tuple(tuple(ws) for _, ws in units[k:j])
+            cut = units[j][0] if j < n else len(t)
+            places.setdefault(seq, []).append((i is None, i or 0, total(0, k), t, total(k, j), units[k][0], cut, i))
+    repeats = {}
     for found in places.values():
-        found.sort(key=lambda p: (p[0], p[1] or 0, p[2]))
-        removed |= {(p[1], p[4], p[3], p[5], p[6], found[0][1], found[0][3]) for p in found[1:]}
-    return removed
+        found.sort()
+        for p in found[1:]:
+            repeats.setdefault((p[7], p[3]), []).append((p[2], p[2] + p[4], p[5], p[6], found[0][7], found[0][5]))
+    out = set()
+    for (i, _), spans in repeats.items():
+        runs = []
+        for a, b, start, cut, ki, ks in sorted(spans, key=lambda s: s[:2]):
+            if runs and a <= runs[-1][1]:
+                runs[-1][1], runs[-1][3] = max(b, runs[-1][1]), max(cut, runs[-1][3])
+            else:
+                runs.append([a, b, start, cut, ki, ks])
+        out |= {(i, s, c, b - a, ki, ks) for a, b, s, c, ki, ks in runs if b - a >= least}
+    return out
 
 
-def sample(seed):
-    rng = random.Random(seed)
-    pool = ["a b c", "A  B\tc ", "x y", "é f g h", "", " ", "one", "q r s\x0bt"]
-    rows = [(i, "\n".join(rng.choices(pool, k=rng.randint(1, 9)))) for i in range(40)]
-    return rows + [(None, "a b c\nnew words here"), (50, None), (51, ""), rows[3], rows[3]]
+def got(df):
+    return {(r["id"], r["start"], r["cut"], r["n_words"], r["kept_id"], r["kept_start"]) for r in df.collect()}
 
 
-def test_query_matches_sql(spark):
-    assert verify.compare(spark, verify.connect(SF), "op2_unit_dedup", SF).startswith("ok")
+def sample(seed):
+    rng = random.Random(seed)
+    pool = ["a b c", "A  B\tc ", "x y.", "é f Ég h", "", " ", "one", "q r! s\x0bt", "\n"]
+    rows = [(i, rng.choice(["\n", " "]).join(rng.choices(pool, k=rng.randint(1, 12)))) for i in range(50)]
+    return rows + [(None, "a b c\nnew words here"), (None, "x y. q r! s"), (90, None), (91, ""), rows[3], rows[3]]
 
 
-@pytest.mark.parametrize(("unit", "least"), [("line", 3), ("line", 1), ("paragraph", 2)])
-def test_matches_brute_force(spark, unit, least):
+@pytest.mark.parametrize(("unit", "least", "hashed"), [("line", 3, 3), ("line", 1, 1), ("paragraph", 4, 2), ("clause", 5, 3)])
+def test_matches_brute_force(spark, unit, least, hashed):
     rows = sample(least)
     df = frame(spark, rows)
-    removed = U.repeated_units(df, unit=unit, least_words=least)
-    want = brute(rows, unit, least)
-    got = {(r["id"], r["start"], r["end"], r["kept_id"], r["kept_start"]) for r in removed.collect()}
-    assert got == {(i, a, b, ki, ka) for i, _, a, b, _, ki, ka in want}
-    cuts = {}
-    for i, t, a, _, c, _, _ in want:
-        cuts.setdefault((i, t), []).append((a, c))
-    clean = U.remove_units(df, removed).withColumn("doc", F.col("doc_id")).collect()
+    removed = U.repeated_units(df, unit=unit, least_words=least, hashed_words=hashed)
+    want = brute(rows, unit, least, hashed)
+    assert got(removed) == want and want
+    clean = U.remove_units(df, removed).collect()
     assert len(clean) == len(rows)
-    texts = {}
-    for i, t in rows:
-        kept, at = "", 0
-        for a, c in sorted(cuts.get((i, t), [])):
-            kept, at = kept + (t or "")[at:a], c
-        texts.setdefault(i, set()).add(None if t is None else kept + t[at:])
+    cuts = {}
+    for r in removed.collect():
+        cuts.setdefault(r["id"], set()).add((r["start"], r["cut"]))
+    originals = {i: t for i, t in rows if i is not None}
     for r in clean:
-        assert r["text"] in texts[r["doc_id"]]
-        if r["text"] is not None and r["doc_id"] is not None:
-            original = dict(rows)[r["doc_id"]]
-            assert "".join(original[s["start"] : s["end"]] for s in r["kept_spans"]) == r["text"]
+        if r["doc_id"] is None:
+            continue
+        text, kept, at = originals[r["doc_id"]], "", 0
+        for a, c in sorted(cuts.get(r["doc_id"], [])):
+            kept, at = kept + text[at:a], c
+        assert r["text"] == (None if text is None else kept + text[at:])
+        assert "".join(text[s["start"] : s["end"]] for s in r["kept_spans"]) == (r["text"] or "")
+
+
+def test_query_matches_brute_force(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    rows = entry_point.queries()["op2_unit_dedup"](spark, SF).collect()
+    assert {tuple(r) for r in rows} == brute(docs, "clause", U.LEAST_WORDS, U.HASHED_WORDS) and rows
+
+
+def test_a_passage_inside_other_text_is_found(spark):
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    prose = lambda n: " ".join(word() + (". " + word().title() if k % 9 == 8 else "") for k in range(n))
+    passage = "Begins " + prose(60) + "."
+    hosts = [(i, f"{prose(80)} {passage} {prose(80)}") for i in range(5)]
+    clean = [(100 + i, prose(150)) for i in range(20)] + [(200 + i, f"{prose(60)}\nAll rights reserved.") for i in range(9)]
+    found = U.repeated_units(frame(spark, hosts + clean)).collect()
+    assert sorted(r["id"] for r in found) == [1, 2, 3, 4] and {r["kept_id"] for r in found} == {0}
+    texts = dict(hosts)
+    for r in found:
+        assert texts[r["id"]][r["start"] : r["cut"]].strip() == passage
+    left = U.remove_units(frame(spark, hosts), U.repeated_units(frame(spark, hosts)))
+    assert left.filter(F.contains("text", F.lit(passage))).count() == 1
+
+
+def test_one_word_units_are_no_evidence(spark):
+    rng = random.Random(2)
+    rows = [(i, "!! ".join(rng.choices(["AB", "CD", "EF", "GH", "IJ", "KL", "MN", "OP"], k=60))) for i in range(40)]
+    assert U.repeated_units(frame(spark, rows), hashed_words=20).count() == 0
 
 
 def test_no_rows_and_long_units(spark):
     assert U.repeated_units(frame(spark, [])).count() == 0
     long = "w " * 100_000
-    got = U.repeated_units(frame(spark, [(2, long), (1, f"x\n{long}")])).collect()
-    assert [(r["id"], r["kept_id"], r["kept_start"], r["n_words"]) for r in got] == [(2, 1, 2, 100_000)]
+    found = U.repeated_units(frame(spark, [(2, long), (1, f"x\n{long}")]), unit="line").collect()
+    assert [(r["id"], r["kept_id"], r["kept_start"], r["n_words"]) for r in found] == [(2, 1, 2, 100_000)]
