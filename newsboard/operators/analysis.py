@@ -65,9 +65,16 @@ def _of_articles(articles: DataFrame, parsed: DataFrame, cols: Sequence[str], ke
     return articles.select(*keep).join(parsed.select("feedly_id", *cols), "feedly_id")
 
 
-def analysis_topics(articles: DataFrame, parsed: DataFrame) -> DataFrame:
+def _time(df: DataFrame) -> list[str]:
+    """The publishing time, if it travels with the rows: boards then need no
+    join back to the articles."""
+    return ["published_at"] if "published_at" in df.columns else []
+
+
+def analysis_topics(articles: DataFrame, parsed: DataFrame, with_time: bool = False) -> DataFrame:
+    kept = ["feedly_id", "published_at"] if with_time else ["feedly_id"]
     return unnest(
-        _of_articles(articles, parsed, ["topics"], ["feedly_id"]),
+        _of_articles(articles, parsed, ["topics"], kept),
         F.col("topics"),
         {
             "topic_position": ("id", "int"),
@@ -76,7 +83,7 @@ def analysis_topics(articles: DataFrame, parsed: DataFrame) -> DataFrame:
             "topic_wiki_link": "wikiLink",
             "topic_wikidata_id": "wikidataId",
         },
-        ["feedly_id"],
+        kept,
     )
 
 
@@ -99,15 +106,16 @@ def analysis_text(articles: DataFrame, parsed: DataFrame) -> DataFrame:
     return _of_articles(articles, parsed, ["full_text"], _STAMPS).select(*_STAMPS, "full_text")
 
 
-def entity_mentions(articles: DataFrame, parsed: DataFrame) -> DataFrame:
+def entity_mentions(articles: DataFrame, parsed: DataFrame, with_time: bool = False) -> DataFrame:
     """One row per entity mention and type of that entity."""
-    docs = _of_articles(articles, parsed, ["entities"], ["feedly_id"])
+    kept = ["feedly_id", "published_at"] if with_time else ["feedly_id"]
+    docs = _of_articles(articles, parsed, ["entities"], kept)
     return unnest(
-        unnest(docs, F.col("entities"), "e", ["feedly_id"]),
+        unnest(docs, F.col("entities"), "e", kept),
         F.col("e.type"),
         "entity_type",
         [
-            "feedly_id",
+            *kept,
             F.col("e.entityEnglishId").alias("entity_id"),
             F.col("e.unit").alias("unit"),
             F.col("e.crunchbaseId").alias("crunchbase_id"),
@@ -132,18 +140,19 @@ def rollup_entities(mentions: DataFrame) -> DataFrame:
         F.max("relevance_score").alias("relevance_score"),
         F.max("confidence_sore").alias("confidence_sore"),
         F.count("entity_id").alias("mentions"),
+        *[F.max(c).alias(c) for c in _time(mentions)],
     )
     external = F.coalesce(
         "crunchbase_id", "figi", "freebase_id", "lei", "permid", "wikidata_id", "wiki_link"
     )
     return rolled.withColumn("entity_external_id", external).select(
         "feedly_id", *_ENTITY_KEYS[:10], "entity_external_id", *_ENTITY_KEYS[10:],
-        "relevance_score", "confidence_sore", "mentions",
+        "relevance_score", "confidence_sore", "mentions", *_time(mentions),
     )
 
 
-def analysis_entities(articles: DataFrame, parsed: DataFrame) -> DataFrame:
-    return rollup_entities(entity_mentions(articles, parsed))
+def analysis_entities(articles: DataFrame, parsed: DataFrame, with_time: bool = False) -> DataFrame:
+    return rollup_entities(entity_mentions(articles, parsed, with_time))
 
 
 def pick_companies(entities: DataFrame, types: Sequence[str] = COMPANY_TYPES) -> DataFrame:
@@ -160,6 +169,7 @@ def pick_companies(entities: DataFrame, types: Sequence[str] = COMPANY_TYPES) ->
             F.max("relevance_score").alias("relevance_score"),
             F.max("confidence_sore").alias("confidence_sore"),
             F.max("mentions").alias("mentions"),
+            *[F.max(c).alias(c) for c in _time(entities)],
         )
     )
     return dedupe_by_rank(
@@ -199,7 +209,7 @@ def resolve_companies(
     joined = spread_join(
         pick_companies(entities, types), register, ["crunchbase_id"], "left"
     )
-    return joined.select(*COMPANY_COLUMNS, "categories", "category_groups")
+    return joined.select(*COMPANY_COLUMNS, "categories", "category_groups", *_time(joined))
 
 
 def label_matches(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from newsboard.functions import captions as C
 from newsboard.functions.arrays import set_of
 from newsboard.functions.text import identifier
-from newsboard.functions.time import BOARD_ZONE, send_at, shift_zone
+from newsboard.functions.time import BOARD_ZONE, moment, send_at, shift_zone
 from newsboard.operators.analysis import subject_topics
 from newsboard.operators.articles import sentence_texts
 from newsboard.operators.joins import spread_join
@@ -201,10 +201,13 @@ def details_of(
 
 def recent_articles(articles: DataFrame, channels: DataFrame, null_watermark: str = "never") -> DataFrame:
     """Articles that some channel may not have got yet: created after the
-    oldest mark.  The mark is a scalar subquery, so the filter reaches the scan."""
+    oldest mark.  The one value is read from the channels now and becomes a
+    literal that reaches the scan; marks only move forward, so a plan that is
+    run later still holds all that is unsent then."""
     if null_watermark == "always":
         return articles
-    return articles.where(F.col("created_at") > channels.select(F.min("last_sent_at")).scalar())
+    oldest = channels.agg(F.min("last_sent_at")).first()[0]
+    return articles.where(F.col("created_at") > moment(oldest) if oldest else F.lit(False))
 
 
 def unsent_of(

@@ -117,4 +117,6 @@ def topic_mentions(articles: DataFrame, topics: DataFrame) -> DataFrame:
 
 
 def _published(articles: DataFrame, rows: DataFrame) -> DataFrame:
+    if "published_at" in rows.columns:
+        return rows
     return rows.join(articles.select("feedly_id", "published_at"), "feedly_id")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -44,7 +45,9 @@ _HELPERS = {
     "articles": A.ITEM_COLUMNS,
     "vw_feedly_entry_details": A.ITEM_COLUMNS,
     "vw_xr_article_rankings": A.ITEM_COLUMNS,
-    "vw_article_nlp_companies": ["categories", "category_groups"],
+    "vw_article_nlp_topics": ["published_at"],
+    "vw_article_nlp_entities": ["published_at"],
+    "vw_article_nlp_companies": ["categories", "category_groups", "published_at"],
 }
 
 
@@ -130,8 +133,8 @@ def _feed_views(v: Views, tables: Mapping[str, DataFrame], alternates: str) -> N
 def _analysis_views(v: Views, tables: Mapping[str, DataFrame]) -> None:
     parsed = lambda: parse_analyses(tables["feedly_entry_text_analyses"])
     for name, make in (
-        ("vw_article_nlp_topics", N.analysis_topics),
-        ("vw_article_nlp_entities", N.analysis_entities),
+        ("vw_article_nlp_topics", partial(N.analysis_topics, with_time=True)),
+        ("vw_article_nlp_entities", partial(N.analysis_entities, with_time=True)),
         ("vw_article_nlp_text", N.analysis_text),
         ("vw_article_nlp_categories", N.analysis_categories),
     ):
