@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from newsboard.llm.common import LOWER, UPPER, fresh, hot_join, landed, row_key
 
 #: Repeated text is removed from this many words on.
-LEAST_WORDS = 40
+LEAST_WORDS = 30
 #: Units in a row are hashed together until they have so many words, so that
 #: a short unit is no evidence by itself.
 HASHED_WORDS = 8
