@@ -644,19 +644,64 @@ def oracle_sql() -> dict[str, str]:
     deduped_companies = f"""
         SELECT a.published_at, c.* FROM ({ORDER_DEDUPED}) a JOIN ({COMPANIES}) c ON c.feedly_id = a.feedly_id
     """
-    sql["view_ranked_companies_by_month"] = board(
-        f"SELECT * FROM ({deduped_companies}) WHERE name IS NOT NULL", "name", "month")
-    sql["view_ranked_categories_by_week"] = board(
-        f"SELECT published_at, unnest(categories) AS category FROM ({deduped_companies})", "category", "week")
-    sql["view_ranked_category_groups_by_month"] = board(
-        f"SELECT published_at, unnest(groups) AS category_group FROM ({deduped_companies})", "category_group", "month")
-    sql["view_ranked_companies_by_categories_by_month"] = board(
-        f"SELECT published_at, name, unnest(categories) AS category FROM ({deduped_companies})",
-        "name", "month", within="category")
-    sql["view_ranked_topics_by_day"] = board(
-        f"""SELECT a.published_at, t.topic_label AS ranked_name, t.topic_score FROM ({ORDER_DEDUPED}) a
-            JOIN ({TOPICS}) t ON t.feedly_id = a.feedly_id JOIN ({CANONICAL}) l ON l.topic_label = t.topic_label""",
-        "ranked_name", "day", where="topic_score >= 0.35")
+    deduped_topics = f"""
+        SELECT a.published_at, t.topic_label AS ranked_name, t.topic_score FROM ({ORDER_DEDUPED}) a
+        JOIN ({TOPICS}) t ON t.feedly_id = a.feedly_id JOIN ({CANONICAL}) l ON l.topic_label = t.topic_label
+    """
+    for g in GRAINS:
+        sql[f"view_ranked_companies_by_{g}"] = board(f"SELECT * FROM ({deduped_companies}) WHERE name IS NOT NULL", "name", g)
+        sql[f"view_ranked_categories_by_{g}"] = board(
+            f"SELECT published_at, unnest(categories) AS category FROM ({deduped_companies})", "category", g)
+        sql[f"view_ranked_category_groups_by_{g}"] = board(
+            f"SELECT published_at, unnest(groups) AS category_group FROM ({deduped_companies})", "category_group", g)
+        sql[f"view_ranked_companies_by_categories_by_{g}"] = board(
+            f"SELECT published_at, name, unnest(categories) AS category FROM ({deduped_companies})", "name", g, within="category")
+        sql[f"view_ranked_topics_by_{g}"] = board(deduped_topics, "ranked_name", g, where="topic_score >= 0.35")
+        for subject, one in (("topics", "topic"), ("keywords", "keyword"), ("entities", "entity")):
+            key = f"view_article_{subject}_by_{g}"
+            sql[key] = counts(doc_topics(), "topic_label", g) if one == "topic" else sql[f"period_counts_{one}_{g}"]
+    for name, same in (
+        ("feedly_entry_details", "entry_details"), ("article_common_topics", "common_topics"),
+        ("article_entities", "feed_entities"), ("article_keywords", "keywords"),
+        ("article_summary_sentences", "summary_sentences"), ("article_priorities", "priorities"),
+        ("article_common_common_topic_list", "topic_list"), ("article_entity_list", "entity_list"),
+        ("article_keyword_list", "keyword_list"), ("organization_categories", "org_categories"),
+        ("organization_category_groups", "org_category_groups"), ("categories_with_category_groups", "category_map"),
+        ("category_list", "category_list"), ("category_groups_list", "group_list"),
+    ):
+        sql[f"view_{name}"] = sql[same]
+    parts = f"""part WHERE p_partkey IN (
+        SELECT p_partkey FROM part
+        QUALIFY row_number() OVER (PARTITION BY {soundex('p_name')} ORDER BY p_size DESC, 'part/' || p_partkey) = 1)"""
+    for name in ("entities_by_topics", "entities_by_keywords"):
+        sql[f"view_article_{name}"] = sql[name].replace("FROM part)", f"FROM {parts})")
+
+    kept = f"SELECT feedly_id FROM ({ORDER_DEDUPED})"
+
+    def in_graph(text: str) -> str:
+        """The same over the articles that are left when copies are gone."""
+        for given in (ORDER_ARTICLES, ENTITIES, TOPICS):
+            text = text.replace(f"({given})", f"(@{len(given)})")
+        for given in (ORDER_ARTICLES, ENTITIES, TOPICS):
+            text = text.replace(f"(@{len(given)})", f"(SELECT * FROM ({given}) WHERE feedly_id IN ({kept}))")
+        return text
+
+    unlimited = lambda text: text.replace("LIMIT 10", "").replace("1998-06-15", "1995-07-10")
+    for name, same in (
+        ("article_nlp_topics", sql["analysis_topics"]), ("article_nlp_entities", sql["analysis_entities"]),
+        ("article_nlp_companies", sql["companies"]), ("nlp_topics", LABELS), ("topics", CANONICAL),
+        ("nlp_entities_without_concepts", sql["uncovered_types"]),
+        ("company_articles_with_sectors", sql["company_articles"]), ("channel_articles", sql["route"]),
+        ("channel_article_details", sql["channel_details"]),
+        ("channel_articles_unsent_by_channel_and_target", sql["unsent"]),
+        ("latest_articles", unlimited(LATEST)), ("top_articles_last_24_hours", unlimited(TOP)),
+    ):
+        sql[f"view_{name}"] = in_graph(same)
+    for name, same in (("article_nlp_categories", "analysis_categories"), ("article_nlp_text", "analysis_text")):
+        sql[f"view_{name}"] = f"SELECT * FROM ({sql[same]}) WHERE feedly_id IN ({kept})"
+    sql["view_article_rankings"] = f"""
+        SELECT feedly_id, published_day, popularity_by_month FROM ({in_graph(sql["article_rankings"])})
+    """
     sql["view_articles"] = f"""
         SELECT feedly_id, site, title, url, {day('published_at')} AS published_at FROM ({ORDER_DEDUPED})
     """

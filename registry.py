@@ -40,6 +40,7 @@ from newsboard.streaming.routing import channel_state, deliver, deliver_analyses
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = datetime(1998, 6, 15)
+VIEWS_AS_OF = datetime(1995, 7, 10)
 EVENTS_AS_OF = datetime(2024, 1, 15, 17)
 MIN_VALUE = 50.0
 
@@ -697,8 +698,90 @@ def check_model(spark: SparkSession, sf: str) -> DataFrame:
     return K.check_tables(tables)
 
 
-def view(name: str) -> Query:
-    return lambda spark, sf: show_period(build_views(B.order_tables(spark, sf), AS_OF)[name])
+# Views through the graph: the entries they are fed with, and what is shown of them.
+SETS = ("topic_labels", "categories", "category_group", "company_names")
+DIGEST = lambda df: df.select(
+    "feedly_id", second("published_at_with_tz"), *[joined(c) for c in SETS], "title", rounded("engagement_rate"),
+    "engagement", "url", "author", "site", joined("summary_sentences"),
+)
+VIEWS: dict[str, tuple[Callable, Callable[[DataFrame], DataFrame]]] = {
+    "vw_feedly_entry_details": (B.page_entries, page_columns),
+    "vw_article_common_topics": (B.document_entries, lambda df: df.select(
+        "feedly_id", "topic_id", "topic_label", rounded("topic_score"), "topic_salince_level")),
+    "vw_article_entities": (B.document_entries, lambda df: df.select(
+        "feedly_id", "entity_id", "entity_label", "entity_salince_level")),
+    "vw_article_keywords": (B.document_entries, lambda df: df.select("feedly_id", "keyword")),
+    "vw_article_summary_sentences": (B.document_entries, lambda df: df.select(
+        "feedly_id", "summary_sentence", "summary_sentence_position", "summary_sentence_score")),
+    "vw_article_priorities": (B.document_entries, lambda df: df.select(
+        "feedly_id", "priority_id", "priority_label", "search_term_id", "search_term_label")),
+    "vw_article_common_common_topic_list": (B.document_entries, lambda df: df),
+    "vw_article_entity_list": (B.document_entries, lambda df: df),
+    "vw_article_keyword_list": (B.document_entries, lambda df: df),
+    "vw_article_entities_by_topics": (B.part_entries, lambda df: df.select(
+        "feedly_id", "entity_id", "entity_label", "topic_id", "topic_label")),
+    "vw_article_entities_by_keywords": (B.part_entries, lambda df: df.select(
+        "feedly_id", "entity_id", "entity_label", "keyword")),
+    "vw_article_nlp_topics": (B.order_entries, lambda df: df.select(
+        "feedly_id", "topic_position", "topic_label", rounded("topic_score"))),
+    "vw_article_nlp_entities": (B.order_entries, lambda df: df.select(
+        "feedly_id", "entity_type", "entity_id", "crunchbase_id", "wikidata_id", "entity_external_id",
+        "matched_text", "starting_pos", joined("matching_tokens", ","),
+        rounded("relevance_score"), rounded("confidence_sore"), "mentions")),
+    "vw_article_nlp_text": (B.order_entries, lambda df: df.select("feedly_id", "full_text")),
+    "vw_article_nlp_categories": (B.order_entries, lambda df: df.select(
+        "feedly_id", "category_position", "category_label", rounded("category_score"), "category_id", "classifier_id")),
+    "vw_article_nlp_companies": (B.order_entries, lambda df: df.select(
+        "feedly_id", "entity_id", "entity_external_id", "crunchbase_id", rounded("relevance_score"),
+        rounded("confidence_sore"), "uuid", "name", "permalink", "city", "region")),
+    "vw_xr_nlp_topics": (B.order_entries, lambda df: df),
+    "vw_xr_topics": (B.order_entries, lambda df: df),
+    "vw_nlp_entities_without_concepts": (B.order_entries, lambda df: df),
+    "vw_organization_categories": (B.order_entries, lambda df: df),
+    "vw_organization_category_groups": (B.order_entries, lambda df: df),
+    "vw_categories_with_category_groups": (B.order_entries, lambda df: df),
+    "vw_category_list": (B.order_entries, lambda df: df),
+    "vw_category_groups_list": (B.order_entries, lambda df: df),
+    "xr_company_articles_with_sectors": (B.order_entries, lambda df: df.select(
+        "feedly_id", "topic_label", rounded("topic_score"), "uuid", "name", rounded("relevance_score"),
+        "city", "region", "category", "category_group",
+        day("published_on"), day("published_week"), day("published_month"))),
+    "vw_latest_articles": (B.order_entries, DIGEST),
+    "vw_top_articles_last_24_hours": (B.order_entries, DIGEST),
+    "vw_xr_channel_articles": (B.order_entries, lambda df: df.select(
+        "channel_id", "channel_name", "channel_emoji_icon", "target", "target_id", "concept_name",
+        "entity_type", "entity_id", "topic_label", "feedly_id", "identifier")),
+    "vw_xr_channel_article_details": (B.order_entries, lambda df: df.select(
+        "channel_id", "target", "target_id", "feedly_id", *[joined(c) for c in ("concept_names", "entity_types", *SETS)])),
+    "vw_xr_channel_articles_unsent_by_channel_and_target": (B.order_entries, lambda df: df.select(
+        "channel_id", "channel_name", "feedly_id", "title", "site", "author", "url",
+        *[joined(c) for c in ("concept_names", "topic_labels", "categories", "company_names")],
+        "engagement", day("created_at"), second("last_sent_at"))),
+}
+for _grain in GRAINS:
+    for _subject in ("topics", "keywords", "entities"):
+        VIEWS[f"vw_article_{_subject}_by_{_grain}"] = (B.document_entries, show_period)
+    for _subject in ("companies", "categories", "category_groups", "companies_by_categories", "topics"):
+        VIEWS[f"vw_xr_ranked_{_subject}_by_{_grain}"] = (B.order_entries, show_period)
+
+
+def view_name(name: str) -> str:
+    return "view_" + name.removeprefix("vw_").removeprefix("xr_")
+
+
+def shown_view(name: str) -> Query:
+    entries, show = VIEWS[name]
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        tables = B.order_tables(spark, sf) | {"feedly_entries": B.stored(spark, sf, entries)}
+        return show(build_views(tables, VIEWS_AS_OF)[name])
+
+    return query
+
+
+def view_rankings(spark: SparkSession, sf: str) -> DataFrame:
+    rows = build_views(B.order_tables(spark, sf), AS_OF, week=datetime(1998, 6, 29))["vw_xr_article_rankings"]
+    return rows.select("feedly_id", day("published_day"), "popularity_by_month")
 
 
 def view_articles(spark: SparkSession, sf: str) -> DataFrame:
@@ -934,9 +1017,7 @@ def queries() -> dict[str, Query]:
     )
     for theme in N.THEMES:
         q[f"themed_mentions_{theme}"] = themed(theme)
-    for name in (
-        "ranked_companies_by_month", "ranked_categories_by_week", "ranked_category_groups_by_month",
-        "ranked_companies_by_categories_by_month", "ranked_topics_by_day",
-    ):
-        q[f"view_{name}"] = view(f"vw_xr_{name}")
+    q["view_article_rankings"] = view_rankings
+    for name in VIEWS:
+        q[view_name(name)] = shown_view(name)
     return q
