@@ -13,8 +13,8 @@ from newsboard.llm.common import landed
 
 K = 10
 LEAF = 64
-SHARD_ROWS = 8192
-SHARDS_AT_ONCE = 8
+SHARD_ROWS = 4096
+SHARDS_AT_ONCE = 4
 QUERIES_AT_ONCE = 512
 _LARGE = 2**62
 
