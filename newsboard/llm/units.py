@@ -6,11 +6,12 @@ import re
 from collections.abc import Iterator
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from newsboard.llm.common import LOWER, UPPER, fresh, hot_join, landed, row_key
+from newsboard.llm.common import LOWER, UPPER, fresh, hot_join, landed
 
 #: Repeated text is removed from this many words on.
 LEAST_WORDS = 30
@@ -78,26 +79,30 @@ def sequences(text: str, unit: str, hashed_words: int) -> Iterator[tuple[int, in
 
 
 def hashed_sequences(docs: DataFrame, id_col: str, text: str, unit: str, hashed_words: int) -> DataFrame:
-    """(row, id, first_word, end_word, start, cut, digest) of all sequences of
-    all texts; ``row`` is a digest of id and text."""
-    names = ["row", "id", "first_word", "end_word", "start", "cut", "digest"]
+    """(row, id, first_word, end_word, start, cut, h1, h2) of all sequences of
+    all texts; ``row`` is a hash of the text and, with the id, stands for the
+    document; h1 and h2 are the halves of the digest."""
+    names = ["row", "id", "first_word", "end_word", "start", "cut", "h1", "h2"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(5)]
+            digests = bytearray()
             for k, cell in enumerate(batch.column(2)):
-                for found in sequences(cell.as_py(), unit, hashed_words):
+                for *found, digest in sequences(cell.as_py(), unit, hashed_words):
+                    digests += digest
                     for column, value in zip(out, (k, *found), strict=True):
                         column.append(value)
             at = pa.array(out[0], pa.int64())
-            rest = [pa.array(c, t) for c, t in zip(out[1:], [pa.int32()] * 4 + [pa.binary()], strict=True)]
+            halves = np.frombuffer(digests, np.int64).reshape(-1, 2).T.copy()
+            rest = [pa.array(c, pa.int32()) for c in out[1:]] + [pa.array(h) for h in halves]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *rest], names)
 
     id_type = docs.schema[id_col].dataType.simpleString()
     given = docs.filter(F.col(text).isNotNull()).select(
-        row_key(F.col(id_col), F.col(text)).alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text")
+        F.xxhash64(text).alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text")
     )
-    shape = f"row binary, id {id_type}, first_word int, end_word int, start int, cut int, digest binary"
+    shape = f"row long, id {id_type}, first_word int, end_word int, start int, cut int, h1 long, h2 long"
     return given.mapInArrow(cut, shape)
 
 
@@ -124,21 +129,28 @@ def repeated_units(
     and met by a broadcast of at most a thousand such keys.
     """
     found = landed(hashed_sequences(docs, id_col, text, unit, hashed_words), "sequences")
-    counts = landed(found.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1"), "repeated")
-    shared = landed(hot_join(found, counts, "digest", "n"), "shared")
-    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "first_word", "start")
-    first = landed(shared.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("m")), "first")
-    is_first = (F.col("row") == F.col("first.row")) & (F.col("first_word") == F.col("first.first_word"))
-    repeats = hot_join(shared.drop("n"), first, "digest", "m").filter(~is_first)
-    in_text = Window.partitionBy("row").orderBy("first_word", "end_word")
+    # half a digest selects what may occur twice; both halves decide
+    counts = landed(found.groupBy("h1").agg(F.count("*").alias("n")).filter("n > 1"), "repeated")
+    shared = landed(hot_join(found, counts, "h1", "n").drop("n"), "shared")
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "first_word", "start", "h2")
+    first = shared.groupBy("h1", F.col("h2").alias("other")).agg(F.min(rank).alias("first"), F.count("*").alias("m"))
+    first = landed(
+        first.groupBy("h1").agg(F.sum("m").alias("m"), F.collect_list("first").alias("firsts")), "first"
+    )
+    first_of = F.get(F.filter("firsts", lambda x: x["h2"] == F.col("h2")), F.lit(0))
+    repeats = hot_join(shared, first, "h1", "m").withColumn("first", first_of).filter(
+        ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("row") == F.col("first.row"))
+          & (F.col("first_word") == F.col("first.first_word")))
+    )
+    in_text = Window.partitionBy("id", "row").orderBy("first_word", "end_word")
     reach = F.max("end_word").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
     runs = (
-        repeats.dropDuplicates(["row", "first_word", "end_word"])
+        repeats.dropDuplicates(["id", "row", "first_word", "end_word"])
         .withColumn("opens", F.coalesce(F.col("first_word") > reach, F.lit(True)).cast("int"))
         .withColumn("run", F.sum("opens").over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("row", "run")
+        .groupBy("id", "row", "run")
         .agg(
-            F.first("id").alias("id"), F.min("start").alias("start"), F.max("cut").alias("cut"),
+            F.min("start").alias("start"), F.max("cut").alias("cut"),
             (F.max("end_word") - F.min("first_word")).alias("n_words"),
             F.min(F.struct("first_word", F.col("first.id").alias("id"), F.col("first.start").alias("start"))).alias("kept"),
         )
@@ -155,9 +167,10 @@ def remove_units(
     ``kept`` with the spans (start, end) of the original text that the new text
     is made of, so that every place can be traced back.  A document that loses
     all of its text keeps an empty one; a NULL text stays NULL with no spans."""
-    row, cuts = fresh(docs, "row", "cuts")
-    by_row = removed.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "cut"))).alias(cuts))
-    by_row = by_row.withColumnRenamed("row", row)
+    row, cuts = fresh(docs, "_unit_row", "_unit_cuts")
+    by_row = removed.groupBy(F.col("id").alias(f"{row}_id"), F.col("row").alias(f"{row}_of")).agg(
+        F.array_sort(F.collect_set(F.struct("start", "cut"))).alias(cuts)
+    )
     whole = F.length(F.col(text))
     spans = "array<struct<start:int,end:int>>"
 
@@ -173,9 +186,10 @@ def remove_units(
     start = F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("out"))
     none = F.array().cast("array<struct<start:int,cut:int>>")
     parts = F.transform(F.col(kept), lambda s: F.substring(F.col(text), s["start"] + 1, s["end"] - s["start"]))
+    met = (F.col(row) == F.col(f"{row}_of")) & F.col(id_col).eqNullSafe(F.col(f"{row}_id"))
     joined = (
-        docs.withColumn(row, row_key(F.col(id_col), F.col(text)))
-        .join(by_row, row, "left")
+        docs.withColumn(row, F.xxhash64(text))
+        .join(by_row, met, "left")
         .withColumn(kept, F.coalesce(F.aggregate(F.coalesce(cuts, none), start, step, finish), F.array().cast(spans)))
     )
     cut = F.when(F.col(cuts).isNull(), F.col(text)).otherwise(F.array_join(parts, ""))
