@@ -72,7 +72,8 @@ def stored(spark: SparkSession, sf_dir: str, make: Callable[[SparkSession, str],
     key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
     if key not in _STORED:
         path = shared_dir(spark, make.__name__)
-        make(spark, sf_dir).write.parquet(path)
+        # Files of a bounded number of rows, so that readers share the parsing.
+        make(spark, sf_dir).write.option("maxRecordsPerFile", 20_000).parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 
