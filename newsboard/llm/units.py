@@ -8,8 +8,9 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsboard.llm.common import LOWER, UPPER, fresh, hot_join, landed
 
@@ -20,13 +21,23 @@ LEAST_WORDS = 30
 HASHED_WORDS = 8
 _ASCII_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _SPACE = r"[ \t-\r]"
-#: What separates units: a line break; blank lines; or, for clauses, also the
-#: space after a full stop and before a capital letter.
+#: What separates units: a line break; blank lines; or, for clauses, any white
+#: space.  A passage begins and ends at any word, whatever its surroundings and
+#: its script, so a clause is as short as a word.
 BREAKS = {
     "line": re.compile(r"\n"),
     "paragraph": re.compile(rf"(?:{_SPACE}*\n){{2,}}"),
-    "clause": re.compile(rf"\n|(?<=[.!?]){_SPACE}+|{_SPACE}+(?=[A-ZÀ-ÖØ-Þ])"),
+    "clause": re.compile(rf"{_SPACE}+"),
 }
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\f\r"))
+#: Sequences that a task holds before it deals them out, and that a group of
+#: digests holds on average.
+_AT_ONCE, _PER_GROUP = 1 << 20, 1 << 21
+_LEAST_GROUPS, _BYTES_PER_WORD = 12, 6
+#: A digest with more occurrences than this among those held is hot: only the
+#: first one goes to the digest's group, the others are repeats for certain.
+_HOT = 16
+_REPEAT, _KNOWN, _FIRST = 0, 1, 2
 
 
 def normalised(unit: str) -> list[bytes]:
@@ -78,32 +89,248 @@ def sequences(text: str, unit: str, hashed_words: int) -> Iterator[tuple[int, in
         yield sequence(n - 1, end)
 
 
-def hashed_sequences(docs: DataFrame, id_col: str, text: str, unit: str, hashed_words: int) -> DataFrame:
-    """(row, id, first_word, end_word, start, cut, h1, h2) of all sequences of
-    all texts; ``row`` is a hash of the text and, with the id, stands for the
-    document; h1 and h2 are the halves of the digest."""
-    names = ["row", "id", "first_word", "end_word", "start", "cut", "h1", "h2"]
+def word_sequences(text: str, hashed_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """``sequences`` of clauses, as arrays: (first word, words, start, cut) and
+    the halves of the digests."""
+    data = text.encode()
+    raw = np.frombuffer(data, np.uint8)
+    edge = np.diff(np.concatenate(([0], (~_IS_SPACE[raw]).astype(np.int8), [0])))
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    n = max(0, len(begin) - hashed_words + 1)
+    if not n:
+        return np.empty((4, 0), np.int64), np.empty((2, 0), np.int64)
+    joined = b" ".join(data.translate(_ASCII_LOWER).split())
+    last = np.cumsum(end - begin + 1) - 1
+    first = np.concatenate(([0], last[:-1] + 1))
+    spans = zip(first[:n].tolist(), last[hashed_words - 1 :].tolist(), strict=True)
+    digests = b"".join([xxhash.xxh3_128_digest(joined[a:z]) for a, z in spans])
+    if len(data) > len(text):
+        begin = (np.cumsum((raw & 0xC0) != 0x80) - 1)[begin]
+    cut = np.append(begin, len(text))[hashed_words:]
+    places = np.stack([np.arange(n), np.full(n, hashed_words), begin[:n], cut])
+    return places, np.frombuffer(digests, np.int64).reshape(-1, 2).T
+
+
+def _sequence_arrays(text: str, unit: str, hashed_words: int) -> tuple[np.ndarray, np.ndarray]:
+    if unit == "clause":
+        return word_sequences(text, hashed_words)
+    found = list(sequences(text, unit, hashed_words))
+    places = np.array([(a, b - a, start, cut) for a, b, start, cut, _ in found], np.int64).reshape(-1, 4).T
+    return places, np.frombuffer(b"".join(x[4] for x in found), np.int64).reshape(-1, 2).T
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Integers of 32 bits as compressed differences, by byte."""
+    steps = [np.diff(c, prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns]
+    return pa.compress(b"".join(steps), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, rows: int, columns: int) -> np.ndarray:
+    raw = pa.decompress(data, decompressed_size=4 * rows * columns, codec="zstd", asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(columns, 4, rows).transpose(0, 2, 1)
+    return np.cumsum(np.ascontiguousarray(planes).view("<i4")[..., 0], axis=1, dtype=np.int32)
+
+
+def _numbered(ids: pa.Array, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each document, an entry of each number): documents by id,
+    NULL last, then row; equal ones share a number."""
+    by_id = np.asarray(pc.rank(ids, sort_keys="ascending", null_placement="at_end", tiebreaker="dense")).astype(np.int64)
+    order = np.lexsort((rows, by_id))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(by_id[order]) != 0) | (rows[order][1:] != rows[order][:-1])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, order[new]
+
+
+_DEALT = ["part", "kind", "ids", "rows", "sizes", "places", "digests", "kept"]
+
+
+def _shape(id_type: str) -> str:
+    return (f"part int, kind int, ids array<{id_type}>, rows array<bigint>, sizes array<int>, "
+            f"places binary, digests binary, kept array<{id_type}>")
+
+
+def _dealt(
+    part: np.ndarray, kind: int, doc: np.ndarray, places: list[np.ndarray], digests: np.ndarray | None,
+    ids: pa.Array, rows: np.ndarray, kept: np.ndarray | None = None,
+) -> Iterator[pa.RecordBatch]:
+    """A row per part with its documents, and the places of each, which come
+    in the order of documents."""
+    if not len(part):
+        return
+    order = np.argsort(part, kind="stable")
+    ends = np.flatnonzero(np.append(part[order][1:] != part[order][:-1], True)) + 1
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        at = order[a:b]
+        docs, sizes = np.unique(doc[at], return_counts=True)
+        columns, origins = [c[at] for c in places], pa.nulls(0, ids.type)
+        if kept is not None:
+            used, index = np.unique(kept[at], return_inverse=True)
+            columns, origins = [*columns, index], ids.take(pa.array(used))
+        row = [
+            pa.array([part[at[0]]], pa.int32()), pa.array([kind], pa.int32()), _cell(ids.take(pa.array(docs))),
+            _cell(pa.array(rows[docs])), _cell(pa.array(sizes.astype(np.int32))),
+            pa.array([_pack(*columns)], pa.binary()),
+            pa.array([b"" if digests is None else digests[at].tobytes()], pa.binary()), _cell(origins),
+        ]
+        yield pa.RecordBatch.from_arrays(row, _DEALT)
+
+
+def _cell(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _taken(table: pa.Table, columns: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """(ids, rows, document of each place, places, digests, kept ids) of rows
+    that ``_dealt`` made; the last column of places refers to the kept ids."""
+    flat = lambda name: pc.list_flatten(table.column(name).combine_chunks())
+    ids, sizes = flat("ids"), np.asarray(flat("sizes"))
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    per_row = [sum(x) for x in table.column("sizes").to_pylist()]
+    places = [_unpack(d, n, columns) for d, n in zip(table.column("places").to_pylist(), per_row, strict=True)]
+    before = np.cumsum([0, *(len(x) for x in table.column("kept").to_pylist())])
+    for p, k in zip(places, before, strict=False):
+        p[-1] += k if columns == 6 else 0
+    digests = np.frombuffer(b"".join(table.column("digests").to_pylist()), np.int64)
+    joined = np.concatenate(places, axis=1) if places else np.empty((columns, 0), np.int32)
+    return ids, np.asarray(flat("rows")), doc, joined, digests, flat("kept")
+
+
+def hashed_sequences(
+    docs: DataFrame, id_col: str, text: str, unit: str, hashed_words: int, groups: int
+) -> DataFrame:
+    """The sequences of all texts, dealt to ``groups`` by digest; a document is
+    its id and a hash of the text.  Of a digest that is hot in a task only the
+    first occurrence goes to its group, marked by a kind of ``_FIRST``; the
+    others are dealt by document, with a kind of ``_KNOWN``."""
+
+    def dealt(held: list) -> Iterator[pa.RecordBatch]:
+        ids, rows = pa.concat_arrays([x[0] for x in held]), np.array([x[1] for x in held], np.int64)
+        number, entry = _numbered(ids, rows)
+        held = [held[k] for k in entry]  # by rank, copies once
+        ids, rows = ids.take(pa.array(entry)), rows[entry]
+        doc = np.repeat(np.arange(len(held)), [x[2].shape[1] for x in held])
+        places, (h1, h2) = np.concatenate([x[2] for x in held], 1), np.concatenate([x[3] for x in held], 1)
+        order = np.argsort(h1, kind="stable")
+        opens = np.append(True, h1[order][1:] != h1[order][:-1])[: len(order)]
+        group = np.cumsum(opens) - 1
+        first = order[opens][group]
+        many = (np.bincount(group)[group] > _HOT) & (h2[order] == h2[first])
+        kind = np.full(len(order), _REPEAT, np.int8)
+        kind[order[many]] = _KNOWN
+        kind[first[many]] = _FIRST
+        for k in (_REPEAT, _FIRST, _KNOWN):
+            at = np.flatnonzero(kind == k)
+            part = (rows[doc[at]] if k == _KNOWN else h2[at]).view(np.uint64) % np.uint64(groups)
+            yield from _dealt(part.astype(np.int64), k, doc[at], list(places[:, at]), h1[at], ids, rows)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
-            out: list[list] = [[] for _ in range(5)]
-            digests = bytearray()
-            for k, cell in enumerate(batch.column(2)):
-                for *found, digest in sequences(cell.as_py(), unit, hashed_words):
-                    digests += digest
-                    for column, value in zip(out, (k, *found), strict=True):
-                        column.append(value)
-            at = pa.array(out[0], pa.int64())
-            halves = np.frombuffer(digests, np.int64).reshape(-1, 2).T.copy()
-            rest = [pa.array(c, pa.int32()) for c in out[1:]] + [pa.array(h) for h in halves]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *rest], names)
+            for k in range(batch.num_rows):
+                places, halves = _sequence_arrays(batch.column(2)[k].as_py(), unit, hashed_words)
+                if not places.shape[1]:
+                    continue
+                held.append((batch.column(1).slice(k, 1), batch.column(0)[k].as_py(), places.astype(np.int32), halves))
+                n += places.shape[1]
+                if n >= _AT_ONCE:
+                    yield from dealt(held)
+                    held, n = [], 0
+        if held:
+            yield from dealt(held)
 
-    id_type = docs.schema[id_col].dataType.simpleString()
     given = docs.filter(F.col(text).isNotNull()).select(
         F.xxhash64(text).alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text")
     )
-    shape = f"row long, id {id_type}, first_word int, end_word int, start int, cut int, h1 long, h2 long"
-    return given.mapInArrow(cut, shape)
+    return given.mapInArrow(cut, _shape(docs.schema[id_col].dataType.simpleString()))
+
+
+def _repeats_of(parts: int):
+    """From the sequences of a group of digests to its repeats, dealt to
+    ``parts`` by document, and the first place of each hot digest."""
+
+    def settle(table: pa.Table) -> pa.Table:
+        out = []
+        known = table.filter(pc.equal(table.column("kind"), _KNOWN))
+        if known.num_rows:
+            ids, rows, doc, places, digests, _ = _taken(known, 4)
+            part = (rows[doc].view(np.uint64) >> np.uint64(20)) % np.uint64(parts)
+            none = np.zeros(len(doc), np.int64)
+            order = np.argsort(doc, kind="stable")
+            places = [c[order] for c in (*places, none)]
+            out += _dealt(part.astype(np.int64)[order], _KNOWN, doc[order], [*places, none], digests[order], ids, rows)
+        met = table.filter(pc.not_equal(table.column("kind"), _KNOWN))
+        if met.num_rows:
+            ids, rows, doc, places, digests, _ = _taken(met, 4)
+            hot = np.unique(np.frombuffer(b"".join(
+                d for d, k in zip(met.column("digests").to_pylist(), met.column("kind").to_pylist(), strict=True) if k == _FIRST
+            ), np.int64))
+            number, entry = _numbered(ids, rows)
+            ids, rows, doc = ids.take(pa.array(entry)), rows[entry], number[doc]
+            order = np.argsort(digests, kind="stable")
+            same = digests[order][1:] == digests[order][:-1]
+            many = np.append(same, False) | np.append(False, same)
+            at = order[many | np.isin(digests[order], hot)] if len(hot) else order[many]
+            at = at[np.lexsort((places[0][at], doc[at], digests[at]))]
+            opens = np.append(True, digests[at][1:] != digests[at][:-1])[: len(at)]
+            first = at[opens][np.cumsum(opens) - 1] if len(at) else at
+            again = (doc[at] != doc[first]) | (places[0][at] != places[0][first])
+            back = np.lexsort((places[0][at[again]], doc[at[again]]))
+            at_, first_ = at[again][back], first[again][back]
+            part = (rows[doc[at_]].view(np.uint64) >> np.uint64(20)) % np.uint64(parts)
+            columns = [*places[:, at_], places[2][first_]]
+            out += _dealt(part.astype(np.int64), _REPEAT, doc[at_], columns, None, ids, rows, doc[first_])
+            if len(hot):
+                heads = at[opens & np.isin(digests[at], hot)]
+                heads = heads[np.argsort(doc[heads], kind="stable")]
+                columns = [*places[:, heads], places[2][heads], np.zeros(len(heads), np.int64)]
+                out += _dealt(np.zeros(len(heads), np.int64), _FIRST, doc[heads], columns, digests[heads], ids, rows)
+        return pa.Table.from_batches(out) if out else table.slice(0, 0)
+
+    return settle
+
+
+def _runs_of(least_words: int):
+    """From the repeats of some documents to their runs; ``h1`` is set where
+    the place that was kept is that of a hot digest."""
+
+    def settle(table: pa.Table) -> pa.Table:
+        none = table.schema.field("ids").type.value_type
+        has = [pc.equal(table.column("kind"), k) for k in (_REPEAT, _KNOWN)]
+        ids, rows, doc, places, _, kept = _taken(table.filter(has[0]), 6)
+        ids2, rows2, doc2, places2, digests, _ = _taken(table.filter(has[1]), 6)
+        number, entry = _numbered(all_ids := pa.concat_arrays([ids, ids2]), all_rows := np.concatenate([rows, rows2]))
+        doc = number[np.concatenate([doc, doc2 + len(ids)])]
+        places = np.concatenate([places, places2], 1)
+        h1 = np.concatenate([np.zeros(places.shape[1] - len(digests), np.int64), digests])
+        hot = np.arange(places.shape[1]) >= places.shape[1] - len(digests)
+        end = places[0] + places[1]
+        # of a sequence that both came to know, the one with its kept place
+        order = np.lexsort((hot, end, places[0], doc))
+        doc, places, h1, hot, end = doc[order], places[:, order], h1[order], hot[order], end[order]
+        # one axis for all documents, with room between them
+        room = doc * (int(end.max(initial=0)) + 2)
+        reach = np.maximum.accumulate(room + end)
+        opens = np.append(True, (room + places[0])[1:] > reach[:-1])[: len(doc)]
+        begin = np.flatnonzero(opens)
+        words = (np.maximum.reduceat(end, begin) if len(begin) else end) - places[0][begin]
+        cut = np.maximum.reduceat(places[3], begin) if len(begin) else begin
+        enough = words >= least_words
+        begin, words, cut = begin[enough], words[enough], cut[enough]
+        at = entry[doc[begin]]
+        from_, lost = places[5][begin], hot[begin]
+        return pa.Table.from_arrays(
+            [
+                pa.array(all_rows[at]), all_ids.take(pa.array(at)), pa.array(places[2][begin].astype(np.int32)),
+                pa.array(cut.astype(np.int32)), pa.array(words.astype(np.int32)),
+                kept.take(pa.array(from_, mask=lost)) if len(kept) else pa.nulls(len(at), none),
+                pa.array(places[4][begin].astype(np.int32), mask=lost), pa.array(h1[begin], mask=~lost),
+            ],
+            ["row", "id", "start", "cut", "n_words", "kept_id", "kept_start", "h1"],
+        )
+
+    return settle
 
 
 def repeated_units(
@@ -113,50 +340,51 @@ def repeated_units(
     """The passages to remove: (row, id, start, cut, n_words, kept_id,
     kept_start), runs of units that all occur earlier.
 
-    Units are lines, paragraphs (between blank lines) or clauses, with A-Z
-    lower-cased and white space run together.  The shortest sequences with
+    Units are lines, paragraphs (between blank lines) or clauses (words), with
+    A-Z lower-cased and white space run together.  The shortest sequences with
     ``hashed_words`` words that begin or end at a unit are hashed.  Occurrences of a digest
     are ranked by id, then place in the document: the first stays, the others
     are repeats, also within one document.  Overlapping and touching repeats
     are one run; runs of ``least_words`` words or more are reported with code
     point offsets of the original text, and where the first of their sequences
-    was kept.  ``cut`` is where the text after the run begins.
+    was kept.  ``cut`` is where the text after the run begins.  With clauses
+    every sequence of ``hashed_words`` words is hashed, so a passage of
+    ``least_words`` words that occurs earlier is found whatever surrounds it.
 
     NULL ids rank last.  Rows with equal id and text are one document: they
     lose the same passages.  NULL and empty texts have no units, no rows give
-    no rows.  Only digests that occur twice go on from the first count, a sum
-    per task; a passage that a third of the documents share is a hot key there
-    and met by a broadcast of at most a thousand such keys.
+    no rows.  Sequences travel packed, a row per task's holding and group of
+    digests; of a hot digest each holding sends one occurrence to its group.
     """
-    found = landed(hashed_sequences(docs, id_col, text, unit, hashed_words), "sequences")
-    # half a digest selects what may occur twice; both halves decide
-    counts = landed(found.groupBy("h1").agg(F.count("*").alias("n")).filter("n > 1"), "repeated")
-    shared = landed(hot_join(found, counts, "h1", "n").drop("n"), "shared")
-    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "first_word", "start", "h2")
-    first = shared.groupBy("h1", F.col("h2").alias("other")).agg(F.min(rank).alias("first"), F.count("*").alias("m"))
-    first = landed(
-        first.groupBy("h1").agg(F.sum("m").alias("m"), F.collect_list("first").alias("firsts")), "first"
-    )
-    first_of = F.get(F.filter("firsts", lambda x: x["h2"] == F.col("h2")), F.lit(0))
-    repeats = hot_join(shared, first, "h1", "m").withColumn("first", first_of).filter(
-        ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("row") == F.col("first.row"))
-          & (F.col("first_word") == F.col("first.first_word")))
-    )
-    in_text = Window.partitionBy("id", "row").orderBy("first_word", "end_word")
-    reach = F.max("end_word").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
-    runs = (
-        repeats.dropDuplicates(["id", "row", "first_word", "end_word"])
-        .withColumn("opens", F.coalesce(F.col("first_word") > reach, F.lit(True)).cast("int"))
-        .withColumn("run", F.sum("opens").over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("id", "row", "run")
-        .agg(
-            F.min("start").alias("start"), F.max("cut").alias("cut"),
-            (F.max("end_word") - F.min("first_word")).alias("n_words"),
-            F.min(F.struct("first_word", F.col("first.id").alias("id"), F.col("first.start").alias("start"))).alias("kept"),
-        )
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    groups = max(_LEAST_GROUPS, size // (_BYTES_PER_WORD * _PER_GROUP))
+    shape = _shape(docs.schema[id_col].dataType.simpleString())
+    found = hashed_sequences(docs, id_col, text, unit, hashed_words, groups)
+    repeats = landed(found.groupBy("part").applyInArrow(_repeats_of(groups), shape), "repeats")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    runs = landed(
+        repeats.filter(F.col("kind") != _FIRST).groupBy("part").applyInArrow(
+            _runs_of(least_words),
+            f"row long, id {id_type}, start int, cut int, n_words int, kept_id {id_type}, kept_start int, h1 long",
+        ),
+        "runs",
     )
-    return runs.filter(F.col("n_words") >= least_words).select(
-        "row", "id", "start", "cut", "n_words", F.col("kept.id").alias("kept_id"), F.col("kept.start").alias("kept_start")
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, _, doc, places, digests, _ = _taken(pa.Table.from_batches([batch]), 6)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digests), ids.take(pa.array(doc)), pa.array(places[2])], ["h1", "first_id", "first_start"]
+            )
+
+    first = repeats.filter(F.col("kind") == _FIRST).mapInArrow(firsts, f"h1 long, first_id {id_type}, first_start int")
+    names = ["row", "id", "start", "cut", "n_words"]
+    # runs that begin with the same hot digest may be many
+    lost = runs.filter(F.col("h1").isNotNull())
+    counts = lost.groupBy("h1").agg(F.count("*").alias("n"))
+    late = hot_join(lost, landed(first.dropDuplicates(["h1"]).join(counts, "h1"), "hot-firsts"), "h1", "n")
+    return runs.filter(F.col("h1").isNull()).select(*names, "kept_id", "kept_start").unionByName(
+        late.select(*names, F.col("first_id").alias("kept_id"), F.col("first_start").alias("kept_start"))
     )
 
 

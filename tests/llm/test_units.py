@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,3 +117,55 @@ def test_no_rows_and_long_units(spark):
     long = "w " * 100_000
     found = U.repeated_units(frame(spark, [(2, long), (1, f"x\n{long}")]), unit="line").collect()
     assert [(r["id"], r["kept_id"], r["kept_start"], r["n_words"]) for r in found] == [(2, 1, 2, 100_000)]
+
+
+def test_a_passage_whose_edges_are_cut_by_its_surroundings_is_found(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    passage = " ".join(f"{prose(9)}. Then" for _ in range(3)) + " " + prose(21)
+    caseless = prose(51)  # no break but spaces
+    hosts = [(i, f"{prose(7)} {p} {prose(7)}") for i, p in enumerate([passage, passage, caseless, caseless])]
+    found = {r["id"]: r for r in U.repeated_units(frame(spark, hosts)).collect()}
+    assert sorted(found) == [1, 3]
+    for i, p in ((1, passage), (3, caseless)):
+        assert hosts[i][1][found[i]["start"] : found[i]["cut"]].strip() == p
+
+
+def test_hot_sequences_and_small_holdings_match_brute_force(spark, monkeypatch):
+    rng = random.Random(6)
+    hot = "one two three four five six seven"
+    rows = [(rng.choice([i, i % 7, None]), " ".join([*rng.choices(["x", "é", "Y"], k=rng.randint(0, 9)), hot, *rng.choices("abc", k=5)])) for i in range(90)]
+    # ids are given once, but for copies
+    rows = list({i: (i, t) for i, t in rows if i is not None}.values()) + rows[:1] * 2
+    rows = [r for r in rows if r[0] is not None]
+    want = brute(rows, "clause", 5, 3)
+    assert got(U.repeated_units(frame(spark, rows), least_words=5, hashed_words=3)) == want and len(want) > 30
+    lines = [(i, t.replace(" a", "\na")) for i, t in rows]
+    assert got(U.repeated_units(frame(spark, lines), unit="line", least_words=2, hashed_words=2)) == brute(lines, "line", 2, 2)
+
+
+def by_words(rows, least, hashed):
+    """As ``brute`` gives for clauses, in linear time: a unit is a word."""
+    first, out = {}, set()
+    for i, t in sorted(set(rows)):
+        at = [(m.start(), U.normalised(m[0])[0]) for m in re.finditer(r"[^ \t-\r]+", t or "")]
+        cuts, runs = [*(a for a, _ in at), len(t or "")], []
+        for k in range(len(at) - hashed + 1):
+            kept = first.setdefault(tuple(w for _, w in at[k : k + hashed]), (i, at[k][0]))
+            if kept == (i, at[k][0]):
+                continue
+            if runs and k <= runs[-1][1]:
+                runs[-1][1] = k + hashed
+            else:
+                runs.append([k, k + hashed, *kept])
+        out |= {(i, cuts[a], cuts[b], b - a, ki, ks) for a, b, ki, ks in runs if b - a >= least}
+    return out
+
+
+def test_query_leaves_no_repeated_passage(spark):
+    rows = [(i, t) for i, t in sample(7) if i is not None and t is not None and i != 3]
+    assert by_words(rows, 5, 3) == brute(rows, "clause", 5, 3)
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    found = entry_point.queries()["op2_unit_dedup"](spark, SF).collect()
+    assert {tuple(r) for r in found} == by_words(docs, U.LEAST_WORDS, U.HASHED_WORDS) and found
