@@ -11,12 +11,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsboard.llm.common import fresh
+from newsboard.llm.common import fresh, landed
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 14
-#: Most languages learned, the most frequent ones; bounds the model.
-MOST_LANGUAGES = 128
+#: Languages whose sums a task holds before it gives them on.
+_HELD_LANGUAGES = 128
 #: Lead of the best codeword over the next below which a text is ambiguous.
 LEAD = 0.1
 _GAIN, _SMOOTHING = 4.0, 0.5
@@ -46,7 +46,8 @@ def codewords(n: int, seed: int = 1) -> np.ndarray:
 
     Up to seven languages use every split in two, so codewords differ in half
     of the bits or more.  More languages use the best of a fixed number of
-    random codes: the one whose closest codewords are farthest apart.
+    random codes: the one whose closest codewords are farthest apart.  Over a
+    thousand, where comparing all pairs costs too much, the first one is taken.
     """
     if n < 2:
         return np.ones((n, 1))
@@ -57,6 +58,8 @@ def codewords(n: int, seed: int = 1) -> np.ndarray:
     for _ in range(50):
         code = rng.choice([-1.0, 1.0], (n, 15 * int(np.ceil(np.log2(n)))))
         code = code[:, np.abs(code.sum(axis=0)) < n]
+        if n > 1000:
+            return code
         apart = code.shape[1] - (code @ code.T + np.diag([-np.inf] * n)).max()
         if apart > most:
             best, most = code, apart
@@ -72,24 +75,18 @@ class Model:
     weights: np.ndarray
 
     @classmethod
-    def fit(cls, languages: list[str], shares: np.ndarray) -> Model:
-        """From the mean profile of every language: a bit's classifier weighs
-        each n-gram by the logarithm of its odds between the languages whose
-        codewords have the bit and the others."""
+    def fit(cls, languages: list[str], code: np.ndarray, odds: np.ndarray, scores: np.ndarray) -> Model:
+        """From the odds (buckets x bits) and every language's mean profile
+        times them (languages x bits)."""
         if not languages:
             return cls([], np.empty((0, 0)), np.empty((BUCKETS, 0), np.float32))
-        code = codewords(len(languages))
-        smooth = shares + _SMOOTHING / BUCKETS
-        weights = np.zeros((BUCKETS, code.shape[1]))
-        for bit in range(code.shape[1]):
-            on, off = code[:, bit] > 0, code[:, bit] < 0
-            if on.any() and off.any():
-                odds = np.log(smooth[on].mean(axis=0)) - np.log(smooth[off].mean(axis=0))
-                scores = shares @ odds
-                # the middle between both sides' nearest languages is the border
-                weights[:, bit] = odds - (scores[on].min() + scores[off].max()) / 2
-        spread = np.abs(shares @ weights).mean(axis=0)
-        return cls(languages, code, (weights / np.where(spread > 0, spread, 1)).astype(np.float32))
+        on, both = code > 0, np.abs(code.sum(axis=0)) < len(code)
+        # the middle between both sides' nearest languages is the border
+        border = (np.where(on, scores, np.inf).min(axis=0) + np.where(on, -np.inf, scores).max(axis=0)) / 2
+        border = np.where(both, border, 0.0)
+        spread = np.where(both, np.abs(scores - border).mean(axis=0), 1.0)
+        weights = np.where(both, odds - border, 0.0) / np.where(spread > 0, spread, 1)
+        return cls(languages, code, weights.astype(np.float32))
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, ambiguous) of a whole text."""
@@ -97,7 +94,8 @@ class Model:
             return UNDETERMINED, 0.0, True
         margins = profile(text) @ self.weights
         # weighted by the bits' margins: a sure wrong bit costs much, an open one little
-        loss = np.logaddexp(0, -_GAIN * self.code * margins).mean(axis=1)
+        # (the mean of log(1 + exp(-gain * bit * margin)), but for what all languages share)
+        loss = -_GAIN / 2 * (self.code @ margins) / self.code.shape[1]
         shares = np.exp(-_GAIN * (loss - loss.min()))
         shares /= shares.sum()
         order = np.argsort(-shares, kind="stable")
@@ -105,44 +103,91 @@ class Model:
         return self.languages[order[0]], float(shares[order[0]]), bool(lead < LEAD)
 
 
-def learn(docs: DataFrame, text: str, lang: str, most: int = MOST_LANGUAGES) -> Model:
+def learn(docs: DataFrame, text: str, lang: str) -> Model:
     """Fit a model on all rows of ``docs`` that have a text and a language.
 
     Every document adds its profile to its language's mean; sums are made in
-    the tasks and added up per language, and only the ``most`` frequent
-    languages' means, of fixed size, come to the driver.
+    the tasks and added up per language, as rows.  A bit's classifier weighs
+    each n-gram by the logarithm of its odds between the languages whose
+    codewords have the bit and the others: the rows are reduced to sums per
+    bit, whose number grows with the logarithm of the number of languages, and
+    only these, the names and a score per language and bit come to the driver.
     """
     labelled = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most).collect()
-    languages = sorted(r["lang"] for r in counts)
-    number = {x: k for k, x in enumerate(languages)}
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, n = np.zeros((len(number), BUCKETS)), np.zeros(len(number), np.int64)
+        sums: dict[str, np.ndarray] = {}
+        n: dict[str, int] = {}
+
+        def given() -> pa.RecordBatch:
+            cells = [pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())]
+            return pa.RecordBatch.from_arrays(cells, ["lang", "n", "sums"])
+
         for batch in batches:
             for name, cell in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                k = number.get(name)
-                if k is not None and has_letter(body := cell.as_py()):
-                    sums[k] += profile(body)
-                    n[k] += 1
-        seen = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen, pa.int32()), pa.array(n[seen]), pa.array([sums[k].tobytes() for k in seen], pa.binary())],
-            ["lang", "n", "sums"],
-        )
+                if not has_letter(body := cell.as_py()):
+                    continue
+                if name not in sums and len(sums) == _HELD_LANGUAGES:
+                    yield given()
+                    sums.clear()
+                    n.clear()
+                sums[name] = sums[name] + profile(body) if name in sums else profile(body)
+                n[name] = n.get(name, 0) + 1
+        yield given()
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.sum([np.frombuffer(x) for x in pdf["sums"]], axis=0)
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "n": [pdf["n"].sum()], "sums": [total.tobytes()]})
 
-    shape = "lang int, n long, sums binary"
+    shape = "lang string, n long, sums binary"
     partial = labelled.mapInArrow(add_up, shape).withColumn("part", F.spark_partition_id() % 32)
-    twice = partial.groupBy("lang", "part").applyInPandas(merge, shape).groupBy("lang").applyInPandas(merge, shape)
-    means = {r["lang"]: np.frombuffer(r["sums"]) / r["n"] for r in twice.collect()}
-    have = sorted(means)
-    return Model.fit([languages[k] for k in have], np.array([means[k] for k in have]).reshape(len(have), BUCKETS))
+    means = landed(
+        partial.groupBy("lang", "part").applyInPandas(merge, shape).groupBy("lang").applyInPandas(merge, shape), "languages"
+    )
+    languages = sorted(r["lang"] for r in means.select("lang").collect())
+    if not languages:
+        return Model.fit([], *[np.empty((0, 0))] * 3)
+    number, code = {x: k for k, x in enumerate(languages)}, codewords(len(languages))
+    bits = code.shape[1]
+    sent = docs.sparkSession.sparkContext.broadcast((number, code))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        for batch in batches:
+            for name, n, sums in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                yield sent.value[0][name], np.frombuffer(sums) / n
+
+    def by_bit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        on, every = np.zeros((bits, BUCKETS)), np.zeros(BUCKETS)
+        for k, share in rows(batches):
+            on[sent.value[1][k] > 0] += share
+            every += share
+        cells = [pa.array(range(-1, bits), pa.int32()), pa.array([x.tobytes() for x in (every, *on)], pa.binary())]
+        yield pa.RecordBatch.from_arrays(cells, ["bit", "sums"])
+
+    def merge_bit(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(x) for x in pdf["sums"]], axis=0)
+        return pd.DataFrame({"bit": [pdf["bit"].iloc[0]], "sums": [total.tobytes()]})
+
+    summed = means.mapInArrow(by_bit, "bit int, sums binary").groupBy("bit").applyInPandas(merge_bit, "bit int, sums binary")
+    sums = {r["bit"]: np.frombuffer(r["sums"]) for r in summed.collect()}
+    n_on = (code > 0).sum(axis=0)
+    odds = np.zeros((BUCKETS, bits))
+    for bit in np.flatnonzero((n_on > 0) & (n_on < len(code))):
+        on, off = sums[bit] / n_on[bit], (sums[-1] - sums[bit]).clip(0) / (len(code) - n_on[bit])
+        odds[:, bit] = np.log(on + _SMOOTHING / BUCKETS) - np.log(off + _SMOOTHING / BUCKETS)
+    sent_odds = docs.sparkSession.sparkContext.broadcast(odds)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, share in rows(batches):
+            cells = [pa.array([k], pa.int32()), pa.array([(share @ sent_odds.value).tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cells, ["k", "scores"])
+
+    scores = np.zeros(code.shape)
+    for r in means.mapInArrow(score, "k int, scores binary").collect():
+        scores[r["k"]] = np.frombuffer(r["scores"])
+    return Model.fit(languages, code, odds, scores)
 
 
 def held_out(id_col: Column) -> Column:

@@ -61,3 +61,16 @@ def test_nulls_no_letters_and_no_labels(spark):
     alone = L.identify_languages(spark.createDataFrame(rows, SCHEMA), out="found").collect()
     assert {r["found"]["lang"] for r in alone} == {"und"}
     assert L.identify_languages(spark.createDataFrame([], SCHEMA), out="found").count() == 0
+
+
+def test_rare_languages_beyond_128_are_learned(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(140):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(6)]
+        for i in range(2 if k >= 128 else 4):
+            rows.append((len(rows), " ".join(rng.choice(words, 40)), f"l{k:03}", "", "", ""))
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = L.learn(df, "text", "lang")
+    assert len(model.languages) == 140 and model.code.shape[1] <= 15 * 8
+    assert np.mean([model.predict(r[1])[0] == r[2] for r in rows if r[2] >= "l128"]) > 0.9
