@@ -22,7 +22,8 @@ PATTERNS = {
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 #: What stands between two words.
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Code points on either side of a span whose whole words are its context.
+#: Code points on either side of a span that tests call near; terms count in
+#: the whole document.
 REACH = 60
 #: Distinct texts that must show a term with an entity.
 LEAST_TEXTS = 3
@@ -107,14 +108,11 @@ def _is_term(word: Column) -> Column:
     return (F.length(word) >= 3) & ~F.rlike(word, F.lit("[0-9]"))
 
 
-def _context(text: Column, span: Column) -> Column:
-    """Terms that lie wholly within ``REACH`` code points of a span."""
-    head, tail = span["start"], span["end"]
-    before = F.split(F.substring(text, F.greatest(head - REACH, F.lit(0)) + 1, F.least(head, F.lit(REACH))), BREAK, -1)
-    after = F.split(F.substring(text, tail + 1, F.lit(REACH)), BREAK, -1)
-    before = F.when(head > REACH, F.slice(before, 2, F.size(before))).otherwise(before)
-    after = F.when(F.length(text) > tail + REACH, F.slice(after, 1, F.greatest(F.size(after) - 1, F.lit(0)))).otherwise(after)
-    return F.array_distinct(F.filter(F.transform(F.concat(before, after), ascii_lower), _is_term))
+def _terms(text: Column) -> Column:
+    """Distinct terms of a text outside of its base spans, of which only e-mail
+    addresses have letters."""
+    outside = F.regexp_replace(text, F.lit(PATTERNS["email"]), F.lit(" "))
+    return F.array_distinct(F.filter(words_of(outside), _is_term))
 
 
 def _entity(span: Column) -> Column:
@@ -128,18 +126,28 @@ def disclosing_terms(
     """(term, entity, texts, joint, documents, disclosure, bits) of the terms
     that reveal a protected entity.
 
-    ``joint`` counts the documents with the term in the context of the entity,
-    ``documents`` all documents with the term anywhere: disclosure = joint /
+    ``joint`` counts the documents with the term and the entity, however far
+    apart, ``documents`` all documents with the term anywhere: disclosure = joint /
     documents is the probability of the entity given the term.  ``bits`` is the
     pointwise mutual information of both.  Counts are over all documents;
     ``texts`` counts distinct texts, so copies of one text are one witness.
     The entity that a term reveals most is kept.
     """
-    pairs = based.select("key", "rows", F.explode("contexts").alias("c")).select(
-        "key", "rows", "c.entity", F.explode("c.terms").alias("term")
-    ).distinct()
+    held = based.select("key", "rows", F.explode("entities").alias("entity"))
+    # an entity of fewer texts has no term of as many
+    often = landed(
+        held.groupBy("entity").agg(F.count("*").alias("of_texts"), F.sum("rows").alias("of_entity"))
+        .filter(F.col("of_texts") >= least_texts),
+        "entities",
+    )
+    mine = hot_join(held, often, "entity", "of_texts").groupBy("key").agg(F.collect_list("entity").alias("mine"))
+    pairs = (
+        based.select("key", "rows", "words").join(mine, "key")
+        .select("rows", "words", F.explode("mine").alias("entity"))
+        .select("rows", "entity", F.explode("words").alias("term"))
+    )
     joint = pairs.groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("rows").alias("joint"))
-    with_entity = pairs.select("key", "rows", "entity").distinct().groupBy("entity").agg(F.sum("rows").alias("of_entity"))
+    with_entity = often.select("entity", "of_entity")
     likely = landed(joint.filter(F.col("texts") >= least_texts), "likely")
     every = docs.select(F.explode(F.array_distinct(words_of(F.col(text)))).alias("term"))
     counts = every.groupBy("term").agg(F.count("*").alias("documents"))
@@ -213,15 +221,18 @@ def find_personal_data(
     body = F.coalesce(F.col(text), F.lit(""))
     given = docs.select(F.col(id_col).alias("id"), body.alias("text"))
     spans = base_spans(F.col("text"))
-    contexts = F.transform(
-        "base", lambda s: F.struct(_entity(s).alias("entity"), _context(F.col("text"), s).alias("terms"))
-    )
+    none = F.array().cast("array<string>")
+    found = given.select("id", F.md5("text").alias("key"), "text", spans.alias("base"))
     based = landed(
-        given.withColumn("base", spans).select("id", F.md5("text").alias("key"), "base", contexts.alias("contexts")),
+        found.select(
+            "id", "key", "base", F.array_distinct(F.transform("base", _entity)).alias("entities"),
+            F.when(F.size("base") > 0, _terms(F.col("text"))).otherwise(none).alias("words"),
+        ),
         "based",
     )
     seen = (
-        based.filter(F.size("base") > 0).groupBy("key").agg(F.count("*").alias("rows"), F.first("contexts").alias("contexts"))
+        based.filter(F.size("base") > 0).groupBy("key")
+        .agg(F.count("*").alias("rows"), F.first("entities").alias("entities"), F.first("words").alias("words"))
     )
     terms = landed(disclosing_terms(landed(seen, "seen"), given, "text", least_texts, threshold), "terms")
     copies = based.groupBy("key").agg(F.count("*").alias("rows"))

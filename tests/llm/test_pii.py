@@ -153,3 +153,12 @@ def test_sanitised_texts(spark):
 def test_no_rows(spark):
     assert P.find_personal_data(frame(spark, [])).count() == 0
     assert P.find_personal_data(frame(spark, [(1, "no data here")])).collect()[0]["terms"] == []
+
+
+def test_a_term_far_from_its_entity_counts(spark):
+    filler = "the road and the house " * 20
+    rows = [(i, f"Zorblat wrote {i}. {filler}{filler} signed eve.x@mail.example.org {i}") for i in range(4)]
+    rows += [(10 + i, f"{filler} {i}") for i in range(30)]
+    got = {r["id"]: {s["value"] for s in r["terms"]} for r in P.find_personal_data(frame(spark, rows)).collect()}
+    assert all("zorblat" in got[i] for i in range(4)) and not any(got[10 + i] for i in range(30))
+    assert not {"the", "road", "mail", "example"} & set().union(*got.values())
