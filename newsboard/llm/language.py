@@ -216,8 +216,16 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     return identify(docs, model, text, out)
 
 
+def _have_letters(texts: pd.Series) -> pd.Series:
+    return pd.Series([has_letter(x) for x in texts], dtype=bool)
+
+
 def drop_undetermined(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose text has a language; ambiguous ones stay."""
+    """The rows of ``docs`` whose text has a language; ambiguous ones stay, and
+    all that have a letter if no language could be learned."""
     (out,) = fresh(docs, "lang_id")
-    found = identify_languages(docs, id_col, text, lang, out)
-    return found.filter(F.col(f"{out}.lang") != UNDETERMINED).select(*docs.columns)
+    model = learn(docs.filter(~held_out(F.col(id_col)) & F.col(id_col).isNotNull()), text, lang)
+    if not model.languages:
+        letters = F.pandas_udf(_have_letters, "boolean")
+        return docs.filter(letters(F.col(text)))
+    return identify(docs, model, text, out).filter(F.col(f"{out}.lang") != UNDETERMINED).select(*docs.columns)

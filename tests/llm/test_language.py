@@ -74,3 +74,9 @@ def test_rare_languages_beyond_128_are_learned(spark):
     model = L.learn(df, "text", "lang")
     assert len(model.languages) == 140 and model.code.shape[1] <= 15 * 8
     assert np.mean([model.predict(r[1])[0] == r[2] for r in rows if r[2] >= "l128"]) > 0.9
+
+
+def test_texts_stay_if_no_language_was_learned(spark):
+    texts = ["the cat", "12 34", None, "", "日本語"]
+    df = spark.createDataFrame([(i, t, None, "x", "y", "z") for i, t in enumerate(texts)], SCHEMA)
+    assert sorted(r["doc_id"] for r in L.drop_undetermined(df).collect()) == [0, 4]
