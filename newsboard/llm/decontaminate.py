@@ -226,8 +226,10 @@ def _pass(docs: DataFrame, row: Column, windows: DataFrame, id_col: str, text: s
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no window of any item."""
+    """The rows of ``docs`` that hold no window of any item, be its id NULL or not."""
     (row,) = fresh(docs, "row")
+    name = options.get("item_id", "item_id")
+    items = items.withColumn(name, F.coalesce(F.col(name).cast("string"), F.lit("")))
     rows = docs.withColumn(row, row_key(F.col(id_col), F.col(text)))
     found = find_windows(rows, items, row, text, **options)
     leaks = landed(found.filter(F.col("n_hit") > 0).select(F.col("id").alias(row)).distinct(), "leaks")

@@ -71,3 +71,9 @@ def test_long_and_dense_text(spark, monkeypatch):
 def test_no_benchmark_and_no_documents(spark):
     assert run(spark, [(1, "a b")], []) == [(1, 2, 0, [])]
     assert run(spark, [], [(1, "a b")]) == []
+
+
+def test_items_without_an_id_are_dropped_from_documents_too(spark):
+    docs = spark.createDataFrame([(1, "x a b c y", "r", "i", "d"), (2, "x a y", "r", "i", "d")], DOCS)
+    items = spark.createDataFrame([(None, "a b c", "w"), (7, "q", "w")], ITEMS)
+    assert [r["doc_id"] for r in D.drop_contaminated(docs, items).collect()] == [2]
