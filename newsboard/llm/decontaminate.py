@@ -24,7 +24,7 @@ WINDOW = 10
 BLOCK_WINDOWS = 100_000
 _PAIRS_AT_ONCE = 1 << 20
 #: Word characters stay, A-Z are lower-cased, all others end a word.
-_WORDS = bytes(
+WORD_BYTES = bytes(
     ord(chr(b).lower()) if b < 128 and chr(b).isalpha() else b if b >= 128 or chr(b).isdigit() else 32
     for b in range(256)
 )
@@ -33,7 +33,7 @@ _WORDS = bytes(
 def words_of(data: bytes) -> list[bytes]:
     """Words of a UTF-8 text: A-Z lower-cased, runs of 0-9, a-z and all
     characters beyond ASCII."""
-    return data.translate(_WORDS).split()
+    return data.translate(WORD_BYTES).split()
 
 
 def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsboard.llm import decontaminate, language, line_dedup, mixing, pii, search, simhash, tokens, units, warc
+from newsboard.llm import (
+    decontaminate, language, line_dedup, mixing, pii, resampling, search, sharding, simhash, spelling, tokens, units, warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -157,6 +159,133 @@ SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM docs JOIN pe
 """
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"))
+    return spelling.variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+#: crc32 by bytes: a table by the rule of the reflected polynomial, and the
+#: UTF-8 bytes of a text from its code points.
+_CRC_TABLE = "SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY b) AS t FROM (SELECT unnest(range(256)) AS b)"
+_BYTES = """flatten(list_transform(list_transform(string_split({0}, ''), lambda ch: unicode(ch)::BIGINT), lambda p:
+  CASE WHEN p < 0 THEN [] WHEN p < 128 THEN [p] WHEN p < 2048 THEN [192 + (p >> 6), 128 + (p & 63)]
+  WHEN p < 65536 THEN [224 + (p >> 12), 128 + ((p >> 6) & 63), 128 + (p & 63)]
+  ELSE [240 + (p >> 18), 128 + ((p >> 12) & 63), 128 + ((p >> 6) & 63), 128 + (p & 63)] END))"""
+_CRC = f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {_BYTES}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"
+
+OP11_SQL = f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+runs AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents WHERE text IS NOT NULL)
+  GROUP BY ALL
+),
+hashed AS (
+  SELECT run, k, {_CRC.format("concat(doc_id, ':', run)")} AS h FROM runs, crc
+),
+voc AS MATERIALIZED (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (
+    SELECT k, CASE WHEN h % 199 = 0 THEN concat(run[:h % length(run)], run[h % length(run) + 2:]) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5
+),
+less AS MATERIALIZED (
+  SELECT DISTINCT word, n, p, concat(word[:p - 1], word[p + 1:]) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS p FROM voc)
+),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN voc b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN voc b ON a.rest = b.word
+),
+best AS (SELECT word, count(*) AS n_near, min((-near_n, near)) AS top FROM pairs GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -top[1] >= 5 * n THEN top[2] END AS form, CASE WHEN -top[1] >= 5 * n THEN -top[1] END AS form_n
+  FROM voc LEFT JOIN best USING (word)
+),
+chain AS (
+  SELECT word, form AS at FROM forms WHERE form IS NOT NULL
+  UNION SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.at WHERE f.form IS NOT NULL
+),
+ends AS (SELECT c.word, c.at FROM chain c JOIN forms f ON f.word = c.at WHERE f.form IS NULL)
+SELECT word, form, coalesce(ends.at, word) AS root, n, n_near, CAST(form_n AS BIGINT) AS form_n FROM forms LEFT JOIN ends USING (word)
+"""
+
+
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = sharding.interleave(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return docs.select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("rows").alias("law"), "shard",
+        F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+OP12_SQL = f"""
+WITH crc AS ({_CRC_TABLE}),
+drawn AS (
+  SELECT *, md5(concat('12:', coalesce('=' || doc_id, '-'), ':', coalesce('=' || md5(text), '-'))) AS draw,
+    ('0x' || md5(concat('12:', coalesce('=' || source, '-')))[:8])::BIGINT / 4294967296 AS phase
+  FROM documents
+),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY source ORDER BY draw) - 1 + phase) / count(*) OVER (PARTITION BY source) AS fraction
+  FROM drawn
+),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, source NULLS LAST, draw) - 1 AS spot, count(*) OVER () AS total FROM ranked
+),
+dealt AS (SELECT *, ((spot + 1) * 16 - 1) // total AS k FROM placed)
+SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) + 1 AS BIGINT) AS size, {_CRC.format("coalesce(text, '')")} AS text_crc32,
+  'rows' AS law, CAST(k AS INTEGER) AS shard, spot - (k * total) // 16 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM dealt, crc
+"""
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = resampling.importance_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranks.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+OP13_SQL = f"""
+WITH crc AS ({_CRC_TABLE}),
+texts AS (
+  SELECT row_number() OVER () AS r, 0 AS side, doc_id, coalesce({_WORDS.format('text')}, []) AS ws FROM documents
+  UNION ALL SELECT row_number() OVER (), 1, NULL, coalesce({_WORDS.format('text')}, []) FROM benchmark
+),
+counted AS MATERIALIZED (
+  SELECT side, r, feature, count(*) AS k FROM (
+    SELECT side, r, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: concat(ws[i], ' ', ws[i + 1])))) AS feature FROM texts)
+  GROUP BY ALL
+),
+hashed AS MATERIALIZED (
+  SELECT feature, {_CRC.format("feature")} % 10000 AS bucket FROM (SELECT DISTINCT feature FROM counted), crc
+),
+buckets AS (
+  SELECT b AS bucket, coalesce(sum(k) FILTER (side = 0), 0)::DOUBLE AS s, coalesce(sum(k) FILTER (side = 1), 0)::DOUBLE AS t
+  FROM range(10000) AS g(b) LEFT JOIN (SELECT side, k, bucket FROM counted JOIN hashed USING (feature)) ON bucket = b GROUP BY b
+),
+gained AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM buckets) + 10000) / ((s + 1) * ((SELECT sum(t) FROM buckets) + 10000)))) AS BIGINT) AS gain
+  FROM buckets
+),
+sums AS (
+  SELECT r, CAST(sum(k) AS BIGINT) AS n, CAST(sum(k * gain) AS BIGINT) AS total
+  FROM counted JOIN hashed USING (feature) JOIN gained USING (bucket) WHERE side = 0 GROUP BY r
+),
+scored AS (
+  SELECT doc_id, r, len(ws) AS n_words, coalesce(n, 0) AS n_features, CASE WHEN n > 0 THEN (total - ((total % n) + n) % n) // n ELSE 0 END AS weight,
+    ('0x' || sha256(concat('7:', doc_id))[:8])::BIGINT AS h
+  FROM texts LEFT JOIN sums USING (r) WHERE side = 0
+),
+final AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS pool FROM final WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * pool // 100 THEN rank END AS rank FROM final LEFT JOIN ranked USING (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -169,6 +298,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pivotal_mix": op8_pivotal_mix,
         "op9_line_dedup": op9_line_dedup,
         "op10_token_ids": op10_token_ids,
+        "op11_spelling": op11_spelling,
+        "op12_shards": op12_shards,
+        "op13_resample": op13_resample,
     }
 
 
@@ -178,4 +310,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontaminate": OP3_SQL,
         "op4_top_k": OP4_SQL,
         "op9_line_dedup": OP9_SQL,
+        "op11_spelling": OP11_SQL,
+        "op12_shards": OP12_SQL,
+        "op13_resample": OP13_SQL,
     }
