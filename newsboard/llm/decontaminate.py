@@ -38,7 +38,7 @@ def words_of(data: bytes) -> list[bytes]:
 
 def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
     """Distinct windows (item_id, words) of the items; items without words or
-    with a NULL text or id have none."""
+    with a NULL text have none.  Items without an id share a NULL one."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -50,9 +50,8 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text",
                     ["item_id", "words"],
                 )
 
-    named = items.filter(F.col(item_id).isNotNull() & F.col(text).isNotNull())
     return (
-        named.select(F.col(item_id).cast("string").alias("item_id"), F.col(text).alias("text"))
+        items.filter(F.col(text).isNotNull()).select(F.col(item_id).cast("string").alias("item_id"), F.col(text).alias("text"))
         .mapInArrow(cut, "item_id string, words array<string>")
         .distinct()
     )
@@ -61,12 +60,14 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text",
 class WindowIndex:
     """Windows of a block by their rarest word, as arrays."""
 
-    def __init__(self, windows: list[tuple[str, list[str]]], counts: dict[str, int]):
-        items = sorted({i for i, _ in windows})
+    def __init__(self, windows: list[tuple[str | None, list[str]]], counts: dict[str, int]):
+        items = sorted({i for i, _ in windows if i is not None})
         number = {i: k for k, i in enumerate(items)}
         texts: dict[tuple[str, ...], set[int]] = {}
         for item, words in windows:
-            texts.setdefault(tuple(words), set()).add(number[item])
+            of = texts.setdefault(tuple(words), set())
+            if item is not None:  # windows of items without an id hit, but name no item
+                of.add(number[item])
         self.items = items
         self.word = {w.encode(): k + 1 for k, w in enumerate(sorted({w for t in texts for w in t}))}
         rows = []
@@ -150,7 +151,8 @@ def find_windows(
     joins one block.  Documents are never shuffled when one block is enough;
     otherwise the runs of the passes are merged by a number given to each row.
 
-    A NULL or empty text has no words and is clean.  Rows with equal or NULL
+    Windows of items with a NULL id count for ``n_hit`` and ``spans``; there is
+    no id to list.  A NULL or empty text has no words and is clean.  Rows with equal or NULL
     ids stay rows of their own.  An empty benchmark hits nothing; no documents
     give no rows.
     """
@@ -158,7 +160,7 @@ def find_windows(
     total = windows.count()
     if total <= block:
         return _merged(_pass(docs, F.lit(""), windows, id_col, text))
-    parts = -(-total // (block // 2))  # a hash deals them out, so half a block each on average
+    parts = -(-total // max(1, block // 2))  # a hash deals them out, so half a block each on average
     dealt = windows.withColumn("part", F.pmod(F.xxhash64("item_id", "words"), F.lit(parts)))
     docs = landed(docs.select(F.expr("uuid()").alias("_row"), F.col(id_col), F.col(text)), "numbered")
     found = None
@@ -228,8 +230,6 @@ def _pass(docs: DataFrame, row: Column, windows: DataFrame, id_col: str, text: s
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no window of any item, be its id NULL or not."""
     (row,) = fresh(docs, "row")
-    name = options.get("item_id", "item_id")
-    items = items.withColumn(name, F.coalesce(F.col(name).cast("string"), F.lit("")))
     rows = docs.withColumn(row, row_key(F.col(id_col), F.col(text)))
     found = find_windows(rows, items, row, text, **options)
     leaks = landed(found.filter(F.col("n_hit") > 0).select(F.col("id").alias(row)).distinct(), "leaks")

@@ -53,7 +53,7 @@ _WORDS = r"list_filter(regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRST
 
 OP3_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS.format('text')}, []) AS ws FROM documents),
-i AS (SELECT item_id, {_WORDS.format('text')} AS ws FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+i AS (SELECT item_id, {_WORDS.format('text')} AS ws FROM benchmark WHERE text IS NOT NULL),
 iw AS (
   SELECT DISTINCT item_id, least(10, len(ws)) AS n, array_to_string(ws[s:s + 9], ' ') AS w
   FROM (SELECT item_id, ws, unnest(range(1, greatest(2, len(ws) - 8))) AS s FROM i WHERE len(ws) > 0)
@@ -67,7 +67,7 @@ hits AS (SELECT doc_id, n, s, item_id FROM dw JOIN iw USING (n, w)),
 words AS (SELECT doc_id, count(DISTINCT spot) AS n_hit
   FROM (SELECT doc_id, unnest(range(s, s + n)) AS spot FROM (SELECT DISTINCT doc_id, s, n FROM hits)) GROUP BY doc_id),
 found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)

@@ -15,14 +15,14 @@ def brute(docs, items, size=10):
         hit, found = set(), set()
         for item, t in items:
             iw = D.words_of((t or "").encode())
-            if not iw or item is None:
+            if not iw:
                 continue
             n = min(size, len(iw))
             for i in range(len(iw) - n + 1):
                 for s in range(len(ws) - n + 1):
                     if ws[s : s + n] == iw[i : i + n]:
                         hit |= set(range(s, s + n))
-                        found.add(str(item))
+                        found |= set() if item is None else {str(item)}
         out.append((doc_id, len(ws), len(hit), sorted(found)))
     return sorted(out, key=repr)
 
@@ -73,6 +73,13 @@ def test_no_benchmark_and_no_documents(spark):
     assert run(spark, [], [(1, "a b")]) == []
 
 
+def test_items_without_an_id_hit_but_are_not_listed(spark):
+    passage = " ".join(f"w{k}" for k in range(12))
+    docs, items = [(1, f"x {passage} y"), (2, "w0 w1")], [(None, passage), (7, "w3 w4")]
+    assert run(spark, docs, items) == brute(docs, items) == [(1, 14, 12, ["7"]), (2, 2, 0, [])]
+    assert run(spark, docs, items[:1], block=1) == [(1, 14, 12, []), (2, 2, 0, [])]
+
+
 def test_items_without_an_id_are_dropped_from_documents_too(spark):
     docs = spark.createDataFrame([(1, "x a b c y", "r", "i", "d"), (2, "x a y", "r", "i", "d")], DOCS)
     items = spark.createDataFrame([(None, "a b c", "w"), (7, "q", "w")], ITEMS)

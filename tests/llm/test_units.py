@@ -1,5 +1,7 @@
 import random
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,11 +27,14 @@ def brute(rows, unit, least, hashed):
             at = gap.end()
         spans.append((at, len(t or "")))
         units = [(a, ws) for a, b in spans if (ws := U.normalised((t or "")[a:b]))]
-        n, total = len(units), lambda i, j: sum(len(ws) for _, ws in units[i:j])
-        enough = [(i, j) for i in range(n) for j in range(i + 1, n + 1) if total(i, j) >= hashed]
-        shortest = {min((x for x in enough if x[0] == i), default=None) for i in range(n)}
-        shortest |= {max((x for x in enough if x[1] == j), default=None) for j in range(1, n + 1)}
-        for k, j in shortest - {None}:
+        n, before = len(units), [0, *accumulate(len(ws) for _, ws in units)]
+        total = lambda i, j: before[j] - before[i]
+        shortest = set()
+        for u in range(n):  # the first end that is far enough, and the last begin
+            end, begin = bisect_left(before, before[u] + hashed), bisect_right(before, before[u + 1] - hashed) - 1
+            shortest |= {(u, end)} if end <= n else set()
+            shortest |= {(begin, u + 1)} if begin >= 0 else set()
+        for k, j in shortest:
             seq = tuple(tuple(ws) for _, ws in units[k:j])
             cut = units[j][0] if j < n else len(t)
             places.setdefault(seq, []).append((i is None, i or 0, total(0, k), t, total(k, j), units[k][0], cut, i))
@@ -61,7 +66,7 @@ def sample(seed):
     return rows + [(None, "a b c\nnew words here"), (None, "x y. q r! s"), (90, None), (91, ""), rows[3], rows[3]]
 
 
-@pytest.mark.parametrize(("unit", "least", "hashed"), [("line", 3, 3), ("line", 1, 1), ("paragraph", 4, 2), ("clause", 5, 3)])
+@pytest.mark.parametrize(("unit", "least", "hashed"), [("line", 3, 3), ("line", 1, 1), ("paragraph", 4, 2), ("word", 5, 3)])
 def test_matches_brute_force(spark, unit, least, hashed):
     rows = sample(least)
     df = frame(spark, rows)
@@ -87,7 +92,7 @@ def test_matches_brute_force(spark, unit, least, hashed):
 def test_query_matches_brute_force(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     rows = entry_point.queries()["op2_unit_dedup"](spark, SF).collect()
-    assert {tuple(r) for r in rows} == brute(docs, "clause", U.LEAST_WORDS, U.HASHED_WORDS) and rows
+    assert {tuple(r) for r in rows} == brute(docs, "word", U.LEAST_WORDS, U.HASHED_WORDS) and rows
 
 
 def test_a_passage_inside_other_text_is_found(spark):
@@ -133,18 +138,28 @@ def test_a_passage_whose_edges_are_cut_by_its_surroundings_is_found(spark):
 
 
 def test_hot_sequences_and_small_holdings_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(U, "_AT_ONCE", 60)  # travels with the tasks' functions
+    monkeypatch.setattr(U, "_HOT", 2)
     rng = random.Random(6)
     hot = "one two three four five six seven"
     rows = [(rng.choice([i, i % 7, None]), " ".join([*rng.choices(["x", "é", "Y"], k=rng.randint(0, 9)), hot, *rng.choices("abc", k=5)])) for i in range(90)]
     # ids are given once, but for copies
     rows = list({i: (i, t) for i, t in rows if i is not None}.values()) + rows[:1] * 2
     rows = [r for r in rows if r[0] is not None]
-    want = brute(rows, "clause", 5, 3)
+    want = brute(rows, "word", 5, 3)
     assert got(U.repeated_units(frame(spark, rows), least_words=5, hashed_words=3)) == want and len(want) > 30
     lines = [(i, t.replace(" a", "\na")) for i, t in rows]
     assert got(U.repeated_units(frame(spark, lines), unit="line", least_words=2, hashed_words=2)) == brute(lines, "line", 2, 2)
 
 
+def test_a_column_called_like_the_spans_is_replaced(spark):
+    rows = [(i, "one two three four five six", "old") for i in (1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, KEPT_spans string")
+    left = U.remove_units(docs, U.repeated_units(docs, least_words=3, hashed_words=2))
+    assert left.columns == ["doc_id", "text", "kept_spans"]
+    assert {(r["doc_id"], r["text"], len(r["kept_spans"])) for r in left.collect()} == {(1, rows[0][1], 1), (2, "", 0)}
+
+
 def by_words(rows, least, hashed):
     """As ``brute`` gives for clauses, in linear time: a unit is a word."""
     first, out = {}, set()
@@ -165,7 +180,7 @@ def by_words(rows, least, hashed):
 
 def test_query_leaves_no_repeated_passage(spark):
     rows = [(i, t) for i, t in sample(7) if i is not None and t is not None and i != 3]
-    assert by_words(rows, 5, 3) == brute(rows, "clause", 5, 3)
+    assert by_words(rows, 5, 3) == brute(rows, "word", 5, 3)
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     found = entry_point.queries()["op2_unit_dedup"](spark, SF).collect()
     assert {tuple(r) for r in found} == by_words(docs, U.LEAST_WORDS, U.HASHED_WORDS) and found
