@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
@@ -11,11 +11,12 @@ from newsboard.functions import captions as C
 from newsboard.functions.arrays import set_of
 from newsboard.functions.text import identifier
 from newsboard.functions.time import BOARD_ZONE, moment, send_at, shift_zone
-from newsboard.operators.analysis import subject_topics
+from newsboard.operators import analysis as N
 from newsboard.operators.articles import sentence_texts
 from newsboard.operators.joins import spread_join
 from newsboard.operators.maintenance import as_json
 from newsboard.operators.sectors import article_sectors
+from newsboard.sources.feed import parse_analyses
 
 
 def match_rules(entities: DataFrame, rules: DataFrame) -> DataFrame:
@@ -26,25 +27,28 @@ def match_rules(entities: DataFrame, rules: DataFrame) -> DataFrame:
     threshold of the rules that apply.  Positions and repeated mentions of an
     entity fall together here, before anything else is joined.
     """
-    narrow = entities.select(
-        "feedly_id", "entity_type", "entity_id", "relevance_score", "confidence_sore"
-    )
+    return _matched(entities, rules, ["concept_id"])
+
+
+def _matched(entities: DataFrame, rules: DataFrame, carried: Sequence[str]) -> DataFrame:
+    narrow = entities.select("feedly_id", "entity_type", "entity_id", "relevance_score", "confidence_sore")
     limits = rules.select(
         "entity_type",
-        "concept_id",
+        *carried,
         F.col("emoji_icon").alias("concept_rule_emoji_icon"),
         F.col("entity_confidence_score_threshold").cast("double").alias("_confidence"),
         F.col("entity_relevance_score_threshold").cast("double").alias("_relevance"),
         F.col("topic_score_threshold").cast("double").alias("_topic"),
     )
     matched = spread_join(narrow, limits, ["entity_type"]).where(
-        (F.col("confidence_sore") >= F.col("_confidence"))
-        & (F.col("relevance_score") >= F.col("_relevance"))
+        (F.col("confidence_sore") >= F.col("_confidence")) & (F.col("relevance_score") >= F.col("_relevance"))
     )
     # Everything after this joins on the article: one shuffle serves all of it.
-    return matched.repartition("feedly_id").groupBy(
-        "feedly_id", "entity_type", "entity_id", "concept_id", "concept_rule_emoji_icon"
-    ).agg(F.min("_topic").alias("topic_threshold"))
+    return (
+        matched.repartition("feedly_id")
+        .groupBy("feedly_id", "entity_type", "entity_id", *carried, "concept_rule_emoji_icon")
+        .agg(F.min("_topic").alias("topic_threshold"))
+    )
 
 
 def _channel_rules(
@@ -86,23 +90,7 @@ def route_ids(
     Entities meet only rules that some channel listens to.
     """
     wanted = _channel_rules(rules, concepts, channel_concepts, channels)
-    limits = wanted.select(
-        *_ROUTE[:7], "concept_id", "entity_type",
-        F.col("emoji_icon").alias("concept_rule_emoji_icon"),
-        F.col("entity_confidence_score_threshold").cast("double").alias("_confidence"),
-        F.col("entity_relevance_score_threshold").cast("double").alias("_relevance"),
-        F.col("topic_score_threshold").cast("double").alias("_topic"),
-    )
-    narrow = entities.select("feedly_id", "entity_type", "entity_id", "relevance_score", "confidence_sore")
-    matched = spread_join(narrow, limits, ["entity_type"]).where(
-        (F.col("confidence_sore") >= F.col("_confidence")) & (F.col("relevance_score") >= F.col("_relevance"))
-    )
-    # Everything after this joins on the article: one shuffle serves all of it.
-    matched = (
-        matched.repartition("feedly_id")
-        .groupBy(*[c for c in _ROUTE if c != "topic_label"], "concept_id")
-        .agg(F.min("_topic").alias("topic_threshold"))
-    )
+    matched = _matched(entities, wanted, ["concept_id", *_ROUTE[:7]])
     # Best score per article and label: a label then meets a threshold at most once.
     on_topic = (
         on_topic.repartition("feedly_id")
@@ -187,16 +175,17 @@ def details_of(
 ) -> DataFrame:
     """:func:`channel_details` straight from the analysis of ``articles``.
 
-    Sectors are worked out for routed articles only.  ``tables`` holds
-    concept_entity_rules, concepts, channel_concepts and channels.
+    Routes stand in the plan once: sets per article of sectors are joined to
+    the routed articles instead of being worked out for their ids, which would
+    route a second time.  Give topics and companies of the articles in question
+    only.  ``tables`` holds concept_entity_rules, concepts, channel_concepts and
+    channels.
     """
     routed = route_ids(
-        entities, subject_topics(topics, distinct_topics=True), tables["concept_entity_rules"],
+        entities, N.subject_topics(topics, distinct_topics=True), tables["concept_entity_rules"],
         tables["concepts"], tables["channel_concepts"], tables["channels"],
     )
-    ids = routed.select("feedly_id").distinct()
-    only = lambda df: df.join(ids, "feedly_id", "left_semi")
-    return channel_details(routed, article_sectors(only(topics), only(companies)), articles)
+    return channel_details(routed, article_sectors(topics, companies), articles)
 
 
 def recent_articles(articles: DataFrame, channels: DataFrame, null_watermark: str = "never") -> DataFrame:
@@ -228,6 +217,28 @@ def unsent_of(
     return unsent(recent, details, tables["channels"], null_watermark, zone)
 
 
+def unsent_from(
+    articles: DataFrame,
+    analyses: DataFrame,
+    tables: Mapping[str, DataFrame],
+    null_watermark: str = "never",
+    zone: str = BOARD_ZONE,
+) -> DataFrame:
+    """:func:`unsent` from the stored analysis documents.
+
+    Documents of other than recent articles are left out while they are still
+    text: nothing of them is parsed, unnested or grouped.  ``tables`` holds
+    organizations beside the tables of :func:`details_of`.
+    """
+    recent = recent_articles(articles, tables["channels"], null_watermark)
+    mine = analyses.join(recent.select("feedly_id"), "feedly_id", "left_semi").select(*analyses.columns)
+    parsed = parse_analyses(mine)
+    entities, topics = N.analysis_entities(recent, parsed), N.analysis_topics(recent, parsed)
+    companies = N.resolve_companies(entities, tables["organizations"])
+    details = details_of(recent, entities, topics, companies, tables)
+    return unsent(recent, details, tables["channels"], null_watermark, zone)
+
+
 def unsent(
     articles: DataFrame,
     details: DataFrame,
@@ -268,8 +279,9 @@ def unsent(
 
 
 def ordered_unsent(rows: DataFrame) -> DataFrame:
-    """Unsent rows in the order to post them: oldest first within a channel."""
-    return rows.orderBy("channel_id", F.col("created_at").asc(), F.col("feedly_id").asc())
+    """Unsent rows in the order to post them: channel by channel, by publishing
+    time; what was published at the same time goes by id."""
+    return rows.orderBy("channel_id", "channel_name", F.col("published_at").asc_nulls_last(), "feedly_id")
 
 
 def outbox(unsent_rows: DataFrame, target: str, now: datetime, seed: int = 0) -> DataFrame:

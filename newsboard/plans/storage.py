@@ -1,11 +1,16 @@
-"""Stored results that readers can use while a refresh runs."""
+"""Stored results that readers can use while a refresh runs.
+
+A table is a folder with numbered version files.  A version file appears whole
+or not at all, and a number can be taken only once, so several writers may work
+on one table: who comes second takes the next number.
+"""
 
 from __future__ import annotations
 
+import os
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -17,16 +22,20 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 def _application_dir(spark: SparkSession) -> str:
     """Below the folder that the cluster names in ``spark.checkpoint.dir`` or,
-    where that is unset, below the warehouse, which all executors share too."""
-    base = spark.conf.get(_CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
+    where that is unset, below the warehouse, if executors can share it."""
+    base = spark.conf.get(_CHECKPOINT_DIR, None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        local_mode = spark.sparkContext.master.split("[")[0] == "local"
+        if not local_mode and base.split(":")[0] in ("file", base):
+            raise RuntimeError(f"executors do not share {base}: set {_CHECKPOINT_DIR} to a folder that they share")
     return f"{base.rstrip('/')}/newsboard-{spark.sparkContext.applicationId}"
 
 
 def clear_shared(spark: SparkSession) -> None:
     """Delete what this application has put below the shared folder; tables
     and logs read from there are gone after it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, _application_dir(spark))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -36,42 +45,89 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(base or f"{_application_dir(spark)}/checkpoints")
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame | None:
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if there is no such folder."""
+    fs, at = _file_system(spark, path)
+    found = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(n for n in found if not n.startswith((".", "_")))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, at = _file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file that must not exist yet; False if it does.
+
+    The file gets its name when it is complete.  Renaming onto a file that
+    exists fails on a cluster's file system; a local one would replace it, and
+    there a hard link is made instead.
+    """
+    fs, at = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f"_draft-{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    out.write(text.encode())
+    out.close()
     try:
-        return spark.read.schema("at bigint, data string").parquet(f"{path}/versions")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
+        if fs.getScheme() != "file":
+            return not fs.exists(at) and fs.rename(draft, at)
+        os.link(draft.toUri().getPath(), at.toUri().getPath())
+        return True
+    except FileExistsError:
+        return False
+    finally:
+        fs.delete(draft, False)
+
+
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    numbers = list_names(spark, f"{path}/versions")
+    return int(numbers[-1]) if numbers else None
+
+
+def version_file(path: str, number: int) -> str:
+    return f"{path}/versions/{number:020d}"
 
 
 def materialize(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
     """Write ``df`` as the new version of the table at ``path`` and read it back.
 
-    Data goes to a folder of its own; a line in ``versions`` with the next
-    number makes it current once the write is complete.  Readers of the old
-    version are not disturbed, and a failed write is never seen.  The newest
-    ``keep`` versions stay on disk.  One writer at a time.
+    Data goes to a folder of its own; the next version file names it once the
+    write is complete.  Readers of the old version are not disturbed, and a
+    failed write is never seen.  Writers that finish together get different
+    numbers, in the order in which they finish.  The newest ``keep`` versions
+    stay on disk.
     """
     spark = df.sparkSession
     data = f"{path}/data-{uuid.uuid4().hex}"
     df.write.parquet(data)
-    versions = _versions(spark, path)
-    last = versions.agg(F.max("at")).first()[0] if versions is not None else None
-    number = 0 if last is None else last + 1
-    line = spark.createDataFrame([(number, data)], "at bigint, data string")
-    line.coalesce(1).write.mode("append").parquet(f"{path}/versions")
-    if versions is not None:
-        for old in versions.where(F.col("at") == number - keep).collect():
-            folder = spark._jvm.org.apache.hadoop.fs.Path(old["data"])
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    while True:
+        last = latest_version(spark, path)
+        number = 0 if last is None else last + 1
+        if publish(spark, version_file(path, number), data):
+            break
+    for name in list_names(spark, f"{path}/versions"):
+        if int(name) <= number - keep:
+            delete(spark, read_text(spark, f"{path}/versions/{name}"))
+            delete(spark, f"{path}/versions/{name}")
     return spark.read.parquet(data)
 
 
 def current(spark: SparkSession, path: str) -> DataFrame | None:
     """The current version of the table at ``path``, None before the first."""
-    versions = _versions(spark, path)
-    if versions is None:
-        return None
-    newest = versions.agg(F.max(F.struct("at", "data"))["data"].alias("data")).first()
-    return spark.read.parquet(newest["data"]) if newest["data"] else None
+    last = latest_version(spark, path)
+    return None if last is None else spark.read.parquet(read_text(spark, version_file(path, last)))

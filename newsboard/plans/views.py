@@ -57,6 +57,10 @@ class Views(Mapping[str, DataFrame]):
     def __init__(self, stored: Mapping[str, DataFrame]):
         self._plans: dict[str, Callable[[], DataFrame]] = {}
         self._frames: dict[str, DataFrame] = dict(stored)
+        self._stored = frozenset(stored)
+
+    def has_stored(self, names: Iterable[str]) -> bool:
+        return self._stored.issuperset(names)
 
     def add(self, name: str, plan: Callable[[], DataFrame]) -> None:
         self._plans[name] = plan
@@ -208,10 +212,13 @@ def _channel_views(v: Views, tables: Mapping[str, DataFrame], zone: str) -> None
         lambda: C.details_of(v["articles"], v["vw_article_nlp_entities"], v["vw_article_nlp_topics"],
                              v["vw_article_nlp_companies"], tables),
     )
+    parts = ("vw_article_nlp_entities", "vw_article_nlp_topics", "vw_article_nlp_companies")
     v.add(
         "vw_xr_channel_articles_unsent_by_channel_and_target",
-        lambda: C.unsent_of(v["articles"], v["vw_article_nlp_entities"], v["vw_article_nlp_topics"],
-                            v["vw_article_nlp_companies"], tables, zone=zone),
+        # Stored parts are narrowed where they are read, documents before they are parsed.
+        lambda: C.unsent_of(v["articles"], *(v[p] for p in parts), tables, zone=zone)
+        if v.has_stored(parts)
+        else C.unsent_from(v["articles"], tables["feedly_entry_text_analyses"], tables, zone=zone),
     )
 
 

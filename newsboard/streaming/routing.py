@@ -6,27 +6,38 @@ same rows again.  Whether an article was sent is looked up in the log of what
 was sent, by channel and article: late articles and articles of the same time
 are neither skipped nor sent twice.  The marks that the channels had when the
 stream began tell what was sent before it.
+
+The log of what was sent lies in hash buckets of channel and article, and a
+batch reads the buckets of its own rows only.  An article needs its entry and
+its analysis, which come in either order: an analysis without an entry waits in
+a folder that every batch writes anew, and is routed with the batch that finds
+the entry.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsboard.operators import analysis as N
 from newsboard.operators import sectors as S
 from newsboard.operators.articles import entry_details
 from newsboard.operators.joins import spread_join
+from newsboard.operators.maintenance import latest_by_key
 from newsboard.operators.ranking import dedupe_by_rank
-from newsboard.operators.routing import advance_watermarks, channel_details, outbox, route, unsent
+from newsboard.operators.routing import advance_watermarks, channel_details, outbox, route_ids, unsent
+from newsboard.plans.keyed import KeyedTable
+from newsboard.plans.storage import delete, list_names
 from newsboard.sources.feed import parse_analyses, parse_entries
 
 _MARKS = "id bigint, last_sent_at timestamp_ntz"
 _SENT = ["channel_id", "feedly_id"]
+#: Buckets of the log of what was sent.
+SENT_BUCKETS = 64
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
@@ -55,9 +66,30 @@ def channel_state(spark: SparkSession, channels: DataFrame, log: str, before: in
     return marked.withColumn("last_sent_at", F.coalesce("_mark", "last_sent_at")).select(*channels.columns)
 
 
+def _sent_bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*_SENT), F.lit(buckets)).cast("int")
+
+
+def sent_before(spark: SparkSession, log: str, buckets: Sequence[int], batch_id: int) -> DataFrame | None:
+    """(channel_id, feedly_id) of the log in some of its buckets, as far as
+    batches before ``batch_id`` wrote them; other buckets are not even listed."""
+    there = set(list_names(spark, log))
+    paths = [f"{log}/bucket={b}" for b in buckets if f"bucket={b}" in there]
+    if not paths:
+        return None
+    rows = spark.read.schema("channel_id bigint, feedly_id string, bucket int, batch_id int").option("basePath", log)
+    return rows.parquet(*paths).where(F.col("batch_id") < batch_id).select(*_SENT)
+
+
+def _clear_batch(spark: SparkSession, log: str, batch_id: int) -> None:
+    """Remove what an earlier attempt of a batch has left in the log."""
+    for bucket in list_names(spark, log):
+        delete(spark, f"{log}/{bucket}/batch_id={batch_id}")
+
+
 def _deliver(
     stream: DataFrame,
-    rows_of: Callable[[DataFrame], DataFrame],
+    rows_of: Callable[[DataFrame, int, list[DataFrame]], DataFrame],
     channels: DataFrame,
     target: str,
     sent_log: str,
@@ -65,23 +97,31 @@ def _deliver(
     checkpoint: str,
     now: datetime,
     seed: int,
+    buckets: int,
 ) -> StreamingQuery:
     spark = stream.sparkSession
+    bucket = _sent_bucket(buckets)
 
     def send(batch: DataFrame, batch_id: int) -> None:
-        rows = dedupe_by_rank(rows_of(batch), _SENT, [F.col("created_at").asc_nulls_last()])
-        sent = _read(spark, sent_log, "channel_id bigint, feedly_id string, batch_id int")
-        if sent is not None:
-            earlier = sent.where(F.col("batch_id") < batch_id).select(*_SENT)
-            rows = rows.join(earlier, _SENT, "left_anti")
-        messages = outbox(rows, target, now, seed)
-        path = f"{sent_log}/batch_id={batch_id}"
-        messages.write.mode("overwrite").parquet(path)
+        _clear_batch(spark, sent_log, batch_id)
+        held: list[DataFrame] = []  # persisted for the batch, computed anew if an executor is lost
+        try:
+            rows = rows_of(batch, batch_id, held).where(F.col("target") == target)
+            held.append(rows := dedupe_by_rank(rows, _SENT, [F.col("created_at").asc_nulls_last()]).persist())
+            touched = [r[0] for r in rows.select(bucket).distinct().collect()]  # at most ``buckets``
+            earlier = sent_before(spark, sent_log, touched, batch_id)
+            fresh = rows if earlier is None else rows.join(earlier, _SENT, "left_anti")
+            messages = outbox(fresh, target, now, seed).withColumns({"bucket": bucket, "batch_id": F.lit(batch_id)})
+            dealt = messages.repartition("bucket") if touched else messages
+            dealt.write.mode("append").partitionBy("bucket", "batch_id").parquet(sent_log)
+        finally:
+            for df in held:
+                df.unpersist()
         # Read back what was written, so that marks and messages agree.
-        written = spark.read.schema(messages.schema).parquet(path)
+        written = _batch_of(spark, sent_log, batch_id, touched)
         state = channel_state(spark, channels, state_log, before=batch_id)
-        moved = advance_watermarks(state, written).select("id", "last_sent_at")
-        moved.write.mode("overwrite").parquet(f"{state_log}/batch_id={batch_id}")
+        moved = state if written is None else advance_watermarks(state, written)
+        moved.select("id", "last_sent_at").write.mode("overwrite").parquet(f"{state_log}/batch_id={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(send)
@@ -91,6 +131,13 @@ def _deliver(
     )
 
 
+def _batch_of(spark: SparkSession, log: str, batch_id: int, buckets: Sequence[int]) -> DataFrame | None:
+    name = f"batch_id={batch_id}"
+    paths = [p for b in buckets if name in list_names(spark, p := f"{log}/bucket={b}")]
+    schema = "channel_id bigint, feedly_id string, created_at timestamp_ntz"
+    return spark.read.schema(schema).parquet(*[f"{p}/{name}" for p in paths]) if paths else None
+
+
 def deliver(
     stream: DataFrame,
     channels: DataFrame,
@@ -100,52 +147,103 @@ def deliver(
     checkpoint: str,
     now: datetime,
     seed: int = 0,
+    buckets: int = SENT_BUCKETS,
 ) -> StreamingQuery:
     """Send the unsent rows of a stream of channel articles.
 
     The stream has the columns of ``operators.routing.unsent``; its
     ``last_sent_at`` is replaced by the mark of the channel in ``channels``.
+    ``buckets`` of the log must stay what they were when the log began.
     """
     marks = channels.select(F.col("id").alias("channel_id"), "last_sent_at")
 
-    def newer(batch: DataFrame) -> DataFrame:
+    def newer(batch: DataFrame, batch_id: int, held: list[DataFrame]) -> DataFrame:
         marked = spread_join(batch.drop("last_sent_at"), marks, ["channel_id"])
         return marked.where(F.col("created_at") > F.col("last_sent_at"))
 
-    return _deliver(stream, newer, channels, target, sent_log, state_log, checkpoint, now, seed)
+    return _deliver(stream, newer, channels, target, sent_log, state_log, checkpoint, now, seed, buckets)
+
+
+def waiting_analyses(spark: SparkSession, waiting: str, schema, before: int | None = None) -> DataFrame:
+    """Analyses whose entry had not come when the newest batch (``before`` a
+    batch) was through."""
+    numbers = [int(n.partition("=")[2]) for n in list_names(spark, waiting)]
+    known = [n for n in numbers if before is None or n < before]
+    return spark.read.schema(schema).parquet(f"{waiting}/batch_id={max(known)}") if known else spark.createDataFrame([], schema)
+
+
+def arrivals(analyses: DataFrame, entries: DataFrame) -> DataFrame:
+    """One stream of two: analyses, and entries, which wake those that wait."""
+    as_row = lambda df, kind: df.select(F.lit(kind).alias("arrived"), F.struct(*df.columns).alias(kind))
+    return as_row(analyses, "analysis").unionByName(as_row(entries, "entry"), allowMissingColumns=True)
 
 
 def deliver_analyses(
     stream: DataFrame,
-    entries: DataFrame,
+    entries: DataFrame | KeyedTable,
     tables: Mapping[str, DataFrame],
     target: str,
     sent_log: str,
     state_log: str,
     checkpoint: str,
     now: datetime,
+    waiting: str,
     seed: int = 0,
+    buckets: int = SENT_BUCKETS,
+    order: Sequence[str] = ("updated_at",),
 ) -> StreamingQuery:
     """Route a stream of text analyses by the rules and send what matches.
 
-    ``entries`` is the stored entry table; an article can be routed when its
-    analysis arrives, which names topics and entities.  ``tables`` holds
-    organizations, concept_entity_rules, concepts, channel_concepts and
-    channels.  A batch reads the entries of its analyses only.
+    An article is routed when both its entry and its analysis are there, in
+    whichever order they come.  Analyses without an entry wait in the folder
+    ``waiting``: a batch reads what waited after the batch before it and writes
+    what still waits, so it is repeated like the logs, and the folder before
+    the last one is deleted.  What waits costs a batch its ids' lookup only.
+
+    ``entries`` is the entry table.  As a :class:`KeyedTable` it is read in its
+    newest version by each batch, and only in the buckets of the ids that the
+    batch looks for.  With ``stream`` from :func:`arrivals` the entries of a
+    batch are stored in that table first (newest by ``order``), so entries
+    release analyses without a batch of analyses.  A DataFrame of files is what
+    it was when it was made.
+
+    ``tables`` holds organizations, concept_entity_rules, concepts,
+    channel_concepts and channels.  Of analyses of one id in a batch the newest
+    is routed, and one without an id is left out.
     """
-    channels = tables["channels"]
-
-    def routed(batch: DataFrame) -> DataFrame:
-        ids = batch.select("feedly_id").distinct()
-        articles = entry_details(parse_entries(entries.join(ids, "feedly_id", "left_semi").select(*entries.columns)))
-        parsed = parse_analyses(batch)
+    spark, channels = stream.sparkSession, tables["channels"]
+    both = "arrived" in stream.columns
+    if both and not isinstance(entries, KeyedTable):
+        raise TypeError("a stream of entries needs a KeyedTable to store them in")
+    schema = stream.schema["analysis"].dataType if both else stream.schema
+
+    def entries_of(ids: DataFrame) -> DataFrame:
+        if isinstance(entries, KeyedTable):
+            return entries.matching(ids)
+        return entries.join(ids, "feedly_id", "left_semi").select(*entries.columns)
+
+    def routed(batch: DataFrame, batch_id: int, held: list[DataFrame]) -> DataFrame:
+        if both:
+            arrived = batch.where("arrived = 'entry'").select("entry.*")
+            entries.upsert(arrived, order, ["created_at"])
+            batch = batch.where("arrived = 'analysis'").select("analysis.*")
+        due = batch.unionByName(waiting_analyses(spark, waiting, schema, batch_id))
+        due = latest_by_key(due.dropna(subset=["feedly_id"]), ["feedly_id"], [c for c in order if c in due.columns])
+        held.append(due := due.persist())
+        held.append(known := entries_of(due.select("feedly_id")).persist())
+        folder = f"{waiting}/batch_id={batch_id}"
+        due.join(known.select("feedly_id"), "feedly_id", "left_anti").select(*due.columns).write.mode("overwrite").parquet(folder)
+        for name in list_names(spark, waiting):  # a replay needs the one before it
+            if int(name.partition("=")[2]) < batch_id - 1:
+                delete(spark, f"{waiting}/{name}")
+        articles = entry_details(parse_entries(known))
+        parsed = parse_analyses(due)
         topics = N.analysis_topics(articles, parsed)
-        entities = N.analysis_entities(articles, parsed)
-        companies = N.resolve_companies(entities, tables["organizations"])
-        matched = route(
-            articles, entities, N.subject_topics(topics, distinct_topics=True), tables["concept_entity_rules"],
+        companies = N.resolve_companies(entities := N.analysis_entities(articles, parsed), tables["organizations"])
+        ids = route_ids(
+            entities, N.subject_topics(topics, distinct_topics=True), tables["concept_entity_rules"],
             tables["concepts"], tables["channel_concepts"], channels,
         )
-        return unsent(articles, channel_details(matched, S.article_sectors(topics, companies)), channels)
+        return unsent(articles, channel_details(ids, S.article_sectors(topics, companies), articles), channels)
 
-    return _deliver(stream, routed, channels, target, sent_log, state_log, checkpoint, now, seed)
+    return _deliver(stream, routed, channels, target, sent_log, state_log, checkpoint, now, seed, buckets)

@@ -758,6 +758,13 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_routing"] = f"""
         SELECT CAST(channel_id AS BIGINT) AS channel_id, feedly_id, text, headline, captions FROM ({OUTBOX})
     """
+    sql["stream_routing_early"] = sql["stream_routing"]
+    sql["unsent_documents"] = sql["unsent"]
+    sql["ordered_unsent"] = f"""
+        SELECT CAST(channel_id AS BIGINT) AS channel_id, feedly_id, {day('published_at')} AS published_at,
+               CAST(row_number() OVER (PARTITION BY channel_id ORDER BY published_at NULLS LAST, feedly_id) AS INTEGER) AS place
+        FROM ({UNSENT})
+    """
     sql["stream_windowed"] = """
         SELECT strftime(ts, '%Y-%m-%d') AS time_period, event_type AS topic_label, count(*) AS count FROM events GROUP BY ALL
     """

@@ -28,6 +28,7 @@ from newsboard.operators import sectors as S
 from newsboard.operators.boards import leaderboard, ordered_board, top_mentions
 from newsboard.operators.counting import period_counts, roll_up
 from newsboard.operators.ranking import dedupe_by_rank
+from newsboard.plans.keyed import KeyedTable
 from newsboard.plans.storage import current, ensure_checkpoint_dir, materialize, shared_dir
 from newsboard.plans.views import GRAINS, build_views, load_stored, refresh
 from newsboard.sources.feed import entries_from_json, explode_items, parse_entries
@@ -35,7 +36,7 @@ from newsboard.sources.register import read_register
 from newsboard.sources.seeds import read_seeds, stamped
 from newsboard.streaming.counts import count_increments, daily_counts, windowed_counts
 from newsboard.streaming.ingest import compact, current_entries, ingest_entries
-from newsboard.streaming.routing import channel_state, deliver, deliver_analyses
+from newsboard.streaming.routing import arrivals, channel_state, deliver, deliver_analyses
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -660,13 +661,32 @@ def ordered_rows(spark: SparkSession, sf: str) -> DataFrame:
     return show_period(number_rows_as_posted(board))
 
 
+def in_written_order(df: DataFrame, within: str) -> DataFrame:
+    """``place`` within a group follows the order that a sorted frame is written in."""
+    path = shared_dir(df.sparkSession, "ordered")
+    df.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(within).orderBy("_id")))
+
+
 def number_rows_as_posted(board: DataFrame) -> DataFrame:
-    """``place`` follows the order that a sorted frame is written in."""
-    path = shared_dir(board.sparkSession, "ordered")
-    board.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
-    rows = board.sparkSession.read.parquet(path)
-    place = F.row_number().over(Window.partitionBy("time_period").orderBy("_id"))
-    return rows.select("time_period", "name", "rank", place.alias("place"))
+    return in_written_order(board, "time_period").select("time_period", "name", "rank", "place")
+
+
+def ordered_unsent(spark: SparkSession, sf: str) -> DataFrame:
+    rows = T.ordered_unsent(unsent_rows(spark, sf)).select("channel_id", "feedly_id", "published_at")
+    return in_written_order(rows, "channel_id").select("channel_id", "feedly_id", day("published_at"), "place")
+
+
+def unsent_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Unsent rows from the analysis documents, narrowed before they are parsed."""
+    tables = B.order_tables(spark, sf)
+    rows = T.unsent_from(stored_articles(spark, sf), tables["feedly_entry_text_analyses"], tables)
+    return rows.select(
+        "channel_id", "channel_name", "feedly_id", "title", "site", "author", "url",
+        *[joined(c) for c in ("concept_names", "topic_labels", "categories", "company_names")],
+        "engagement", day("created_at"), second("last_sent_at"),
+    )
 
 
 def refreshed(spark: SparkSession, sf: str) -> DataFrame:
@@ -877,7 +897,25 @@ def stream_routing(spark: SparkSession, sf: str) -> DataFrame:
     analyses = file_stream(tables["feedly_entry_text_analyses"], "feedly_id")
     sent, state = shared_dir(spark, "sent"), shared_dir(spark, "channels")
     deliver_analyses(
-        analyses, tables["feedly_entries"], tables, "slack", sent, state, shared_dir(spark, "checkpoint"), AS_OF
+        analyses, tables["feedly_entries"], tables, "slack", sent, state, shared_dir(spark, "checkpoint"), AS_OF,
+        shared_dir(spark, "waiting"),
+    ).awaitTermination()
+    return spark.read.parquet(sent).select(
+        "channel_id", "feedly_id", "text", "headline", joined("captions", "\n")
+    )
+
+
+def stream_routing_early(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries and analyses arrive as two streams of files, most of them in
+    different batches, some analyses before their entries and some after."""
+    tables = B.order_tables(spark, sf)
+    entries, analyses = tables["feedly_entries"], tables["feedly_entry_text_analyses"]
+    both = arrivals(file_stream(analyses, "feedly_id"), file_stream(entries, "payload"))
+    table = KeyedTable(spark, shared_dir(spark, "entries"), ["feedly_id"], entries.schema, 16)
+    sent = shared_dir(spark, "sent")
+    deliver_analyses(
+        both, table, tables, "slack", sent, shared_dir(spark, "channels"), shared_dir(spark, "checkpoint"), AS_OF,
+        shared_dir(spark, "waiting"),
     ).awaitTermination()
     return spark.read.parquet(sent).select(
         "channel_id", "feedly_id", "text", "headline", joined("captions", "\n")
@@ -1008,6 +1046,9 @@ def queries() -> dict[str, Query]:
         refresh=refreshed,
         check_tables=check_model,
         stream_routing=stream_routing,
+        stream_routing_early=stream_routing_early,
+        ordered_unsent=ordered_unsent,
+        unsent_documents=unsent_documents,
         stream_windowed=stream_windowed,
         stream_compact=lambda spark, sf: stream_upsert(spark, sf, compacted=True),
         stream_upsert=stream_upsert,

@@ -205,3 +205,35 @@ def test_default_rules_belong_to_many_concepts(spark):
     assert rows(seeds["concepts"].where("id = 12"), "name") == [("Sports and Fitness",)]
     limits = [c for c in rules.columns if c.endswith("_threshold")]
     assert [tuple(map(str, r)) for r in rules.select(*limits).distinct().collect()] == [("1.000", "0.200", "0.200")]
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_documents_are_narrowed_before_they_are_parsed(spark):
+    from helpers import analysis_rows
+    from newsboard.sources.schemas import REGISTER
+
+    docs = {k: {"topics": [{"id": 0, "label": "Virtual x", "score": 0.9}], "entities": [{"type": ["Team"], "entityEnglishId": "E", "relevanceScore": 1, "confidenceScore": 2}]} for k in "ab"}
+    t = tables(spark, RULES_ROWS, [(1, 1)])
+    given = {
+        "concept_entity_rules": t["rules"], "concepts": t["concepts"], "channel_concepts": t["channel_concepts"],
+        "channels": t["channels"], "organizations": spark.createDataFrame([], REGISTER["organizations"]),
+    }
+    arts = entry_details(parse_entries(entry_rows(spark, [({"id": "a"}, AS_OF + timedelta(days=1)), ({"id": "b"}, AS_OF)])))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a broadcast semi join would be pushed down anyway
+    try:
+        got = T.unsent_from(arts, analysis_rows(spark, docs), given)
+        plan = plan_text(got).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows(got, "channel_id", "feedly_id") == [(1, "a")]
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    semis = [i for i, line in enumerate(plan) if "Join LeftSemi" in line]
+    assert semis
+    for i in semis:
+        below = [line for line in plan[i + 1 :]][: next((k for k, line in enumerate(plan[i + 1 :]) if depth(line) <= depth(plan[i])), None)]
+        assert not any("Aggregate" in line or "Generate" in line for line in below)
+    assert sum("min(_topic" in line for line in plan) == 1  # routes are worked out once

@@ -4,14 +4,16 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import NOW, rows, ts
+from helpers import NOW, analysis_rows, entry_rows, rows, ts
 from newsboard.operators.counting import period_counts, roll_up
 from newsboard.operators.maintenance import upsert
-from newsboard.sources.schemas import CHANNELS
-from newsboard.sources.seeds import conform
+from newsboard.sources.schemas import CHANNELS, REGISTER
+from newsboard.sources.seeds import conform, default_seeds, small_table
 from newsboard.streaming.counts import count_increments, daily_counts, windowed_counts
 from newsboard.streaming.ingest import compact, current_entries, ingest_entries
-from newsboard.streaming.routing import channel_state, deliver
+from newsboard.plans.keyed import KeyedTable
+from newsboard.sources.schemas import ANALYSES, ENTRIES
+from newsboard.streaming.routing import arrivals, channel_state, deliver, deliver_analyses, sent_before, waiting_analyses
 
 ENTRY = "created_at timestamp_ntz, updated_at timestamp_ntz, published_at timestamp_ntz, feedly_id string, payload string"
 BASE = ts("2020-03-01")
@@ -115,3 +117,68 @@ def test_deliver_is_exactly_once(spark, shared):
         run(cp)
         assert rows(spark.read.parquet(f"{shared}/sent"), "channel_id", "feedly_id") == want
         assert rows(channel_state(spark, channels, f"{shared}/state"), "id", "last_sent_at") == marks
+
+
+def test_a_batch_reads_the_buckets_of_its_rows_only(spark, shared):
+    channels = conform(spark.createDataFrame([(1, BASE)], "id long, last_sent_at timestamp_ntz"), CHANNELS)
+    batches = [[routed_row(1, f"a{n}-{i}", 1) for i in range(30)] for n in range(3)] + [[routed_row(1, "a0-0", 1), routed_row(1, "new", 2)]]
+    land(spark, f"{shared}/in", batches, ROW)
+    deliver(
+        stream(spark, f"{shared}/in", ROW), channels, "slack", f"{shared}/sent", f"{shared}/state", f"{shared}/cp", NOW, buckets=16
+    ).awaitTermination()
+    assert spark.read.parquet(f"{shared}/sent").count() == 91  # a0-0 was sent before
+    everything = sent_before(spark, f"{shared}/sent", range(16), 3).inputFiles()
+    one = sent_before(spark, f"{shared}/sent", [5], 3).inputFiles()
+    assert 0 < len(one) <= 4 and len(everything) > 20 and all("/bucket=5/" in f for f in one)
+    assert sent_before(spark, f"{shared}/none", [5], 3) is None
+
+
+def article(key):
+    return {"id": key, "title": f"Title {key}", "alternate": [{"href": f"https://{key}.example.com/"}]}
+
+
+def analysis(at):
+    team = {"type": ["SportsTeam"], "entityId": "E", "entityEnglishId": "E", "relevanceScore": 0.9, "confidenceScore": 9}
+    return {"topics": [{"id": 0, "label": "Machine learning", "score": 0.9}], "entities": [team], "cleanedText": at}
+
+
+def routing_tables(spark):
+    seeds = default_seeds(spark)
+    seeds["channels"] = seeds["channels"].withColumn("last_sent_at", F.lit(BASE).cast("timestamp_ntz"))
+    links = small_table(spark, "channel_id concept_id", [(1, 12), (2, 12)])
+    return {**seeds, "channel_concepts": links, "organizations": spark.createDataFrame([], REGISTER["organizations"])}
+
+
+@pytest.mark.parametrize("order", [[(["a", "b"], []), (["c"], ["a"]), ([], ["c", "z"]), (["z"], []), ([], ["b"])]])
+def test_analyses_and_entries_in_either_order(spark, shared, order):
+    """Each step is a run: analyses first, entries first, entries alone."""
+    table = KeyedTable(spark, f"{shared}/entries", ["feedly_id"], ENTRIES, 4)
+    done, sent = set(), []
+    seen = ([], [])
+    for n, (analysed, entered) in enumerate(order):
+        if analysed:
+            analysis_rows(spark, {k: analysis(k) for k in analysed}).coalesce(1).write.mode("append").parquet(f"{shared}/analyses")
+        if entered:
+            entry_rows(spark, [article(k) for k in entered]).coalesce(1).write.mode("append").parquet(f"{shared}/arrived")
+        if n == 0:
+            spark.createDataFrame([], ENTRIES).coalesce(1).write.mode("append").parquet(f"{shared}/arrived")
+        read = lambda name, schema: spark.readStream.schema(schema).parquet(f"{shared}/{name}")
+        deliver_analyses(
+            arrivals(read("analyses", ANALYSES), read("arrived", ENTRIES)), table, routing_tables(spark), "slack",
+            f"{shared}/sent", f"{shared}/state", f"{shared}/cp", NOW, f"{shared}/waiting",
+        ).awaitTermination()
+        seen[0].extend(analysed)
+        seen[1].extend(entered)
+        done = set(seen[0]) & set(seen[1])
+        sent = spark.read.parquet(f"{shared}/sent") if done else None
+        assert {r["feedly_id"] for r in sent.collect()} == done if done else True
+        assert {r["feedly_id"] for r in waiting_analyses(spark, f"{shared}/waiting", ANALYSES).collect()} == set(seen[0]) - done
+    assert done == {"a", "b", "c", "z"} and sent.count() == 8
+    assert rows(table.read(), "feedly_id") == [("a",), ("b",), ("c",), ("z",)]
+
+
+def test_a_stream_of_entries_needs_a_table(spark, shared):
+    frame = spark.createDataFrame([], ENTRIES)
+    both = arrivals(spark.createDataFrame([], ANALYSES), frame)
+    with pytest.raises(TypeError):
+        deliver_analyses(both, frame, {"channels": frame}, "slack", "s", "t", "c", NOW, "w")
