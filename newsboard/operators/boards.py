@@ -44,6 +44,23 @@ def leaderboard(
         bucket(F.col(ts), grain, zone).alias("time_period"), *extra, by, key
     )
     counts = count_by(rows, ["time_period", *extra, by], key, min_freq)
+    return _board(counts, by, grain, extra)
+
+
+def board_of_days(
+    daily: DataFrame, by: str, grain: str, within: str | None = None, min_freq: int = 2
+) -> DataFrame:
+    """:func:`leaderboard` from stored day counts (``counting.day_counts`` in
+    the zone of the board): weeks and months add up their days, so no mention is
+    read again."""
+    extra = [within] if within else []
+    rows = daily.dropna(subset=extra) if extra else daily
+    period = bucket(F.col("time_period"), grain).alias("time_period")
+    counts = rows.groupBy(period, *extra, by).agg(F.sum("count").alias("freq")).where(F.col("freq") >= min_freq)
+    return _board(counts, by, grain, extra)
+
+
+def _board(counts: DataFrame, by: str, grain: str, extra: list[str]) -> DataFrame:
     ranked = rank_within(counts, ["time_period", *extra], "freq")
     return ranked.select(
         F.lit(grain).alias("time_period_label"),

@@ -32,6 +32,22 @@ def period_counts(
     )
 
 
+def day_counts(
+    df: DataFrame, labels: Sequence[str], zone: str | None = None, ts: str = "published_at", key: str = "feedly_id"
+) -> DataFrame:
+    """Rows per day, of a zone if one is given, and labels, from 1 upwards: the
+    partials that week and month counts and boards add up.  Rows without a time
+    belong to no day."""
+    day = bucket(F.col(ts), "day", zone) if zone else bucket(F.col(ts), "day")
+    days = df.dropna(subset=[ts]).select(day.alias("time_period"), *labels, key)
+    return count_by(days, ["time_period", *labels], key, 1, "count")
+
+
+def add_up(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Partials of the same day and labels as one row."""
+    return counts.groupBy("time_period", *labels).agg(F.sum("count").alias("count"))
+
+
 def roll_up(daily: DataFrame, label: str, grain: str, min_freq: int = 2) -> DataFrame:
     """Day counts (kept from 1 upwards) to week or month counts."""
     return (

@@ -63,6 +63,40 @@ def upsert(
     return untouched.select(*base.columns).unionByName(changed)
 
 
+def digest_uuid(*cols: Column) -> Column:
+    """An identifier in the form of a UUID that depends on the values alone, so
+    a load that is run again gives a row the identifier it had."""
+    parts = [F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-")) for c in cols]
+    hexed = F.md5(F.concat_ws("/", *parts))
+    return F.concat_ws("-", *[F.substring(hexed, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+
+
+def with_defaults(
+    incoming: DataFrame, stored: DataFrame, key: str, now: datetime, empty: Sequence[str] = ("payload",)
+) -> DataFrame:
+    """New rows with the defaults of their columns, as they are to be stored.
+
+    A row of a key that is stored keeps its ``id`` and ``created_at``; the
+    others get ids that go on after the largest stored one, in the order of the
+    keys, and ``now``.  ``updated_at`` is ``now`` where it is missing, and
+    missing documents (``empty``) are ``{}``.  ``incoming`` has one row per key;
+    rows that are numbered once and loaded again keep their number.  Needs a
+    checkpoint directory, as :func:`~newsboard.operators.ranking.number_rows`.
+    """
+    stamp = moment(now)
+    known = stored.select(key, F.col("id").alias("_id"), F.col("created_at").alias("_created"))
+    last = stored.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    fresh = number_rows(incoming.select(key).join(stored.select(key), key, "left_anti"), [key], "_nth")
+    numbered = incoming.drop("id").join(known, key, "left").join(fresh, key, "left")
+    columns = {
+        "id": F.coalesce("_id", F.col("_nth") + F.lit(last)),
+        "created_at": F.coalesce("_created", "created_at", stamp),
+        "updated_at": F.coalesce("updated_at", stamp),
+        **{c: F.coalesce(c, F.lit("{}")) for c in empty},
+    }
+    return numbered.withColumns(columns).select("id", *[c for c in incoming.columns if c != "id"])
+
+
 def update_existing(
     base: DataFrame,
     incoming: DataFrame,

@@ -74,28 +74,47 @@ class KeyedTable:
     def matching(self, ids: DataFrame) -> DataFrame:
         """The current rows with a key that ``ids`` has."""
         ids = ids.select(*self.keys).distinct()
-        return self.read(self.touched(ids)).join(ids, self.keys, "left_semi").select(*self.schema.names)
+        rows = self.read(self.touched(ids))
+        return rows.join(ids, self._same(rows, ids), "left_semi").select(*self.schema.names)
 
-    def change(self, touched: Sequence[int], combine: Callable[[DataFrame], DataFrame]) -> None:
+    def _same(self, a: DataFrame, b: DataFrame) -> Column:
+        """Equal keys; NULL equals NULL."""
+        return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in self.keys])
+
+    def done(self, series: str) -> int:
+        """The number of the last change of a series that was stored, or -1."""
+        version = self._version()
+        return version["series"].get(series, -1) if version else -1
+
+    def change(
+        self, touched: Sequence[int], combine: Callable[[DataFrame], DataFrame], step: tuple[str, int] | None = None
+    ) -> None:
         """Put ``combine(rows of the touched buckets)`` in their place.
 
         ``combine`` must return rows of these buckets only; it is called again
-        if another writer has changed one of them in the meantime.
+        if another writer has changed one of them in the meantime.  ``step``
+        names a series of changes and the number of this one: it is stored with
+        the rows, and a change whose number was stored before does nothing.
         """
         touched, held, written = sorted(touched), None, {}
         while touched:
             version = self._version()
             folders = {int(b): f for b, f in version["folders"].items()} if version else {}
+            series = version["series"] if version else {}
+            if step and series.get(step[0], -1) >= step[1]:
+                return
             mine = {b: folders.get(b) for b in touched}
             if mine != held:
                 data, held = f"data/{uuid.uuid4().hex}", mine
                 rows = combine(self._read(folders, touched)).select(*self.schema.names)
-                dealt = rows.withColumn(_BUCKET, self._bucket_of()).repartition(len(touched), _BUCKET)
+                # A key with most rows fills its bucket: adaptive execution splits what is large.
+                dealt = rows.withColumn(_BUCKET, self._bucket_of()).hint("rebalance", _BUCKET)
                 dealt.write.partitionBy(_BUCKET).parquet(f"{self.path}/{data}")
                 names = list_names(self.spark, f"{self.path}/{data}")
                 written = {int(n.partition("=")[2]): f"{data}/{n}" for n in names if n.startswith(f"{_BUCKET}=")}
             kept = {b: f for b, f in folders.items() if b not in held}
-            text = json.dumps({"buckets": self.buckets, "keys": self.keys, "folders": kept | written})
+            text = json.dumps({"buckets": self.buckets, "keys": self.keys, "folders": kept | written,
+                               "series": series | dict([step] if step else [])})
             if publish(self.spark, version_file(self.path, version["number"] + 1 if version else 0), text):
                 return
 
@@ -117,11 +136,10 @@ class KeyedTable:
         """Drop what is stored under ``keys`` and store ``rows``, whose keys are
         among them, instead."""
         keys = keys.select(*self.keys).distinct().persist()
-        same = lambda a, b: reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in self.keys])
         try:
             self.change(
                 self.touched(keys),
-                lambda old: old.join(keys, same(old, keys), "left_anti").unionByName(rows.select(*self.schema.names)),
+                lambda old: old.join(keys, self._same(old, keys), "left_anti").unionByName(rows.select(*self.schema.names)),
             )
         finally:
             keys.unpersist()

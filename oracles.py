@@ -760,6 +760,27 @@ def oracle_sql() -> dict[str, str]:
     """
     sql["stream_routing_early"] = sql["stream_routing"]
     sql["unsent_documents"] = sql["unsent"]
+    sql["refresh_changes"] = sql["refresh"]
+    sql["stream_board"] = sql["board_company_month"]
+    sql["upsert_buckets"] = sql["upsert"]
+    sql["defaults"] = """
+        SELECT CASE WHEN c_custkey % 2 = 0 THEN row_number() OVER (PARTITION BY c_custkey % 2 ORDER BY c_custkey)
+                    ELSE (SELECT count(*) FROM customer WHERE c_custkey % 2 = 0)
+                         + row_number() OVER (PARTITION BY c_custkey % 2 ORDER BY c_custkey) END AS id,
+               key AS feedly_id, CASE WHEN c_custkey % 2 = 0 THEN '2001-01-01' ELSE '2002-01-01' END AS created_at,
+               '2002-01-01' AS updated_at,
+               CASE WHEN c_acctbal > 0 THEN '{"title":"' || c_name || '"}' ELSE '{}' END AS payload,
+               concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) AS uuid
+        FROM (SELECT *, md5('=' || key) AS h FROM (
+            SELECT *, 'customer/' || lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS key FROM customer))
+    """
+    sql["register_tables"] = """
+        SELECT table_name, CAST(s_suppkey AS VARCHAR) AS key, s_name AS name,
+               'He said "' || s_name || '",' || chr(10) || 'then left' AS note,
+               CASE WHEN table_name <> 'organization_categories' THEN CAST(s_suppkey AS BIGINT) END AS rank
+        FROM supplier, (VALUES ('category_groups'), ('organizations'), ('organization_descriptions'),
+                               ('organization_categories'), ('org_parents')) t(table_name)
+    """
     sql["ordered_unsent"] = f"""
         SELECT CAST(channel_id AS BIGINT) AS channel_id, feedly_id, {day('published_at')} AS published_at,
                CAST(row_number() OVER (PARTITION BY channel_id ORDER BY published_at NULLS LAST, feedly_id) AS INTEGER) AS place

@@ -16,7 +16,7 @@ from newsboard.functions import captions as C
 from newsboard.functions.arrays import list_keep_nulls, set_keep_nulls, set_of
 from newsboard.functions.json import json_num, json_text
 from newsboard.functions.text import host_of, soundex_pg
-from newsboard.functions.time import moment
+from newsboard.functions.time import BOARD_ZONE, moment
 from newsboard.operators import analysis as N
 from newsboard.operators import articles as A
 from newsboard.operators import checks as K
@@ -25,16 +25,18 @@ from newsboard.operators import maintenance as M
 from newsboard.operators import register as R
 from newsboard.operators import routing as T
 from newsboard.operators import sectors as S
-from newsboard.operators.boards import leaderboard, ordered_board, top_mentions
+from newsboard.operators.boards import board_of_days, leaderboard, ordered_board, top_mentions
 from newsboard.operators.counting import period_counts, roll_up
 from newsboard.operators.ranking import dedupe_by_rank
+from newsboard.plans.incremental import IncrementalViews
 from newsboard.plans.keyed import KeyedTable
 from newsboard.plans.storage import current, ensure_checkpoint_dir, materialize, shared_dir
 from newsboard.plans.views import GRAINS, build_views, load_stored, refresh
+from newsboard.sources import schemas
 from newsboard.sources.feed import entries_from_json, explode_items, parse_entries
 from newsboard.sources.register import read_register
-from newsboard.sources.seeds import read_seeds, stamped
-from newsboard.streaming.counts import count_increments, daily_counts, windowed_counts
+from newsboard.sources.seeds import conform, read_seeds, stamped
+from newsboard.streaming.counts import count_increments, daily_counts, day_table, fold_counts, windowed_counts
 from newsboard.streaming.ingest import compact, current_entries, ingest_entries
 from newsboard.streaming.routing import arrivals, channel_state, deliver, deliver_analyses
 
@@ -591,6 +593,31 @@ def update_existing(spark: SparkSession, sf: str) -> DataFrame:
     return merged.select("feedly_id", day("created_at"), day("updated_at"), day("published_at"), "payload")
 
 
+def upsert_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """Old rows, then new ones, into a table of buckets; the newest of both stays."""
+    base, new = old_and_new(spark, sf)
+    columns = ["feedly_id", "created_at", "updated_at", "payload", "seq"]
+    table = KeyedTable(spark, shared_dir(spark, "keyed"), ["feedly_id"], base.select(*columns).schema, 16)
+    for rows in (base, new):
+        table.upsert(rows.select(*columns), ("updated_at", "seq"), ("created_at",))
+    return table.read().select("feedly_id", day("created_at"), day("updated_at"), "payload")
+
+
+def defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as rows without ids, every second one stored before."""
+    ensure_checkpoint_dir(spark)
+    rows = B.table(spark, sf, "customer").select(
+        F.concat(F.lit("customer/"), F.lpad(F.col("c_custkey").cast("string"), 12, "0")).alias("feedly_id"),
+        F.lit(None).cast("timestamp_ntz").alias("created_at"), F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+        F.when(F.col("c_acctbal") > 0, B.json_of(title=F.col("c_name"))).alias("payload"), "c_custkey",
+    )
+    none = spark.createDataFrame([], "id bigint, feedly_id string, created_at timestamp_ntz")
+    first = M.with_defaults(rows.where("c_custkey % 2 = 0").drop("c_custkey"), none, "feedly_id", datetime(2001, 1, 1))
+    stored = materialize(first, shared_dir(spark, "customers"))
+    both = M.with_defaults(rows.drop("c_custkey"), stored, "feedly_id", datetime(2002, 1, 1))
+    return both.select("id", "feedly_id", day("created_at"), day("updated_at"), "payload", M.digest_uuid(F.col("feedly_id")).alias("uuid"))
+
+
 def merge_analyses(spark: SparkSession, sf: str) -> DataFrame:
     base, new = old_and_new(spark, sf)
     analyses = base.select(
@@ -700,6 +727,19 @@ def refreshed(spark: SparkSession, sf: str) -> DataFrame:
     return stored["articles"].select("feedly_id", "title").join(topics, "feedly_id")
 
 
+def refresh_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The views after two changes that follow the changed keys only."""
+    tables = B.order_tables(spark, sf)
+    views = IncrementalViews(spark, shared_dir(spark, "views"), tables["organizations"], 16)
+    part = F.pmod(F.xxhash64("feedly_id"), F.lit(20))
+    for name, some in (("most", part > 0), ("some", part < 2)):
+        change = (tables[t].where(some) for t in ("feedly_entries", "feedly_entry_text_analyses"))
+        views.apply(name, *(conform(df, schema) for df, schema in zip(change, (schemas.ENTRIES, schemas.ANALYSES), strict=True)))
+    stored = views.stored()
+    topics = stored["vw_article_nlp_topics"].groupBy("feedly_id").agg(F.count("*").alias("n_topics"))
+    return stored["articles"].select("feedly_id", "title").join(topics, "feedly_id")
+
+
 def check_model(spark: SparkSession, sf: str) -> DataFrame:
     """The rules of the data model, broken by design: entries are lines of one order."""
     tables = {
@@ -858,6 +898,40 @@ def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
     return show_period(roll_up(daily_counts(spark, log, "topic_label"), "topic_label", "week"))
 
 
+def stream_board(spark: SparkSession, sf: str) -> DataFrame:
+    """The month board of suppliers from day counts that a stream has folded."""
+    rows = file_stream(B.line_mentions(spark, sf, sectors=False), "feedly_id")
+    table = day_table(spark, shared_dir(spark, "days"), ["name"], buckets=16)
+    fold_counts(rows, table, ["name"], shared_dir(spark, "checkpoint"), BOARD_ZONE).awaitTermination()
+    return show_period(board_of_days(table.read(), "name", "month"))
+
+
+def register_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """All register tables as folders of CSV files with line breaks and quotes
+    in their fields, loaded with their types."""
+    supplier = B.table(spark, sf, "supplier")
+    note = F.concat(F.lit('He said "'), F.col("s_name"), F.lit('",\nthen left'))
+    key = F.col("s_suppkey").cast("string")
+    shown = {
+        "category_groups": ("id", "name", "category_groups_list"),
+        "organizations": ("uuid", "name", "short_description"),
+        "organization_descriptions": ("uuid", "name", "description"),
+        "organization_categories": ("organization_uuid", "organization_name", "category"),
+        "org_parents": ("uuid", "name", "parent_name"),
+    }
+    out = None
+    for name, (first, second_, third) in shown.items():
+        rows = supplier.select(key.alias(first), F.col("s_name").alias(second_), note.alias(third), F.col("s_suppkey").alias("rank"))
+        path = shared_dir(spark, name)
+        conform(rows, schemas.REGISTER[name]).repartition(3).write.option("header", True).option("escape", '"').csv(path)
+        read = read_register(spark, path, name)
+        rank = F.col("rank") if "rank" in read.columns else F.lit(None)
+        read = read.select(F.lit(name).alias("table_name"), F.col(first).alias("key"), F.col(second_).alias("name"),
+                           F.col(third).alias("note"), rank.cast("bigint").alias("rank"))
+        out = read if out is None else out.unionByName(read)
+    return out
+
+
 def sent_events(spark: SparkSession, sf: str) -> tuple[str, str, DataFrame]:
     """Deliver the events as channel articles; gives the sent and state logs."""
     marks = {1: datetime(2024, 1, 10), 2: datetime(2024, 1, 20)}
@@ -1048,6 +1122,11 @@ def queries() -> dict[str, Query]:
         stream_routing=stream_routing,
         stream_routing_early=stream_routing_early,
         ordered_unsent=ordered_unsent,
+        upsert_buckets=upsert_buckets,
+        defaults=defaults,
+        refresh_changes=refresh_changes,
+        stream_board=stream_board,
+        register_tables=register_tables,
         unsent_documents=unsent_documents,
         stream_windowed=stream_windowed,
         stream_compact=lambda spark, sf: stream_upsert(spark, sf, compacted=True),

@@ -1,5 +1,6 @@
 import csv
 import os
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,3 +156,18 @@ def test_check_tables(spark):
         ("channel_concepts", "channel_id in channels", 1), ("channel_concepts", "channel_id not null", 1),
         ("channel_concepts", "concept_id in concepts", 1), ("concepts", "unique (name)", 1),
     ]
+
+
+def test_defaults_survive_a_rerun(spark):
+    ensure_checkpoint_dir(spark)
+    schema = "feedly_id string, created_at timestamp_ntz, updated_at timestamp_ntz, payload string"
+    at = NOW - timedelta(days=9)
+    first = M.with_defaults(spark.createDataFrame([("b", None, None, None), ("a", at, at, "x")], schema),
+                          spark.createDataFrame([], "id long, feedly_id string, created_at timestamp_ntz"), "feedly_id", NOW)
+    assert rows(first) == [(1, "a", at, at, "x"), (2, "b", NOW, NOW, "{}")]
+    later = NOW + timedelta(days=1)
+    again = [("c", None, None, "y"), ("b", None, None, "z"), ("0", None, at, None)]
+    second = lambda: rows(M.with_defaults(spark.createDataFrame(again, schema), first, "feedly_id", later))
+    assert second() == second() == [(2, "b", NOW, later, "z"), (3, "0", later, at, "{}"), (4, "c", later, later, "y")]
+    ids = spark.createDataFrame([("a", None), ("a", None), (None, "a")], "x string, y string").select(M.digest_uuid(F.col("x"), F.col("y")))
+    assert [len(set(r[0] for r in ids.collect())), len(ids.first()[0])] == [2, 36]

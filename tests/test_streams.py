@@ -5,11 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import NOW, analysis_rows, entry_rows, rows, ts
+from newsboard.operators.boards import board_of_days, leaderboard
 from newsboard.operators.counting import period_counts, roll_up
 from newsboard.operators.maintenance import upsert
 from newsboard.sources.schemas import CHANNELS, REGISTER
 from newsboard.sources.seeds import conform, default_seeds, small_table
-from newsboard.streaming.counts import count_increments, daily_counts, windowed_counts
+from newsboard.streaming.counts import count_increments, daily_counts, day_table, fold_counts, windowed_counts
 from newsboard.streaming.ingest import compact, current_entries, ingest_entries
 from newsboard.plans.keyed import KeyedTable
 from newsboard.sources.schemas import ANALYSES, ENTRIES
@@ -182,3 +183,19 @@ def test_a_stream_of_entries_needs_a_table(spark, shared):
     both = arrivals(spark.createDataFrame([], ANALYSES), frame)
     with pytest.raises(TypeError):
         deliver_analyses(both, frame, {"channels": frame}, "slack", "s", "t", "c", NOW, "w")
+
+
+def test_folded_days_give_the_boards_and_count_a_batch_once(spark, shared):
+    late = [*BATCHES, [entry(-60, "z", "a0"), entry(-60, "y", "a0"), entry(1.95, "x", "a1"), entry(1.95, "v", "a1")]]
+    land(spark, f"{shared}/in", late, ENTRY)
+    table = day_table(spark, f"{shared}/days", ["payload"], buckets=8)
+    for cp in ("cp", "cp", "cp2"):  # first run, nothing new, replay of all batches
+        fold_counts(stream(spark, f"{shared}/in", ENTRY), table, ["payload"], f"{shared}/{cp}", "-05:00").awaitTermination()
+    assert table.done("stream") == 3 and table.read().groupBy("time_period", "payload").count().where("count > 1").isEmpty()
+    everything = spark.createDataFrame([r for b in late for r in b], ENTRY)
+    for grain in ("day", "week", "month"):
+        got, want = board_of_days(table.read(), "payload", grain), leaderboard(everything, "payload", grain, "-05:00")
+        assert rows(got) == rows(want) and got.columns == want.columns
+    before = table.folders()
+    fold_counts(stream(spark, f"{shared}/in", ENTRY), table, ["payload"], f"{shared}/cp3", "-05:00", "other").awaitTermination()
+    assert table.read().agg(F.sum("count")).first()[0] == 2 * everything.count() and set(before) == set(table.folders())
