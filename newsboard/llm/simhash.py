@@ -249,9 +249,9 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of ``docs`` per component: that with the least id, NULL last,
-    and of rows with that id the one with the least digest of id and text."""
+    and of rows with that id the one with the least digest of all its columns."""
     row, rank = fresh(docs, "row", "rank")
-    rows = docs.withColumn(row, row_key(F.col(id_col), F.col(text)))
+    rows = docs.withColumn(row, row_key(*[F.col(c) for c in docs.columns]))
     ranked = rows.select(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row).alias(row)).alias(rank), text)
     found = near_duplicates(ranked, rank, text)
     kept = found.filter(F.col(rank) == F.col("component_id")).select(F.col(f"{rank}.{row}").alias(row)).distinct()
