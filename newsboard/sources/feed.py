@@ -29,7 +29,7 @@ def entries_from_json(df: DataFrame, col: str, now: datetime) -> DataFrame:
     """Raw item JSON to entry rows; publishing time is cut to whole seconds."""
     doc = F.col(col)
     stamp = moment(now)
-    millis = json_num(json_text(doc, "published"), "bigint")
+    millis = json_num(json_text(doc, "published"))  # 1.7e12 is a number of JSON as well
     return df.select(
         stamp.alias("created_at"),
         stamp.alias("updated_at"),

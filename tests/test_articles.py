@@ -203,11 +203,13 @@ def test_article_rankings_equal_plain_windows(spark, k):
 
 def test_feed_envelopes(spark):
     docs = [json.dumps({"items": [{"id": "a", "published": MS, "title": "t"}, {"id": "b", "published": "x"}]}),
+            '{"items": [{"id": "c", "published": 1.584525600123E12}, {"id": "d", "published": 1584525600000.0}, {"id": "e", "published": 1e300}]}',
             '{"error": 1}', "not json"]
     items = explode_items(spark.createDataFrame([(d,) for d in docs], "value string"))
     entries = entries_from_json(items, "payload", NOW)
     assert rows(entries, "feedly_id", "published_at", "created_at") == [
-        ("a", ts("2020-03-18T10:00:00"), NOW), ("b", None, NOW),
+        ("a", ts("2020-03-18T10:00:00"), NOW), ("b", None, NOW), ("c", ts("2020-03-18T10:00:00"), NOW),
+        ("d", ts("2020-03-18T10:00:00"), NOW), ("e", None, NOW),
     ]
     first = entries.where("feedly_id = 'a'").first()["payload"]
     assert json.loads(first)["title"] == "t"
