@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from newsboard.llm.common import LOWER, UPPER, fresh, hot_join, landed
 
@@ -122,16 +123,60 @@ def _sequence_arrays(text: str, unit: str, hashed_words: int) -> tuple[np.ndarra
     return places, np.frombuffer(b"".join(x[4] for x in found), np.int64).reshape(-1, 2).T
 
 
-def _pack(*columns: np.ndarray) -> bytes:
-    """Integers of 32 bits as compressed differences, by byte."""
-    steps = [np.diff(c, prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns]
-    return pa.compress(b"".join(steps), codec="zstd", asbytes=True)
+def _zigzag(steps: np.ndarray) -> np.ndarray:
+    """Small numbers of both signs as small ones without a sign."""
+    return (steps << 1) ^ (steps >> 31)
+
+
+def _pack(first: np.ndarray, words: np.ndarray, begin: np.ndarray, cut: np.ndarray, *kept: np.ndarray) -> bytes:
+    """Places as compressed differences of 32 bits, by byte: a sequence's start
+    against what its first word lets expect, its cut against its start."""
+    first, words, begin, cut, *kept = (c.astype(np.int32) for c in (first, words, begin, cut, *kept))
+    columns = [first, words, begin - first * np.int32(_BYTES_PER_WORD), *kept]
+    steps = [_zigzag(np.diff(c, prepend=np.int32(0))) for c in columns] + [cut - begin]
+    return pa.compress(b"".join(c.view(np.uint8).reshape(-1, 4).T.tobytes() for c in steps), codec="zstd", asbytes=True)
 
 
 def _unpack(data: bytes, rows: int, columns: int) -> np.ndarray:
     raw = pa.decompress(data, decompressed_size=4 * rows * columns, codec="zstd", asbytes=True)
     planes = np.frombuffer(raw, np.uint8).reshape(columns, 4, rows).transpose(0, 2, 1)
-    return np.cumsum(np.ascontiguousarray(planes).view("<i4")[..., 0], axis=1, dtype=np.int32)
+    codes = np.ascontiguousarray(planes).view("<u4")[..., 0]
+    steps = (codes[:-1] >> 1).view(np.int32) ^ -(codes[:-1] & 1).view(np.int32)
+    first, words, begin, *kept = np.cumsum(steps, axis=1, dtype=np.int32)
+    begin = begin + first * np.int32(_BYTES_PER_WORD)
+    return np.stack([first, words, begin, begin + codes[-1].view(np.int32), *kept])
+
+
+def _pack_ids(ids: pa.Array) -> bytes:
+    """Ids as differences by byte if they are integers, else as they are;
+    compressed."""
+    if not pa.types.is_integer(ids.type):
+        batch, sink = pa.RecordBatch.from_arrays([ids], ["id"]), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch)
+        return sink.getvalue().to_pybytes()
+    nulls = np.packbits(np.asarray(ids.is_null())) if ids.null_count else np.empty(0, np.uint8)
+    steps = np.diff(np.asarray(ids.cast(pa.int64()).fill_null(0)), prepend=np.int64(0))
+    planes = ((steps << 1) ^ (steps >> 63)).view(np.uint8).reshape(-1, 8).T
+    return pa.compress(planes.tobytes() + nulls.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack_ids(data: bytes, n: int, has_null: bool, kind: pa.DataType) -> pa.Array:
+    if not pa.types.is_integer(kind):
+        return pa.ipc.open_stream(data).read_all().column(0).combine_chunks().cast(kind)
+    size = 8 * n + (-(-n // 8) if has_null else 0)
+    raw = np.frombuffer(pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True), np.uint8)
+    codes = np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view(np.uint64)[:, 0]
+    values = np.cumsum((codes >> np.uint64(1)).view(np.int64) ^ -(codes & np.uint64(1)).view(np.int64))
+    mask = np.unpackbits(raw[8 * n :], count=n).astype(bool) if has_null else None
+    return pa.array(values, pa.int64(), mask=mask).cast(kind)
+
+
+def _mixed(ids: pa.Array) -> np.ndarray:
+    """The stand-in for a text's hash where integer ids tell documents apart."""
+    plain = np.asarray(ids.cast(pa.int64()).fill_null(-1)).view(np.uint64)
+    mixed = plain * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed ^ (mixed >> np.uint64(32))).view(np.int64)
 
 
 def _numbered(ids: pa.Array, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,62 +203,68 @@ def _digests(cells: list[bytes]) -> np.ndarray:
     return out.reshape(-1).view(np.int64)
 
 
-_DEALT = ["part", "kind", "ids", "rows", "sizes", "places", "digests", "kept"]
-
-
-def _shape(id_type: str) -> str:
-    return (f"part int, kind int, ids array<{id_type}>, rows array<bigint>, sizes array<int>, "
-            f"places binary, digests binary, kept array<{id_type}>")
+_DEALT = ["part", "kind", "n_docs", "n_kept", "nulls", "ids", "rows", "sizes", "places", "digests"]
+_SHAPE = ("part int, kind int, n_docs int, n_kept int, nulls boolean, ids binary, rows binary, sizes binary, "
+          "places binary, digests binary")
 
 
 def _dealt(
     part: np.ndarray, kind: int, doc: np.ndarray, places: list[np.ndarray], digests: np.ndarray | None,
-    ids: pa.Array, rows: np.ndarray, kept: np.ndarray | None = None,
+    ids: pa.Array, rows: np.ndarray, alone: bool, kept: np.ndarray | None = None,
 ) -> Iterator[pa.RecordBatch]:
     """A row per part with its documents, and the places of each, which come
-    in the order of documents."""
+    in the order of documents.  Hashes of texts travel unless ids are ``alone``
+    enough to tell documents apart."""
     if not len(part):
         return
     order = np.argsort(part, kind="stable")
     ends = np.flatnonzero(np.append(part[order][1:] != part[order][:-1], True)) + 1
+    none = pa.nulls(0, ids.type)
     for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
         at = order[a:b]
         docs, sizes = np.unique(doc[at], return_counts=True)
-        columns, origins = [c[at] for c in places], pa.nulls(0, ids.type)
+        columns, origins = [c[at] for c in places], none
         if kept is not None:
             used, index = np.unique(kept[at], return_inverse=True)
             columns, origins = [*columns, index], ids.take(pa.array(used))
+        given = ids.take(pa.array(docs))
         row = [
-            pa.array([part[at[0]]], pa.int32()), pa.array([kind], pa.int32()), _cell(ids.take(pa.array(docs))),
-            _cell(pa.array(rows[docs])), _cell(pa.array(sizes.astype(np.int32))),
-            pa.array([_pack(*columns)], pa.binary()),
-            pa.array([b"" if digests is None else _shortened(digests[at])], pa.binary()), _cell(origins),
+            int(part[at[0]]), kind, len(docs), len(origins), bool(given.null_count or origins.null_count),
+            _pack_ids(pa.concat_arrays([given, origins])), b"" if alone else rows[docs].tobytes(),
+            pa.compress(sizes.astype("<i4").tobytes(), codec="zstd", asbytes=True), _pack(*columns),
+            b"" if digests is None else _shortened(digests[at]),
         ]
-        yield pa.RecordBatch.from_arrays(row, _DEALT)
-
-
-def _cell(values: pa.Array) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        kinds = [pa.int32()] * 4 + [pa.bool_()] + [pa.binary()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], _DEALT)
 
 
-def _taken(table: pa.Table, columns: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+def _taken(
+    table: pa.Table, columns: int, kind: pa.DataType, alone: bool
+) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """(ids, rows, document of each place, places, digests, kept ids) of rows
     that ``_dealt`` made; the last column of places refers to the kept ids."""
-    flat = lambda name: pc.list_flatten(table.column(name).combine_chunks())
-    ids, sizes = flat("ids"), np.asarray(flat("sizes"))
+    none = pa.nulls(0, kind)
+    ids, kept, sizes, places, before = [none], [none], [np.empty(0, np.int64)], [np.empty((columns, 0), np.int32)], 0
+    for r in table.select(["n_docs", "n_kept", "nulls", "ids", "sizes", "places"]).to_pylist():
+        both = _unpack_ids(r["ids"], r["n_docs"] + r["n_kept"], r["nulls"], kind)
+        ids.append(both[: r["n_docs"]])
+        kept.append(both[r["n_docs"] :])
+        raw = pa.decompress(r["sizes"], decompressed_size=4 * r["n_docs"], codec="zstd", asbytes=True)
+        sizes.append(np.frombuffer(raw, "<i4").astype(np.int64))
+        p = _unpack(r["places"], int(sizes[-1].sum()), columns)
+        if columns == 6:
+            p[-1] += before
+            before += r["n_kept"]
+        places.append(p)
+    all_ids, sizes = pa.concat_arrays(ids), np.concatenate(sizes)
+    rows = _mixed(all_ids) if alone else np.frombuffer(b"".join(table.column("rows").to_pylist()), np.int64)
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    per_row = [sum(x) for x in table.column("sizes").to_pylist()]
-    places = [_unpack(d, n, columns) for d, n in zip(table.column("places").to_pylist(), per_row, strict=True)]
-    before = np.cumsum([0, *(len(x) for x in table.column("kept").to_pylist())])
-    for p, k in zip(places, before, strict=False):
-        p[-1] += k if columns == 6 else 0
     digests = _digests(table.column("digests").to_pylist())
-    joined = np.concatenate(places, axis=1) if places else np.empty((columns, 0), np.int32)
-    return ids, np.asarray(flat("rows")), doc, joined, digests, flat("kept")
+    return all_ids, rows, doc, np.concatenate(places, axis=1), digests, pa.concat_arrays(kept)
 
 
 def hashed_sequences(
-    docs: DataFrame, id_col: str, text: str, unit: str, hashed_words: int, groups: int
+    docs: DataFrame, id_col: str, text: str, unit: str, hashed_words: int, groups: int, alone: bool
 ) -> DataFrame:
     """The sequences of all texts, dealt to ``groups`` by digest; a document is
     its id and a hash of the text.  Of a digest that is hot in a task only the
@@ -225,6 +276,7 @@ def hashed_sequences(
         number, entry = _numbered(ids, rows)
         held = [held[k] for k in entry]  # by rank, copies once
         ids, rows = ids.take(pa.array(entry)), rows[entry]
+        rows = _mixed(ids) if alone else rows
         doc = np.repeat(np.arange(len(held)), [x[2].shape[1] for x in held])
         places, (h1, h2) = np.concatenate([x[2] for x in held], 1), np.concatenate([x[3] for x in held], 1)
         h1 = h1 & ((1 << 8 * _DIGEST_BYTES) - 1)
@@ -239,7 +291,7 @@ def hashed_sequences(
         for k in (_REPEAT, _FIRST, _KNOWN):
             at = np.flatnonzero(kind == k)
             part = (rows[doc[at]] if k == _KNOWN else h2[at]).view(np.uint64) % np.uint64(groups)
-            yield from _dealt(part.astype(np.int64), k, doc[at], list(places[:, at]), h1[at], ids, rows)
+            yield from _dealt(part.astype(np.int64), k, doc[at], list(places[:, at]), h1[at], ids, rows, alone)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -259,10 +311,10 @@ def hashed_sequences(
     given = docs.filter(F.col(text).isNotNull()).select(
         F.xxhash64(text).alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text")
     )
-    return given.mapInArrow(cut, _shape(docs.schema[id_col].dataType.simpleString()))
+    return given.mapInArrow(cut, _SHAPE)
 
 
-def _repeats_of(parts: int):
+def _repeats_of(parts: int, kind: pa.DataType, alone: bool):
     """From the sequences of a group of digests to its repeats, dealt to
     ``parts`` by document, and the first place of each hot digest."""
 
@@ -270,15 +322,15 @@ def _repeats_of(parts: int):
         out = []
         known = table.filter(pc.equal(table.column("kind"), _KNOWN))
         if known.num_rows:
-            ids, rows, doc, places, digests, _ = _taken(known, 4)
+            ids, rows, doc, places, digests, _ = _taken(known, 4, kind, alone)
             part = (rows[doc].view(np.uint64) >> np.uint64(20)) % np.uint64(parts)
             none = np.zeros(len(doc), np.int64)
             order = np.argsort(doc, kind="stable")
             places = [c[order] for c in (*places, none)]
-            out += _dealt(part.astype(np.int64)[order], _KNOWN, doc[order], [*places, none], digests[order], ids, rows)
+            out += _dealt(part.astype(np.int64)[order], _KNOWN, doc[order], [*places, none], digests[order], ids, rows, alone)
         met = table.filter(pc.not_equal(table.column("kind"), _KNOWN))
         if met.num_rows:
-            ids, rows, doc, places, digests, _ = _taken(met, 4)
+            ids, rows, doc, places, digests, _ = _taken(met, 4, kind, alone)
             hot = np.unique(_digests([
                 d for d, k in zip(met.column("digests").to_pylist(), met.column("kind").to_pylist(), strict=True) if k == _FIRST
             ]))
@@ -296,26 +348,25 @@ def _repeats_of(parts: int):
             at_, first_ = at[again][back], first[again][back]
             part = (rows[doc[at_]].view(np.uint64) >> np.uint64(20)) % np.uint64(parts)
             columns = [*places[:, at_], places[2][first_]]
-            out += _dealt(part.astype(np.int64), _REPEAT, doc[at_], columns, None, ids, rows, doc[first_])
+            out += _dealt(part.astype(np.int64), _REPEAT, doc[at_], columns, None, ids, rows, alone, doc[first_])
             if len(hot):
                 heads = at[opens & np.isin(digests[at], hot)]
                 heads = heads[np.argsort(doc[heads], kind="stable")]
                 columns = [*places[:, heads], places[2][heads], np.zeros(len(heads), np.int64)]
-                out += _dealt(np.zeros(len(heads), np.int64), _FIRST, doc[heads], columns, digests[heads], ids, rows)
+                out += _dealt(np.zeros(len(heads), np.int64), _FIRST, doc[heads], columns, digests[heads], ids, rows, alone)
         return pa.Table.from_batches(out) if out else table.slice(0, 0)
 
     return settle
 
 
-def _runs_of(least_words: int):
+def _runs_of(least_words: int, kind: pa.DataType, alone: bool):
     """From the repeats of some documents to their runs; ``h1`` is set where
     the place that was kept is that of a hot digest."""
 
     def settle(table: pa.Table) -> pa.Table:
-        none = table.schema.field("ids").type.value_type
         has = [pc.equal(table.column("kind"), k) for k in (_REPEAT, _KNOWN)]
-        ids, rows, doc, places, _, kept = _taken(table.filter(has[0]), 6)
-        ids2, rows2, doc2, places2, digests, _ = _taken(table.filter(has[1]), 6)
+        ids, rows, doc, places, _, kept = _taken(table.filter(has[0]), 6, kind, alone)
+        ids2, rows2, doc2, places2, digests, _ = _taken(table.filter(has[1]), 6, kind, alone)
         number, entry = _numbered(all_ids := pa.concat_arrays([ids, ids2]), all_rows := np.concatenate([rows, rows2]))
         doc = number[np.concatenate([doc, doc2 + len(ids)])]
         places = np.concatenate([places, places2], 1)
@@ -340,7 +391,7 @@ def _runs_of(least_words: int):
             [
                 pa.array(all_rows[at]), all_ids.take(pa.array(at)), pa.array(places[2][begin].astype(np.int32)),
                 pa.array(cut.astype(np.int32)), pa.array(words.astype(np.int32)),
-                kept.take(pa.array(from_, mask=lost)) if len(kept) else pa.nulls(len(at), none),
+                kept.take(pa.array(from_, mask=lost)) if len(kept) else pa.nulls(len(at), kind),
                 pa.array(places[4][begin].astype(np.int32), mask=lost), pa.array(h1[begin], mask=~lost),
             ],
             ["row", "id", "start", "cut", "n_words", "kept_id", "kept_start", "h1"],
@@ -371,16 +422,19 @@ def repeated_units(
     lose the same passages.  NULL and empty texts have no units, no rows give
     no rows.  Sequences travel packed, a row per task's holding and group of
     digests; of a hot digest each holding sends one occurrence to its group.
+    Integer ids that occur once name their documents alone; with others a hash
+    of the text travels beside each id.
     """
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     groups = max(_LEAST_GROUPS, size // (_BYTES_PER_WORD * _PER_GROUP))
-    shape = _shape(docs.schema[id_col].dataType.simpleString())
-    found = hashed_sequences(docs, id_col, text, unit, hashed_words, groups)
-    repeats = landed(found.groupBy("part").applyInArrow(_repeats_of(groups), shape), "repeats")
-    id_type = docs.schema[id_col].dataType.simpleString()
+    id_type, kind = docs.schema[id_col].dataType.simpleString(), to_arrow_type(docs.schema[id_col].dataType)
+    given = docs.filter(F.col(text).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    alone = pa.types.is_integer(kind) and given.groupBy("id").count().filter("count > 1").isEmpty()
+    found = hashed_sequences(docs, id_col, text, unit, hashed_words, groups, alone)
+    repeats = landed(found.groupBy("part").applyInArrow(_repeats_of(groups, kind, alone), _SHAPE), "repeats")
     runs = landed(
         repeats.filter(F.col("kind") != _FIRST).groupBy("part").applyInArrow(
-            _runs_of(least_words),
+            _runs_of(least_words, kind, alone),
             f"row long, id {id_type}, start int, cut int, n_words int, kept_id {id_type}, kept_start int, h1 long",
         ),
         "runs",
@@ -388,7 +442,7 @@ def repeated_units(
 
     def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, _, doc, places, digests, _ = _taken(pa.Table.from_batches([batch]), 6)
+            ids, _, doc, places, digests, _ = _taken(pa.Table.from_batches([batch]), 6, kind, alone)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(digests), ids.take(pa.array(doc)), pa.array(places[2])], ["h1", "first_id", "first_start"]
             )
@@ -399,9 +453,13 @@ def repeated_units(
     lost = runs.filter(F.col("h1").isNotNull())
     counts = lost.groupBy("h1").agg(F.count("*").alias("n"))
     late = hot_join(lost, landed(first.dropDuplicates(["h1"]).join(counts, "h1"), "hot-firsts"), "h1", "n")
-    return runs.filter(F.col("h1").isNull()).select(*names, "kept_id", "kept_start").unionByName(
+    out = runs.filter(F.col("h1").isNull()).select(*names, "kept_id", "kept_start").unionByName(
         late.select(*names, F.col("first_id").alias("kept_id"), F.col("first_start").alias("kept_start"))
     )
+    if not alone:
+        return out
+    hashes = given.select(F.xxhash64("text").alias("row"), F.col("id").alias("of"))
+    return out.drop("row").join(hashes, F.col("id").eqNullSafe(F.col("of"))).select(*out.columns)
 
 
 def remove_units(
