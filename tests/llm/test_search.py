@@ -66,3 +66,43 @@ def test_boxes_prune(monkeypatch):
     tree.search(np.array([3, 1]), -1, best, 5)
     want = sorted(((int(p @ [3, 1]), -i) for i, p in enumerate(points)), reverse=True)[:5]
     assert sorted(((s, i) for s, i, _ in best), reverse=True) == want and len(popped) < 40
+
+
+def corners(n, seed):
+    """Clusters at the corners of a cube: each median split halves them."""
+    rng = np.random.default_rng(seed)
+    return [(i, [float(rng.normal(s * 8, 0.05)) for s in rng.choice([-1, 1], 3)]) for i in range(n)]
+
+
+def test_only_pairs_that_boxes_let_meet_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(S, "SHARDS_AT_ONCE", 1)
+    monkeypatch.setattr(S, "QUERIES_AT_ONCE", 12)
+    frames, real = {}, S.landed
+    monkeypatch.setattr(S, "landed", lambda df, name: frames.setdefault(name, real(df, name)))
+    rows = corners(960, 4)
+    assert run(spark, rows, shard_rows=60) == brute(rows, 10)
+    shards, blocks = frames["trees"].count(), frames["begun"].select("block").distinct().count()
+    met = frames["reached"].agg(F.count("*"), F.sum("n")).first()
+    assert shards >= 16 and blocks >= 8
+    assert met[0] <= shards * blocks / 3 and met[1] <= 96 * shards / 3  # all pairs would be these products
+
+
+def test_copies_of_one_vector_fill_many_bounded_shards(spark, monkeypatch):
+    frames, real = {}, S.landed
+    monkeypatch.setattr(S, "landed", lambda df, name: frames.setdefault(name, real(df, name)))
+    rng = np.random.default_rng(6)
+    rows = [(i, [1.0, 2.0, 3.0] if i % 3 == 0 else rng.normal(size=3).tolist()) for i in range(600)]
+    assert run(spark, rows, shard_rows=40) == brute(rows, 10)
+    assert frames["trees"].count() >= 600 / 40
+    import pickle
+
+    assert max(len(pickle.loads(r["tree"]).ids) for r in frames["trees"].collect()) <= 80
+
+
+def test_cells_hold_what_their_cuts_say():
+    rng = np.random.default_rng(7)
+    points = rng.integers(-50, 50, (3000, 4))
+    cuts = S.Cuts(points, 16)
+    sizes = np.bincount(cuts.cell(points), minlength=cuts.cells)
+    assert cuts.cells == 16 and sizes.sum() == 3000 and sizes.min() > 100 and sizes.max() < 300
+    assert S.Cuts(np.ones((9, 2), np.int64), 8).cells == 1 and S.Cuts(np.empty((0, 3), np.int64), 8).cells == 1
