@@ -14,6 +14,8 @@ Any document can be read with the tail, two offsets and its blocks.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 import struct
 import uuid
@@ -77,8 +79,49 @@ class _Pieces(dict):
         return ids
 
 
+#: How the word BPE vocabulary prepares a text, the only way that
+#: ``WordEncoder`` may look words up for.
+_PREPARED = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "truncation": None,
+    "padding": None,
+}
+
+
+def words_apart(definition: str) -> bool:
+    """Whether a tokenizer file prepares texts in the way that ``WordEncoder``
+    knows, and its added tokens all hold a character that is not plain."""
+    parts = json.loads(definition)
+    return (
+        all(parts.get(k) == v for k, v in _PREPARED.items())
+        and parts["model"].get("type") == "BPE" and not parts["model"].get("dropout")
+        and all("<" in t["content"] and not re.search(r"\s", t["content"]) for t in parts.get("added_tokens") or [])
+    )
+
+
 class WordEncoder:
     """Ids of texts by the word BPE vocabulary, as its tokenizer gives them.
+    Texts for a vocabulary that prepares them in another way go to its
+    tokenizer whole.
 
     Its pre-tokens are encoded apart from each other, so the ids of one that
     was seen before are looked up.  That path takes only characters whose
@@ -91,10 +134,11 @@ class WordEncoder:
     _ODD = re.compile(f"[^{_PLAIN}]")
     _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str | None = None, definition: str | None = None):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        definition = definition or read_definition(path)
+        self.tokenizer, self.apart = Tokenizer.from_str(definition), words_apart(definition)
         self.pieces = _Pieces(self.tokenizer)
         self.ids_of = self.pieces.__getitem__
 
@@ -103,6 +147,8 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         """All ids of a text as little-endian unsigned 32-bit integers."""
+        if not self.apart:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if not self._ODD.search(text):
             return self._plain(text)
         out = []
@@ -121,14 +167,20 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def read_definition(path: str) -> str:
+    with open(path, encoding="utf-8") as f:
+        return f.read()
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(definition: str) -> WordEncoder:
     """The encoder of this Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    key = hashlib.sha256(definition.encode()).hexdigest()
+    if key not in _ENCODERS:
+        _ENCODERS[key] = WordEncoder(definition=definition)
+    return _ENCODERS[key]
 
 
 class IdFile:
@@ -210,7 +262,9 @@ def write_ids(
     document, to files of the shared folder; returns their index.
 
     Files follow each other in ascending ``id_col`` (NULL first; equal ids in
-    any order).  The index has a row per chunk of about ``chunk_ids`` ids:
+    the order of their texts' hashes, so that reruns agree).  Rows that agree
+    in both are dealt to as many ranges as they fill.  ``vocabulary`` is a
+    tokenizer file of the driver; its content is sent to the tasks.  The index has a row per chunk of about ``chunk_ids`` ids:
     path, first, until (documents of the file), n_ids, and start: the number
     of ids in all documents before it.
 
@@ -221,15 +275,16 @@ def write_ids(
     """
     from tokenizers import Tokenizer
 
-    path = vocabulary or vocabulary_path(VOCABULARY)
-    bits = bits or bits_for(Tokenizer.from_file(path).get_vocab_size())
+    definition = read_definition(vocabulary or vocabulary_path(VOCABULARY))
+    bits = bits or bits_for(Tokenizer.from_str(definition).get_vocab_size())
+    sent = docs.sparkSession.sparkContext.broadcast(definition)
     folder = shared_dir(docs.sparkSession, "ids")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        enc, end = encoder(path), np.array([end_id], "<u4").tobytes()
+        enc, end = encoder(sent.value), np.array([end_id], "<u4").tobytes()
         rows, file, n_files = [], None, 0
 
         def cut():
@@ -262,9 +317,12 @@ def write_ids(
 
     shape = "path string, task int, file int, first long, until long, file_start long, n_ids long"
     index = landed(
-        docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text"))
-        .repartitionByRange(F.col("id").asc_nulls_first())
-        .sortWithinPartitions(F.col("id").asc_nulls_first())
+        docs.select(
+            F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"),
+            F.monotonically_increasing_id().alias("copy"),  # rows that agree so far are alike
+        )
+        .repartitionByRange(F.col("id").asc_nulls_first(), "tie", "copy")
+        .sortWithinPartitions(F.col("id").asc_nulls_first(), "tie")
         .mapInArrow(write, shape),
         "ids-index",
     )

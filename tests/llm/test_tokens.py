@@ -101,3 +101,33 @@ def test_nulls_repeats_and_empty(spark):
     assert sorted(r["n_tokens"] for r in got) == [1, 1, 2, 2, 2]
     assert got[-1]["start"] == 7
     assert T.read_ids(T.write_ids(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_another_way_to_prepare_texts_goes_to_the_tokenizer(spark, plain, tmp_path):
+    import json
+
+    definition = T.read_definition(T.vocabulary_path(T.VOCABULARY))
+    assert T.words_apart(definition)
+    other = json.loads(definition)
+    other["normalizer"]["normalizers"] = other["normalizer"]["normalizers"][:2]  # capitals stay
+    added = json.loads(definition)
+    added["added_tokens"].append({**added["added_tokens"][0], "id": 49408, "content": "magic"})
+    docs = spark.createDataFrame([(i, x, "", "", "") for i, x in enumerate([*ODD[:9], "UPPER magic Word"])], SCHEMA)
+    for k, parts in enumerate((other, added)):
+        path = tmp_path / f"{k}.json"
+        path.write_text(json.dumps(parts))
+        assert not T.words_apart(path.read_text())
+        tokenizer = Tokenizer.from_file(str(path))
+        got = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in T.read_ids(T.write_ids(docs, vocabulary=str(path))).collect()}
+        assert got == {r["doc_id"]: [*tokenizer.encode(r["text"], add_special_tokens=False).ids, 2] for r in docs.collect()}
+    assert tokenizer.encode("UPPER magic Word").ids != plain.encode("UPPER magic Word").ids
+
+
+def test_equal_ids_are_ordered_alike_in_every_run(spark):
+    rows = [(5, f"text {i % 40}", "", "", "") for i in range(300)] + [(None, "copy", "", "", "")] * 400
+    runs = []
+    for parts in (2, 7):
+        docs = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        got = sorted(map(tuple, T.read_ids(T.write_ids(docs, file_ids=200)).collect()), key=lambda r: r[1])
+        runs.append([(r[0], r[1], r[2], bytes(r[3])) for r in got])
+    assert runs[0] == runs[1] and len(runs[0]) == 700 and [r[0] for r in runs[0]] == [None] * 400 + [5] * 300
