@@ -20,6 +20,7 @@ _HELD_LANGUAGES = 128
 #: Lead of the best codeword over the next below which a text is ambiguous.
 LEAD = 0.1
 _GAIN, _SMOOTHING = 4.0, 0.5
+_COMPARED = 50 * 1000**2
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 _ASCII_LETTER = re.compile("[A-Za-z]")
 _BYTES_AT_ONCE = 1 << 20
@@ -45,9 +46,10 @@ def codewords(n: int, seed: int = 1) -> np.ndarray:
     """n codewords of +1 and -1, all columns different and none constant.
 
     Up to seven languages use every split in two, so codewords differ in half
-    of the bits or more.  More languages use the best of a fixed number of
-    random codes: the one whose closest codewords are farthest apart.  Over a
-    thousand, where comparing all pairs costs too much, the first one is taken.
+    of the bits or more.  More languages use the best of some random codes: the
+    one whose closest codewords are farthest apart, 50 of them or as many as
+    ``_COMPARED`` pairs of codewords allow.  A code whose closest codewords
+    differ in less than a sixth of the bits is never taken.
     """
     if n < 2:
         return np.ones((n, 1))
@@ -55,12 +57,17 @@ def codewords(n: int, seed: int = 1) -> np.ndarray:
         splits = np.arange(1, 2 ** (n - 1))
         return np.where(splits[None, :] >> np.arange(n)[:, None] & 1, 1.0, -1.0)
     rng, best, most = np.random.default_rng(seed), None, -1
-    for _ in range(50):
+    tries = min(50, -(-_COMPARED // n**2))
+    while tries > 0 or most < best.shape[1] / 6:
+        tries -= 1
         code = rng.choice([-1.0, 1.0], (n, 15 * int(np.ceil(np.log2(n)))))
         code = code[:, np.abs(code.sum(axis=0)) < n]
-        if n > 1000:
-            return code
-        apart = code.shape[1] - (code @ code.T + np.diag([-np.inf] * n)).max()
+        alike = -np.inf
+        for a in range(0, n, 1000):
+            agree = code[a : a + 1000] @ code.T
+            agree[np.arange(len(agree)), np.arange(a, a + len(agree))] = -np.inf
+            alike = max(alike, agree.max())
+        apart = (code.shape[1] - alike) / 2
         if apart > most:
             best, most = code, apart
     return best
@@ -198,7 +205,8 @@ def held_out(id_col: Column) -> Column:
 def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "lang_id") -> DataFrame:
     """``docs`` with a struct ``out`` of lang (``und`` for a text that is NULL
     or has no letter, or if no language was learned), score (0 to 1) and
-    ambiguous.  Only the text is read; whole texts, of any length."""
+    ambiguous.  Only the text is read; whole texts, of any length.  A column of
+    ``docs`` that is called like ``out`` (in any case) is replaced."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double, ambiguous boolean")
@@ -206,7 +214,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "lang
         for texts in batches:
             yield pd.DataFrame([sent.value.predict(x) for x in texts], columns=["lang", "score", "ambiguous"])
 
-    return docs.withColumn(out, predict(F.col(text)))
+    others = [docs[c] for c in docs.columns if c.lower() != out.lower()]
+    return docs.select(*others, predict(F.col(text)).alias(out))
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", out: str = "lang_id") -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -80,3 +81,77 @@ def test_texts_stay_if_no_language_was_learned(spark):
     texts = ["the cat", "12 34", None, "", "日本語"]
     df = spark.createDataFrame([(i, t, None, "x", "y", "z") for i, t in enumerate(texts)], SCHEMA)
     assert sorted(r["doc_id"] for r in L.drop_undetermined(df).collect()) == [0, 4]
+
+
+def plain_shares(text):
+    """N-grams of a text by bucket, one after the other."""
+    body = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in text.lower().encode())
+    data, counts = b" " + b" ".join(body.split()) + b" ", {}
+    for size, shift in ((2, 0), (3, 1 << 24)):
+        for a in range(len(data) - size + 1):
+            gram = int.from_bytes(data[a : a + size], "big") + shift
+            bucket = gram * 2654435761 % 2**32 >> 18
+            counts[bucket] = counts.get(bucket, 0) + 1
+    total = max(1, sum(counts.values()))
+    return {b: n / total for b, n in counts.items()}
+
+
+def plain_model(rows):
+    """The same classifiers, odds and borders in plain Python, for up to seven languages."""
+    sums, n = {}, {}
+    for doc_id, text, lang in rows:
+        if text is None or lang is None or zlib.crc32(str(doc_id).encode()) % 4 == 2 or not any(map(str.isalpha, text)):
+            continue
+        n[lang] = n.get(lang, 0) + 1
+        mean = sums.setdefault(lang, {})
+        for b, s in plain_shares(text).items():
+            mean[b] = mean.get(b, 0.0) + s
+    names = sorted(sums)
+    means = [{b: s / n[x] for b, s in sums[x].items()} for x in names]
+    bits = []
+    for split in range(1, 2 ** (len(names) - 1)):
+        side = [split >> k & 1 for k in range(len(names))]
+        on, off = [m for m, s in zip(means, side) if s], [m for m, s in zip(means, side) if not s]
+        mean_of = lambda group, b: sum(m.get(b, 0.0) for m in group) / len(group)
+        odds = [math.log(mean_of(on, b) + 0.5 / 2**14) - math.log(mean_of(off, b) + 0.5 / 2**14) for b in range(2**14)]
+        scores = [sum(s * odds[b] for b, s in m.items()) for m in means]
+        border = (min(x for x, s in zip(scores, side) if s) + max(x for x, s in zip(scores, side) if not s)) / 2
+        spread = sum(abs(x - border) for x in scores) / len(scores) or 1.0
+        bits.append(([1 if s else -1 for s in side], [(o - border) / spread for o in odds]))
+    return names, bits
+
+
+def plain_prediction(names, bits, text):
+    if text is None or not any(map(str.isalpha, text)):
+        return "und", 0.0
+    shares = plain_shares(text)
+    margins = [sum(s * weights[b] for b, s in shares.items()) for _, weights in bits]
+    near = [4.0 / 2 * sum(side[k] * m for (side, _), m in zip(bits, margins)) / len(bits) for k in range(len(names))]
+    each = [math.exp(4.0 * (x - max(near))) for x in near]
+    best = max(range(len(names)), key=lambda k: each[k])
+    return names[best], each[best] / sum(each)
+
+
+def test_query_matches_brute_force(spark):
+    small = "/root/testdata/sf0.001"
+    docs = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    names, bits = plain_model(docs)
+    assert 2 <= len(names) <= 7
+    want = {i: plain_prediction(names, bits, t) for i, t, _ in docs}
+    got = {r["doc_id"]: r for r in entry_point.queries()["op6_language"](spark, small).collect()}
+    assert got.keys() == want.keys()
+    for i, (lang, score) in want.items():
+        assert got[i]["lang_pred"] == lang and abs(got[i]["score"] - score) < 1e-3
+
+
+def test_codewords_of_many_languages_are_measured():
+    code = L.codewords(1500)
+    assert len({tuple(c) for c in code}) == 1500
+    alike = code[:700] @ code[700:].T
+    assert (code.shape[1] - alike.max()) / 2 >= code.shape[1] / 6
+
+
+def test_a_column_called_like_the_result_is_replaced(spark):
+    df = spark.createDataFrame([(1, "the cat", "en", "old")], "doc_id bigint, text string, lang string, LANG_id string")
+    got = L.identify(df, L.learn(df, "text", "lang"))
+    assert got.columns == ["doc_id", "text", "lang", "lang_id"] and got.first()["lang_id"]["lang"] == "en"
