@@ -231,8 +231,11 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     third of all rows is one fingerprint.  A NULL text has no words and the
     fingerprint zero, as the empty text has.  NULL keys keep their rows and
     count for no ``component_id``, which is NULL if there is no other key;
-    rows with equal keys stay apart.  No rows give no rows.
+    rows with equal keys stay apart.  No rows give no rows.  A key that is
+    called like another column of the result (in any case) has ``_`` before
+    its name there.
     """
+    named_key = f"_{key}" if key.lower() in ("fp", "component", "component_id") else key
     own = landed(docs.select(F.col(key).alias("key"), fingerprint(F.col(text)).alias("fp")), "fingerprints")
     nodes = landed(own.groupBy("fp").agg(F.min("key").alias("first"), F.count("*").alias("rows")), "nodes")
     roots = components(landed(fingerprint_links(nodes), "links")).withColumnRenamed("node", "fp")
@@ -243,7 +246,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     named = landed(hot_join(rooted, landed(least, "least"), "component", "fps"), "named")
     return (
         hot_join(own, named.select("fp", "component", "component_id", "rows"), "fp", "rows")
-        .select(F.col("key").alias(key), "fp", "component", "component_id")
+        .select(F.col("key").alias(named_key), "fp", "component", "component_id")
     )
 
 

@@ -94,3 +94,12 @@ def test_nulls_repeats_empty_and_clashing_names(spark):
         (0, 0), (0, 1), (1, 1), (1, 1), (3, 3), (4, 3)
     ]
     assert S.near_duplicates(spark.createDataFrame([], SCHEMA), "doc_id").count() == 0
+
+
+def test_a_key_called_like_a_result_column_is_renamed(spark):
+    from newsboard.llm import simhash
+
+    df = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e")], "Component bigint, text string")
+    found = simhash.near_duplicates(df, "Component")
+    assert found.columns == ["_Component", "fp", "component", "component_id"]
+    assert {(r["_Component"], r["component_id"]) for r in found.collect()} == {(1, 1), (2, 1)}
