@@ -55,9 +55,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 #: A key with more than this share of all rows is hot.
 HOT_SHARE = 1e-3
+#: Bytes of hot rows, as JSON, up to which rows of no bounded width are broadcast.
+HOT_BYTES = 1 << 26
 
 
-def hot_join(facts: DataFrame, dim: DataFrame, key: str, rows: str, how: str = "inner") -> DataFrame:
+def hot_join(facts: DataFrame, dim: DataFrame, key: str, rows: str, how: str = "inner", wide: bool = False) -> DataFrame:
     """Join ``facts`` with ``dim`` on ``key`` where keys may be hot.
 
     ``dim`` has one row per key and, in ``rows``, how many rows of ``facts``
@@ -65,10 +67,17 @@ def hot_join(facts: DataFrame, dim: DataFrame, key: str, rows: str, how: str = "
     ``1 / HOT_SHARE`` by arithmetic, so they are broadcast; all other keys are
     shuffled.  NULL keys match nothing and are not moved.  ``how`` is inner or
     left.  Both frames are read more than once and should be stored tables.
+    Rows of ``dim`` that have no bounded width are ``wide``: their hot ones are
+    measured, and beyond ``HOT_BYTES`` all keys are shuffled and adaptive
+    execution splits the hot ones.
     """
     total = dim.agg(F.sum(rows)).first()[0] or 0
     limit = max(1.0, total * HOT_SHARE)
-    hot = F.broadcast(dim.filter(F.col(rows) > limit))
+    heavy = dim.filter(F.col(rows) > limit)
+    if wide and (heavy.agg(F.sum(F.length(F.to_json(F.struct(*dim.columns))))).first()[0] or 0) > HOT_BYTES:
+        heavy = heavy.limit(0)
+        limit = float("inf")
+    hot = F.broadcast(heavy)
     cold = dim.filter(F.col(rows) <= limit)
     others = facts.filter(F.col(key).isNotNull()).join(hot.select(key), key, "left_anti")
     out = facts.join(hot, key, "inner").unionByName(others.join(cold, key, how))

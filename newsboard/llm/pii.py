@@ -132,40 +132,91 @@ def disclosing_terms(
     pointwise mutual information of both.  Counts are over all documents;
     ``texts`` counts distinct texts, so copies of one text are one witness.
     The entity that a term reveals most is kept.
+
+    A text's entities and terms are not all paired.  Entities of the same texts
+    are one, and so are terms; a term meets the entities of as many of its texts,
+    those with the fewest entities first, as no entity with enough of its
+    documents can miss, and in its other texts only what it met there.
     """
+    need = threshold * (1 - 1e-9)  # what rounding may take from a product
+    digest = [F.bit_xor(F.xxhash64(F.lit(seed), "key")).alias(name) for seed, name in enumerate("ab")]
     held = based.select("key", "rows", F.explode("entities").alias("entity"))
-    # an entity of fewer texts has no term of as many
+    # an entity of fewer texts has no term of as many; of entities that stand in
+    # the same texts the first speaks for all
     often = landed(
-        held.groupBy("entity").agg(F.count("*").alias("of_texts"), F.sum("rows").alias("of_entity"))
-        .filter(F.col("of_texts") >= least_texts),
+        held.groupBy("entity").agg(F.count("*").alias("of_texts"), F.sum("rows").alias("of_entity"), *digest)
+        .filter(F.col("of_texts") >= least_texts)
+        .groupBy("of_texts", "a", "b").agg(F.min("entity").alias("entity"), F.first("of_entity").alias("of_entity")),
         "entities",
     )
     mine = hot_join(held, often, "entity", "of_texts").groupBy("key").agg(F.collect_list("entity").alias("mine"))
-    pairs = (
-        based.select("key", "rows", "words").join(mine, "key")
-        .select("rows", "words", F.explode("mine").alias("entity"))
-        .select("rows", "entity", F.explode("words").alias("term"))
+    # texts by the binary logarithm of their entities' number
+    level = F.floor(F.log2(F.size("mine"))).cast("int")
+    texts = landed(based.select("key", "rows", "words").join(mine, "key").withColumn("level", level), "entity-texts")
+    placed = texts.select("key", "rows", "level", F.explode("words").alias("term"))
+    shown = (
+        placed.groupBy("term").agg(F.count("*").alias("texts"), F.sum("rows").alias("shown"), *digest)
+        .filter(F.col("texts") >= least_texts)
     )
-    joint = pairs.groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("rows").alias("joint"))
-    with_entity = often.select("entity", "of_entity")
-    likely = landed(joint.filter(F.col("texts") >= least_texts), "likely")
     every = docs.select(F.explode(F.array_distinct(words_of(F.col(text)))).alias("term"))
     counts = every.groupBy("term").agg(F.count("*").alias("documents"))
-    total = docs.agg(F.count("*").alias("total"))
-    rated = (
-        likely.join(counts, "term")
-        .withColumn("disclosure", F.col("joint") / F.col("documents"))
-        .filter(F.col("disclosure") >= threshold)
-        .join(with_entity, "entity")
+    # a term that is mostly met without any entity is out; one term per set of texts is compared
+    able = landed(shown.join(counts, "term").filter(F.col("shown") >= need * F.col("documents")), "able")
+    sets = landed(
+        able.groupBy("texts", "a", "b").agg(
+            F.min("term").alias("term"), F.first("shown").alias("shown"), F.min("documents").alias("least")
+        ),
+        "term-sets",
+    )
+    # the texts that an entity may miss weigh `slack` at most, so it stands in one of
+    # any texts that weigh more: those with the fewest entities are paired
+    slack = F.col("shown") - need * F.col("least")
+    spots = landed(
+        hot_join(placed, sets.select("term", "texts", slack.alias("slack"), "least"), "term", "texts"), "spots"
+    )
+    by_level = spots.groupBy("term", "level").agg(
+        F.sum("rows").alias("weight"), F.first("slack").alias("slack"), F.first("least").alias("least"), F.first("texts").alias("texts")
     )
-    n = total.first()[0]
-    bits = F.log2(F.col("joint") * F.lit(float(n)) / (F.col("documents") * F.col("of_entity")))
-    most = Window.partitionBy("term").orderBy(F.desc("disclosure"), F.desc("joint"), "entity")
+    lower = Window.partitionBy("term").orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
+    up_to = landed(
+        by_level.withColumn("before", F.coalesce(F.sum("weight").over(lower), F.lit(0)))
+        .groupBy("term").agg(
+            F.max(F.when(F.col("before") <= F.col("slack"), F.col("level"))).alias("upto"),
+            F.sum(F.when(F.col("before") > F.col("slack"), F.col("weight")).otherwise(0)).alias("beyond"),
+            F.first("least").alias("least"), F.first("texts").alias("texts"),
+        ),
+        "levels",
+    )
+    leveled = hot_join(spots.drop("slack", "least", "texts"), up_to, "term", "texts")
+    entity_of = texts.select("key", F.explode("mine").alias("entity"))
+    sums = [F.count("*").alias("texts"), F.sum("rows").alias("joint")]
+    paired = leveled.filter(F.col("level") <= F.col("upto")).join(entity_of, "key")
+    # what it has so far and all the rest must do
+    hopeful = landed(
+        paired.groupBy("term", "entity").agg(*sums, F.first("least").alias("least"), F.first("beyond").alias("beyond"))
+        .filter(F.col("joint") + F.col("beyond") >= need * F.col("least")),
+        "hopeful",
+    ).select("term", "entity", "texts", "joint")
+    rest = leveled.filter(F.col("level") > F.col("upto")).select("key", "rows", "term")
+    rest = rest.join(hopeful.select("term", "entity"), "term").join(entity_of, ["key", "entity"], "left_semi")
+    joint = (
+        hopeful.unionByName(rest.groupBy("term", "entity").agg(*sums))
+        .groupBy("term", "entity").agg(F.sum("texts").alias("texts"), F.sum("joint").alias("joint"))
+        .filter(F.col("texts") >= least_texts)
+    )
+    best = F.min(F.struct((-F.col("joint")).alias("less"), "entity", "texts")).alias("best")
+    of_set = sets.join(joint.groupBy("term").agg(best), "term").select(
+        "a", "b", F.col("texts").alias("set_texts"), "best.entity", "best.texts", (-F.col("best.less")).alias("joint")
+    )
+    n = float(docs.count())
+    bits = F.log2(F.col("joint") * F.lit(n) / (F.col("documents") * F.col("of_entity")))
     return (
-        rated.withColumn("bits", bits)
-        .withColumn("nth", F.row_number().over(most))
-        .filter("nth = 1")
-        .select("term", "entity", "texts", "joint", "documents", "disclosure", "bits")
+        able.select("term", "a", "b", F.col("texts").alias("set_texts"), "documents")
+        .join(of_set, ["a", "b", "set_texts"])
+        .withColumn("disclosure", F.col("joint") / F.col("documents"))
+        .filter(F.col("disclosure") >= threshold)
+        .join(often.select("entity", "of_entity"), "entity")
+        .select("term", "entity", "texts", "joint", "documents", "disclosure", bits.alias("bits"))
     )
 
 
@@ -241,7 +292,7 @@ def find_personal_data(
         F.coalesce("found", F.array().cast(found.schema["found"].dataType)),
         lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
     )
-    return hot_join(based.select("id", "key", "base"), found, "key", "rows", "left").select(
+    return hot_join(based.select("id", "key", "base"), found, "key", "rows", "left", wide=True).select(
         "id", "base", apart.alias("terms")
     )
 

@@ -1,12 +1,12 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
-from newsboard.llm import pii as P
+from newsboard.llm import common, pii as P
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, base string, terms string, key string"
@@ -162,3 +162,69 @@ def test_a_term_far_from_its_entity_counts(spark):
     got = {r["id"]: {s["value"] for s in r["terms"]} for r in P.find_personal_data(frame(spark, rows)).collect()}
     assert all("zorblat" in got[i] for i in range(4)) and not any(got[10 + i] for i in range(30))
     assert not {"the", "road", "mail", "example"} & set().union(*got.values())
+
+
+def brute_disclosing(texts):
+    """{term: (entity, texts, joint, documents)} with every entity and term of a document paired."""
+    documents, pairs = Counter(), defaultdict(Counter)
+    for t in texts:
+        outside = re.sub(PATTERNS["email"], " ", t)
+        words = {lower(m[0]) for m in WORD.finditer(t)}
+        documents.update(words)
+        for w in {w for w in (lower(m[0]) for m in WORD.finditer(outside)) if is_term(w)}:
+            for kind, _, _, value in brute_base(t):
+                pairs[w, f"{kind}:{lower(value)}"][t] = 1
+    rows = Counter(texts)
+    out = {}
+    for (w, e), held in pairs.items():
+        joint = sum(rows[t] for t in held)
+        if len(held) >= P.LEAST_TEXTS and joint / documents[w] >= P.GENERALISE:
+            out[w] = min(out.get(w, (0, "")), (-joint, e, len(held), documents[w]))
+    return {w: (e, n, -less, d) for w, (less, e, n, d) in out.items()}
+
+
+def disclosing(spark, texts, monkeypatch=None):
+    made = {}
+    if monkeypatch:
+        real = P.landed
+        monkeypatch.setattr(P, "landed", lambda df, name: made.setdefault(name, real(df, name)))
+    P.find_personal_data(frame(spark, list(enumerate(texts)))).count()
+    return made
+
+
+def test_terms_of_overlapping_entities_match_brute_force(spark, monkeypatch):
+    rng = random.Random(21)
+    mails, names = [f"m{i}@x.org" for i in range(12)], [f"name{chr(97 + i)}" for i in range(20)]
+    texts = []
+    for i in range(150):
+        some = rng.sample(range(12), rng.choice([0, 1, 1, 2, 5, 11]))
+        with_them = {names[k] for k in some if rng.random() < 0.9} | set(rng.sample(names[8:], 2))
+        texts += [" ".join([*(mails[k] for k in some), *sorted(with_them), f"n{i}"])] * rng.choice([1, 1, 1, 4])
+    got = {r["term"]: (r["entity"], r["texts"], r["joint"], r["documents"]) for r in disclosing(spark, texts, monkeypatch)["terms"].collect()}
+    assert got == brute_disclosing(texts) and len(got) >= 4
+
+
+def test_a_text_of_many_entities_and_terms_is_not_paired_whole(spark, monkeypatch):
+    tag = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    n = 300
+    hub = " ".join(f"u{i}@x.org word{tag(i)}" for i in range(n))
+    texts = [hub] + [f"u{i}@x.org word{tag(i)} {k}" for i in range(n) for k in range(3)]
+    made = disclosing(spark, texts, monkeypatch)
+    got = {r["term"]: r["entity"] for r in made["terms"].collect()}
+    assert got == {f"word{tag(i)}": f"email:u{i}@x.org" for i in range(n)}
+    # one pair per term out of n * n in the hub
+    assert made["hopeful"].count() == n
+
+
+def test_copies_with_many_entities_are_one_set(spark, monkeypatch):
+    tag = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    page = " ".join(f"u{i}@x.org word{tag(i)}" for i in range(100))
+    made = disclosing(spark, [f"{page} {k}" for k in range(4)], monkeypatch)
+    assert made["terms"].count() == 100 and made["hopeful"].count() == 1
+
+
+def test_wide_hot_rows_are_shuffled_beyond_the_bound(spark, monkeypatch):
+    rows = corpus()
+    want = sorted(map(str, P.find_personal_data(frame(spark, rows)).collect()))
+    monkeypatch.setattr(common, "HOT_BYTES", 0)
+    assert sorted(map(str, P.find_personal_data(frame(spark, rows)).collect())) == want
