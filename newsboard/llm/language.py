@@ -15,6 +15,8 @@ from newsboard.llm.common import fresh, landed
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 14
+#: Buckets of a language's sums that one row carries.
+_SLICE = 1 << 10
 #: Languages whose sums a task holds before it gives them on.
 _HELD_LANGUAGES = 128
 #: Lead of the best codeword over the next below which a text is ambiguous.
@@ -129,8 +131,9 @@ def learn(docs: DataFrame, text: str, lang: str) -> Model:
         n: dict[str, int] = {}
 
         def given() -> pa.RecordBatch:
-            cells = [pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())]
-            return pa.RecordBatch.from_arrays(cells, ["lang", "n", "sums"])
+            rows = [(name, k, n[name], x[k : k + _SLICE].tobytes()) for name, x in sums.items() for k in range(0, BUCKETS, _SLICE)]
+            cells = [pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.string(), pa.int32(), pa.int64(), pa.binary()))]
+            return pa.RecordBatch.from_arrays(cells, ["lang", "slice", "n", "sums"])
 
         for batch in batches:
             for name, cell in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -144,15 +147,25 @@ def learn(docs: DataFrame, text: str, lang: str) -> Model:
                 n[name] = n.get(name, 0) + 1
         yield given()
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(x) for x in pdf["sums"]], axis=0)
-        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "n": [pdf["n"].sum()], "sums": [total.tobytes()]})
-
-    shape = "lang string, n long, sums binary"
+    def merge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n, rows = np.zeros(_SLICE), 0, None
+        for rows in parts:
+            for x in rows["sums"]:
+                total += np.frombuffer(x)
+            n += rows["n"].sum()
+        yield rows[:1].assign(n=n, sums=[total.tobytes()])[["lang", "slice", "n", "sums"]]
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        slices = pdf.sort_values("slice")
+        return pd.DataFrame({"lang": slices["lang"][:1], "n": slices["n"][:1], "sums": [b"".join(slices["sums"])]})
+
+    # a group of any number of tasks passes through in batches; the groups of a
+    # language grow with its slices and parts, not what one of them holds
+    shape = "lang string, slice int, n long, sums binary"
     partial = labelled.mapInArrow(add_up, shape).withColumn("part", F.spark_partition_id() % 32)
-    means = landed(
-        partial.groupBy("lang", "part").applyInPandas(merge, shape).groupBy("lang").applyInPandas(merge, shape), "languages"
-    )
+    merged = partial.groupBy("lang", "slice", "part").applyInPandas(merge, shape)
+    merged = merged.groupBy("lang", "slice").applyInPandas(merge, shape)
+    means = landed(merged.groupBy("lang").applyInPandas(whole, "lang string, n long, sums binary"), "languages")
     languages = sorted(r["lang"] for r in means.select("lang").collect())
     if not languages:
         return Model.fit([], *[np.empty((0, 0))] * 3)

@@ -155,3 +155,10 @@ def test_a_column_called_like_the_result_is_replaced(spark):
     df = spark.createDataFrame([(1, "the cat", "en", "old")], "doc_id bigint, text string, lang string, LANG_id string")
     got = L.identify(df, L.learn(df, "text", "lang"))
     assert got.columns == ["doc_id", "text", "lang", "lang_id"] and got.first()["lang_id"]["lang"] == "en"
+
+
+def test_sums_of_many_tasks_make_the_same_model(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    one, many = L.learn(docs.coalesce(1), "text", "lang"), L.learn(docs.repartition(70), "text", "lang")
+    assert one.languages == many.languages and (one.code == many.code).all()
+    assert np.allclose(one.weights, many.weights, rtol=1e-4, atol=1e-4)
