@@ -22,6 +22,8 @@ PATTERNS = {
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 #: What stands between two words.
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: A character of a word.
+WORD = BREAK.replace("[", "[^").removesuffix("+")
 #: Code points on either side of a span that tests call near; terms count in
 #: the whole document.
 REACH = 60
@@ -65,10 +67,9 @@ def _with(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _kind_spans(text: Column, kind: str) -> Column:
-    """Spans of one kind: the lengths of the matches and of what lies between
-    them, added up."""
-    pattern = PATTERNS[kind]
+def _matches(text: Column, pattern: Column, kind: str, found: Column) -> Column:
+    """Spans of the matches ``found`` of a pattern: the lengths of the matches
+    and of what lies between them, added up."""
     start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -76,15 +77,22 @@ def _kind_spans(text: Column, kind: str) -> Column:
         span = F.struct(F.lit(kind).alias("kind"), a.alias("start"), (a + F.length(x["1"])).alias("end"), x["1"].alias("value"))
         return F.struct((a + F.length(x["1"])).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
+    between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+    pairs = F.zip_with(between, found, lambda b, m: F.struct(b.alias("0"), m.alias("1")))
+    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+
+
+def _kind_spans(text: Column, kind: str) -> Column:
+    """Spans of one kind that count."""
+    pattern = F.lit(PATTERNS[kind])
+
     def spans(found: Column) -> Column:
-        between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-        pairs = F.zip_with(between, found, lambda b, m: F.struct(b.alias("0"), m.alias("1")))
-        every = F.aggregate(pairs, start, step, lambda acc: acc["out"])
+        every = _matches(text, pattern, kind, found)
         return F.when(F.size(found) > 0, F.filter(every, lambda s: _holds(kind, s["value"]))).otherwise(
             F.array().cast(_SPANS)
         )
 
-    return _with(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
+    return _with(F.regexp_extract_all(text, pattern, F.lit(0)), spans)
 
 
 def base_spans(text: Column) -> Column:
@@ -227,30 +235,24 @@ def term_spans(docs: DataFrame, text: str, terms: DataFrame, copies: DataFrame)
     keyed = docs.select(F.md5(F.col(text)).alias("key"), F.col(text).alias("text"))
     # a document without any of the terms ends here
     marked = keyed.select("key", F.explode(F.array_distinct(words_of(F.col("text")))).alias("term"))
-    hit = marked.join(terms.select("term"), "term", "left_semi").select("key").distinct()
-    hit = landed(copies.join(hit, "key", "left_semi"), "hits")
+    hit = marked.join(terms.select("term", "disclosure"), "term").groupBy("key", "term").agg(F.first("disclosure").alias("disclosure"))
+    hit = hit.groupBy("key").agg(F.collect_list(F.struct("term", "disclosure")).alias("mine"))
+    hit = landed(copies.join(hit, "key"), "hits")
     # a text with many copies is met where it lies and reduced before it moves
-    whole = hot_join(keyed, hit, "key", "rows").groupBy("key", "rows").agg(F.first("text").alias("text"))
-    whole = landed(whole, "hit-texts")
-    gaps = F.concat(F.regexp_extract_all("text", F.lit(BREAK), F.lit(0)), F.array(F.lit("")))
-    pieces = F.zip_with(
-        F.split("text", BREAK, -1), gaps,
-        lambda w, g: F.struct(w.alias("word"), (F.length(w) + F.length(g)).alias("n")),
-    )
-    before = Window.partitionBy("key").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    placed = whole.select("key", "rows", F.posexplode(pieces).alias("i", "p")).select(
-        "key", "rows", "p.word", F.coalesce(F.sum("p.n").over(before), F.lit(0)).cast("int").alias("start")
-    )
-    span = F.struct(
-        F.lit("term").alias("kind"), "start", (F.col("start") + F.length("word")).alias("end"),
-        F.col("term").alias("value"), "disclosure",
-    )
-    return (
-        placed.withColumn("term", ascii_lower(F.col("word")))
-        .join(terms.select("term", "disclosure"), "term")
-        .groupBy("key", "rows")
-        .agg(F.array_sort(F.collect_list(span)).alias("found"))
+    whole = hot_join(keyed, hit.select("key", "rows"), "key", "rows").groupBy("key").agg(F.first("text").alias("text"))
+    # words have no signs of a pattern, and (?i) is about A-Z alone
+    pattern = F.concat(
+        F.lit(f"(?i)(?<!{WORD})(?:"), F.array_join(F.transform("mine", lambda t: t["term"]), "|"), F.lit(f")(?!{WORD})")
     )
+    met = whole.join(hit, "key").withColumn("pattern", pattern)
+    spans = _matches(F.col("text"), F.col("pattern"), "term", F.regexp_extract_all("text", "pattern", F.lit(0)))
+
+    def rated(s: Column) -> Column:
+        value = ascii_lower(s["value"])
+        share = F.element_at(F.map_from_entries("mine"), value)
+        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), value.alias("value"), share.alias("disclosure"))
+
+    return met.select("key", "rows", F.transform(spans, rated).alias("found"))
 
 
 def find_personal_data(

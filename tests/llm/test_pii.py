@@ -228,3 +228,12 @@ def test_wide_hot_rows_are_shuffled_beyond_the_bound(spark, monkeypatch):
     want = sorted(map(str, P.find_personal_data(frame(spark, rows)).collect()))
     monkeypatch.setattr(common, "HOT_BYTES", 0)
     assert sorted(map(str, P.find_personal_data(frame(spark, rows)).collect())) == want
+
+
+def test_term_spans_at_word_ends_and_beside_other_scripts(spark):
+    texts = [f"Zorblat quux{c} {c}zorblat ZORBLAT. x_zorblat-zorblat zorblatquux \U0001F600zorblat zorblat\U0001F600 "
+             f"\u212Aim kim été Été e{k}.x@mail.example.org eve.x@mail.example.org" for k, c in enumerate(["", "é", "🙂", "ß"])]
+    terms = brute_disclosing(texts)
+    assert {"zorblat", "kim", "\u212Aim"} <= set(terms)
+    for r in P.find_personal_data(frame(spark, list(enumerate(texts)))).collect():
+        assert [(s["start"], s["end"]) for s in r["terms"]] == brute_term_spans(texts[r["id"]], terms)
