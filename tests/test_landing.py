@@ -27,3 +27,22 @@ def test_bucketed_tables_meet_without_a_shuffle(spark):
         assert shuffles(stored.repartition("feedly_id").groupBy("feedly_id", "kind").count()) == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rules_of_unknown_size_do_not_shuffle_mentions_by_type(spark):
+    entities = spark.createDataFrame(
+        [(f"a{i}", "Company", f"e{i}", 0.9, 2.0) for i in range(20)],
+        "feedly_id string, entity_type string, entity_id string, relevance_score double, confidence_sore double",
+    )
+    rules = spark.createDataFrame(
+        [(1, "Company", ":x:", "1", "0.2", "0.2"), (2, None, ":y:", "1", "0.2", "0.2")],
+        "concept_id int, entity_type string, emoji_icon string, entity_confidence_score_threshold string, "
+        "entity_relevance_score_threshold string, topic_score_threshold string",
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        matched = T.match_rules(entities, rules)
+        assert matched.count() == 20
+        assert "hashpartitioning(entity_type" not in plan_of(matched)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
