@@ -46,3 +46,15 @@ def test_rules_of_unknown_size_do_not_shuffle_mentions_by_type(spark):
         assert "hashpartitioning(entity_type" not in plan_of(matched)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_stream_of_a_large_table_has_more_files_in_four_batches(spark, shared):
+    path = f"{shared}/rows"
+    spark.range(4000).selectExpr("id", "sha2(string(id), 256) as x").write.parquet(path)
+    stream = registry.file_stream(spark.read.parquet(path), "id", file_bytes=10_000)
+    seen = []
+    stream.writeStream.foreachBatch(lambda b, i: seen.append((b.count(), b.select("id").inputFiles()))).option(
+        "checkpointLocation", f"{shared}/cp"
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 4 and sum(n for n, _ in seen) == 4000
+    assert max(n for n, _ in seen) < 2000
