@@ -58,3 +58,25 @@ def test_stream_of_a_large_table_has_more_files_in_four_batches(spark, shared):
     ).trigger(availableNow=True).start().awaitTermination()
     assert len(seen) == 4 and sum(n for n, _ in seen) == 4000
     assert max(n for n, _ in seen) < 2000
+
+
+def test_ids_without_null_find_rows_by_the_key_itself(spark, shared):
+    table = KeyedTable(spark, f"{shared}/t", ["k"], "k string, n int", 4)
+    table.replace(spark.createDataFrame([("a",), ("b",), (None,)], "k string"),
+                  spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int"))
+    some = table.matching(spark.createDataFrame([("a",), ("a",), ("z",)], "k string"))
+    assert rows(some) == [("a", 1)] and "coalesce(k" not in plan_of(some)
+    assert rows(table.matching(spark.createDataFrame([("b",), (None,)], "k string"))) == [("b", 2), (None, 3)]
+
+
+def test_companies_of_a_change_come_from_the_stored_entities(spark, shared, monkeypatch):
+    calls = []
+    real = N.analysis_entities
+    organizations = B.conform(spark.createDataFrame([("o1", "Acme", "acme")], "uuid string, name string, permalink string"),
+                              B.S.REGISTER["organizations"])
+    views = IncrementalViews(spark, f"{shared}/v", organizations, 4)
+    monkeypatch.setattr(N, "analysis_entities", lambda *a, **k: calls.append(1) or real(*a, **k))
+    doc = {"entities": [{"type": ["Company"], "entityEnglishId": "Acme", "crunchbaseId": "acme"}]}
+    views.apply("c", entry_rows(spark, [{"id": "a", "title": "t"}]), analysis_rows(spark, {"a": doc}))
+    assert rows(views.stored()["vw_article_nlp_companies"], "feedly_id", "uuid") == [("a", "o1")]
+    assert calls == [1]
