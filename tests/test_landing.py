@@ -80,3 +80,29 @@ def test_companies_of_a_change_come_from_the_stored_entities(spark, shared, monk
     views.apply("c", entry_rows(spark, [{"id": "a", "title": "t"}]), analysis_rows(spark, {"a": doc}))
     assert rows(views.stored()["vw_article_nlp_companies"], "feedly_id", "uuid") == [("a", "o1")]
     assert calls == [1]
+
+
+def made_mentions(spark, sf_dir):
+    some = [(f"a{i}", f"e{i}", ("acme", "none", None)[i % 3]) for i in range(30)] + [("a0", "f", None), ("a0", "g", "twice")]
+    named = "feedly_id string, entity_id string, crunchbase_id string"
+    return spark.createDataFrame(some, named).selectExpr(
+        "feedly_id", "'Company' entity_type", "entity_id", "crunchbase_id", "coalesce(crunchbase_id, entity_id) entity_external_id",
+        "0.5D relevance_score", "0.9D confidence_sore", "1L mentions",
+    )
+
+
+def test_company_mentions_stay_with_their_article(spark):
+    organizations = B.conform(
+        spark.createDataFrame([("o1", "Acme", "acme"), ("o2", "A", "twice"), ("o3", "B", "twice"), ("o4", "C", None)],
+                              "uuid string, name string, permalink string"), B.S.REGISTER["organizations"])
+    stored = B.stored(spark, "mentions", made_mentions, bucketed=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        companies = N.resolve_companies(stored, organizations).repartition("feedly_id")
+        got = rows(companies, "feedly_id", "entity_id", "uuid")
+        assert "Exchange hashpartitioning(feedly_id" not in plan_of(companies).split("== Physical Plan ==")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = [(f"a{i}", f"e{i}", "o1" if i % 3 == 0 else None) for i in range(30)]
+    assert got == sorted([*want, ("a0", "f", None), ("a0", "g", "o2"), ("a0", "g", "o3")],
+                         key=lambda r: tuple((x is None, repr(x)) for x in r))
