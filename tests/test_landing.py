@@ -82,6 +82,19 @@ def test_companies_of_a_change_come_from_the_stored_entities(spark, shared, monk
     assert calls == [1]
 
 
+def test_orders_travel_as_columns_not_as_documents(spark, shared):
+    spark.sql(
+        "SELECT CAST(id AS BIGINT) o_orderkey, id % 3 o_custkey, 'O' o_orderstatus, 12345.0D o_totalprice,"
+        " TIMESTAMP'1998-01-01' o_orderdate, '5-LOW' o_orderpriority FROM range(6)"
+    ).write.parquet(f"{shared}/orders.parquet")
+    entries = B.order_entries(spark, shared)
+    assert rows(entries, "feedly_id") == [(f"order/{i}",) for i in range(6)]
+    plan = plan_of(entries.repartition("feedly_id")).split("== Physical Plan ==")[1]
+    # One shuffle, below the step that makes the document.
+    above, below = plan.split("Exchange")
+    assert "AS payload" in above and "payload" not in below
+
+
 def made_mentions(spark, sf_dir):
     some = [(f"a{i}", f"e{i}", ("acme", "none", None)[i % 3]) for i in range(30)] + [("a0", "f", None), ("a0", "g", "twice")]
     named = "feedly_id string, entity_id string, crunchbase_id string"
