@@ -92,6 +92,11 @@ def stored(
     return spark.table(_STORED[key]) if bucketed else spark.read.parquet(_STORED[key])
 
 
+def is_stored(spark: SparkSession, sf_dir: str, make: Callable[[SparkSession, str], DataFrame]) -> bool:
+    """Whether this application has landed the table made by ``make``."""
+    return (spark.sparkContext.applicationId, sf_dir, make.__name__) in _STORED
+
+
 def forget_stored() -> None:
     """Land anew from here on; the files stay until ``storage.clear_shared``."""
     _STORED.clear()

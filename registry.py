@@ -335,7 +335,9 @@ def entities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def resolved(spark: SparkSession, sf: str) -> DataFrame:
-    return N.resolve_companies(stored_entities(spark, sf), B.organizations(spark, sf))
+    # Entities that lie there are read; they are not written for the companies alone.
+    mentions = stored_entities if B.is_stored(spark, sf, entities) else entities
+    return N.resolve_companies(mentions(spark, sf), B.organizations(spark, sf))
 
 
 # The views that many others read are stored, as plans.views.refresh does:

@@ -119,3 +119,14 @@ def test_company_mentions_stay_with_their_article(spark):
     want = [(f"a{i}", f"e{i}", "o1" if i % 3 == 0 else None) for i in range(30)]
     assert got == sorted([*want, ("a0", "f", None), ("a0", "g", "o2"), ("a0", "g", "o3")],
                          key=lambda r: tuple((x is None, repr(x)) for x in r))
+
+
+def test_companies_do_not_store_entities_for_themselves(spark, shared, monkeypatch):
+    asked = []
+    monkeypatch.setattr(registry, "stored_entities", lambda *a: asked.append("stored") or "stored")
+    monkeypatch.setattr(registry, "entities", made_mentions)
+    monkeypatch.setattr(B, "organizations", lambda *a: None)
+    monkeypatch.setattr(N, "resolve_companies", lambda found, register: found)
+    assert rows(registry.resolved(spark, shared)) == rows(made_mentions(spark, shared)) and not asked
+    B.stored(spark, shared, made_mentions)
+    assert registry.resolved(spark, shared) == "stored"
