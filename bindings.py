@@ -14,7 +14,8 @@ engine's own topic patterns, themes and rules have something to match.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from newsboard.functions.text import map_labels
 from newsboard.functions.time import moment
 from newsboard.operators.articles import entry_details
-from newsboard.plans.storage import shared_dir
+from newsboard.plans.storage import path_bytes, shared_dir
 from newsboard.sources import schemas as S
 from newsboard.sources.feed import parse_analyses, parse_entries
 from newsboard.sources.seeds import conform, default_seeds, small_table
@@ -50,9 +51,14 @@ CHANNEL_ICONS = {1: ":tv:", 2: ":trophy:"}
 CHANNEL_MARKS = {1: datetime(1998, 1, 1), 2: datetime(2000, 6, 1)}
 CHANNEL_CONCEPTS = ((1, 1), (1, 3), (2, 12), (2, 4))
 
+# Orders and lines, in bytes of their files, whose articles make one bucket: some 30,000 orders.
+BUCKET_BYTES = 2_500_000
+
 FIRST_HOUR_MS = 1577836800000  # 2020-01-01 00:00 UTC
 HOUR_MS = 3600000
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -61,6 +67,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
+def article_buckets(spark: SparkSession, sf_dir: str) -> int:
+    """Number of buckets of the article tables: as many as a shuffle has partitions,
+    and more of a table whose buckets a task could not hold in memory."""
+    size = sum(path_bytes(spark, f"{sf_dir}/{name}.parquet") for name in ("orders", "lineitem"))
+    return max(int(spark.conf.get(_PARTITIONS)), -(-size // BUCKET_BYTES))
+
+
+@contextmanager
+def _partitions(spark: SparkSession, number: int) -> Iterator[None]:
+    """Shuffles of the steps inside have as many partitions; the session's number comes back."""
+    before = spark.conf.get(_PARTITIONS)
+    spark.conf.set(_PARTITIONS, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(_PARTITIONS, before)
+
+
 def stored(
     spark: SparkSession, sf_dir: str, make: Callable[[SparkSession, str], DataFrame], bucketed: bool = False
 ) -> DataFrame:
@@ -71,23 +95,27 @@ def stored(
     Landing is a step of its own (``registry.land``); a query that is run
     without it lands what it needs first.
 
-    ``bucketed`` tables lie in as many buckets of the article id as a shuffle
-    has partitions: what joins or groups their rows by the article finds them
-    together and shuffles nothing.
+    ``bucketed`` tables lie in ``article_buckets`` buckets of the article id: what
+    joins or groups their rows by the article finds them together and shuffles
+    nothing.  A task writes one bucket, of a bounded number of articles.
     """
     key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
     if key not in _STORED:
         path = shared_dir(spark, make.__name__)
         rows = make(spark, sf_dir)
         if bucketed:
-            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            writer = rows.repartition("feedly_id").write.bucketBy(buckets, "feedly_id").option("path", path)
+            buckets = article_buckets(spark, sf_dir)
+            writer = rows.repartition(buckets, "feedly_id").write.bucketBy(buckets, "feedly_id").option("path", path)
         else:
             writer = rows.write
         # Files of a bounded number of rows, so that readers share the parsing.
         writer = writer.format("parquet").option("maxRecordsPerFile", 20_000).option("compression", "zstd")
         name = path.rpartition("/")[2].replace("-", "_")
-        writer.saveAsTable(name) if bucketed else writer.save(path)
+        if bucketed:
+            with _partitions(spark, buckets):
+                writer.saveAsTable(name)
+        else:
+            writer.save(path)
         _STORED[key] = name if bucketed else path
     return spark.table(_STORED[key]) if bucketed else spark.read.parquet(_STORED[key])
 
@@ -216,16 +244,17 @@ def part_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entry(parts, F.concat(F.lit("part/"), F.col("p_partkey")), at, at, payload)
 
 
-def _by_order(df: DataFrame, key: str) -> DataFrame:
+def _by_order(df: DataFrame, key: str, buckets: int) -> DataFrame:
     """Rows dealt out by their article id, which is made of the key where they arrive:
-    the short columns travel, not the text that is made of them."""
+    the short columns travel, not the text that is made of them.  The number is named,
+    as small shuffles may be merged to few tasks, which make long texts of them."""
     article = F.concat(F.lit("order/"), F.col(key))
-    return df.repartition(article).withColumn("feedly_id", article)
+    return df.repartition(buckets, article).withColumn("feedly_id", article)
 
 
 def order_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One entry per order: title = priority, site by customer, rate from the price."""
-    orders = _by_order(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = _by_order(table(spark, sf_dir, "orders"), "o_orderkey", article_buckets(spark, sf_dir))
     payload = json_of(
         id=F.concat(F.lit("order/"), F.col("o_orderkey")),
         title=F.col("o_orderpriority"),
@@ -247,6 +276,7 @@ def order_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Analysis rows of the orders: lines are entity mentions, priority and
     status are topics.  An order has few lines, which bounds each document."""
+    buckets = article_buckets(spark, sf_dir)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     lines = (
@@ -271,7 +301,7 @@ def order_analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice",
             "s_name", "p_name", "p_type",
         ),
-        "l_orderkey",
+        "l_orderkey", buckets,
     ).groupBy("feedly_id").agg(F.collect_list(entity).alias("entities"))
     topic = lambda pos, c: F.struct(
         F.lit(pos).alias("id"),
@@ -283,7 +313,7 @@ def order_analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_totalprice") / 500000).alias("score"), F.col("o_orderstatus").alias("categoryId"),
         F.lit("priority").alias("classifierId"),
     )
-    orders = _by_order(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = _by_order(table(spark, sf_dir, "orders"), "o_orderkey", buckets)
     joined = orders.join(per_order, "feedly_id", "left")
     payload = json_of(
         cleanedText=F.concat_ws(" ", "o_orderpriority", "o_orderstatus"),

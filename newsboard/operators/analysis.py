@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsboard.functions.json import json_num
 from newsboard.functions.text import any_ilike, any_like, map_labels, split_list
 from newsboard.functions.time import moment
-from newsboard.operators.joins import spread_join
+from newsboard.operators.joins import spread_join, together
 from newsboard.operators.ranking import dedupe_by_rank
 from newsboard.operators.unnest import distinct_values, unnest
 
@@ -162,8 +162,7 @@ def pick_companies(entities: DataFrame, types: Sequence[str] = COMPANY_TYPES) ->
     shuffle, or on none if the mentions of an article lie together already.
     """
     per_entity = (
-        entities.where(F.col("entity_type").isin(*types))
-        .repartition("feedly_id")
+        together(entities.where(F.col("entity_type").isin(*types)), "feedly_id")
         .groupBy("feedly_id", "entity_id", "entity_external_id", "crunchbase_id")
         .agg(
             F.max("relevance_score").alias("relevance_score"),

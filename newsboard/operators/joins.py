@@ -1,11 +1,11 @@
-"""Joins of large tables with dimensions whose keys may be hot."""
+"""Joins of large tables with dimensions whose keys may be hot, rows that meet by a key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def spread_join(facts: DataFrame, dimension: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -23,3 +23,15 @@ def spread_join(facts: DataFrame, dimension: DataFrame, on: Sequence[str], how:
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     found = facts.where(~no_key).join(dimension, list(on), how)
     return found.unionByName(facts.where(no_key), allowMissingColumns=True)
+
+
+def together(df: DataFrame, key: str) -> DataFrame:
+    """All rows, those of a key in one partition: steps by the key, alone or with
+    other columns, need no shuffle after it.
+
+    ``repartition`` would deal rows out anew that lie together in another number
+    of partitions than a shuffle has, as those of large stored tables do.  A
+    window asks only that they lie together: one shuffle, or none.
+    """
+    place = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    return df.withColumn("_place", place).where("_place > 0").drop("_place")

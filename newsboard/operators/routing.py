@@ -13,7 +13,7 @@ from newsboard.functions.text import identifier
 from newsboard.functions.time import BOARD_ZONE, moment, send_at, shift_zone
 from newsboard.operators import analysis as N
 from newsboard.operators.articles import sentence_texts
-from newsboard.operators.joins import spread_join
+from newsboard.operators.joins import spread_join, together
 from newsboard.operators.maintenance import as_json
 from newsboard.operators.sectors import article_sectors
 from newsboard.sources.feed import parse_analyses
@@ -47,7 +47,7 @@ def _matched(entities: DataFrame, rules: DataFrame, carried: Sequence[str]) -> D
     )
     # Everything after this joins on the article: one shuffle serves all of it.
     return (
-        matched.repartition("feedly_id")
+        together(matched, "feedly_id")
         .groupBy("feedly_id", "entity_type", "entity_id", *carried, "concept_rule_emoji_icon")
         .agg(F.min("_topic").alias("topic_threshold"))
     )
@@ -95,7 +95,7 @@ def route_ids(
     matched = _matched(entities, wanted, ["concept_id", *_ROUTE[:7]])
     # Best score per article and label: a label then meets a threshold at most once.
     on_topic = (
-        on_topic.repartition("feedly_id")
+        together(on_topic, "feedly_id")
         .groupBy("feedly_id", "topic_label")
         .agg(F.max("topic_score").alias("topic_score"))
     )

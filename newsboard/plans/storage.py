@@ -68,6 +68,12 @@ def input_bytes(df: DataFrame) -> int:
     return sum(sizes)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or of all files in a folder; 0 if there is none."""
+    fs, at = _file_system(spark, path)
+    return fs.getContentSummary(at).getLength() if fs.exists(at) else 0
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, at = _file_system(spark, path)
     stream = fs.open(at)

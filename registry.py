@@ -334,10 +334,14 @@ def entities(spark: SparkSession, sf: str) -> DataFrame:
     return N.analysis_entities(B.order_articles(spark, sf), B.order_parsed(spark, sf))
 
 
-def resolved(spark: SparkSession, sf: str) -> DataFrame:
-    # Entities that lie there are read; they are not written for the companies alone.
+def known_entities(spark: SparkSession, sf: str) -> DataFrame:
+    # Entities that lie there are read; they are not written for their companies or types alone.
     mentions = stored_entities if B.is_stored(spark, sf, entities) else entities
-    return N.resolve_companies(mentions(spark, sf), B.organizations(spark, sf))
+    return mentions(spark, sf)
+
+
+def resolved(spark: SparkSession, sf: str) -> DataFrame:
+    return N.resolve_companies(known_entities(spark, sf), B.organizations(spark, sf))
 
 
 # The views that many others read are stored, as plans.views.refresh does:
@@ -399,7 +403,7 @@ def companies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def uncovered_types(spark: SparkSession, sf: str) -> DataFrame:
-    return N.uncovered_types(stored_entities(spark, sf), B.seeds(spark)["concept_entity_rules"])
+    return N.uncovered_types(known_entities(spark, sf), B.seeds(spark)["concept_entity_rules"])
 
 
 def matching_words(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,6 +2,7 @@ import bindings as B
 import registry
 from newsboard.operators import analysis as N
 from newsboard.operators import routing as T
+from newsboard.operators.joins import together
 from newsboard.plans.incremental import IncrementalViews
 from newsboard.plans.keyed import KeyedTable
 from tests.helpers import analysis_rows, entry_rows, plan_of, rows
@@ -130,3 +131,54 @@ def test_companies_do_not_store_entities_for_themselves(spark, shared, monkeypat
     assert rows(registry.resolved(spark, shared)) == rows(made_mentions(spark, shared)) and not asked
     B.stored(spark, shared, made_mentions)
     assert registry.resolved(spark, shared) == "stored"
+
+
+def order_tables(spark, path):
+    """Six orders of two lines each; the last order comes twice."""
+    orders = "SELECT CAST(o AS BIGINT) o_orderkey, o % 3 o_custkey, 'O' o_orderstatus, 12345.0D o_totalprice," \
+        " TIMESTAMP'1998-01-01' o_orderdate, '5-LOW' o_orderpriority FROM VALUES (0), (1), (2), (3), (4), (5), (5) t(o)"
+    lines = "SELECT CAST(id DIV 2 AS BIGINT) l_orderkey, id % 2 l_partkey, id % 3 l_suppkey, CAST(id % 2 AS INT) l_linenumber," \
+        " 10.0D l_quantity, 5000.0D l_extendedprice, IF(id % 3 = 0, 'N', 'R') l_returnflag FROM range(12)"
+    spark.sql(orders).write.parquet(f"{path}/orders.parquet")
+    spark.sql(lines).write.parquet(f"{path}/lineitem.parquet")
+    spark.sql("SELECT id p_partkey, 'a b' p_name, IF(id = 0, 'ECONOMY', 'LARGE') p_type FROM range(2)").write.parquet(
+        f"{path}/part.parquet")
+    spark.sql("SELECT id s_suppkey, concat('s', id) s_name FROM range(3)").write.parquet(f"{path}/supplier.parquet")
+
+
+def test_large_tables_lie_in_more_buckets_than_a_shuffle_has_partitions(spark, shared, monkeypatch):
+    order_tables(spark, shared)
+    few = rows(registry.entities(spark, shared), "feedly_id", "entity_type", "entity_id", "mentions")
+    assert len(few) == 6 * 2 * 2 and {r[-1] for r in few} == {1, 4}
+    monkeypatch.setattr(B, "_STORED", {})
+    monkeypatch.setattr(B, "BUCKET_BYTES", 500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        entities = registry.entities(spark, shared)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+        # No task holds more than a bucket, and what is grouped by the article stays where it lies.
+        assert shuffles(entities) == 0
+        assert entities.rdd.getNumPartitions() > 4
+        assert rows(entities, "feedly_id", "entity_type", "entity_id", "mentions") == few
+        assert shuffles(N.pick_companies(entities)) == 0
+        assert shuffles(T.match_rules(entities, B.seeds(spark)["concept_entity_rules"])) == 0
+        again = registry.stored_entities(spark, shared)
+        assert shuffles(again.groupBy("feedly_id").count()) == 0
+        assert rows(again, "feedly_id", "entity_type", "entity_id", "mentions") == few
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_types_do_not_store_entities_for_themselves(spark, shared):
+    order_tables(spark, shared)
+    assert rows(registry.uncovered_types(spark, shared)) == [("Company",)]
+    assert not B.is_stored(spark, shared, registry.entities)
+    registry.stored_entities(spark, shared)
+    assert rows(registry.uncovered_types(spark, shared)) == [("Company",)]
+
+
+def test_rows_that_lie_apart_are_dealt_out_once(spark):
+    apart = spark.createDataFrame([("a", 1), ("b", 2), ("a", 1), (None, 3)], "k string, n int").repartition(3)
+    assert rows(together(apart, "k")) == rows(apart)
+    one = shuffles(apart.groupBy("k").count())
+    assert one and shuffles(together(apart, "k").groupBy("k", "n").count()) == one
