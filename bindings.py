@@ -58,6 +58,10 @@ FIRST_HOUR_MS = 1577836800000  # 2020-01-01 00:00 UTC
 HOUR_MS = 3600000
 
 _PARTITIONS = "spark.sql.shuffle.partitions"
+# What a task that lands rows reads of files, and of shuffles that are merged, at most.
+_TASK_BYTES = {
+    "spark.sql.files.maxPartitionBytes": 32 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 32 << 20,
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,14 +79,20 @@ def article_buckets(spark: SparkSession, sf_dir: str) -> int:
 
 
 @contextmanager
-def _partitions(spark: SparkSession, number: int) -> Iterator[None]:
-    """Shuffles of the steps inside have as many partitions; the session's number comes back."""
-    before = spark.conf.get(_PARTITIONS)
-    spark.conf.set(_PARTITIONS, str(number))
+def _landing(spark: SparkSession, buckets: int) -> Iterator[None]:
+    """Shuffles of the steps inside have as many partitions as there are buckets, and
+    tasks are small: with many partitions a task sorts what it shuffles in memory.
+    The session's own values come back; smaller ones stay."""
+    before = {name: spark.conf.get(name) for name in (_PARTITIONS, *_TASK_BYTES)}
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    spark.conf.set(_PARTITIONS, str(buckets))
+    for name, most in _TASK_BYTES.items():
+        spark.conf.set(name, str(min(most, in_bytes(before[name]))))
     try:
         yield
     finally:
-        spark.conf.set(_PARTITIONS, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def stored(
@@ -112,7 +122,7 @@ def stored(
         writer = writer.format("parquet").option("maxRecordsPerFile", 20_000).option("compression", "zstd")
         name = path.rpartition("/")[2].replace("-", "_")
         if bucketed:
-            with _partitions(spark, buckets):
+            with _landing(spark, buckets):
                 writer.saveAsTable(name)
         else:
             writer.save(path)

@@ -182,3 +182,16 @@ def test_rows_that_lie_apart_are_dealt_out_once(spark):
     assert rows(together(apart, "k")) == rows(apart)
     one = shuffles(apart.groupBy("k").count())
     assert one and shuffles(together(apart, "k").groupBy("k", "n").count()) == one
+
+
+def test_landing_keeps_smaller_tasks_and_gives_the_session_its_values_back(spark):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    values = lambda: [spark.conf.get(n) for n in names]
+    spark.conf.set(names[2], "8m")
+    try:
+        before = values()
+        with B._landing(spark, 9):
+            assert values() == ["9", str(32 << 20), str(8 << 20)]
+        assert values() == before
+    finally:
+        spark.conf.unset(names[2])
