@@ -3,11 +3,14 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import analysis_rows, entry_rows, plan_of, rows, ts
+from helpers import NOW, analysis_rows, entry_rows, plan_of, rows, ts
+from newsboard.operators import analysis as N
 from newsboard.plans.incremental import IncrementalViews
 from newsboard.plans.keyed import KeyedTable
 from newsboard.plans.storage import list_names
-from newsboard.sources.schemas import REGISTER
+from newsboard.sources.schemas import ANALYSES, ENTRIES, REGISTER
+from newsboard.sources.seeds import default_seeds, small_table
+from newsboard.streaming.routing import deliver_analyses, waiting_analyses
 
 SCHEMA = "feedly_id string, created_at timestamp_ntz, updated_at timestamp_ntz, payload string"
 BASE = ts("2020-03-01")
@@ -100,3 +103,56 @@ def test_a_change_moves_no_documents_and_leaves_no_notes(spark, shared, sorted_j
     assert moved == []
     assert views.stored()["vw_article_nlp_topics"].count() == views.stored()["articles"].count() > 0
     assert all(len(list_names(spark, f"{shared}/v/{t}/versions")) == 1 for t in ("entries", "details", "articles"))
+
+
+def order_article(key, day):
+    doc = {"id": key, "title": f"Title {key}", "alternate": [{"href": f"https://{key}.example.com/"}]}
+    return doc, BASE + timedelta(days=day)
+
+
+def routed(spark, shared, days, buckets, monkeypatch, **options):
+    """Route one batch of analyses; gives what was sent, and what was written for the batch with its rows."""
+    seeds = default_seeds(spark)
+    seeds["channels"] = seeds["channels"].withColumn("last_sent_at", F.lit(BASE).cast("timestamp_ntz"))
+    links = small_table(spark, "channel_id concept_id", [(1, 12), (2, 12)])
+    tables = {**seeds, "channel_concepts": links, "organizations": spark.createDataFrame([], REGISTER["organizations"])}
+    team = {"type": ["SportsTeam"], "entityEnglishId": "E", "relevanceScore": 0.9, "confidenceScore": 9}
+    doc = {"topics": [{"id": 0, "label": "Machine learning", "score": 0.9}], "entities": [team]}
+    entries = KeyedTable(spark, f"{shared}/entries", ["feedly_id"], ENTRIES, buckets, dealt=True)
+    entries.upsert(entry_rows(spark, [order_article(k, d) for k, d in days.items()]))
+    analysis_rows(spark, {k: doc for k in [*days, "early"]}).write.parquet(f"{shared}/analyses")
+    seen, change = {}, KeyedTable.change
+
+    def watched(self, touched, combine, step=None):
+        change(self, touched, combine, step)
+        name = self.path.rpartition("/")[2].rpartition("-")[0]
+        seen[name] = (self.path, self.buckets, {r[0] for r in self.read().select("feedly_id").collect()})
+
+    monkeypatch.setattr(KeyedTable, "change", watched)
+    stream = spark.readStream.schema(ANALYSES).option("maxFilesPerTrigger", 99).parquet(f"{shared}/analyses")
+    deliver_analyses(
+        stream, entries, tables, "slack", f"{shared}/sent", f"{shared}/state", f"{shared}/cp", NOW, f"{shared}/waiting", **options
+    ).awaitTermination()
+    return spark.read.parquet(f"{shared}/sent"), seen
+
+
+def test_a_batch_is_dealt_and_parsed_once_and_its_folders_go(spark, shared, monkeypatch):
+    parsed, parse = [], N.analysis_entities
+    monkeypatch.setattr(N, "analysis_entities", lambda *a, **k: parsed.append(1) or parse(*a, **k))
+    sent, seen = routed(spark, shared, {f"k{i}": i - 3 for i in range(12)}, 5, monkeypatch)
+    recent = {f"k{i}" for i in range(4, 12)}
+    assert rows(sent, "channel_id", "feedly_id") == sorted((c, k) for c in (1, 2) for k in recent)
+    assert {r["feedly_id"] for r in waiting_analyses(spark, f"{shared}/waiting", ANALYSES).collect()} == {"early"}
+    # Buckets are those of the entry table; articles older than all marks are not parsed.
+    assert parsed == [1] and {n for _, n, _ in seen.values()} == {5}
+    assert seen["due"][2] == {"early", *(f"k{i}" for i in range(12))}
+    assert all(seen[name][2] == recent for name in ("articles", "parsed", "topics", "entities"))
+    for path, *_ in seen.values():
+        folder, _, name = path.rpartition("/")
+        assert name not in list_names(spark, folder)
+
+
+def test_the_number_of_parts_changes_no_message(spark, shared, monkeypatch):
+    some = {f"k{i}": i - 3 for i in range(12)}
+    got = [routed(spark, f"{shared}/{n}", some, 4, monkeypatch, parts=n) for n in (1, 7)]
+    assert rows(got[0][0]) == rows(got[1][0]) and {n for _, n, _ in got[1][1].values()} == {7}
